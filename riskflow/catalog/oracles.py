@@ -125,8 +125,8 @@ def message(field: str, kind: str) -> str:
         return (f"'Column ''{field}'' has ' || n || ' (' || printf('%.2f', n * 100.0 / total) || "
                 "'%) missing values. Downstream imputation will be applied.'")
     if kind == "UNEXPECTED_CATEGORY":
-        return (f"'Column ''{field}'' contains unexpected categories: [''' || (SELECT string_agg(v, ''', ''' ORDER BY at) "
-                f"FROM (SELECT {field} AS v, min(_row) AS at FROM denr WHERE {field} NOT IN {_in(field)} GROUP BY 1)) || ''']'")
+        return (f"'Column ''{field}'' contains unexpected categories: [''' || (SELECT string_agg(v, ''', ''' ORDER BY place) "
+                f"FROM (SELECT {field} AS v, min(_row) AS place FROM denr WHERE {field} NOT IN {_in(field)} GROUP BY 1)) || ''']'")
     return MESSAGES[field, kind]
 
 
@@ -137,7 +137,7 @@ def issues(table: str = "denr") -> dict[str, str]:
     counts = "SELECT count(*) AS total, " + ", ".join(
         f"count_if({cond}) AS r{i}" for i, (_, _, _, cond) in enumerate(rows)) + f" FROM {table}"
     union = " UNION ALL ".join(
-        f"SELECT {i} AS at, '{sev}' AS severity, '{f}' AS field, '{kind}' AS error_type, n AS invalid_rows_count, "
+        f"SELECT {i} AS place, '{sev}' AS severity, '{f}' AS field, '{kind}' AS error_type, n AS invalid_rows_count, "
         f"{message(f, kind)} AS message FROM (SELECT r{i}::bigint AS n, total FROM counts) WHERE n > 0"
         for i, (sev, f, kind, _) in enumerate(rows))
     return {"counts": counts, "issues": union}
@@ -145,7 +145,7 @@ def issues(table: str = "denr") -> dict[str, str]:
 
 def issue_list() -> str:
     parts = ", ".join(f"CASE WHEN {cond} THEN '{f}:{kind}' END" for f, kind, cond in error_rules())
-    return f"list_filter([{parts}], x -> x IS NOT NULL)"
+    return f"list_filter([{parts}], lambda x: x IS NOT NULL)"
 
 
 def _issue_oracle(kind: str, columns: str = "severity, field, error_type, invalid_rows_count, message") -> str:
@@ -200,7 +200,7 @@ ORACLES["dq_columns"] = """SELECT 'ERROR' AS severity, 'Columns' AS field, 'MISS
     UNION ALL SELECT 'WARNING', 'Columns', 'UNEXPECTED_COLUMNS',
     'Dataset contains unexpected extra columns: [''Branch'']. These will be ignored.', count(*) FROM events"""
 _plain = " UNION ALL ".join(
-    f"SELECT '{f}' AS field, '{kind}' AS error_type, _row AS at, "
+    f"SELECT '{f}' AS field, '{kind}' AS error_type, _row AS place, "
     + (f"{NUMBER[f]} AS number, NULL::varchar AS text" if kind == "OUT_OF_RANGE" else f"NULL::double AS number, {f}::varchar AS text")
     + f" FROM denr WHERE {cond}"
     for f, kind, cond in error_rules() if kind in ("INCORRECT_DATA_TYPE", "OUT_OF_RANGE"))
@@ -209,7 +209,7 @@ _values = " UNION ALL ".join(
     f"WHERE {c} NOT IN {_in(c)} GROUP BY {c}" for c in CONTRACT.categorical)
 ORACLES["dq_samples"] = with_tables(
     """SELECT field, error_type, position, number, text FROM (
-    SELECT *, row_number() OVER (PARTITION BY field, error_type ORDER BY at)::int AS position FROM found) WHERE position <= 5""",
+    SELECT *, row_number() OVER (PARTITION BY field, error_type ORDER BY place)::int AS position FROM found) WHERE position <= 5""",
     "denr", vals=_values,
     found=_plain + " UNION ALL SELECT field, 'UNEXPECTED_CATEGORY', first_row, NULL::double, value FROM vals")
 ORACLES["dq_bad_categories"] = with_tables(f"SELECT field, value, n, first_row FROM ({_values})", "denr")
@@ -218,7 +218,7 @@ ORACLES["dq_verdict"] = with_tables(
     FROM e UNION ALL SELECT 'dirty lenient', n = 0, CASE WHEN n = 0 THEN 'PROCEED' ELSE 'QUARANTINE_RECORDS' END FROM e
     UNION ALL SELECT 'clean strict', true, 'PROCEED' UNION ALL SELECT 'incomplete lenient', false, 'REJECT_ALL'""",
     "denr", **issues(), e="SELECT count(*) AS n FROM issues WHERE severity = 'ERROR'")
-_listed = ("string_agg(field || ':' || error_type || ':' || invalid_rows_count || ':' || message, '|' ORDER BY at) "
+_listed = ("string_agg(field || ':' || error_type || ':' || invalid_rows_count || ':' || message, '|' ORDER BY place) "
            "FILTER (WHERE severity = '{0}')")
 _extra = "Columns:UNEXPECTED_COLUMNS"
 ORACLES["dq_report"] = with_tables(
@@ -391,7 +391,7 @@ _got = "SELECT _row, cut, " + ", ".join(
 ) + """, CASE WHEN cut THEN 'payload:not a JSON object' ELSE array_to_string(list_filter([
     CASE WHEN _row % 107 = 0 THEN 'Transaction_ID:null' END,
     CASE WHEN _row % 103 = 0 THEN 'Amount_NGN:not a double' WHEN Amount_NGN <= 0 THEN 'Amount_NGN:not positive' END,
-    CASE WHEN NOT short AND _row % 109 = 0 THEN 'International_Transaction:null' END], x -> x IS NOT NULL), '|') END AS reasons
+    CASE WHEN NOT short AND _row % 109 = 0 THEN 'International_Transaction:null' END], lambda x: x IS NOT NULL), '|') END AS reasons
     FROM sent"""
 REQUESTS = {"sent": _sent, "got": _got}
 _request_columns = ", ".join(
@@ -410,7 +410,7 @@ ORACLES["json_batches"] = with_tables(
     """SELECT floor(_row / 50)::bigint AS batch, count(*) AS total_processed, count_if(reasons = '')::bigint AS accepted,
     round(sum(Amount_NGN), 2) AS amount FROM got WHERE NOT cut GROUP BY 1""", "txn", **REQUESTS)
 _rscored = f"""SELECT *, {linear()} AS p, list_filter([CASE WHEN Amount_NGN <= 0 THEN 1 END,
-    CASE WHEN Age < 18 THEN 1 END], x -> x IS NOT NULL) AS bad FROM (
+    CASE WHEN Age < 18 THEN 1 END], lambda x: x IS NOT NULL) AS bad FROM (
     SELECT g.*, {C_FEATURES}, floor((Transaction_DateTime % 1.0::double) * 24) AS Transaction_Hour,
     isodow(date '1899-12-30' + floor(Transaction_DateTime)::int) - 1 AS Transaction_DayOfWeek,
     (isodow(date '1899-12-30' + floor(Transaction_DateTime)::int) >= 6)::int AS Is_Weekend

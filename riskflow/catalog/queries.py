@@ -38,8 +38,8 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    return df.select(*[
-        F.round(F.col(f"`{f.name}`"), digits).alias(f.name) if f.dataType.typeName() == "double" else F.col(f"`{f.name}`")
+    return df.selectExpr(*[
+        f"round(`{f.name}`, {digits}) as `{f.name}`" if f.dataType.typeName() == "double" else f"`{f.name}`"
         for f in df.schema
     ])
 
@@ -227,9 +227,9 @@ def quarantine_bad(spark, sf):
 @query
 def serial_time(spark, sf):
     df = views.serial_transactions(spark, sf)
-    hour, day = hour_and_weekday(F.col(CONTRACT.time), df.schema[CONTRACT.time].dataType)
-    return df.select(ID, F.unix_micros(serial_to_time(F.col(CONTRACT.time))).alias("micros"),
-                     hour.alias("hour"), day.alias("weekday"))
+    hour, day = hour_and_weekday(CONTRACT.time, df.schema[CONTRACT.time].dataType)
+    return df.select(ID, F.unix_micros(serial_to_time(CONTRACT.time)).alias("micros"),
+                     F.expr(hour).alias("hour"), F.expr(day).alias("weekday"))
 
 
 @query
@@ -238,7 +238,7 @@ def parse_time_text(spark, sf):
     text = (F.when(r % 5 == 0, "not a time").when(r % 7 == 0, "46023.125").when(r % 11 == 0, None)
             .otherwise(F.date_format(CONTRACT.time, "yyyy-MM-dd HH:mm:ss.SSSSSS")))
     txn = views.transactions(spark, sf, row=True).withColumn("text", text)
-    return txn.select(r.alias("row_id"), F.unix_micros(parse_time(F.col("text")).cast("timestamp")).alias("micros"))
+    return txn.select(r.alias("row_id"), F.unix_micros(parse_time("text").cast("timestamp")).alias("micros"))
 
 
 @query
@@ -251,7 +251,7 @@ def temporal_features(spark, sf):
 @query
 def night_transactions(spark, sf):
     df = with_temporal_features(views.transactions(spark, sf))
-    return df.select(ID, night_flag(F.col("Transaction_Hour")).alias("is_night"))
+    return df.select(ID, night_flag().alias("is_night"))
 
 
 @query
@@ -289,7 +289,7 @@ def fit_scaler(spark, sf):
 @query
 def impute_cat(spark, sf):
     df = views.transactions(spark, sf)
-    return df.select(ID, *[fe.filled_category(c).alias(c) for c in CONTRACT.transaction_categorical])
+    return df.select(ID, *[F.expr(fe.filled_category(c)).alias(c) for c in CONTRACT.transaction_categorical])
 
 
 @query
@@ -306,7 +306,7 @@ def feature_names(spark, sf):
 @query
 def scale_num(spark, sf):
     src = fe.prepared_inputs(s.clean_enriched(spark, sf))
-    return rounded(src.select(ID, *[fe.scaled(c, s.FROZEN).alias(c) for c in s.FROZEN.median]))
+    return rounded(src.select(ID, *[F.expr(fe.scaled(c, s.FROZEN)).alias(c) for c in s.FROZEN.median]))
 
 
 @query
@@ -334,7 +334,7 @@ def no_leakage(spark, sf):
     mean, scale = fe.fit_moments(src, median)
     p = fe.FeatureParams(median, mean, scale, {})
     test = fe.prepared_inputs(table.where("split = 'test'"))
-    return rounded(test.select(ID, *[fe.scaled(c, p).alias(c) for c in median]))
+    return rounded(test.select(ID, *[F.expr(fe.scaled(c, p)).alias(c) for c in median]))
 
 
 # ---- splitting ----------------------------------------------------------------------

@@ -74,7 +74,7 @@ def as_payloads(txn: DataFrame) -> DataFrame:
     """``_row`` and ``payload`` of transactions that carry ``_row``; works on a stream too."""
     r = F.col("_row")
     src = txn.withColumns({
-        "Transaction_DateTime": time_to_serial(F.col("Transaction_DateTime")),
+        "Transaction_DateTime": time_to_serial("Transaction_DateTime"),
         "Amount_NGN": F.when(r % 97 == 0, -F.col("Amount_NGN")).otherwise(F.col("Amount_NGN")),
         "Transaction_ID": F.when(r % 107 == 0, F.lit(None)).otherwise(F.col("Transaction_ID")),
         "International_Transaction": F.when(r % 109 == 0, F.lit(None)).otherwise(F.col("International_Transaction")),

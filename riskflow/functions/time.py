@@ -5,65 +5,67 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from riskflow.contract import CONTRACT, DEFAULT_HOUR, DEFAULT_WEEKDAY, Contract
+from riskflow.functions.numeric import number, quoted
 
 UNIX_EPOCH_SERIAL = 25569  # 1970-01-01 counted in days from 1899-12-30
 MICROS_PER_DAY = 86_400_000_000
 
 
-def serial_to_time(serial: Column) -> Column:
+def serial_to_time(serial: str) -> Column:
     """Serial days since 1899-12-30 as a timestamp, rounded to microseconds."""
-    micros = F.round((serial - F.lit(float(UNIX_EPOCH_SERIAL))) * F.lit(float(MICROS_PER_DAY)))
-    return F.timestamp_micros(micros.cast("bigint"))
+    return F.expr(_serial_to_time(serial))
 
 
-def time_to_serial(ts: Column) -> Column:
+def _serial_to_time(serial: str) -> str:
+    return f"timestamp_micros(bigint(round(({serial} - {UNIX_EPOCH_SERIAL}D) * {MICROS_PER_DAY}D)))"
+
+
+def time_to_serial(ts: str) -> Column:
     """A timestamp as serial days since 1899-12-30."""
-    return F.unix_micros(ts.cast("timestamp")) / F.lit(float(MICROS_PER_DAY)) + F.lit(float(UNIX_EPOCH_SERIAL))
+    return F.expr(f"unix_micros(cast({ts} as timestamp)) / {MICROS_PER_DAY}D + {UNIX_EPOCH_SERIAL}D")
 
 
-def parse_time(text: Column) -> Column:
+def parse_time(text: str) -> Column:
     """Timestamp text; NULL where it cannot be read."""
-    return F.try_to_timestamp(text)
+    return F.expr(f"try_to_timestamp({text})")
 
 
-def hour_and_weekday(col: Column, data_type: T.DataType, serial_rounding: str = "floor") -> tuple[Column, Column]:
-    """Hour 0-23 and weekday 0 (Monday) to 6; NULL where there is no time.
+def hour_and_weekday(column: str, data_type: T.DataType, serial_rounding: str = "floor") -> tuple[str, str]:
+    """SQL for hour 0-23 and weekday 0 (Monday) to 6; NULL where there is no time.
 
     Numeric input is serial days. With ``floor`` the hour is cut from the serial as
     stored, so a serial a hair below the full hour counts as the hour before; with
     ``micros`` it is first rounded to the nearest microsecond.
     """
-    if isinstance(data_type, T.NumericType) and serial_rounding == "floor":
-        serial = F.nanvl(col.cast("double"), F.lit(None).cast("double"))
-        hour = F.floor(F.pmod(serial, F.lit(1.0)) * 24).cast("int")
-        day = F.date_add(F.to_date(F.lit("1899-12-30")), F.floor(serial).cast("int"))
-        return hour, F.weekday(day)
+    if serial_rounding not in ("floor", "micros"):
+        raise ValueError("serial_rounding must be 'floor' or 'micros'")
     if isinstance(data_type, T.NumericType):
-        ts = serial_to_time(F.nanvl(col.cast("double"), F.lit(None).cast("double")))
+        serial = number(column, data_type)
+        if serial_rounding == "floor":
+            return (f"cast(floor(pmod({serial}, 1D) * 24) as int)",
+                    f"weekday(date_add(date'1899-12-30', cast(floor({serial}) as int)))")
+        ts = _serial_to_time(serial)
     elif isinstance(data_type, T.StringType):
-        ts = parse_time(col)
+        ts = f"try_to_timestamp({quoted(column)})"
     else:
-        ts = col
-    return F.hour(ts), F.weekday(ts)
+        ts = quoted(column)
+    return f"hour({ts})", f"weekday({ts})"
 
 
-def with_temporal_features(df: DataFrame, contract: Contract = CONTRACT,
-                           serial_rounding: str = "floor") -> DataFrame:
-    """Add hour, weekday and weekend flag; never NULL."""
-    hour_name, day_name, weekend_name = contract.engineered
+def temporal_columns(df: DataFrame, contract: Contract = CONTRACT, serial_rounding: str = "floor") -> dict[str, str]:
+    """SQL of hour, weekday and weekend flag; never NULL."""
+    hour, day = f"{DEFAULT_HOUR}", f"{DEFAULT_WEEKDAY}"
     if contract.time in df.columns:
-        hour, day = hour_and_weekday(F.col(contract.time), df.schema[contract.time].dataType, serial_rounding)
-        hour = F.coalesce(hour, F.lit(DEFAULT_HOUR)).cast("int")
-        day = F.coalesce(day, F.lit(DEFAULT_WEEKDAY)).cast("int")
-    else:
-        hour, day = F.lit(DEFAULT_HOUR), F.lit(DEFAULT_WEEKDAY)
-    return df.withColumns({
-        hour_name: hour,
-        day_name: day,
-        weekend_name: day.isin(5, 6).cast("int"),
-    })
+        h, d = hour_and_weekday(contract.time, df.schema[contract.time].dataType, serial_rounding)
+        hour, day = f"coalesce({h}, {hour})", f"coalesce({d}, {day})"
+    return dict(zip(contract.engineered, (hour, day, f"int({day} in (5, 6))")))
+
+
+def with_temporal_features(df: DataFrame, contract: Contract = CONTRACT, serial_rounding: str = "floor") -> DataFrame:
+    """Add hour, weekday and weekend flag as integers."""
+    return df.withColumns({c: F.expr(e) for c, e in temporal_columns(df, contract, serial_rounding).items()})
 
 
-def night_flag(hour: Column) -> Column:
+def night_flag(hour: str = "Transaction_Hour") -> Column:
     """1 for transactions between midnight and 05:00."""
-    return (hour < 5).cast("int")
+    return F.expr(f"int({hour} < 5)")

@@ -11,34 +11,30 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskflow.contract import REVIEW_THRESHOLD
+from riskflow.functions.numeric import double_literal
 
 SCORE_RANGES = 1024
 
 
-def _safe_ratio(top: Column, bottom: Column) -> Column:
-    """The ratio, or 0 where there is nothing to divide by."""
-    return F.when(bottom == 0, F.lit(0.0)).otherwise(top / bottom)
+def confusion_sql(label: str, probability: str, threshold: float) -> dict[str, str]:
+    """The four counts, as SQL aggregates."""
+    hit = f"{probability} >= {double_literal(threshold)}"
+    return {"tn": f"count_if({label} = 0 and not {hit})", "fp": f"count_if({label} = 0 and {hit})",
+            "fn": f"count_if({label} = 1 and not {hit})", "tp": f"count_if({label} = 1 and {hit})"}
 
 
 def confusion(scored: DataFrame, label: str = "label", probability: str = "probability",
               threshold: float = REVIEW_THRESHOLD) -> DataFrame:
     """One row of true and false negatives and positives."""
-    hit = F.col(probability) >= threshold
-    pos = F.col(label) == 1
-    return scored.agg(
-        F.count_if(~pos & ~hit).alias("tn"), F.count_if(~pos & hit).alias("fp"),
-        F.count_if(pos & ~hit).alias("fn"), F.count_if(pos & hit).alias("tp"),
-    )
+    return scored.agg(*[F.expr(f"{e} as {c}") for c, e in confusion_sql(label, probability, threshold).items()])
 
 
 def class_metrics(counts: DataFrame) -> DataFrame:
     """Precision, recall and F1 of confusion counts; 0 where undefined."""
-    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
-    return counts.withColumns({
-        "precision": _safe_ratio(tp, tp + fp),
-        "recall": _safe_ratio(tp, tp + fn),
-        "f1_score": _safe_ratio(2 * tp, 2 * tp + fp + fn),
-    })
+    return counts.selectExpr(
+        "*", "if(tp + fp = 0, 0D, try_divide(tp, tp + fp)) as precision",
+        "if(tp + fn = 0, 0D, try_divide(tp, tp + fn)) as recall",
+        "if(2 * tp + fp + fn = 0, 0D, try_divide(2 * tp, 2 * tp + fp + fn)) as f1_score")
 
 
 def brier(scored: DataFrame, label: str = "label", probability: str = "probability") -> DataFrame:
@@ -63,38 +59,27 @@ def evaluate(scored: DataFrame, label: str = "label", probability: str = "probab
     ROC-AUC is NULL where one class is absent.
     """
     bounds = score_bounds(scored, probability) if bounds is None else bounds
-    p = F.col("p")
-    per_score = (
-        scored.groupBy(F.col(probability).alias("p"))
-        .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
-    )
+    per_score = scored.groupBy(F.expr(f"{probability} as p")).agg(
+        F.expr(f"count_if({label} = 1) as pos"), F.expr(f"count_if({label} = 0) as neg"))
     ranged = Bucketizer(splits=[float("-inf"), *bounds, float("inf")], inputCol="p", outputCol="r",
                         handleInvalid="error").transform(per_score)
-    inside = Window.partitionBy("r").orderBy("p")
-    hit = p >= threshold
+    hit = f"p >= {double_literal(threshold)}"
+    sums = {
+        "pos": "sum(pos)", "neg": "sum(neg)", "won": "sum(double(pos) * (below + neg / 2))",
+        "tp": f"sum(if({hit}, pos, 0))", "fp": f"sum(if({hit}, neg, 0))",
+        "loss": "sum(pos * (1 - p) * (1 - p) + neg * p * p)",
+    }
     per_range = (
-        ranged.withColumn("below", F.sum("neg").over(inside) - F.col("neg"))
-        .groupBy("r").agg(
-            F.sum("pos").alias("pos"), F.sum("neg").alias("neg"),
-            F.sum(F.col("pos").cast("double") * (F.col("below") + F.col("neg") / 2)).alias("won"),
-            F.sum(F.when(hit, F.col("pos")).otherwise(0)).alias("tp"),
-            F.sum(F.when(hit, F.col("neg")).otherwise(0)).alias("fp"),
-            F.sum(F.col("pos") * (1 - p) * (1 - p) + F.col("neg") * p * p).alias("loss"),
-        )
+        ranged.selectExpr("*", "sum(neg) over (partition by r order by p) - neg as below")
+        .groupBy("r").agg(*[F.expr(f"{e} as {c}") for c, e in sums.items()])
     )
     # at most SCORE_RANGES rows from here on
-    before = F.coalesce(F.sum("neg").over(
-        Window.orderBy("r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    pos, neg = F.col("pos"), F.col("neg")
-    return (
-        per_range.withColumn("won", F.col("won") + F.col("pos").cast("double") * before)
-        .agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("pos", "neg", "won", "tp", "fp", "loss")])
-        .select(
-            F.when((pos > 0) & (neg > 0), F.col("won") / (pos.cast("double") * neg)).alias("roc_auc"),
-            F.when(pos + neg > 0, F.col("loss") / (pos + neg)).alias("brier_score"),
-            (neg - F.col("fp")).alias("tn"), "fp", (pos - F.col("tp")).alias("fn"), "tp",
-        )
-    )
+    before = "coalesce(sum(neg) over (order by r rows between unbounded preceding and 1 preceding), 0)"
+    totals = per_range.selectExpr("pos", "neg", f"won + double(pos) * {before} as won", "tp", "fp", "loss").agg(
+        *[F.expr(f"coalesce(sum({c}), 0) as {c}") for c in sums])
+    return totals.selectExpr(
+        "if(pos > 0 and neg > 0, try_divide(won, double(pos) * neg), null) as roc_auc",
+        "try_divide(loss, pos + neg) as brier_score", "neg - fp as tn", "fp", "pos - tp as fn", "tp")
 
 
 def roc_auc(scored: DataFrame, label: str = "label", probability: str = "probability") -> DataFrame:
@@ -129,11 +114,10 @@ def compare(candidate: DataFrame, baseline: DataFrame) -> DataFrame:
 def threshold_sweep(scored: DataFrame, thresholds: list[float], label: str = "label",
                     probability: str = "probability") -> DataFrame:
     """Confusion counts, precision and recall at several thresholds, from one aggregate."""
-    pos, p = F.col(label) == 1, F.col(probability)
-    at = [F.struct(F.lit(float(t)).alias("threshold"), F.count_if(pos & (p >= t)).alias("tp"),
-                   F.count_if(~pos & (p >= t)).alias("fp"), F.count_if(pos & (p < t)).alias("fn"),
-                   F.count_if(~pos & (p < t)).alias("tn")) for t in thresholds]
-    return class_metrics(scored.agg(F.array(*at).alias("a")).select(F.explode("a").alias("s")).select("s.*"))
+    at = ", ".join(
+        "named_struct('threshold', " + double_literal(t) + ", "
+        + ", ".join(f"'{c}', {e}" for c, e in confusion_sql(label, probability, t).items()) + ")" for t in thresholds)
+    return class_metrics(scored.agg(F.expr(f"array({at}) as a")).selectExpr("inline(a)"))
 
 
 def probability_range(scored: DataFrame, probability: str = "probability") -> DataFrame:

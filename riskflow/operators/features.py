@@ -1,8 +1,8 @@
 """Feature preparation: statistics are fitted on training rows and frozen.
 
 Fitting reads medians, moments and category levels, a few small aggregates. Applying
-them is a projection with the statistics as literals, or a Spark ML pipeline that
-yields the sparse vector models train on.
+them is a projection with the statistics as literals; for Spark ML the same projection
+is a pipeline stage in front of the assembler of the (sparse) feature vector.
 """
 
 from __future__ import annotations
@@ -10,12 +10,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskflow.contract import CONTRACT, MISSING_LEVEL, Contract
-from riskflow.functions.numeric import as_number
-from riskflow.functions.time import with_temporal_features
+from riskflow.functions.numeric import double_literal, number, quoted, text_literal
+from riskflow.functions.time import temporal_columns
 from riskflow.operators.median import exact_medians
 
 
@@ -57,42 +57,35 @@ class FeatureParams:
         return cls.from_frame(spark.read.parquet(path))
 
 
-def numeric_inputs(df: DataFrame, contract: Contract = CONTRACT) -> dict[str, Column]:
-    """The numeric model inputs as doubles, with NaN as NULL."""
-    return {c: as_number(F.col(c), df.schema[c].dataType) for c in contract.model_numeric}
-
-
 def prepared_inputs(df: DataFrame, contract: Contract = CONTRACT, serial_rounding: str = "floor") -> DataFrame:
-    """Add the time features, coerce numerics to double."""
-    out = with_temporal_features(df, contract, serial_rounding)
-    return out.withColumns(numeric_inputs(out, contract))
+    """All columns, with numerics as doubles and the time features added."""
+    made = {c: f"double({e})" for c, e in temporal_columns(df, contract, serial_rounding).items()}
+    made |= {c: number(c, df.schema[c].dataType) for c in contract.numeric}
+    kept = [quoted(c) for c in df.columns if c not in made]
+    return df.selectExpr(*kept, *[f"{e} as {quoted(c)}" for c, e in made.items()])
 
 
 def fit_moments(df: DataFrame, median: dict[str, float]) -> tuple[dict[str, float], dict[str, float]]:
     """Mean and population deviation after imputation; a constant column gets scale 1."""
     cols = list(median)
-    row = df.agg(*[
-        F.struct(F.avg(x), F.stddev_pop(x)).alias(c)
-        for c in cols for x in [F.coalesce(F.col(c), F.lit(median[c]))]
-    ]).first()
+    filled = {c: f"coalesce({quoted(c)}, {double_literal(median[c])})" for c in cols}
+    row = df.agg(*[F.expr(f"struct(avg({x}), stddev_pop({x})) as {quoted(c)}") for c, x in filled.items()]).first()
     mean = {c: row[c][0] for c in cols}
     scale = {c: row[c][1] or 1.0 for c in cols}
     return mean, scale
 
 
-def filled_category(column: str) -> Column:
-    """Category text with NULL as its own level."""
-    return F.coalesce(F.col(column).cast("string"), F.lit(MISSING_LEVEL))
+def filled_category(column: str) -> str:
+    """SQL of a category's text with NULL as its own level."""
+    return f"coalesce(cast({quoted(column)} as string), '{MISSING_LEVEL}')"
 
 
 def level_table(df: DataFrame, contract: Contract = CONTRACT) -> DataFrame:
     """Distinct levels per category column with their row counts, from one pass."""
-    pairs = F.array(*[
-        F.struct(F.lit(i).alias("position"), F.lit(c).alias("field"), filled_category(c).alias("level"))
-        for i, c in enumerate(contract.categorical)
-    ])
+    pairs = ", ".join(f"named_struct('position', {i}, 'field', '{c}', 'level', {filled_category(c)})"
+                      for i, c in enumerate(contract.categorical))
     return (
-        df.select(F.explode(pairs).alias("x"))
+        df.selectExpr(f"explode(array({pairs})) as x")
         .groupBy("x.position", "x.field", "x.level").agg(F.count(F.lit(1)).alias("n"))
     )
 
@@ -108,48 +101,39 @@ def fit_features(df: DataFrame, contract: Contract = CONTRACT, serial_rounding:
     return FeatureParams(median, mean, scale, levels)
 
 
-def scaled(column: str, p: FeatureParams) -> Column:
-    """Imputed and standardised value of a prepared numeric column."""
-    return (F.coalesce(F.col(column), F.lit(p.median[column])) - F.lit(p.mean[column])) / F.lit(p.scale[column])
+def scaled(column: str, p: FeatureParams) -> str:
+    """SQL of the imputed and standardised value of a prepared numeric column."""
+    filled = f"coalesce({quoted(column)}, {double_literal(p.median[column])})"
+    return f"({filled} - {double_literal(p.mean[column])}) / {double_literal(p.scale[column])}"
+
+
+def indicators(p: FeatureParams) -> list[str]:
+    """SQL of the 0/1 columns; a level not seen in training has none and is all zeros."""
+    return [f"double({filled_category(c)} = {text_literal(v)})" for c, vs in p.levels.items() for v in vs]
 
 
 def transform_wide(df: DataFrame, p: FeatureParams, contract: Contract = CONTRACT, keep: tuple[str, ...] = (),
                    serial_rounding: str = "floor") -> DataFrame:
     """Every feature as its own column, named as in :meth:`FeatureParams.names`."""
-    src = prepared_inputs(df, contract, serial_rounding)
-    hot = [(filled_category(c) == v).cast("double").alias(f"{c}_{v}") for c, vs in p.levels.items() for v in vs]
-    return src.select(*keep, *[scaled(c, p).alias(c) for c in p.median], *hot)
-
-
-def vector_pipeline(spark: SparkSession, p: FeatureParams, contract: Contract = CONTRACT,
-                    serial_rounding: str = "floor") -> PipelineModel:
-    """A saveable ML pipeline from prepared inputs to the sparse ``features`` vector.
-
-    Levels not seen in training have no slot and encode as all zeros.
-    """
-    num = ", ".join(
-        f"(coalesce(`{c}`, {p.median[c]!r}D) - {p.mean[c]!r}D) / {p.scale[c]!r}D AS `_num_{c}`" for c in p.median)
-    cat = ", ".join(f"coalesce(cast(`{c}` AS string), '{MISSING_LEVEL}') AS `_cat_{c}`" for c in p.levels)
-    sql = SQLTransformer(statement=f"SELECT *, {num}, {cat} FROM __THIS__")
-    fields = list(p.levels)
-    index = StringIndexerModel.from_arrays_of_labels(
-        [p.levels[c] for c in fields], [f"_cat_{c}" for c in fields], [f"_idx_{c}" for c in fields],
-        handleInvalid="keep")
-    # the encoder learns its widths from the indexer's metadata, so an empty frame is enough
-    empty = spark.createDataFrame([], ", ".join(f"`_cat_{c}` string" for c in fields))
-    encode = OneHotEncoder(inputCols=[f"_idx_{c}" for c in fields], outputCols=[f"_hot_{c}" for c in fields],
-                           dropLast=True).fit(index.transform(empty))
-    assemble = VectorAssembler(inputCols=[f"_num_{c}" for c in p.median] + [f"_hot_{c}" for c in fields],
-                               outputCol="features")
-    return PipelineModel([sql, index, encode, assemble])
+    values = [scaled(c, p) for c in p.median] + indicators(p)
+    return prepared_inputs(df, contract, serial_rounding).selectExpr(
+        *[quoted(c) for c in keep], *[f"{e} as {quoted(n)}" for e, n in zip(values, p.names())])
+
+
+def vector_pipeline(p: FeatureParams) -> PipelineModel:
+    """A saveable ML pipeline from prepared inputs to the ``features`` vector, in name order."""
+    values = [scaled(c, p) for c in p.median] + indicators(p)
+    slots = [f"_x{i}" for i in range(len(values))]
+    columns = ", ".join(f"{e} AS {n}" for e, n in zip(values, slots))
+    return PipelineModel([SQLTransformer(statement=f"SELECT *, {columns} FROM __THIS__"),
+                          VectorAssembler(inputCols=slots, outputCol="features")])
 
 
 def transform_vector(df: DataFrame, p: FeatureParams, contract: Contract = CONTRACT,
                      serial_rounding: str = "floor") -> DataFrame:
-    """The input with a ``features`` vector added; helper columns are dropped."""
+    """The input with the time features and a ``features`` vector added."""
     src = prepared_inputs(df, contract, serial_rounding)
-    out = vector_pipeline(df.sparkSession, p, contract, serial_rounding).transform(src)
-    return out.drop(*[c for c in out.columns if c.startswith(("_num_", "_cat_", "_idx_", "_hot_"))])
+    return vector_pipeline(p).transform(src).select(*src.columns, "features")
 
 
 class FeaturePreparer:

@@ -11,24 +11,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from riskflow.contract import CONTRACT, Contract
+from riskflow.functions.numeric import quoted
 from riskflow.operators.clean import clean_key
 
 BROADCAST_BYTES = 64 << 20
 HOT_SHARE = 1 / 1000  # a key at or above this share of all rows is hot; at most 1000 keys can be
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of the rows of a frame, from one shuffle-free aggregate."""
-    width = F.lit(0)
+def row_bytes(df: DataFrame) -> str:
+    """SQL of the size of a row, a little above its unpacked form."""
+    parts = []
     for f in df.schema:
-        col = F.col(f"`{f.name}`")
+        c = quoted(f.name)
         if isinstance(f.dataType, T.StringType):
-            width = width + F.coalesce(F.octet_length(col), F.lit(0)) + 16
+            parts.append(f"coalesce(octet_length({c}), 0) + 16")
         elif isinstance(f.dataType, T.AtomicType):
-            width = width + 8
+            parts.append("8")
         else:
-            width = width + F.octet_length(F.to_json(F.struct(col))) + 16
-    return df.agg(F.coalesce(F.sum(width.cast("bigint")), F.lit(0)).alias("b")).first()["b"]
+            parts.append(f"octet_length(to_json(struct({c}))) + 16")
+    return f"bigint({' + '.join(parts) or '0'})"
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Size of the rows of a frame, from one shuffle-free aggregate."""
+    return df.agg(F.expr(f"coalesce(sum({row_bytes(df)}), 0)")).first()[0]
 
 
 def hot_keys(fact: DataFrame, key: str, share: float = HOT_SHARE) -> list:
@@ -39,13 +45,12 @@ def hot_keys(fact: DataFrame, key: str, share: float = HOT_SHARE) -> list:
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, key: str, broadcast_bytes: int = BROADCAST_BYTES,
-                share: float = HOT_SHARE, source: DataFrame | None = None) -> DataFrame:
+                share: float = HOT_SHARE, dim_bytes: int | None = None) -> DataFrame:
     """Left join to a dimension whose keys are unique.
 
-    ``source`` is what to measure instead of ``dim``: the rows before they were made
-    unique, which are never fewer and need no shuffle to be counted.
+    ``dim_bytes`` is the size of the dimension where the caller has measured it.
     """
-    if measured_bytes(dim if source is None else source) <= broadcast_bytes:
+    if (measured_bytes(dim) if dim_bytes is None else dim_bytes) <= broadcast_bytes:
         return fact.join(F.broadcast(dim), key, "left")
     if fact.isStreaming:  # a micro-batch cannot be counted ahead; AQE splits its skewed partitions
         return fact.join(dim, key, "left")
@@ -63,14 +68,19 @@ def duplicate_keys(dim: DataFrame, key: str) -> DataFrame:
     return dim.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-def check_no_fan_out(fact: DataFrame, dim: DataFrame, key: str) -> None:
-    """Raise where the join would multiply fact rows, without running the join."""
-    dup = duplicate_keys(dim, key).select(key)
-    if dup.isEmpty():
-        return
-    hit = fact.select(key).join(dup, key, "left_semi").limit(1).collect()
-    if hit:
-        raise ValueError(f"join integrity: dimension key {hit[0][0]!r} occurs more than once")
+def checked_bytes(fact: DataFrame, dim: DataFrame, key: str) -> int:
+    """Size of the dimension; raises where the join would multiply fact rows.
+
+    One aggregate over the dimension answers both, without running the join. Only if a
+    key is repeated are the fact keys looked at, for one that refers to it.
+    """
+    per_key = dim.groupBy(key).agg(F.expr("count(1) as n"), F.expr(f"sum({row_bytes(dim)}) as b"))
+    most, size = per_key.agg(F.expr(f"max(if({quoted(key)} is null, 1, n))"), F.expr("coalesce(sum(b), 0)")).first()
+    if (most or 0) > 1:
+        hit = fact.select(key).join(duplicate_keys(dim, key).select(key), key, "left_semi").limit(1).collect()
+        if hit:
+            raise ValueError(f"join integrity: dimension key {hit[0][0]!r} occurs more than once")
+    return size
 
 
 def first_per_key(dim: DataFrame, key: str, order_by: list[str] | None = None) -> DataFrame:
@@ -91,11 +101,11 @@ def enrich_strict(txn: DataFrame, cust: DataFrame, contract: Contract = CONTRACT
                   broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Left join for preparation; a dimension that would multiply rows is an error."""
     key = contract.customer_id
-    check_no_fan_out(txn, cust, key)
+    size = checked_bytes(txn, cust, key)
     clash = [c for c in cust.columns if c in txn.columns and c != key]
-    dim = cust.withColumnsRenamed({c: c + suffix for c in clash})
-    # a NULL key cannot match, and duplicate keys no transaction refers to play no part either
-    return lookup_join(txn, dim.where(F.col(key).isNotNull()), key, broadcast_bytes)
+    # a NULL key cannot match, and repeated keys that no transaction refers to play no part either
+    dim = cust.withColumnsRenamed({c: c + suffix for c in clash}).where(F.col(key).isNotNull())
+    return lookup_join(txn, dim, key, broadcast_bytes, dim_bytes=size)
 
 
 def enrich_lookup(df: DataFrame, cust: DataFrame | None, contract: Contract = CONTRACT,
@@ -114,7 +124,8 @@ def enrich_lookup(df: DataFrame, cust: DataFrame | None, contract: Contract = CO
     extra = [c for c in order_by or [] if c not in (key, *offered)]
     dim = first_per_key(clean_key(cust, key).select(key, *offered, *extra), key, order_by)
     dim = dim.select(key, *offered).withColumnsRenamed({c: f"_lookup_{c}" for c in given})
-    out = lookup_join(clean_key(df, key), dim, key, broadcast_bytes, source=cust.select(key, *offered))
+    out = lookup_join(clean_key(df, key), dim, key, broadcast_bytes,
+                      dim_bytes=measured_bytes(cust.select(key, *offered)))
     filled = {c: F.coalesce(F.col(c), F.col(f"_lookup_{c}")) for c in given}
     return out.withColumns(filled).drop(*[f"_lookup_{c}" for c in given]) if given else out
 
@@ -129,7 +140,7 @@ def match_rate(txn: DataFrame, cust: DataFrame, contract: Contract = CONTRACT,
     key = contract.customer_id
     source = cust.select(key, "Account_Type")
     dim = first_per_key(source, key).withColumn("_matched", F.lit(1))
-    joined = lookup_join(txn.select(key), dim, key, broadcast_bytes, source=source)
+    joined = lookup_join(txn.select(key), dim, key, broadcast_bytes, dim_bytes=measured_bytes(source))
     return joined.agg(
         F.count(F.lit(1)).alias("total"),
         F.count("_matched").alias("matched"),
@@ -144,4 +155,4 @@ def orphans(txn: DataFrame, cust: DataFrame, contract: Contract = CONTRACT,
     key = contract.customer_id
     source = cust.select(key)
     dim = source.where(F.col(key).isNotNull()).distinct().withColumn("_matched", F.lit(1))
-    return lookup_join(txn, dim, key, broadcast_bytes, source=source).where(F.col("_matched").isNull()).drop("_matched")
+    return lookup_join(txn, dim, key, broadcast_bytes, dim_bytes=measured_bytes(source)).where(F.col("_matched").isNull()).drop("_matched")

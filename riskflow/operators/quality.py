@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from riskflow.contract import CONTRACT, Contract, Variant
-from riskflow.functions.numeric import as_number
+from riskflow.functions.numeric import FLOATS, double_literal, number, quoted, text_literal
 
 SAMPLES = 5
 MESSAGE_VALUES = 100  # values spelled out in one message; bad_categories() has them all
@@ -39,58 +39,55 @@ BAD_CATEGORY_MESSAGE = "Column '%s' contains unexpected categories: "
 
 @dataclass(frozen=True)
 class Rule:
-    """One check of one column."""
+    """One check of one column; ``bad`` and ``value`` are SQL text."""
 
     field: str
     error_type: str
     severity: str
-    bad: Column
-    value: Column  # the offending value as text
+    bad: str
+    value: str  # the offending value as text
     message: str
 
 
-def _text(df: DataFrame, column: str) -> Column:
-    return F.col(f"`{column}`").cast("string")
-
-
 def rules_for(df: DataFrame, variant: Variant, contract: Contract = CONTRACT) -> list[Rule]:
     """The rules that apply to a table, in report order."""
-    present = set(df.columns)
-    number = {c: as_number(F.col(f"`{c}`"), df.schema[c].dataType)
-              for c in contract.numeric if c in present}
+    kinds = {f.name: f.dataType for f in df.schema}
+    nothing = "cast(null as string)"
+
+    def text(c: str) -> str:
+        return f"cast({quoted(c)} as string)"
+
+    def missing(c: str) -> str:
+        nan = f" or isnan({quoted(c)})" if isinstance(kinds[c], FLOATS) else ""
+        return f"({quoted(c)} is null{nan})"
+
     rules = []
     for c in variant.numeric:
-        if c in present:
+        if c in kinds:
             # NaN already counts as missing, so only text can be a wrong type
-            bad = F.col(c).isNotNull() & number[c].isNull() & ~_is_nan(df, c)
-            rules.append(Rule(c, BAD_TYPE, ERROR, bad, _text(df, c), BAD_TYPE_MESSAGE % c))
+            bad = f"(not {missing(c)} and {number(c, kinds[c])} is null)"
+            rules.append(Rule(c, BAD_TYPE, ERROR, bad, text(c), BAD_TYPE_MESSAGE % c))
     for c in contract.ids:
-        if c in present:
-            bad = F.col(c).isNull() | (F.trim(_text(df, c)) == "")
-            rules.append(Rule(c, NULL_KEY, ERROR, bad, F.lit(None).cast("string"), NULL_KEY_MESSAGE % c))
+        if c in kinds:
+            bad = f"({quoted(c)} is null or trim({text(c)}) = '')"
+            rules.append(Rule(c, NULL_KEY, ERROR, bad, nothing, NULL_KEY_MESSAGE % c))
     for c, domain in contract.domains.items():
-        if c in present:
-            bad = F.col(c).isNotNull() & ~_text(df, c).isin(*domain)
-            rules.append(Rule(c, BAD_CATEGORY, ERROR, bad, _text(df, c), BAD_CATEGORY_MESSAGE % c))
+        if c in kinds:
+            allowed = ", ".join(text_literal(v) for v in domain)
+            bad = f"coalesce({text(c)} not in ({allowed}), false)"
+            rules.append(Rule(c, BAD_CATEGORY, ERROR, bad, text(c), BAD_CATEGORY_MESSAGE % c))
     for r in contract.ranges:
-        if r.column in present:
-            v = number[r.column]
-            bad = (v <= r.low) if r.low_open else (v < r.low)
-            bad = bad | (v > r.high) if r.high is not None else bad
-            rules.append(Rule(r.column, OUT_OF_RANGE, ERROR, F.coalesce(bad, F.lit(False)),
-                              v.cast("string"), r.message))
+        if r.column in kinds:
+            v = number(r.column, kinds[r.column])
+            bad = f"{v} {'<=' if r.low_open else '<'} {double_literal(r.low)}"
+            bad += f" or {v} > {double_literal(r.high)}" if r.high is not None else ""
+            rules.append(Rule(r.column, OUT_OF_RANGE, ERROR, f"coalesce({bad}, false)", f"cast({v} as string)", r.message))
     for c in variant.numeric + variant.categorical:
-        if c in present:
-            bad = F.col(c).isNull() | _is_nan(df, c)
-            rules.append(Rule(c, MISSING, WARNING, bad, F.lit(None).cast("string"), MISSING_MESSAGE % c))
+        if c in kinds:
+            rules.append(Rule(c, MISSING, WARNING, missing(c), nothing, MISSING_MESSAGE % c))
     return rules
 
 
-def _is_nan(df: DataFrame, column: str) -> Column:
-    kind = df.schema[column].dataType.typeName()
-    return F.isnan(F.col(column)) if kind in ("double", "float") else F.lit(False)
-
-
 def column_issues(df: DataFrame, variant: Variant, contract: Contract = CONTRACT) -> tuple[list[str], list[str]]:
     """Missing and unexpected columns, from the schema alone. ``_`` names are internal."""
     missing = [c for c in variant.required if c not in df.columns]
@@ -101,10 +98,7 @@ def column_issues(df: DataFrame, variant: Variant, contract: Contract = CONTRACT
 
 def issue_counts(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """One row: ``total`` and one counter per rule (``r0``, ``r1``, ...), in one aggregate."""
-    return df.agg(
-        F.count(F.lit(1)).alias("total"),
-        *[F.count_if(r.bad).alias(f"r{i}") for i, r in enumerate(rules)],
-    )
+    return df.agg(F.expr("count(1) as total"), *[F.expr(f"count_if({r.bad}) as r{i}") for i, r in enumerate(rules)])
 
 
 def issue_row(df: DataFrame, contract: Contract = CONTRACT, dataset_type: str = "auto",
@@ -116,25 +110,22 @@ def issue_row(df: DataFrame, contract: Contract = CONTRACT, dataset_type: str =
     variant = contract.variant(df.columns, dataset_type, training)
     missing, extra = column_issues(df, variant, contract)
     rules = [] if missing else rules_for(df, variant, contract)
-    total = F.col("total")
-    found = [_issue(ERROR, "Dataset", EMPTY, F.lit(0), F.lit(EMPTY_MESSAGE), total == 0)]
+    found = [_issue(ERROR, "Dataset", EMPTY, "0", text_literal(EMPTY_MESSAGE), "total = 0")]
     if missing:
-        found.append(_issue(ERROR, "Columns", MISSING_COLUMNS, F.lit(0),
-                            F.lit(MISSING_COLUMNS_MESSAGE % missing), total > 0))
+        text = text_literal(MISSING_COLUMNS_MESSAGE % missing)
+        found.append(_issue(ERROR, "Columns", MISSING_COLUMNS, "0", text, "total > 0"))
     if extra:
-        found.append(_issue(WARNING, "Columns", UNEXPECTED_COLUMNS, F.lit(0),
-                            F.lit(UNEXPECTED_COLUMNS_MESSAGE % extra), total > 0))
+        text = text_literal(UNEXPECTED_COLUMNS_MESSAGE % extra)
+        found.append(_issue(WARNING, "Columns", UNEXPECTED_COLUMNS, "0", text, "total > 0"))
     for i, r in enumerate(rules):
-        n = F.col(f"r{i}")
-        if r.error_type == BAD_CATEGORY:
-            text = F.lit(r.message)
-        elif r.error_type == MISSING:
-            text = F.format_string(r.message, n, n / total * 100)
-        else:
-            text = F.format_string(r.message, n)
-        found.append(_issue(r.severity, r.field, r.error_type, n, text, n > 0))
-    hits = F.filter(F.array(*found), lambda x: x["hit"])
-    return issue_counts(df, rules).select("total", F.transform(hits, lambda x: x.dropFields("hit")).alias("issues"))
+        text = text_literal(r.message)
+        if r.error_type == MISSING:
+            text = f"format_string({text}, r{i}, r{i} / total * 100)"
+        elif r.error_type != BAD_CATEGORY:
+            text = f"format_string({text}, r{i})"
+        found.append(_issue(r.severity, r.field, r.error_type, f"r{i}", text, f"r{i} > 0"))
+    hits = f"filter(array({', '.join(found)}), x -> x is not null) as issues"
+    return issue_counts(df, rules).selectExpr("total", hits)
 
 
 def issues(df: DataFrame, contract: Contract = CONTRACT, dataset_type: str = "auto",
@@ -147,25 +138,23 @@ def issues(df: DataFrame, contract: Contract = CONTRACT, dataset_type: str = "au
     )
 
 
-def _issue(severity: str, field: str, error_type: str, count: Column, message: Column, hit: Column) -> Column:
-    return F.struct(
-        F.lit(field).alias("field"), F.lit(error_type).alias("error_type"), message.alias("message"),
-        F.lit(severity).alias("severity"), count.cast("bigint").alias("invalid_rows_count"), hit.alias("hit"),
-    )
+def _issue(severity: str, field: str, error_type: str, count: str, message: str, hit: str) -> str:
+    return (f"if({hit}, named_struct('field', {text_literal(field)}, 'error_type', '{error_type}', 'message', {message}, "
+            f"'severity', '{severity}', 'invalid_rows_count', bigint({count})), null)")
+
+
+def row_errors(rules: list[Rule]) -> str:
+    """SQL array of the errors of a row, as structs of field, error type and value."""
+    hits = ", ".join(
+        f"if({r.bad}, named_struct('field', {text_literal(r.field)}, 'error_type', '{r.error_type}', 'value', {r.value}), null)"
+        for r in rules if r.severity == ERROR)
+    return f"filter(array({hits}), x -> x is not null)"
 
 
 def violations(df: DataFrame, rules: list[Rule], order: list[str]) -> DataFrame:
     """Long form of all errors: one row per offending cell, with the row's order columns."""
-    hits = F.array(*[
-        F.when(r.bad, F.struct(F.lit(r.field).alias("field"), F.lit(r.error_type).alias("error_type"),
-                               r.value.alias("value")))
-        for r in rules if r.severity == ERROR
-    ])
-    return (
-        df.select(F.struct(*order).alias("_at"),
-                  F.explode(F.filter(hits, lambda x: x.isNotNull())).alias("v"))
-        .select("_at", "v.field", "v.error_type", "v.value")
-    )
+    at = f"struct({', '.join(quoted(c) for c in order)}) as _at"
+    return df.selectExpr(at, f"explode({row_errors(rules)}) as v").selectExpr("_at", "v.field", "v.error_type", "v.value")
 
 
 def row_order(df: DataFrame, contract: Contract, order: list[str] | None) -> list[str]:
@@ -212,53 +201,39 @@ def report(df: DataFrame, contract: Contract = CONTRACT, dataset_type: str = "au
     """The whole report as one row with nested errors and warnings."""
     row = issue_row(df, contract, dataset_type, training)
     missing, extra = column_issues(df, contract.variant(df.columns, dataset_type, training), contract)
-    none = F.array().cast("array<string>")
+    values = "cast(null as map<string, array<string>>)"
     if with_samples and not missing:
         # at most MESSAGE_VALUES + 1 values per rule, so one small map
         per_issue = (
             samples(df, contract, dataset_type, order, MESSAGE_VALUES + 1)
-            .groupBy(F.concat_ws(":", "field", "error_type").alias("issue"))
-            .agg(F.sort_array(F.collect_list(F.struct("position", "value"))).alias("values"))
-            .select("issue", F.col("values.value").alias("values"))
+            .groupBy(F.expr("concat_ws(':', field, error_type) as issue"))
+            .agg(F.expr("sort_array(collect_list(struct(position, value))).value as values"))
         )
-        as_map = per_issue.agg(F.map_from_entries(F.collect_list(F.struct("issue", "values"))).alias("m"))
-        row = row.withColumn("_values", as_map.scalar())
-    else:
-        row = row.withColumn("_values", F.lit(None).cast("map<string,array<string>>"))
-
-    def complete(x: Column) -> Column:
-        values = F.coalesce(F.col("_values")[F.concat_ws(":", x["field"], x["error_type"])], none)
-        more = F.when(F.size(values) > MESSAGE_VALUES, F.lit(", ...")).otherwise(F.lit(""))
-        listed = F.concat(x["message"], F.lit("['"),
-                          F.array_join(F.slice(values, 1, MESSAGE_VALUES), "', '"), F.lit("'"), more, F.lit("]"))
-        shown = (
-            F.when(x["error_type"] == MISSING_COLUMNS, F.array(*[F.lit(c) for c in missing]).cast("array<string>"))
-            .when(x["error_type"] == UNEXPECTED_COLUMNS, F.array(*[F.lit(c) for c in extra]).cast("array<string>"))
-            .otherwise(F.slice(values, 1, SAMPLES))
-        )
-        return x.withField(
-            "message", F.when((x["error_type"] == BAD_CATEGORY) & (F.size(values) > 0), listed).otherwise(x["message"]),
-        ).withField("sample_invalid_values", shown)
-
-    full = F.transform("issues", complete)
-    return row.select(
-        "total", F.filter(full, lambda x: x["severity"] == ERROR).alias("errors"),
-        F.filter(full, lambda x: x["severity"] == WARNING).alias("warnings"),
-    ).select(
-        (F.size("errors") == 0).alias("is_valid"), F.col("total").alias("total_records"),
-        F.size("errors").alias("error_count"), F.size("warnings").alias("warning_count"),
-        action("errors", strict).alias("action_taken"), "errors", "warnings",
-    )
-
-
-def action(errors: str, strict: bool) -> Column:
+        as_map = per_issue.agg(F.expr("map_from_entries(collect_list(struct(issue, values)))"))
+        row, values = row.withColumn("_values", as_map.scalar()), "_values"
+    names = {MISSING_COLUMNS: missing, UNEXPECTED_COLUMNS: extra}
+    by_name = " ".join(
+        f"when '{kind}' then cast(array({', '.join(map(text_literal, cols))}) as array<string>)" for kind, cols in names.items())
+    complete = f"""named_struct('field', x.i.field, 'error_type', x.i.error_type,
+        'message', if(x.i.error_type = '{BAD_CATEGORY}' and size(x.v) > 0,
+            concat(x.i.message, {text_literal("['")}, array_join(slice(x.v, 1, {MESSAGE_VALUES}), {text_literal("', '")}),
+                   {text_literal("'")}, if(size(x.v) > {MESSAGE_VALUES}, ', ...', ''), ']'), x.i.message),
+        'severity', x.i.severity, 'invalid_rows_count', x.i.invalid_rows_count,
+        'sample_invalid_values', case x.i.error_type {by_name} else slice(x.v, 1, {SAMPLES}) end)"""
+    paired = f"""transform(issues, x -> named_struct('i', x, 'v',
+        coalesce({values}[concat_ws(':', x.field, x.error_type)], cast(array() as array<string>))))"""
+    full = row.selectExpr("total", f"transform({paired}, x -> {complete}) as found").selectExpr(
+        "total", f"filter(found, x -> x.severity = '{ERROR}') as errors",
+        f"filter(found, x -> x.severity = '{WARNING}') as warnings")
+    return full.selectExpr(
+        "size(errors) = 0 as is_valid", "total as total_records", "size(errors) as error_count",
+        "size(warnings) as warning_count", f"{action(strict)} as action_taken", "errors", "warnings")
+
+
+def action(strict: bool) -> str:
     """What to do with the batch; an empty or incomplete table is always rejected."""
-    fatal = F.exists(errors, lambda x: x["error_type"].isin(EMPTY, MISSING_COLUMNS))
-    return (
-        F.when(F.size(errors) == 0, PROCEED)
-        .when(fatal | F.lit(strict), REJECT)
-        .otherwise(QUARANTINE)
-    )
+    return (f"case when size(errors) = 0 then '{PROCEED}' when {str(strict).lower()} or exists(errors, x -> "
+            f"x.error_type in ('{EMPTY}', '{MISSING_COLUMNS}')) then '{REJECT}' else '{QUARANTINE}' end")
 
 
 def with_row_issues(df: DataFrame, contract: Contract = CONTRACT, dataset_type: str = "auto") -> DataFrame:
@@ -267,12 +242,7 @@ def with_row_issues(df: DataFrame, contract: Contract = CONTRACT, dataset_type:
     missing, _ = column_issues(df, variant, contract)
     if missing:
         raise ValueError(MISSING_COLUMNS_MESSAGE % missing)
-    hits = F.array(*[
-        F.when(r.bad, F.struct(F.lit(r.field).alias("field"), F.lit(r.error_type).alias("error_type"),
-                               r.value.alias("value")))
-        for r in rules_for(df, variant, contract) if r.severity == ERROR
-    ])
-    return df.withColumn("_issues", F.filter(hits, lambda x: x.isNotNull()))
+    return df.withColumn("_issues", F.expr(row_errors(rules_for(df, variant, contract))))
 
 
 def clean_rows(flagged: DataFrame) -> DataFrame:

@@ -22,8 +22,7 @@ def with_features(df: DataFrame, params: FeatureParams, scorer: Scorer, contract
     """What the scorer reads: scaled columns for a linear expression, else the vector."""
     if not isinstance(scorer, LinearScorer):
         return transform_vector(df, params, contract)
-    src = prepared_inputs(df, contract)
-    return src.withColumns({f"_num_{c}": scaled(c, params) for c in params.median})
+    return prepared_inputs(df, contract).selectExpr("*", *[f"{scaled(c, params)} as _num_{c}" for c in params.median])
 
 
 def score_rows(df: DataFrame, params: FeatureParams, scorer: Scorer, contract: Contract = CONTRACT) -> DataFrame:

@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from riskflow.functions.numeric import text_literal
 
 REQUIRED = object()
 
@@ -51,25 +53,21 @@ ENRICHED_FIELDS = TRANSACTION_FIELDS + (
 # --- end of fixed values ---
 
 
-def _read(f: Field) -> tuple[Column, Column]:
-    """Value of a field and the reason it is refused, if any."""
-    raw = F.expr(f"variant_get(_v, '$.{f.name}', 'variant')")
-    kind = F.schema_of_variant(raw)
-    absent, null = raw.isNull(), kind == "VOID"
-    value = F.try_variant_get("_v", f"$.{f.name}", f.kind)
-    if f.kind == "string":
-        wrong = kind != "STRING"
-    else:
-        # numbers, numeric text and booleans are numbers; nothing else is
-        wrong = value.isNull() | F.isnan(value)
-    reason = F.when(absent, None if f.default is not REQUIRED else "missing")
-    reason = reason.when(~absent & null, None if f.nullable else "null").when(~absent & ~null & wrong, f"not a {f.kind}")
-    if f.positive:
-        reason = reason.when(value <= 0, "not positive")
-    fallback = F.lit(None if f.default is REQUIRED else f.default).cast(f.kind)
-    out = F.when(absent, fallback).when(null | wrong, F.lit(None).cast(f.kind)).otherwise(value)
-    return out, F.when(reason.isNotNull(), F.struct(
-        F.lit(f.name).alias("field"), reason.alias("reason")))
+def _read(f: Field) -> tuple[str, str]:
+    """SQL of a field's value, and of the reason it is refused or NULL."""
+    raw = f"variant_get(_v, '$.{f.name}', 'variant')"
+    kind = f"schema_of_variant({raw})"  # VOID for an explicit null
+    value = f"try_variant_get(_v, '$.{f.name}', '{f.kind}')"
+    # numbers, numeric text and booleans are numbers; only text is text
+    wrong = f"{kind} <> 'STRING'" if f.kind == "string" else f"({value} is null or isnan({value}))"
+    absent = "null" if f.default is not REQUIRED else "'missing'"
+    null = "null" if f.nullable else "'null'"
+    reason = f"when {raw} is null then {absent} when {kind} = 'VOID' then {null} when {wrong} then 'not a {f.kind}'"
+    reason += f" when {value} <= 0 then 'not positive'" if f.positive else ""
+    default = "null" if f.default is REQUIRED else text_literal(str(f.default))
+    out = f"case when not _object then null when {raw} is null then cast({default} as {f.kind}) "
+    out += f"when {kind} = 'VOID' or {wrong} then null else {value} end as {f.name}"
+    return out, f"named_struct('field', '{f.name}', 'reason', case {reason} end)"
 
 
 def parse_requests(df: DataFrame, payload: str = "payload", fields: tuple[Field, ...] = TRANSACTION_FIELDS) -> DataFrame:
@@ -83,12 +81,11 @@ def parse_requests(df: DataFrame, payload: str = "payload", fields: tuple[Field,
 
 
 def _checked(parsed: DataFrame, keep: list[str], fields: tuple[Field, ...]) -> DataFrame:
-    is_object = F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False))
     values, reasons = zip(*[_read(f) for f in fields])
-    broken = F.array(F.struct(F.lit("payload").alias("field"), F.lit("not a JSON object").alias("reason")))
-    found = F.filter(F.array(*reasons), lambda x: x.isNotNull())
-    values = [F.when(is_object, v).alias(f.name) for f, v in zip(fields, values)]
-    return parsed.select(*keep, *values, F.when(is_object, found).otherwise(broken).alias("_reasons"))
+    found = f"filter(array({', '.join(reasons)}), x -> x.reason is not null)"
+    broken = "array(named_struct('field', 'payload', 'reason', 'not a JSON object'))"
+    return parsed.withColumn("_object", F.expr("coalesce(startswith(schema_of_variant(_v), 'OBJECT'), false)")).selectExpr(
+        *keep, *values, f"if(_object, {found}, {broken}) as _reasons")
 
 
 def parse_batches(df: DataFrame, payload: str = "payload", fields: tuple[Field, ...] = TRANSACTION_FIELDS) -> DataFrame:

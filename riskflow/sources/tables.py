@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from riskflow.contract import CONTRACT, Contract
-from riskflow.functions.numeric import as_number, nan_to_null
+from riskflow.functions.numeric import nan_to_null, number
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
@@ -21,7 +21,7 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.S
     df = spark.read.option("header", True).csv(path)
     times = {f.name: f.dataType for f in schema or () if f.name == CONTRACT.time and f.name in df.columns}
     return df.withColumns({
-        c: as_number(F.col(c), T.StringType()) if isinstance(t, T.DoubleType) else F.col(c).try_cast(t)
+        c: F.expr(number(c, T.StringType())) if isinstance(t, T.DoubleType) else F.col(c).try_cast(t)
         for c, t in times.items()
     }) if times else df
 
@@ -29,7 +29,7 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.S
 def typed_numbers(df: DataFrame, contract: Contract = CONTRACT) -> DataFrame:
     """Declared numeric columns as doubles; what is not a number becomes NULL."""
     text = [c for c in contract.numeric if c in df.columns and isinstance(df.schema[c].dataType, T.StringType)]
-    return df.withColumns({c: as_number(F.col(c), T.StringType()) for c in text}) if text else df
+    return df.withColumns({c: F.expr(number(c, T.StringType())) for c in text}) if text else df
 
 
 def read_raw(spark: SparkSession, transactions: str, customers: str, fmt: str = "parquet",

@@ -6,9 +6,10 @@ text describes the input of a query and of its oracle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from riskflow.contract import DOMAINS
+from riskflow.functions.time import time_to_serial
 
 K = "cast(regexp_extract(props, '([0-9]+)', 1) as int)"  # selected as k below every events view
 
@@ -98,7 +99,5 @@ def dirty_customers(spark: SparkSession, sf_dir: str, repeated: bool = True) ->
 
 def serial_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions whose time is serial days."""
-    from riskflow.functions.time import time_to_serial
-
     txn = transactions(spark, sf_dir)
-    return txn.withColumn("Transaction_DateTime", time_to_serial(F.col("Transaction_DateTime")))
+    return txn.withColumn("Transaction_DateTime", time_to_serial("Transaction_DateTime"))
