@@ -29,6 +29,12 @@ def weighted(train: DataFrame, label: str = "label") -> tuple[DataFrame, int]:
     return train.withColumn("weight", weight), sum(r["n"] for r in rows)
 
 
+def spread(train: DataFrame) -> DataFrame:
+    """Use every core: a table of fewer partitions than cores is dealt out evenly."""
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    return train.repartition(cores) if train.rdd.getNumPartitions() < cores else train
+
+
 def train_logistic(train: DataFrame, label: str = "label", iterations: int = LR_ITERATIONS,
                    threshold: float = REVIEW_THRESHOLD) -> MlScorer:
     """Logistic regression with an L2 penalty of unit strength.
@@ -36,7 +42,7 @@ def train_logistic(train: DataFrame, label: str = "label", iterations: int = LR_
     The balanced weights add up to the number of rows and Spark averages the loss,
     so a unit penalty on the summed loss is ``1/n`` here.
     """
-    data, n = weighted(train, label)
+    data, n = weighted(spread(train), label)
     fitted = LogisticRegression(labelCol=label, weightCol="weight", maxIter=iterations, regParam=1 / max(n, 1),
                                 elasticNetParam=0.0, standardization=False).fit(data)
     return MlScorer(fitted, threshold=threshold)
@@ -45,7 +51,7 @@ def train_logistic(train: DataFrame, label: str = "label", iterations: int = LR_
 def train_forest(train: DataFrame, label: str = "label", trees: int = RF_TREES, depth: int = RF_DEPTH,
                  seed: int = SEED, threshold: float = REVIEW_THRESHOLD) -> MlScorer:
     """Random forest; a node looks at the square root of the number of features."""
-    data, _ = weighted(train, label)
+    data, _ = weighted(spread(train), label)
     fitted = RandomForestClassifier(labelCol=label, weightCol="weight", numTrees=trees, maxDepth=depth,
                                     featureSubsetStrategy="sqrt", seed=seed, maxMemoryInMB=1024).fit(data)
     return MlScorer(fitted, threshold=threshold)

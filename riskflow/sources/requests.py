@@ -55,9 +55,9 @@ ENRICHED_FIELDS = TRANSACTION_FIELDS + (
 
 def _read(f: Field) -> tuple[str, str]:
     """SQL of a field's value, and of the reason it is refused or NULL."""
-    raw = f"variant_get(_v, '$.{f.name}', 'variant')"
+    raw = f"_raw_{f.name}"
     kind = f"schema_of_variant({raw})"  # VOID for an explicit null
-    value = f"try_variant_get(_v, '$.{f.name}', '{f.kind}')"
+    value = f"try_variant_get({raw}, '$', '{f.kind}')"
     # numbers, numeric text and booleans are numbers; only text is text
     wrong = f"{kind} <> 'STRING'" if f.kind == "string" else f"({value} is null or isnan({value}))"
     absent = "null" if f.default is not REQUIRED else "'missing'"
@@ -66,8 +66,8 @@ def _read(f: Field) -> tuple[str, str]:
     reason += f" when {value} <= 0 then 'not positive'" if f.positive else ""
     default = "null" if f.default is REQUIRED else text_literal(str(f.default))
     out = f"case when not _object then null when {raw} is null then cast({default} as {f.kind}) "
-    out += f"when {kind} = 'VOID' or {wrong} then null else {value} end as {f.name}"
-    return out, f"named_struct('field', '{f.name}', 'reason', case {reason} end)"
+    out += f"when {kind} = 'VOID' or {wrong} then null else {value} end"
+    return f"'{f.name}', {out}", f"named_struct('field', '{f.name}', 'reason', case {reason} end)"
 
 
 def parse_requests(df: DataFrame, payload: str = "payload", fields: tuple[Field, ...] = TRANSACTION_FIELDS) -> DataFrame:
@@ -84,8 +84,14 @@ def _checked(parsed: DataFrame, keep: list[str], fields: tuple[Field, ...]) -> D
     values, reasons = zip(*[_read(f) for f in fields])
     found = f"filter(array({', '.join(reasons)}), x -> x.reason is not null)"
     broken = "array(named_struct('field', 'payload', 'reason', 'not a JSON object'))"
-    return parsed.withColumn("_object", F.expr("coalesce(startswith(schema_of_variant(_v), 'OBJECT'), false)")).selectExpr(
-        *keep, *values, f"if(_object, {found}, {broken}) as _reasons")
+    row = f"named_struct({', '.join(values)}, '_reasons', if(_object, {found}, {broken}))"
+    # One row in, one row out. As a generator the checks run once per payload; a later
+    # filter on their outcome would otherwise be rewritten to parse the payload again.
+    raw = [f"variant_get(_v, '$.{f.name}', 'variant') as _raw_{f.name}" for f in fields]
+    return (
+        parsed.selectExpr(*keep, "coalesce(startswith(schema_of_variant(_v), 'OBJECT'), false) as _object", *raw)
+        .selectExpr(*keep, f"inline(array({row}))")
+    )
 
 
 def parse_batches(df: DataFrame, payload: str = "payload", fields: tuple[Field, ...] = TRANSACTION_FIELDS) -> DataFrame:

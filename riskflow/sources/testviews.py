@@ -44,7 +44,7 @@ CUST = {
     "Customer_Segment": pick("c_custkey % 4", "Customer_Segment"),
     "Account_Type": pick("c_custkey % 3", "Account_Type"),
     "Tenure_Months": "cast(c_custkey % 120 as double)",
-    "Digital_Engagement_Score": "round((c_acctbal + 1000) / 110.0, 2)",
+    "Digital_Engagement_Score": "cast(floor((c_acctbal + 1000) / 1.1) as double) / cast(100 as double)",
     "Monthly_Income_Band": "case c_mktsegment when 'HOUSEHOLD' then 'Below 100k' when 'MACHINERY' then '100k-249k' "
                            "when 'FURNITURE' then '250k-499k' when 'BUILDING' then '500k-999k' else '1m+' end",
     "Preferred_Channel": pick("c_nationkey % 3", "Preferred_Channel"),
