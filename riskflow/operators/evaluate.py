@@ -58,7 +58,7 @@ def evaluate(scored: DataFrame, label: str = "label", probability: str = "probab
 
     ROC-AUC is NULL where one class is absent.
     """
-    bounds = score_bounds(scored, probability) if bounds is None else bounds
+    bounds = (score_bounds(scored, probability) if bounds is None else bounds) or [0.0]
     per_score = scored.groupBy(F.expr(f"{probability} as p")).agg(
         F.expr(f"count_if({label} = 1) as pos"), F.expr(f"count_if({label} = 0) as neg"))
     ranged = Bucketizer(splits=[float("-inf"), *bounds, float("inf")], inputCol="p", outputCol="r",

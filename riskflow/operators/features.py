@@ -59,6 +59,9 @@ class FeatureParams:
 
 def prepared_inputs(df: DataFrame, contract: Contract = CONTRACT, serial_rounding: str = "floor") -> DataFrame:
     """All columns, with numerics as doubles and the time features added."""
+    absent = [c for c in contract.numeric + contract.categorical if c not in df.columns]
+    if absent:
+        raise ValueError(f"missing model inputs: {absent}")
     made = {c: f"double({e})" for c, e in temporal_columns(df, contract, serial_rounding).items()}
     made |= {c: number(c, df.schema[c].dataType) for c in contract.numeric}
     kept = [quoted(c) for c in df.columns if c not in made]
