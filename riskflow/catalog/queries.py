@@ -318,12 +318,12 @@ def onehot_wide(spark, sf):
 @query
 def features_vector(spark, sf):
     out = fe.transform_vector(s.clean_enriched(spark, sf), s.FROZEN)
-    x = F.col("x")
+    width = range(len(s.FROZEN.names()))
     # a checksum that depends on every value and its place
-    placed = F.aggregate(F.transform(x, lambda v, i: v * (i + 1)), F.lit(0.0), lambda a, v: a + v)
-    return out.select(ID, vector_to_array("features").alias("x")).select(
-        ID, F.size(x).alias("width"), F.round(F.aggregate(x, F.lit(0.0), lambda a, v: a + v), 6).alias("total"),
-        F.round(placed, 5).alias("placed"))
+    placed = " + ".join(f"{i + 1} * x[{i}]" for i in width)
+    total = " + ".join(f"x[{i}]" for i in width)
+    return out.select(ID, vector_to_array("features").alias("x")).selectExpr(
+        ID, "size(x) as width", f"round({total}, 6) as total", f"round({placed}, 5) as placed")
 
 
 @query

@@ -37,6 +37,9 @@ BAD_CATEGORY_MESSAGE = "Column '%s' contains unexpected categories: "
 # --- end of fixed values ---
 
 
+ERROR_STRUCT = "struct<field: string, error_type: string, value: string>"
+
+
 @dataclass(frozen=True)
 class Rule:
     """One check of one column; ``bad`` and ``value`` are SQL text."""
@@ -81,7 +84,8 @@ def rules_for(df: DataFrame, variant: Variant, contract: Contract = CONTRACT) ->
             v = number(r.column, kinds[r.column])
             bad = f"{v} {'<=' if r.low_open else '<'} {double_literal(r.low)}"
             bad += f" or {v} > {double_literal(r.high)}" if r.high is not None else ""
-            rules.append(Rule(r.column, OUT_OF_RANGE, ERROR, f"coalesce({bad}, false)", f"cast({v} as string)", r.message))
+            bad = f"coalesce({bad}, false)"
+            rules.append(Rule(r.column, OUT_OF_RANGE, ERROR, bad, f"cast({v} as string)", r.message))
     for c in variant.numeric + variant.categorical:
         if c in kinds:
             rules.append(Rule(c, MISSING, WARNING, missing(c), nothing, MISSING_MESSAGE % c))
@@ -144,11 +148,17 @@ def _issue(severity: str, field: str, error_type: str, count: str, message: str,
 
 
 def row_errors(rules: list[Rule]) -> str:
-    """SQL array of the errors of a row, as structs of field, error type and value."""
+    """SQL array of the errors of a row, as structs of field, error type and value.
+
+    Good rows end after the rules' conditions. No lambda is used: a higher-order
+    function would take the conditions out of code generation.
+    """
+    errors = [r for r in rules if r.severity == ERROR]
     hits = ", ".join(
         f"if({r.bad}, named_struct('field', {text_literal(r.field)}, 'error_type', '{r.error_type}', 'value', {r.value}), null)"
-        for r in rules if r.severity == ERROR)
-    return f"filter(array({hits}), x -> x is not null)"
+        for r in errors)
+    some = f"array_except(array({hits}), array(cast(null as {ERROR_STRUCT})))"
+    return f"if({' or '.join(r.bad for r in errors)}, {some}, cast(array() as array<{ERROR_STRUCT}>))"
 
 
 def violations(df: DataFrame, rules: list[Rule], order: list[str]) -> DataFrame:

@@ -9,6 +9,11 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Wide projections make generated methods that the JVM would only interpret; beyond this
+# size Spark splits them instead. A cluster's session should set it too.
+CODEGEN = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
+
 def local_session(name: str = "riskflow", cpus: int | str = "*", shuffle_partitions: int = 8,
                   **conf: str) -> SparkSession:
     """A local session for tests and benches; a cluster brings its own."""
@@ -20,8 +25,8 @@ def local_session(name: str = "riskflow", cpus: int | str = "*", shuffle_partiti
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "12g"))
     )
-    for key, value in conf.items():
-        builder = builder.config(key.replace("__", "."), value)
+    for key, value in {**CODEGEN, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
+        builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from riskflow.functions.numeric import text_literal
 
 REQUIRED = object()
+REASON = "struct<field: string, reason: string>"
 
 
 @dataclass(frozen=True)
@@ -54,20 +55,22 @@ ENRICHED_FIELDS = TRANSACTION_FIELDS + (
 
 
 def _read(f: Field) -> tuple[str, str]:
-    """SQL of a field's value, and of the reason it is refused or NULL."""
-    raw = f"_raw_{f.name}"
-    kind = f"schema_of_variant({raw})"  # VOID for an explicit null
-    value = f"try_variant_get({raw}, '$', '{f.kind}')"
+    """SQL of a field's value, and of the reason it is refused or NULL.
+
+    ``_kind_`` is the JSON type (NULL where the field is absent, VOID for an explicit
+    null), ``_as_`` the value as the wanted type.
+    """
+    kind, value = f"_kind_{f.name}", f"_as_{f.name}"
     # numbers, numeric text and booleans are numbers; only text is text
     wrong = f"{kind} <> 'STRING'" if f.kind == "string" else f"({value} is null or isnan({value}))"
     absent = "null" if f.default is not REQUIRED else "'missing'"
     null = "null" if f.nullable else "'null'"
-    reason = f"when {raw} is null then {absent} when {kind} = 'VOID' then {null} when {wrong} then 'not a {f.kind}'"
+    reason = f"when {kind} is null then {absent} when {kind} = 'VOID' then {null} when {wrong} then 'not a {f.kind}'"
     reason += f" when {value} <= 0 then 'not positive'" if f.positive else ""
     default = "null" if f.default is REQUIRED else text_literal(str(f.default))
-    out = f"case when not _object then null when {raw} is null then cast({default} as {f.kind}) "
+    out = f"case when not _object then null when {kind} is null then cast({default} as {f.kind}) "
     out += f"when {kind} = 'VOID' or {wrong} then null else {value} end"
-    return f"'{f.name}', {out}", f"named_struct('field', '{f.name}', 'reason', case {reason} end)"
+    return f"{out} as {f.name}", f"case {reason} end as _why_{f.name}"
 
 
 def parse_requests(df: DataFrame, payload: str = "payload", fields: tuple[Field, ...] = TRANSACTION_FIELDS) -> DataFrame:
@@ -81,17 +84,24 @@ def parse_requests(df: DataFrame, payload: str = "payload", fields: tuple[Field,
 
 
 def _checked(parsed: DataFrame, keep: list[str], fields: tuple[Field, ...]) -> DataFrame:
-    values, reasons = zip(*[_read(f) for f in fields])
-    found = f"filter(array({', '.join(reasons)}), x -> x.reason is not null)"
-    broken = "array(named_struct('field', 'payload', 'reason', 'not a JSON object'))"
-    row = f"named_struct({', '.join(values)}, '_reasons', if(_object, {found}, {broken}))"
-    # One row in, one row out. As a generator the checks run once per payload; a later
-    # filter on their outcome would otherwise be rewritten to parse the payload again.
-    raw = [f"variant_get(_v, '$.{f.name}', 'variant') as _raw_{f.name}" for f in fields]
-    return (
-        parsed.selectExpr(*keep, "coalesce(startswith(schema_of_variant(_v), 'OBJECT'), false) as _object", *raw)
-        .selectExpr(*keep, f"inline(array({row}))")
+    names = [f.name for f in fields]
+    raw = [f"variant_get(_v, '$.{n}', 'variant') as _raw_{n}" for n in names]
+    some = " or ".join(f"_raw_{n} is not null" for n in names)
+    typed = [e for f in fields for e in (f"schema_of_variant(_raw_{f.name}) as _kind_{f.name}",
+                                         f"try_variant_get(_raw_{f.name}, '$', '{f.kind}') as _as_{f.name}")]
+    checked = (
+        parsed.selectExpr(*keep, "_v", *raw)
+        .selectExpr(*keep, f"({some} or coalesce(startswith(schema_of_variant(_v), 'OBJECT'), false)) as _object", *typed)
+        .selectExpr(*keep, "_object", *[e for f in fields for e in _read(f)])
     )
+    why = ", ".join(f"if(_why_{n} is null, null, named_struct('field', '{n}', 'reason', _why_{n}))" for n in names)
+    reasons = f"""case when not _object then array(named_struct('field', 'payload', 'reason', 'not a JSON object'))
+        when coalesce({', '.join(f'_why_{n}' for n in names)}) is null then cast(array() as array<{REASON}>)
+        else array_except(array({why}), array(cast(null as {REASON}))) end"""
+    row = ", ".join(f"'{n}', {n}" for n in names)
+    # One row in, one row out. The generator only passes columns on, but a later filter
+    # on the outcome stays above it; below, it would parse the payload again for every test.
+    return checked.selectExpr(*keep, f"inline(array(named_struct({row}, '_reasons', {reasons})))")
 
 
 def parse_batches(df: DataFrame, payload: str = "payload", fields: tuple[Field, ...] = TRANSACTION_FIELDS) -> DataFrame:
