@@ -564,15 +564,20 @@ def _trained(spark: SparkSession, sf: str) -> Trained:
     return run_training(train, test)
 
 
-def _vectors(spark, sf):
-    train, test = (clean.with_label(s.part(spark, sf, name)) for name in ("train", "test"))
-    prepared = fe.FeaturePreparer().fit(train)
-    return prepared.transform(train).select("label", "features"), prepared.transform(test).select(ID, "label", "features")
+@lru_cache(maxsize=4)
+def _vectors(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Label and features of both parts, as a table in the shared folder that both models read."""
+    table = clean.with_label(s.split_table(spark, sf))
+    fitted = fe.FeaturePreparer().fit(table.where("split = 'train'"))
+    path = scratch_path(spark, "vectors")
+    fitted.transform(table).select(ID, "label", "features", "split").write.partitionBy("split").parquet(path)
+    stored = spark.read.parquet(path)
+    return tuple(stored.where(F.col("split") == part) for part in ("train", "test"))
 
 
 def _held_out(fit, spark, sf):
     train, test = _vectors(spark, sf)
-    return ev.metrics(fit(train).score(test))
+    return ev.metrics(fit(train).score(test).select("label", "probability"))
 
 
 @query

@@ -8,7 +8,7 @@ range, and only the range totals meet in one place.
 from __future__ import annotations
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from riskflow.contract import REVIEW_THRESHOLD
 from riskflow.functions.numeric import double_literal
@@ -125,15 +125,13 @@ def probability_range(scored: DataFrame, probability: str = "probability") -> Da
 
 
 def class_counts(df: DataFrame, column: str) -> DataFrame:
-    """Rows per class and their share; the number of classes is small."""
-    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy(F.lit(1)))
-    return counts.withColumn("share", F.col("n") / total)
+    """Rows per class and their share."""
+    counts = df.groupBy(column).agg(F.expr("count(1) as n"))
+    return counts.withColumn("share", F.col("n") / counts.agg(F.expr("sum(n)")).scalar())
 
 
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
     """Balanced weights: all rows, divided by classes times the rows of the class."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    everything = Window.partitionBy(F.lit(1))  # one row per class
-    weight = F.sum("n").over(everything) / (F.count(F.lit(1)).over(everything) * F.col("n"))
-    return counts.withColumn("weight", weight)
+    counts = df.groupBy(label).agg(F.expr("count(1) as n"))
+    rows_per_class = counts.agg(F.expr("sum(n) / count(1)")).scalar()
+    return counts.withColumn("weight", rows_per_class / F.col("n"))

@@ -19,6 +19,9 @@ from riskflow.functions.time import temporal_columns
 from riskflow.operators.median import exact_medians
 
 
+MAX_LEVELS = 10_000
+
+
 @dataclass(frozen=True)
 class FeatureParams:
     """Frozen statistics, per input column."""
@@ -99,8 +102,11 @@ def fit_features(df: DataFrame, contract: Contract = CONTRACT, serial_rounding:
     median = {c: 0.0 if m is None else m for c, m in exact_medians(src, list(contract.model_numeric)).items()}
     mean, scale = fit_moments(src, median)
     levels: dict[str, list[str]] = {c: [] for c in contract.categorical}
-    for r in level_table(src, contract).orderBy("position", "level").toLocalIterator():
-        levels[r["field"]].append(r["level"])  # as many as the model will have columns
+    found = level_table(src, contract).orderBy("position", "level").limit(MAX_LEVELS + 1).collect()
+    if len(found) > MAX_LEVELS:  # each level is a model column: not something to cut short
+        raise ValueError(f"more than {MAX_LEVELS} category levels; quarantine unexpected values before fitting")
+    for r in found:
+        levels[r["field"]].append(r["level"])
     return FeatureParams(median, mean, scale, levels)
 
 

@@ -8,10 +8,12 @@ buckets. A bracket that holds few values is sorted, one of a single value is the
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from riskflow.functions.numeric import double_literal
 
 BUCKETS = 4096
-BUFFERED_VALUES = 50_000  # values of one bracket that may be sorted in one buffer
+BUFFERED_VALUES = 250_000  # values of one bracket that may be sorted in one buffer
 
 
 class _Rank:
@@ -22,33 +24,29 @@ class _Rank:
         self.inside, self.lo, self.hi = total, lo, hi
 
     @property
-    def value(self) -> Column:
-        return F.col(f"c{self.column}")
+    def value(self) -> str:
+        return f"c{self.column}"
+
+    @property
+    def within(self) -> str:
+        return f"{self.value} between {double_literal(self.lo)} and {double_literal(self.hi)}"
 
     @property
-    def within(self) -> Column:
-        return self.value.between(self.lo, self.hi)
+    def bracket(self) -> tuple:
+        return self.column, self.lo, self.hi
 
-    def bucket(self) -> Column:
+    def bucket(self) -> str:
         # the two ends get buckets of their own, so every pass narrows the bracket
-        share = (self.value - F.lit(self.lo)) / (F.lit(self.hi) - F.lit(self.lo))
-        inner = F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1)) + 1
-        return (
-            F.when(self.value <= self.lo, F.lit(0)).when(self.value >= self.hi, F.lit(BUCKETS + 1)).otherwise(inner)
-        ).cast("int")
+        lo, hi = double_literal(self.lo), double_literal(self.hi)
+        inner = f"least(floor(({self.value} - {lo}) / ({hi} - {lo}) * {BUCKETS}), {BUCKETS - 1}) + 1"
+        return f"int(case when {self.value} <= {lo} then 0 when {self.value} >= {hi} then {BUCKETS + 1} else {inner} end)"
 
 
-def exact_medians(df: DataFrame, columns: dict[str, Column] | list[str],
-                  buffered: int = BUFFERED_VALUES) -> dict[str, float | None]:
+def exact_medians(df: DataFrame, columns: list[str], buffered: int = BUFFERED_VALUES) -> dict[str, float | None]:
     """Median of each column over its non-null values; the mean of the two middle ones."""
-    if not isinstance(columns, dict):
-        columns = {c: F.col(c) for c in columns}
     names = list(columns)
-    src = df.select(*[columns[n].cast("double").alias(f"c{i}") for i, n in enumerate(names)])
-    seen = src.agg(*[
-        F.struct(F.count(f"c{i}").alias("n"), F.min(f"c{i}").alias("lo"), F.max(f"c{i}").alias("hi")).alias(f"c{i}")
-        for i in range(len(names))
-    ]).first()
+    src = df.select(*[F.col(n).cast("double").alias(f"c{i}") for i, n in enumerate(names)])
+    seen = src.agg(*[F.expr(f"struct(count(c{i}), min(c{i}), max(c{i})) as c{i}") for i in range(len(names))]).first()
     ranks: list[_Rank] = []
     for i in range(len(names)):
         n, lo, hi = seen[i]
@@ -66,27 +64,27 @@ def exact_medians(df: DataFrame, columns: dict[str, Column] | list[str],
         if r.lo == r.hi:
             found.setdefault(r.column, []).append(r.lo)
     if unsorted:
-        row = src.agg(*[
-            F.sort_array(F.collect_list(F.when(r.within, r.value))).alias(f"v{k}") for k, r in enumerate(unsorted)
-        ]).select(*[F.col(f"v{k}")[r.rank - r.below].alias(f"v{k}") for k, r in enumerate(unsorted)]).first()
-        for k, r in enumerate(unsorted):
-            found.setdefault(r.column, []).append(row[k])
+        place = {b: i for i, b in enumerate(dict.fromkeys(r.bracket for r in unsorted))}
+        sort = {place[r.bracket]: f"sort_array(collect_list(if({r.within}, {r.value}, null)))" for r in unsorted}
+        row = src.agg(*[F.expr(f"{e} as v{i}") for i, e in sort.items()]).selectExpr(
+            *[f"v{place[r.bracket]}[{r.rank - r.below}]" for r in unsorted]).first()
+        for r, value in zip(unsorted, row):
+            found.setdefault(r.column, []).append(value)
     return {n: sum(found[i]) / len(found[i]) if i in found else None for i, n in enumerate(names)}
 
 
 def _narrow(src: DataFrame, ranks: list[_Rank]) -> None:
-    """One counting pass over all open ranks: at most ``BUCKETS + 2`` counters for each."""
-    hits = F.array(*[
-        F.when(r.within, F.struct(F.lit(k).alias("k"), r.bucket().alias("b"), r.value.alias("v")))
-        for k, r in enumerate(ranks)
-    ])
+    """One counting pass over all open brackets: at most ``BUCKETS + 2`` counters for each."""
+    place = {b: i for i, b in enumerate(dict.fromkeys(r.bracket for r in ranks))}
+    hits = {place[r.bracket]: f"if({r.within}, named_struct('k', {place[r.bracket]}, 'b', {r.bucket()}, 'v', {r.value}), null)"
+            for r in ranks}
     counters = (
-        src.select(F.explode(F.filter(hits, lambda x: x.isNotNull())).alias("h"))
-        .groupBy("h.k", "h.b").agg(F.count(F.lit(1)).alias("n"), F.min("h.v").alias("lo"), F.max("h.v").alias("hi"))
+        src.selectExpr(f"explode(array({', '.join(hits.values())})) as h").where("h is not null")
+        .groupBy("h.k", "h.b").agg(F.expr("count(1) as n"), F.expr("min(h.v) as lo"), F.expr("max(h.v) as hi"))
         .orderBy("k", "b").collect()
     )
-    for k, r in enumerate(ranks):
-        below = r.below
+    for r in ranks:
+        k, below = place[r.bracket], r.below
         for c in (c for c in counters if c["k"] == k):
             if r.rank < below + c["n"]:
                 r.below, r.inside, r.lo, r.hi = below, c["n"], c["lo"], c["hi"]

@@ -207,9 +207,12 @@ def samples(df: DataFrame, contract: Contract = CONTRACT, dataset_type: str = "a
 
 def report(df: DataFrame, contract: Contract = CONTRACT, dataset_type: str = "auto",
            training: bool = False, strict: bool = True, order: list[str] | None = None,
-           with_samples: bool = True) -> DataFrame:
-    """The whole report as one row with nested errors and warnings."""
-    row = issue_row(df, contract, dataset_type, training)
+           with_samples: bool = True, row: DataFrame | None = None) -> DataFrame:
+    """The whole report as one row with nested errors and warnings.
+
+    ``row`` is the :func:`issue_row` of the table where it is at hand already.
+    """
+    row = issue_row(df, contract, dataset_type, training) if row is None else row
     missing, extra = column_issues(df, contract.variant(df.columns, dataset_type, training), contract)
     values = "cast(null as map<string, array<string>>)"
     if with_samples and not missing:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskflow.contract import CONTRACT, SEED, TEST_FRACTION, Contract
-from riskflow.operators.clean import clean_key, redact_pii
+from riskflow.operators.clean import clean_key, redact_pii, with_label
 from riskflow.operators.lookup import enrich_strict
 from riskflow.operators.split import stratified_split
 from riskflow.sinks import write_table
@@ -21,9 +21,16 @@ def enriched(txn: DataFrame, cust: DataFrame, contract: Contract = CONTRACT) ->
 
 def prepared(txn: DataFrame, cust: DataFrame, contract: Contract = CONTRACT,
              fraction: float = TEST_FRACTION, seed: int = SEED) -> DataFrame:
-    """The enriched table with its ``split``. The cut is found on the table before the join."""
-    return stratified_split(enriched(txn, cust, contract), contract.target, contract.transaction_id,
-                            fraction, seed, narrow=txn)
+    """The enriched table with its ``split``.
+
+    The cut is found on the table before the join. A target outside the mapping fails.
+    """
+    df = enriched(txn, cust, contract)
+    if contract.target not in txn.columns:
+        return stratified_split(df, contract.target)
+    out = stratified_split(with_label(df, "_class", contract), "_class", contract.transaction_id, fraction, seed,
+                           narrow=with_label(txn, "_class", contract))
+    return out.drop("_class")
 
 
 def summary(split: DataFrame) -> DataFrame:

@@ -15,6 +15,8 @@ from riskflow.operators.evaluate import metrics
 from riskflow.operators.features import FeaturePreparer
 from riskflow.operators.quality import REJECT
 from riskflow.plans.validate import validate
+from riskflow.session import scratch_path
+from riskflow.sinks import write_table
 
 
 @dataclass
@@ -50,21 +52,19 @@ def run_training(train: DataFrame, test: DataFrame, out: str | None = None, cont
             raise RuntimeError(f"validation rejected the {name} table: {found['errors'][0]['message']}")
     features = FeaturePreparer(contract).fit(train)
 
-    def vectors(part: DataFrame) -> DataFrame:
-        return with_label(features.transform(part), "label", contract, unmapped="zero").select("label", "features")
-
-    train_x = vectors(train).persist(StorageLevel.MEMORY_AND_DISK)
-    test_x = vectors(test).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        baseline = train_logistic(train_x, threshold=threshold)
-        baseline_metrics = _record(baseline.score(test_x), threshold)
-        model = train_forest(train_x, trees=trees, depth=depth, threshold=threshold)
-        found = _record(model.score(test_x), threshold)
-        names = features.params.names()
-        card = model_card(found, baseline_metrics, train_x.count(), test_x.count(), len(names), threshold)
-    finally:
-        train_x.unpersist()
-        test_x.unpersist()
+    # every pass of both solvers reads these vectors: a written table spares them the features
+    # and does not go with a lost executor
+    path = scratch_path(spark, "vectors")
+    for name, part in (("train", train), ("test", test)):
+        labelled = with_label(features.transform(part), "label", contract, unmapped="zero")
+        write_table(labelled.select("label", "features"), f"{path}/{name}")
+    train_x, test_x = (spark.read.parquet(f"{path}/{name}") for name in ("train", "test"))
+    baseline = train_logistic(train_x, threshold=threshold)
+    baseline_metrics = _record(baseline.score(test_x), threshold)
+    model = train_forest(train_x, trees=trees, depth=depth, threshold=threshold)
+    found = _record(model.score(test_x), threshold)
+    names = features.params.names()
+    card = model_card(found, baseline_metrics, train_x.count(), test_x.count(), len(names), threshold)
     model.metadata = card
     if out:
         save_training(spark, out, model, features, found)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from riskflow.contract import CONTRACT, Contract
-from riskflow.operators.quality import EMPTY, EMPTY_MESSAGE, ERROR, REJECT, report
+from riskflow.operators.quality import EMPTY, EMPTY_MESSAGE, ERROR, REJECT, issue_row, report
 
 
 class DataValidationError(Exception):
@@ -33,9 +33,11 @@ def validate(df: DataFrame | None, contract: Contract = CONTRACT, dataset_type:
     if df is None or not df.columns:
         found = empty_report()
     else:
-        found = report(df, contract, dataset_type, training, strict, order, with_samples=False).first().asDict(True)
-        if any(e["invalid_rows_count"] for e in found["errors"]):
-            found = report(df, contract, dataset_type, training, strict, order).first().asDict(True)
+        counted = issue_row(df, contract, dataset_type, training)
+        row = counted.first()
+        sampled = any(i["severity"] == ERROR and i["invalid_rows_count"] for i in row["issues"])
+        row = df.sparkSession.createDataFrame([row], counted.schema)
+        found = report(df, contract, dataset_type, training, strict, order, sampled, row).first().asDict(True)
     if strict and not found["is_valid"]:
         reasons = "; ".join(e["message"] for e in found["errors"])
         raise DataValidationError(f"validation failed with {found['error_count']} error(s): {reasons}", found)

@@ -201,3 +201,15 @@ def test_refused_requests_say_why(spark, sf, txn):
     df = spark.createDataFrame([(json.dumps({**txn, "Amount_NGN": "x"}),), ("junk",), (json.dumps(txn),)], "payload string")
     got = {r.payload[:4]: r for r in decisions(df, job).collect() if r.row_status == "quarantined"}
     assert got["junk"]._issues[0].value == "not a JSON object" and len(got) == 2
+
+
+def test_target_outside_the_mapping_fails(spark, raw, tmp_path):
+    txn, cust = raw
+    odd = txn.withColumn("Risk_Review_Flag", F.expr("if(Transaction_ID like '%7', 'Maybe', Risk_Review_Flag)"))
+    with pytest.raises(Exception, match="unmapped target value: Maybe"):
+        run_prepare(odd, cust, str(tmp_path / "odd"))
+
+
+def test_without_target_all_rows_train(spark, raw, tmp_path):
+    p = run_prepare(raw[0].drop("Risk_Review_Flag"), raw[1], str(tmp_path / "plain"))
+    assert (p.train_records, p.test_records) == (1000, 0)
