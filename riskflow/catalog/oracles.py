@@ -216,8 +216,10 @@ ORACLES["dq_bad_categories"] = with_tables(f"SELECT field, value, n, first_row F
 ORACLES["dq_verdict"] = with_tables(
     """SELECT 'dirty strict' AS "case", n = 0 AS is_valid, CASE WHEN n = 0 THEN 'PROCEED' ELSE 'REJECT_ALL' END AS action_taken
     FROM e UNION ALL SELECT 'dirty lenient', n = 0, CASE WHEN n = 0 THEN 'PROCEED' ELSE 'QUARANTINE_RECORDS' END FROM e
-    UNION ALL SELECT 'clean strict', true, 'PROCEED' UNION ALL SELECT 'incomplete lenient', false, 'REJECT_ALL'""",
-    "denr", **issues(), e="SELECT count(*) AS n FROM issues WHERE severity = 'ERROR'")
+    UNION ALL SELECT 'clean strict', n = 0, CASE WHEN n = 0 THEN 'PROCEED' ELSE 'REJECT_ALL' END FROM c
+    UNION ALL SELECT 'incomplete lenient', false, 'REJECT_ALL'""",
+    "denr", "enr", **issues(), e="SELECT count(*) AS n FROM issues WHERE severity = 'ERROR'",
+    c="SELECT " + " + ".join(f"count_if({cond})" for _, _, cond in error_rules()) + " AS n FROM enr")
 _listed = ("string_agg(field || ':' || error_type || ':' || invalid_rows_count || ':' || message, '|' ORDER BY place) "
            "FILTER (WHERE severity = '{0}')")
 _extra = "Columns:UNEXPECTED_COLUMNS"
