@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from riskflow.catalog import setup as s
 from riskflow.contract import CONTRACT
 from riskflow.functions import probability as prob
-from riskflow.functions.time import hour_and_weekday, night_flag, parse_time, serial_to_time, with_temporal_features
+from riskflow.functions.time import (
+    hour_and_weekday, night_flag, parse_time, serial_to_time, wall_micros, with_temporal_features,
+)
 from riskflow.models.scorers import ExternalScorer
 from riskflow.models.training import train_forest, train_logistic
 from riskflow.operators import clean, decide, evaluate as ev, features as fe, lookup, quality as dq, split as sp
@@ -44,8 +46,8 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     ])
 
 
-def micros(column: str = CONTRACT.time) -> F.Column:
-    return F.unix_micros(F.col(column).cast("timestamp"))
+def micros(column: str = CONTRACT.time):
+    return F.expr(wall_micros(column))
 
 
 # ---- sources, cleaning, joins -------------------------------------------------------
@@ -228,8 +230,9 @@ def quarantine_bad(spark, sf):
 def serial_time(spark, sf):
     df = views.serial_transactions(spark, sf)
     hour, day = hour_and_weekday(CONTRACT.time, df.schema[CONTRACT.time].dataType)
-    return df.select(ID, F.unix_micros(serial_to_time(CONTRACT.time)).alias("micros"),
-                     F.expr(hour).alias("hour"), F.expr(day).alias("weekday"))
+    return df.select(ID, serial_to_time(CONTRACT.time).alias("t"),
+                     F.expr(hour).alias("hour"), F.expr(day).alias("weekday")).select(
+        ID, micros("t").alias("micros"), "hour", "weekday")
 
 
 @query
@@ -238,7 +241,7 @@ def parse_time_text(spark, sf):
     text = (F.when(r % 5 == 0, "not a time").when(r % 7 == 0, "46023.125").when(r % 11 == 0, None)
             .otherwise(F.date_format(CONTRACT.time, "yyyy-MM-dd HH:mm:ss.SSSSSS")))
     txn = views.transactions(spark, sf, row=True).withColumn("text", text)
-    return txn.select(r.alias("row_id"), F.unix_micros(parse_time("text").cast("timestamp")).alias("micros"))
+    return txn.select(r.alias("row_id"), parse_time("text").alias("t")).select("row_id", micros("t").alias("micros"))
 
 
 @query

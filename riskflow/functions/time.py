@@ -9,20 +9,26 @@ from riskflow.functions.numeric import number, quoted
 
 UNIX_EPOCH_SERIAL = 25569  # 1970-01-01 counted in days from 1899-12-30
 MICROS_PER_DAY = 86_400_000_000
+UNIX_EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
 
 def serial_to_time(serial: str) -> Column:
-    """Serial days since 1899-12-30 as a timestamp, rounded to microseconds."""
+    """Serial days since 1899-12-30 as a wall-clock timestamp, rounded to microseconds."""
     return F.expr(_serial_to_time(serial))
 
 
 def _serial_to_time(serial: str) -> str:
-    return f"timestamp_micros(bigint(round(({serial} - {UNIX_EPOCH_SERIAL}D) * {MICROS_PER_DAY}D)))"
+    return f"timestampadd(MICROSECOND, bigint(round(({serial} - {UNIX_EPOCH_SERIAL}D) * {MICROS_PER_DAY}D)), {UNIX_EPOCH})"
 
 
 def time_to_serial(ts: str) -> Column:
-    """A timestamp as serial days since 1899-12-30."""
-    return F.expr(f"unix_micros(cast({ts} as timestamp)) / {MICROS_PER_DAY}D + {UNIX_EPOCH_SERIAL}D")
+    """The wall-clock time of a timestamp as serial days since 1899-12-30."""
+    return F.expr(f"{wall_micros(ts)} / {MICROS_PER_DAY}D + {UNIX_EPOCH_SERIAL}D")
+
+
+def wall_micros(ts: str) -> str:
+    """SQL of the microseconds from 1970 to a wall-clock time, in any session time zone."""
+    return f"timestampdiff(MICROSECOND, {UNIX_EPOCH}, cast({ts} as timestamp_ntz))"
 
 
 def parse_time(text: str) -> Column:

@@ -40,11 +40,12 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    made = tempfile.mkdtemp(prefix="riskflow-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="riskflow-"))
+    return sc.getCheckpointDir()
 
 
 def checkpointed(df):
