@@ -243,14 +243,14 @@ ORACLES["serial_time"] = with_tables(
     floor((s % 1.0::double) * 24)::int AS hour,
     (isodow(date '1899-12-30' + floor(s)::int) - 1)::int AS weekday FROM serial""", "txn",
     serial="SELECT Transaction_ID, epoch_us(Transaction_DateTime) / 86400000000.0::double + 25569.0::double AS s FROM txn")
-ORACLES["parse_time_text"] = with_tables(
+ORACLES["parse_time"] = with_tables(
     """SELECT _row AS row_id, CASE WHEN _row % 5 = 0 OR _row % 7 = 0 OR _row % 11 = 0 THEN NULL
     ELSE epoch_us(Transaction_DateTime) END AS micros FROM txn""", "txn")
 ORACLES["temporal_features"] = with_tables(
     """SELECT Transaction_ID, coalesce(hour(t), 12)::int AS Transaction_Hour,
     coalesce(isodow(t) - 1, 0)::int AS Transaction_DayOfWeek, (coalesce(isodow(t) - 1, 0) >= 5)::int AS Is_Weekend
     FROM (SELECT Transaction_ID, CASE WHEN _row % 91 <> 0 THEN Transaction_DateTime END AS t FROM txn)""", "txn")
-ORACLES["night_transactions"] = with_tables(
+ORACLES["night_flag"] = with_tables(
     "SELECT Transaction_ID, (hour(Transaction_DateTime) < 5)::int AS is_night FROM txn", "txn")
 ORACLES["margin_to_prob"] = with_tables(
     """SELECT Transaction_ID, round(1.0::double / (1.0::double + exp(-((Amount_NGN - 50000) / 25000))), 6) AS probability
@@ -312,7 +312,7 @@ ORACLES["class_weights"] = with_tables(
     round((SELECT count(*) FROM train) / (2.0 * count(*)), 6)::double AS weight FROM train GROUP BY 1""", "feat", train=TRAIN)
 ORACLES["linear_score"] = with_tables("SELECT Transaction_ID, round(p, 6) AS probability FROM scored", "efeat", **scored())
 ORACLES["predict_flag"] = with_tables("SELECT Transaction_ID, (p >= 0.35)::int AS prediction FROM scored", "efeat", **scored())
-ORACLES["decide_rows"] = with_tables(f"SELECT Transaction_ID, {DECISION} FROM scored", "efeat", **scored())
+ORACLES["decide"] = with_tables(f"SELECT Transaction_ID, {DECISION} FROM scored", "efeat", **scored())
 ORACLES["score_response"] = with_tables(f"SELECT Transaction_ID, Customer_ID, {DECISION} FROM scored", "efeat", **scored())
 _dscored = f"""SELECT *, {linear()} AS p FROM (SELECT * REPLACE (try_cast(Amount_NGN AS double) AS Amount_NGN),
     hour(Transaction_DateTime) AS Transaction_Hour, isodow(Transaction_DateTime) - 1 AS Transaction_DayOfWeek,

@@ -35,7 +35,7 @@ ID = CONTRACT.transaction_id
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[fn.__name__] = fn
+    QUERIES[fn.__name__.rstrip("_")] = fn
     return fn
 
 
@@ -236,7 +236,7 @@ def serial_time(spark, sf):
 
 
 @query
-def parse_time_text(spark, sf):
+def parse_time_(spark, sf):
     r = F.col("_row")
     text = (F.when(r % 5 == 0, "not a time").when(r % 7 == 0, "46023.125").when(r % 11 == 0, None)
             .otherwise(F.date_format(CONTRACT.time, "yyyy-MM-dd HH:mm:ss.SSSSSS")))
@@ -252,7 +252,7 @@ def temporal_features(spark, sf):
 
 
 @query
-def night_transactions(spark, sf):
+def night_flag_(spark, sf):
     df = with_temporal_features(views.transactions(spark, sf))
     return df.select(ID, night_flag().alias("is_night"))
 
@@ -284,8 +284,7 @@ def fit_medians(spark, sf):
 
 @query
 def fit_scaler(spark, sf):
-    src = _train_inputs(spark, sf)
-    mean, scale = fe.fit_moments(src, exact_medians(src, list(CONTRACT.model_numeric)))
+    _, mean, scale = fe.fit_numeric(_train_inputs(spark, sf))
     return rounded(spark.createDataFrame([(c, mean[c], scale[c]) for c in mean], "field string, mean double, scale double"))
 
 
@@ -332,9 +331,7 @@ def features_vector(spark, sf):
 @query
 def no_leakage(spark, sf):
     table = s.split_table(spark, sf)
-    src = fe.prepared_inputs(table.where("split = 'train'"))
-    median = exact_medians(src, list(CONTRACT.model_numeric))
-    mean, scale = fe.fit_moments(src, median)
+    median, mean, scale = fe.fit_numeric(fe.prepared_inputs(table.where("split = 'train'")))
     p = fe.FeatureParams(median, mean, scale, {})
     test = fe.prepared_inputs(table.where("split = 'test'"))
     return rounded(test.select(ID, *[F.expr(fe.scaled(c, p)).alias(c) for c in median]))
@@ -383,7 +380,7 @@ def predict_flag(spark, sf):
 
 
 @query
-def decide_rows(spark, sf):
+def decide_(spark, sf):
     out = decide.decide(s.linear_scored(spark, sf))
     return out.select(ID, *decide.DECISION_COLUMNS[:-1])
 

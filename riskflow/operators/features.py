@@ -7,16 +7,17 @@ is a pipeline stage in front of the assembler of the (sparse) feature vector.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from riskflow.contract import CONTRACT, MISSING_LEVEL, Contract
 from riskflow.functions.numeric import double_literal, number, quoted, text_literal
 from riskflow.functions.time import temporal_columns
-from riskflow.operators.median import exact_medians
+from riskflow.operators.median import column_profile, exact_medians
 
 
 MAX_LEVELS = 10_000
@@ -71,16 +72,31 @@ def prepared_inputs(df: DataFrame, contract: Contract = CONTRACT, serial_roundin
     return df.selectExpr(*kept, *[f"{e} as {quoted(c)}" for c, e in made.items()])
 
 
-def fit_moments(df: DataFrame, median: dict[str, float]) -> tuple[dict[str, float], dict[str, float]]:
-    """Mean and population deviation after imputation; a constant column gets scale 1."""
-    cols = list(median)
-    filled = {c: f"coalesce({quoted(c)}, {double_literal(median[c])})" for c in cols}
-    row = df.agg(*[F.expr(f"struct(avg({x}), stddev_pop({x})) as {quoted(c)}") for c, x in filled.items()]).first()
-    mean = {c: row[c][0] for c in cols}
-    scale = {c: row[c][1] or 1.0 for c in cols}
+def fit_moments(profile: dict[str, Row], median: dict[str, float]) -> tuple[dict[str, float], dict[str, float]]:
+    """Mean and population deviation after imputation; a constant column gets scale 1.
+
+    The imputed rows are one more group of known size and value, so the moments of all
+    rows follow from those of the non-null ones without another pass.
+    """
+    mean, scale = {}, {}
+    for c, p in profile.items():
+        if not p.n or p.lo == p.hi:
+            mean[c], scale[c] = median[c], 1.0
+            continue
+        gaps, gap = p.rows - p.n, median[c] - p.mean
+        mean[c] = p.mean + gap * gaps / p.rows
+        scale[c] = math.sqrt((p.deviation ** 2 * p.n + gap * gap * p.n * gaps / p.rows) / p.rows)
     return mean, scale
 
 
+def fit_numeric(src: DataFrame, contract: Contract = CONTRACT) -> tuple[dict, dict, dict]:
+    """Medians, means and scales of prepared inputs. A column without any value is imputed with 0."""
+    columns = list(contract.model_numeric)
+    profile = column_profile(src, columns)
+    median = {c: 0.0 if m is None else m for c, m in exact_medians(src, columns, profile=profile).items()}
+    return median, *fit_moments(profile, median)
+
+
 def filled_category(column: str) -> str:
     """SQL of a category's text with NULL as its own level."""
     return f"coalesce(cast({quoted(column)} as string), '{MISSING_LEVEL}')"
@@ -97,10 +113,9 @@ def level_table(df: DataFrame, contract: Contract = CONTRACT) -> DataFrame:
 
 
 def fit_features(df: DataFrame, contract: Contract = CONTRACT, serial_rounding: str = "floor") -> FeatureParams:
-    """Fit on training rows. A column without any value has no median and is imputed with 0."""
+    """Fit on training rows."""
     src = prepared_inputs(df, contract, serial_rounding)
-    median = {c: 0.0 if m is None else m for c, m in exact_medians(src, list(contract.model_numeric)).items()}
-    mean, scale = fit_moments(src, median)
+    median, mean, scale = fit_numeric(src, contract)
     levels: dict[str, list[str]] = {c: [] for c in contract.categorical}
     found = level_table(src, contract).orderBy("position", "level").limit(MAX_LEVELS + 1).collect()
     if len(found) > MAX_LEVELS:  # each level is a model column: not something to cut short

@@ -8,9 +8,9 @@ buckets. A bracket that holds few values is sorted, one of a single value is the
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Row, functions as F
 
-from riskflow.functions.numeric import double_literal
+from riskflow.functions.numeric import double_literal, quoted
 
 BUCKETS = 4096
 BUFFERED_VALUES = 250_000  # values of one bracket that may be sorted in one buffer
@@ -42,15 +42,26 @@ class _Rank:
         return f"int(case when {self.value} <= {lo} then 0 when {self.value} >= {hi} then {BUCKETS + 1} else {inner} end)"
 
 
-def exact_medians(df: DataFrame, columns: list[str], buffered: int = BUFFERED_VALUES) -> dict[str, float | None]:
+def column_profile(df: DataFrame, columns: list[str]) -> dict[str, Row]:
+    """Per column ``rows``, non-null ``n``, ``lo``, ``hi``, ``mean`` and ``deviation``: one aggregate for all."""
+    row = df.agg(*[
+        F.expr(f"struct(count(1) as rows, count({c}) as n, min({c}) as lo, max({c}) as hi, "
+               f"avg({c}) as mean, stddev_pop({c}) as deviation) as c{i}")
+        for i, c in enumerate(f"double({quoted(c)})" for c in columns)
+    ]).first()
+    return dict(zip(columns, row))
+
+
+def exact_medians(df: DataFrame, columns: list[str], buffered: int = BUFFERED_VALUES,
+                  profile: dict[str, Row] | None = None) -> dict[str, float | None]:
     """Median of each column over its non-null values; the mean of the two middle ones."""
     names = list(columns)
+    seen = profile or column_profile(df, names)
     src = df.select(*[F.col(n).cast("double").alias(f"c{i}") for i, n in enumerate(names)])
-    seen = src.agg(*[F.expr(f"struct(count(c{i}), min(c{i}), max(c{i})) as c{i}") for i in range(len(names))]).first()
     ranks: list[_Rank] = []
     for i in range(len(names)):
-        n, lo, hi = seen[i]
-        ranks += [_Rank(i, r, n, lo, hi) for r in ({(n - 1) // 2, n // 2} if n else ())]
+        p = seen[names[i]]
+        ranks += [_Rank(i, r, p.n, p.lo, p.hi) for r in ({(p.n - 1) // 2, p.n // 2} if p.n else ())]
 
     while True:
         open_ = [r for r in ranks if r.inside > buffered and r.lo < r.hi]

@@ -137,3 +137,17 @@ def test_prepared_inputs_and_selection(spark, enriched):
 def test_full_domain_gives_sixty_features():
     from riskflow.catalog.setup import FROZEN
     assert len(FROZEN.names()) == 60
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(st.none(), st.floats(-1e4, 1e4), st.just(0.1)), min_size=1, max_size=40))
+def test_moments_after_imputation(spark, values):
+    from riskflow.operators.features import fit_moments
+    from riskflow.operators.median import column_profile
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    profile = column_profile(df, ["x"])
+    median = exact_medians(df, ["x"], profile=profile)["x"] or 0.0
+    mean, scale = fit_moments(profile, {"x": median})
+    filled = np.array([median if v is None else v for v in values])
+    assert mean["x"] == pytest.approx(filled.mean(), abs=1e-9)
+    assert scale["x"] == (1.0 if len(set(filled)) == 1 else pytest.approx(filled.std(), rel=1e-9))
