@@ -2,6 +2,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from riskflow.catalog.oracles import ORACLES
+from riskflow.catalog.queries import QUERIES
 from tools.compare import TABLES, normal, same
 
 SLOW = {"train_lr", "train_rf", "model_card", "importances"}
@@ -17,10 +19,11 @@ def duck(sf):
 
 
 def test_registry():
-    assert set(entry.oracle_sql()) == set(entry.queries()) - SLOW
+    assert set(ORACLES) == set(QUERIES) - SLOW
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
 def test_query_equals_sql(spark, sf, duck, name):
     got, want = entry.queries()[name](spark, sf).toPandas(), duck.sql(entry.oracle_sql()[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
