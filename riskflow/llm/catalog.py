@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import bestfit, binpack, bitplanes, bpe
+from riskflow.llm import bestfit, binpack, bitplanes, bpe, ctph, fm, toxicity
 from riskflow.llm.tables import ship
 
 
@@ -16,15 +16,33 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+def _labels(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/labels.parquet")
+
+
+def _judged(scored: DataFrame, threshold: float, *more: str) -> DataFrame:
+    return scored.select("doc_id", fm.held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), *more)
+
+
 def op2_bit_planes(spark: SparkSession, sf: str) -> DataFrame:
     files = bitplanes.write_ids(_documents(spark, sf))
     return bitplanes.read_documents(files).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op3_piecewise_hashes(spark: SparkSession, sf: str) -> DataFrame:
+    return ctph.compare_neighbours(_documents(spark, sf))
+
+
 def op4_vector_bin_packing(spark: SparkSession, sf: str) -> DataFrame:
     return binpack.shard(_documents(spark, sf))
 
 
+def op5_nearest_examples(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _documents(spark, sf).select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.fit(docs, _labels(spark, sf)), evidence=True)
+    return _judged(scored, toxicity.THRESHOLD, "neighbours", "cosines", "terms_found")
+
+
 def op8_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return bestfit.pack(_documents(spark, sf))
 
@@ -33,6 +51,11 @@ def op9_forced_boundary_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.encode_decode(_documents(spark, sf), digests=True)
 
 
+def op10_factorisation_machine(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _documents(spark, sf).select("doc_id", "text", "n_chars")
+    return _judged(fm.score(docs, fm.fit(docs, _labels(spark, sf))), fm.THRESHOLD)
+
+
 def _shipped(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(f)
     def run(spark: SparkSession, sf: str) -> DataFrame:
@@ -43,6 +66,8 @@ def _shipped(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: _shipped(f) for f in (op2_bit_planes, op4_vector_bin_packing, op8_best_fit_packing, op9_forced_boundary_bpe)}
+    f.__name__: _shipped(f) for f in (
+        op2_bit_planes, op3_piecewise_hashes, op4_vector_bin_packing, op5_nearest_examples, op8_best_fit_packing,
+        op9_forced_boundary_bpe, op10_factorisation_machine)}
 
 ORACLES: dict[str, str] = {}
