@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import bestfit, binpack, bitplanes, bpe, ctph, fm, toxicity
+from riskflow.llm import bestfit, binpack, bitplanes, bpe, ctph, fm, grace, toxicity
 from riskflow.llm.tables import ship
 
 
@@ -43,6 +43,10 @@ def op5_nearest_examples(spark: SparkSession, sf: str) -> DataFrame:
     return _judged(scored, toxicity.THRESHOLD, "neighbours", "cosines", "terms_found")
 
 
+def op7_grace_hash_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return grace.decisions(_documents(spark, sf))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return bestfit.pack(_documents(spark, sf))
 
@@ -67,7 +71,13 @@ def _shipped(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _shipped(f) for f in (
-        op2_bit_planes, op3_piecewise_hashes, op4_vector_bin_packing, op5_nearest_examples, op8_best_fit_packing,
+        op2_bit_planes, op3_piecewise_hashes, op4_vector_bin_packing, op5_nearest_examples, op7_grace_hash_dedup, op8_best_fit_packing,
         op9_forced_boundary_bpe, op10_factorisation_machine)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_grace_hash_dedup": r"""
+WITH texts AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
+     groups AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM texts GROUP BY t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256
+FROM texts JOIN groups USING (t)""",
+}
