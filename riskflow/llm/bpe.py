@@ -25,6 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskflow.llm.encode import byte_letters
 from riskflow.llm.tables import slices, texts_of
 
 #: Words and fragments in each of a cache's two generations; longer words aren't kept.
@@ -34,12 +35,6 @@ LONG, NONE = 256, 1 << 60
 _LATIN = re.compile("[^\x00-\\u024f]")
 
 
-def byte_letters() -> dict[int, str]:
-    """The printable letter that stands for each byte in the file: itself where printable, else from 256 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in set(plain))}
-
-
 class Vocabulary:
     """A BPE file with word ends: ``encode`` and ``decode``; ``inside`` holds the byte pairs found within tokens."""
 

@@ -17,6 +17,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _SPACED = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 _BEYOND_LATIN = re.compile("[^\x00-\u024f]")
+#: Marks that end many words; both patterns cut between letters and a run of them.
+TAIL = ".,;:!?%$&*#|"
 #: Pieces in each of the cache's two generations, and the longest piece that is kept.
 GENERATION, LONGEST = 250_000, 48
 
@@ -28,6 +30,27 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def byte_letters() -> dict[int, str]:
+    """The printable letter that stands for each byte in the files: itself where printable, else from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in set(plain))}
+
+
+_LETTER = byte_letters()
+
+
+def _untailed(pieces: list[str]) -> list[str]:
+    """Pieces of letters and closing marks as two: fewer different ones to encode."""
+    out = []
+    for p in pieces:
+        if p[-1] in TAIL and (word := p.rstrip(TAIL)) and word.lstrip(" ").isalpha():
+            out.append(word)
+            out.append(p[len(word):])
+        else:
+            out.append(p)
+    return out
+
+
 class Encoder:
     """``ids(texts)``: little-endian unsigned 32-bit ids of each text, as the library alone gives them.
 
@@ -41,6 +64,7 @@ class Encoder:
         self.tokenizer, self.spaced = Tokenizer.from_file(path), spaced
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
+        self.letters = {ord(c): "".join(_LETTER[b] for b in c.encode()) for c in map(chr, [*range(33), *range(127, 0x250)])}
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -48,13 +72,30 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _new(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces that aren't cached; plain Latin words need the library's merges only, no normal form or pattern."""
+        out, rest, model, letters = [b""] * len(pieces), [], self.tokenizer.model, self.letters
+        for i, p in enumerate(pieces):
+            word = p[1:] if self.spaced and p[0] == " " else p
+            if word.isalpha() and (self.spaced or p == p.lower()) and not _BEYOND_LATIN.search(p):
+                out[i] = np.array([t.id for t in model.tokenize(p.replace(" ", letters[32]) if p.isascii() else p.translate(letters))], "<u4").tobytes()
+            else:
+                rest.append(i)
+        if rest:
+            for i, ids in zip(rest, self.whole([pieces[i] for i in rest])):
+                out[i] = ids
+        return out
+
     def pieces(self, text: str) -> list[str]:
         if "<|" in text:  # may hold a special token, which is found before any cut
             return [text]
         if self.spaced:
-            return _SPACED.findall(text)
+            pieces = _SPACED.findall(text)
+            return pieces if _BEYOND_LATIN.search(text) else _untailed(pieces)
+        if _BEYOND_LATIN.search(text):
+            return [p for p in text.split(" ") if p]
         # Latin letters are their own normal form and have one lower case each, so the order of the two steps is free.
-        return [p for p in (text if _BEYOND_LATIN.search(text) else text.lower()).split(" ") if p]
+        return _untailed([p for p in text.lower().split(" ") if p])
 
     def ids(self, texts: list[str]) -> list[bytes]:
         cut = [self.pieces(t) for t in texts]
@@ -67,7 +108,7 @@ class Encoder:
                     else:
                         new[p] = b""
         if new:
-            for p, ids in zip(new, self.whole(list(new))):
+            for p, ids in zip(new, self._new(list(new))):
                 new[p] = ids
             young.update(new)
         out = [b"".join([young[p] for p in pieces]) for pieces in cut]
