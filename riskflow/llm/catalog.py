@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import bestfit, binpack, bitplanes, bpe, ctph, fm, grace, toxicity
+from riskflow.llm import bestfit, binpack, bitplanes, bpe, ctph, fm, fsjoin, grace, toxicity
 from riskflow.llm.tables import ship
 
 
@@ -43,6 +43,10 @@ def op5_nearest_examples(spark: SparkSession, sf: str) -> DataFrame:
     return _judged(scored, toxicity.THRESHOLD, "neighbours", "cosines", "terms_found")
 
 
+def op6_vertical_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return fsjoin.components(_documents(spark, sf), shingle=4, percent=85)
+
+
 def op7_grace_hash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return grace.decisions(_documents(spark, sf))
 
@@ -71,7 +75,7 @@ def _shipped(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _shipped(f) for f in (
-        op2_bit_planes, op3_piecewise_hashes, op4_vector_bin_packing, op5_nearest_examples, op7_grace_hash_dedup, op8_best_fit_packing,
+        op2_bit_planes, op3_piecewise_hashes, op4_vector_bin_packing, op5_nearest_examples, op6_vertical_jaccard_join, op7_grace_hash_dedup, op8_best_fit_packing,
         op9_forced_boundary_bpe, op10_factorisation_machine)}
 
 ORACLES: dict[str, str] = {
