@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import bestfit, binpack, bitplanes, bpe, ctph, fm, fsjoin, grace, toxicity
+from riskflow.llm import bestfit, binpack, bitplanes, bpe, ctph, fm, fsjoin, grace, toxicity, warc
 from riskflow.llm.tables import ship
 
 
@@ -24,6 +24,13 @@ def _judged(scored: DataFrame, threshold: float, *more: str) -> DataFrame:
     return scored.select("doc_id", fm.held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), *more)
 
 
+def op1_warc_index_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """The table has no capture times: a page counts as captured as many minutes after 2020 as its id modulo a year has."""
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    when = F.timestamp_seconds(F.lit(1577836800) + 60 * F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(525600)))
+    return warc.archive(pages, time_col=when).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op2_bit_planes(spark: SparkSession, sf: str) -> DataFrame:
     files = bitplanes.write_ids(_documents(spark, sf))
     return bitplanes.read_documents(files).select("doc_id", "start", "n_tokens", "ids_crc32")
@@ -75,10 +82,17 @@ def _shipped(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _shipped(f) for f in (
-        op2_bit_planes, op3_piecewise_hashes, op4_vector_bin_packing, op5_nearest_examples, op6_vertical_jaccard_join, op7_grace_hash_dedup, op8_best_fit_packing,
+        op1_warc_index_merge, op2_bit_planes, op3_piecewise_hashes, op4_vector_bin_packing, op5_nearest_examples, op6_vertical_jaccard_join, op7_grace_hash_dedup, op8_best_fit_packing,
         op9_forced_boundary_bpe, op10_factorisation_machine)}
 
 ORACLES: dict[str, str] = {
+    "op1_warc_index_merge": """
+WITH own AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+     groups AS (SELECT html AS h, min(page_id) AS first_id FROM own WHERE strlen(html) >= 100 GROUP BY html)
+SELECT page_id, strlen(html) AS payload_bytes, sha256(html) AS payload_digest,
+       CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+FROM own LEFT JOIN groups ON html = h""",
     "op7_grace_hash_dedup": r"""
 WITH texts AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
      groups AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM texts GROUP BY t)
