@@ -243,13 +243,19 @@ def merge(blocks: DataFrame, fan_in: int = FAN_IN, range_entries: int = RANGE) -
         groups = -(-n // fan_in)
         grouped = blocks.withColumn("merge", F.pmod(F.xxhash64("run"), F.lit(groups)))
 
-        def one(key, part, folder=folder):
-            out = RunWriter(folder, f"merge-{key[0].as_py()}")
-            for line in merged(_opened(part)):
-                out.add(line)
-            return pa.Table.from_batches([_table(out.close())])
+        blocks = stored(_tasks(grouped, "merge", range_entries).groupBy("merge", "part").applyInArrow(_merger(folder), BLOCKS), "run_blocks")
 
-        blocks = stored(_tasks(grouped, "merge", range_entries).groupBy("merge", "part").applyInArrow(one, BLOCKS), "run_blocks")
+
+def _merger(folder: str):
+    """A task that merges its range of a group's runs into a segment; a group's segments make its next run."""
+
+    def one(key, part):
+        out = RunWriter(folder, f"{folder}#{key[0].as_py()}")
+        for line in merged(_opened(part)):
+            out.add(line)
+        return pa.Table.from_batches([_table(out.close())])
+
+    return one
 
 
 def _opened(part: pa.Table) -> list[Iterator[tuple[str, str]]]:
