@@ -35,6 +35,8 @@ from riskflow.llm.words import LETTERS, joined, word_hashes
 EXAMPLES, NEIGHBOURS, BLOCK, THRESHOLD = 20_000, 15, 64, 0.5
 #: Chi-squared from which a term counts as telling, and the fewest examples it must be in.
 LEAST_CHI, LEAST_EXAMPLES = 45.0, 4
+#: Examples whose votes calibrate the scores, and answers a worker keeps at hand.
+CALIBRATED, REMEMBERED = 5_000, 20_000
 
 
 def distinct_terms(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -103,6 +105,7 @@ class Index:
     starts: np.ndarray = field(default=None)  # of each term's postings
     block_term: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default=None)  # per term: blocks, largest weights, postings' bounds
     steps: tuple[np.ndarray, np.ndarray] = field(default=None)
+    known: dict[tuple[bytes, bytes], tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
     blank: float = 0.5
     constant: float | None = None
 
@@ -124,31 +127,50 @@ class Index:
         self.blocks = -(-len(self.ids) // BLOCK)
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """(examples, cosines) of the k nearest with any common term, by cosine, then place."""
+        """(examples, cosines) of the k nearest with any common term, by cosine, then place.
+
+        Equal queries (short texts share their few telling terms) are answered from a bounded memory.
+        """
+        key = (terms.tobytes(), weights.tobytes())
+        found = self.known.get(key)
+        if found is None:
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
+            found = self.known[key] = self._search(terms, weights, self.k + 1)
+        examples, cosines = found
+        keep = examples != without
+        return examples[keep][:self.k], cosines[keep][:self.k]
+
+    def _search(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         bound = np.zeros(self.blocks)
         for t, w in zip(terms, weights):
             blocks, largest, _ = self.block_term[t]
             bound[blocks] += w * largest
+        bound = np.round(bound + 1e-12, 12)
         order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
+        order = order[bound[order] > 1e-11]
         best, cosines, at, step = np.empty(0, np.int64), np.empty(0), 0, 4
-        while at < len(order) and (len(cosines) < self.k or bound[order[at]] >= cosines[self.k - 1] - 1e-12):
+        while at < len(order):
+            if len(cosines) == k:
+                # Of equal cosines the earlier example counts, so a block of the k-th cosine matters only if it begins before it.
+                rest = order[at:]
+                rest = rest[(bound[rest] > cosines[-1] + 2e-12) | ((bound[rest] >= cosines[-1]) & (rest * BLOCK < best[-1]))]
+                if not len(rest):
+                    break
+                order, at = rest, 0
             chosen = np.sort(order[at:at + step])
             at, step = at + step, min(2 * step, 256)
             found, amount = [], []
             for t, w in zip(terms, weights):
                 blocks, _, bounds = self.block_term[t]
-                place = np.searchsorted(blocks, chosen)
-                there = place < len(blocks)
-                place = place[there][blocks[place[there]] == chosen[there]]
+                place = np.minimum(np.searchsorted(blocks, chosen), len(blocks) - 1)
+                place = place[blocks[place] == chosen]
                 for a, b in zip(bounds[place], bounds[place + 1]):
                     found.append(self.post_example[a:b])
                     amount.append(w * self.post_weight[a:b])
             example, back = np.unique(np.concatenate(found), return_inverse=True)
-            cosine = np.bincount(back, np.concatenate(amount))
-            keep = example != without
-            best, cosines = np.concatenate([best, example[keep]]), np.concatenate([cosines, cosine[keep]])
-            rank = np.lexsort((best, -np.round(cosines, 12)))[:self.k]
+            best, cosines = np.concatenate([best, example]), np.concatenate([cosines, np.round(np.bincount(back, np.concatenate(amount)), 12)])
+            rank = np.lexsort((best, -cosines))[:k]
             best, cosines = best[rank], cosines[rank]
         return best, np.minimum(cosines, 1.0)
 
@@ -160,7 +182,7 @@ class Index:
         """Each example's own vote without itself, and the share of toxic ones without a direction."""
         weight, bounds = self.weigh(owner, term, count, len(self.ids)), np.searchsorted(owner, np.arange(len(self.ids) + 1))
         votes, known = [], []
-        for i in np.flatnonzero(np.diff(bounds)).tolist():
+        for i in np.flatnonzero(np.diff(bounds))[:CALIBRATED].tolist():
             a, b = bounds[i], bounds[i + 1]
             near = self.nearest(term[a:b], weight[a:b], without=i)
             if len(near[0]):
@@ -168,6 +190,7 @@ class Index:
                 known.append(self.labels[i])
         bare = self.labels[np.diff(bounds) == 0]
         self.blank = float((bare.sum() + 0.5) / (len(bare) + 1 + (len(bare) == 0)))
+        self.known.clear()  # the index is sent without them
         self.steps = isotonic(np.array(votes), np.array(known, float)) if votes else (np.zeros(1), np.array([self.blank]))
 
     def probability(self, vote: float) -> float:
