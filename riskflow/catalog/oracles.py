@@ -32,8 +32,14 @@ CTES = {
     "denr": f"SELECT t.*, {C_FEATURES} FROM dtxn t LEFT JOIN dfirst c USING (Customer_ID)",
     "split": """SELECT *, CASE WHEN row_number() OVER (PARTITION BY Risk_Review_Flag
             ORDER BY md5(concat(Transaction_ID, '|42')))
-            <= round(count(*) OVER (PARTITION BY Risk_Review_Flag) * 0.2) THEN 'test' ELSE 'train' END AS split
+            <= (SELECT q.take FROM quota q WHERE q.flag = Risk_Review_Flag) THEN 'test' ELSE 'train' END AS split
         FROM enr""",
+    # the size of the test part first; then whole shares, then the largest remainders
+    "quota": """SELECT flag, whole + (row_number() OVER (ORDER BY exact - whole DESC, flag)
+            <= wanted - sum(whole) OVER ())::bigint AS take
+        FROM (SELECT flag, wanted, n * wanted / total::double AS exact, floor(n * wanted / total::double)::bigint AS whole
+            FROM (SELECT Risk_Review_Flag AS flag, count(*) AS n, sum(count(*)) OVER () AS total,
+                  ceil(sum(count(*)) OVER () * 0.2)::bigint AS wanted FROM enr GROUP BY 1))""",
     "feat": """SELECT *, cast(hour(Transaction_DateTime) AS double) AS Transaction_Hour,
             cast(isodow(Transaction_DateTime) - 1 AS double) AS Transaction_DayOfWeek,
             cast(cast(isodow(Transaction_DateTime) >= 6 AS int) AS double) AS Is_Weekend
@@ -44,7 +50,7 @@ CTES = {
         FROM enr""",
 }
 NEEDS = {"txn": ["ev"], "dtxn": ["ev"], "dfirst": ["dcust"], "enr": ["txn", "cust"], "denr": ["dtxn", "dfirst"],
-         "split": ["enr"], "feat": ["split"], "efeat": ["enr"]}
+         "quota": ["enr"], "split": ["enr", "quota"], "feat": ["split"], "efeat": ["enr"]}
 
 
 def with_tables(sql: str, *names: str, **extra: str) -> str:
@@ -125,8 +131,8 @@ def message(field: str, kind: str) -> str:
         return (f"'Column ''{field}'' has ' || n || ' (' || printf('%.2f', n * 100.0 / total) || "
                 "'%) missing values. Downstream imputation will be applied.'")
     if kind == "UNEXPECTED_CATEGORY":
-        return (f"'Column ''{field}'' contains unexpected categories: [''' || (SELECT string_agg(v, ''', ''' ORDER BY place) "
-                f"FROM (SELECT {field} AS v, min(_row) AS place FROM denr WHERE {field} NOT IN {_in(field)} GROUP BY 1)) || ''']'")
+        return (f"'Column ''{field}'' contains unexpected categories in ' || n || ' rows. Distinct values: ' || "
+                f"(SELECT count(DISTINCT {field}) FROM denr WHERE {field} NOT IN {_in(field)}) || ' (bad_categories lists them).'")
     return MESSAGES[field, kind]
 
 
@@ -410,7 +416,7 @@ ORACLES["json_requests_enriched"] = with_tables(
     + ", (Amount_NGN <= 0)::int AS n_reasons FROM enr", "enr")
 ORACLES["json_batches"] = with_tables(
     """SELECT floor(_row / 50)::bigint AS batch, count(*) AS total_processed, count_if(reasons = '')::bigint AS accepted,
-    round(sum(Amount_NGN), 2) AS amount FROM got WHERE NOT cut GROUP BY 1""", "txn", **REQUESTS)
+    round(sum(CASE WHEN NOT cut THEN Amount_NGN END), 2) AS amount, count_if(cut)::bigint AS malformed FROM got GROUP BY 1""", "txn", **REQUESTS)
 _rscored = f"""SELECT *, {linear()} AS p, list_filter([CASE WHEN Amount_NGN <= 0 THEN 1 END,
     CASE WHEN Age < 18 THEN 1 END], lambda x: x IS NOT NULL) AS bad FROM (
     SELECT g.*, {C_FEATURES}, floor((Transaction_DateTime % 1.0::double) * 24) AS Transaction_Hour,

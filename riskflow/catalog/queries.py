@@ -523,14 +523,16 @@ def json_requests_enriched(spark, sf):
 
 @query
 def json_batches(spark, sf):
-    # fifty requests to a payload
-    single = s.payloads(spark, sf).where(F.col("_row") % 127 != 0)
+    # fifty requests to a payload; one that isn't JSON on its own arrives as a piece of text in the list
+    quoted = F.expr("substring(to_json(array(payload)), 2, length(to_json(array(payload))) - 2)")
+    single = s.payloads(spark, sf).withColumn("payload", F.when(F.try_parse_json("payload").isNull(), quoted).otherwise(F.col("payload")))
     batch = single.groupBy(F.floor(F.col("_row") / 50).alias("batch")).agg(F.concat(
         F.lit('{"transactions":['), F.array_join(F.collect_list("payload"), ","), F.lit("]}")).alias("payload"))
     parsed = rq.parse_batches(batch)
     return parsed.groupBy("batch").agg(
         F.count(F.lit(1)).alias("total_processed"), F.count_if(F.size("_reasons") == 0).alias("accepted"),
-        F.round(F.sum("Amount_NGN"), 2).alias("amount"))
+        F.round(F.sum("Amount_NGN"), 2).alias("amount"),
+        F.count_if(F.exists("_reasons", lambda x: x["field"] == "payload")).alias("malformed"))
 
 
 def _decision_rows(df):

@@ -18,29 +18,29 @@ def hard_label_probability(label: Column) -> Column:
 
 
 def at_threshold(probability: Column, threshold: float = REVIEW_THRESHOLD) -> Column:
-    """0/1 prediction."""
-    return (probability >= F.lit(threshold)).cast("int")
+    """0/1 prediction; NULL without a probability."""
+    return F.when(known(probability), (probability >= F.lit(threshold)).cast("int"))
+
+
+def known(probability: Column) -> Column:
+    """Whether there is a probability to decide on: neither NULL nor NaN."""
+    return probability.isNotNull() & ~F.isnan(probability)
 
 
 def review_flag(probability: Column, threshold: float = REVIEW_THRESHOLD) -> Column:
-    return F.when(probability >= F.lit(threshold), "Yes").otherwise("No")
+    return F.when(known(probability), F.when(probability >= F.lit(threshold), "Yes").otherwise("No"))
 
 
 def risk_tier(probability: Column) -> Column:
     """Tier from the unrounded probability; independent of the review threshold."""
-    return (
-        F.when(probability >= F.lit(HIGH_THRESHOLD), "High")
-        .when(probability >= F.lit(MEDIUM_THRESHOLD), "Medium")
-        .otherwise("Low")
-    )
+    return F.when(known(probability), F.when(probability >= F.lit(HIGH_THRESHOLD), "High")
+                  .when(probability >= F.lit(MEDIUM_THRESHOLD), "Medium").otherwise("Low"))
 
 
 def recommended_action(probability: Column) -> Column:
-    return (
-        F.when(probability >= F.lit(HIGH_THRESHOLD), "Immediate Review / Payment Hold")
-        .when(probability >= F.lit(MEDIUM_THRESHOLD), "Secondary Verification (SMS/OTP)")
-        .otherwise("Auto-Approve")
-    )
+    return F.when(known(probability), F.when(probability >= F.lit(HIGH_THRESHOLD), "Immediate Review / Payment Hold")
+                  .when(probability >= F.lit(MEDIUM_THRESHOLD), "Secondary Verification (SMS/OTP)")
+                  .otherwise("Auto-Approve"))
 
 
 def label_number(col: Column, contract: Contract = CONTRACT, unmapped: str = "error") -> Column:

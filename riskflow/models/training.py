@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from riskflow.contract import REVIEW_THRESHOLD, SEED
@@ -19,6 +20,8 @@ DATASET_VERSION = "enriched_v1_customer_joined"
 PRODUCTION_VERSION = "2.0.0-week3"
 # --- end of fixed values ---
 
+PARTITIONS, PARTITION_ROWS = 16, 500_000
+
 
 def weighted(train: DataFrame, label: str = "label") -> tuple[DataFrame, int]:
     """Add the balanced class weight; also the number of rows."""
@@ -29,10 +32,14 @@ def weighted(train: DataFrame, label: str = "label") -> tuple[DataFrame, int]:
     return train.withColumn("weight", weight), sum(r["n"] for r in rows)
 
 
-def spread(train: DataFrame) -> DataFrame:
-    """Use every core: a table of fewer partitions than cores is dealt out evenly."""
-    cores = train.sparkSession.sparkContext.defaultParallelism
-    return train.repartition(cores) if train.rdd.getNumPartitions() < cores else train
+def spread(train: DataFrame, label: str = "label", partitions: int | None = None) -> DataFrame:
+    """Deal rows by a hash of their features, in its order, into as many partitions as the rows call for.
+
+    Bagging draws by partition and place, so a model must depend on the data alone, not on cores or files.
+    """
+    n = partitions or max(PARTITIONS, -(-train.count() // PARTITION_ROWS))
+    keyed = train.withColumn("_hash", F.xxhash64(vector_to_array("features"), F.col(label)))
+    return keyed.repartition(n, "_hash").sortWithinPartitions("_hash").drop("_hash")
 
 
 def train_logistic(train: DataFrame, label: str = "label", iterations: int = LR_ITERATIONS,
@@ -42,7 +49,7 @@ def train_logistic(train: DataFrame, label: str = "label", iterations: int = LR_
     The balanced weights add up to the number of rows and Spark averages the loss,
     so a unit penalty on the summed loss is ``1/n`` here.
     """
-    data, n = weighted(spread(train), label)
+    data, n = weighted(spread(train, label), label)
     fitted = LogisticRegression(labelCol=label, weightCol="weight", maxIter=iterations, regParam=1 / max(n, 1),
                                 elasticNetParam=0.0, standardization=False).fit(data)
     return MlScorer(fitted, threshold=threshold)
@@ -51,7 +58,7 @@ def train_logistic(train: DataFrame, label: str = "label", iterations: int = LR_
 def train_forest(train: DataFrame, label: str = "label", trees: int = RF_TREES, depth: int = RF_DEPTH,
                  seed: int = SEED, threshold: float = REVIEW_THRESHOLD) -> MlScorer:
     """Random forest; a node looks at the square root of the number of features."""
-    data, _ = weighted(spread(train), label)
+    data, _ = weighted(spread(train, label), label)
     fitted = RandomForestClassifier(labelCol=label, weightCol="weight", numTrees=trees, maxDepth=depth,
                                     featureSubsetStrategy="sqrt", seed=seed, maxMemoryInMB=1024).fit(data)
     return MlScorer(fitted, threshold=threshold)

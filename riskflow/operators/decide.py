@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from riskflow.contract import CONTRACT, DEFAULT_MODEL_VERSION, REVIEW_THRESHOLD, Contract
-from riskflow.functions.probability import recommended_action, review_flag, risk_tier
+from riskflow.functions.probability import known, recommended_action, review_flag, risk_tier
 
 # --- fixed values: the decision columns, in output order ---
 DECISION_COLUMNS = ("Predicted_Risk_Flag", "Risk_Probability", "Risk_Tier", "Operational_Action",
@@ -17,12 +17,13 @@ def decide(scored: DataFrame, probability: str = "probability", threshold: float
            version: str = DEFAULT_MODEL_VERSION) -> DataFrame:
     """Replace the probability by the decision columns.
 
-    Flag and tier look at the unrounded probability; ``Scored_At`` is one UTC time per query.
+    Flag and tier look at the unrounded probability; without one (NULL or NaN) nothing is decided and
+    those columns are NULL. ``Scored_At`` is one UTC time per query.
     """
     p = F.col(probability)
     now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
     return scored.withColumns(dict(zip(DECISION_COLUMNS, (
-        review_flag(p, threshold), F.bround(p, 4), risk_tier(p), recommended_action(p), F.lit(version),
+        review_flag(p, threshold), F.bround(F.when(known(p), p), 4), risk_tier(p), recommended_action(p), F.lit(version),
         F.concat(F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00")),
     )))).drop(probability)
 

@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from riskflow.contract import REVIEW_THRESHOLD
 from riskflow.functions.numeric import double_literal
+from riskflow.session import stored
 
-SCORE_RANGES = 1024
+SCORE_RANGES, RANGE_ROWS = 64, 1_000_000
 
 
 def confusion_sql(label: str, probability: str, threshold: float) -> dict[str, str]:
@@ -42,11 +43,12 @@ def brier(scored: DataFrame, label: str = "label", probability: str = "probabili
     return scored.agg(F.avg(gap * gap).alias("brier_score"))
 
 
-def score_bounds(scored: DataFrame, probability: str = "probability", ranges: int = SCORE_RANGES) -> list[float]:
-    """Inner bounds that cut the rows into ranges of about equal weight.
+def score_bounds(scored: DataFrame, probability: str = "probability", ranges: int | None = None) -> list[float]:
+    """Inner bounds that cut the rows into ranges of about equal weight, a million rows each or fewer.
 
     They steer parallelism only: any bounds give the same results.
     """
+    ranges = ranges or max(SCORE_RANGES, -(-scored.count() // RANGE_ROWS))
     cuts = [i / ranges for i in range(1, ranges)]
     found = scored.agg(F.percentile_approx(probability, cuts, 10 * ranges).alias("q")).first()["q"]
     return sorted(set(found or []))
@@ -58,7 +60,10 @@ def evaluate(scored: DataFrame, label: str = "label", probability: str = "probab
 
     ROC-AUC is NULL where one class is absent.
     """
-    bounds = (score_bounds(scored, probability) if bounds is None else bounds) or [0.0]
+    if bounds is None:  # bounds and sums both read the pairs: they are written once
+        scored = stored(scored.select(label, probability), "scored_pairs")
+        bounds = score_bounds(scored, probability)
+    bounds = bounds or [0.0]
     per_score = scored.groupBy(F.expr(f"{probability} as p")).agg(
         F.expr(f"count_if({label} = 1) as pos"), F.expr(f"count_if({label} = 0) as neg"))
     ranged = Bucketizer(splits=[float("-inf"), *bounds, float("inf")], inputCol="p", outputCol="r",
@@ -73,7 +78,7 @@ def evaluate(scored: DataFrame, label: str = "label", probability: str = "probab
         ranged.selectExpr("*", "sum(neg) over (partition by r order by p) - neg as below")
         .groupBy("r").agg(*[F.expr(f"{e} as {c}") for c, e in sums.items()])
     )
-    # at most SCORE_RANGES rows from here on
+    # one row per range from here on
     before = "coalesce(sum(neg) over (order by r rows between unbounded preceding and 1 preceding), 0)"
     totals = per_range.selectExpr("pos", "neg", f"won + double(pos) * {before} as won", "tp", "fp", "loss").agg(
         *[F.expr(f"coalesce(sum({c}), 0) as {c}") for c in sums])

@@ -11,7 +11,7 @@ import math
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from riskflow.contract import CONTRACT, MISSING_LEVEL, Contract
@@ -20,7 +20,7 @@ from riskflow.functions.time import temporal_columns
 from riskflow.operators.median import column_profile, exact_medians
 
 
-MAX_LEVELS = 10_000
+WIDE = 200  # levels of one column beyond which they are looked up instead of compared one by one
 
 
 @dataclass(frozen=True)
@@ -31,6 +31,7 @@ class FeatureParams:
     mean: dict[str, float]
     scale: dict[str, float]
     levels: dict[str, list[str]]
+    serial_rounding: str = "floor"
 
     def names(self) -> list[str]:
         """Feature names in vector order: numerics as they are, then ``column_level``."""
@@ -41,7 +42,8 @@ class FeatureParams:
         rows = [(i, c, self.median[c], self.mean[c], self.scale[c], None) for i, c in enumerate(self.median)]
         rows += [(len(rows) + i, c, None, None, None, list(vs)) for i, (c, vs) in enumerate(self.levels.items())]
         return spark.createDataFrame(
-            rows, "position int, field string, median double, mean double, scale double, levels array<string>")
+            [(*r, self.serial_rounding) for r in rows],
+            "position int, field string, median double, mean double, scale double, levels array<string>, serial_rounding string")
 
     @classmethod
     def from_frame(cls, df: DataFrame) -> FeatureParams:
@@ -49,7 +51,8 @@ class FeatureParams:
         num = [r for r in rows if r["levels"] is None]
         return cls({r["field"]: r["median"] for r in num}, {r["field"]: r["mean"] for r in num},
                    {r["field"]: r["scale"] for r in num},
-                   {r["field"]: list(r["levels"]) for r in rows if r["levels"] is not None})
+                   {r["field"]: list(r["levels"]) for r in rows if r["levels"] is not None},
+                   rows[0]["serial_rounding"] if rows and "serial_rounding" in df.columns else "floor")
 
     def save(self, spark: SparkSession, path: str) -> str:
         self.to_frame(spark).coalesce(1).write.mode("overwrite").parquet(path)
@@ -117,12 +120,10 @@ def fit_features(df: DataFrame, contract: Contract = CONTRACT, serial_rounding:
     src = prepared_inputs(df, contract, serial_rounding)
     median, mean, scale = fit_numeric(src, contract)
     levels: dict[str, list[str]] = {c: [] for c in contract.categorical}
-    found = level_table(src, contract).orderBy("position", "level").limit(MAX_LEVELS + 1).collect()
-    if len(found) > MAX_LEVELS:  # each level is a model column: not something to cut short
-        raise ValueError(f"more than {MAX_LEVELS} category levels; quarantine unexpected values before fitting")
-    for r in found:
+    # each level is a column of the model, whose names and weights are as many
+    for r in level_table(src, contract).orderBy("position", "level").collect():
         levels[r["field"]].append(r["level"])
-    return FeatureParams(median, mean, scale, levels)
+    return FeatureParams(median, mean, scale, levels, serial_rounding)
 
 
 def scaled(column: str, p: FeatureParams) -> str:
@@ -145,12 +146,30 @@ def transform_wide(df: DataFrame, p: FeatureParams, contract: Contract = CONTRAC
 
 
 def vector_pipeline(p: FeatureParams) -> PipelineModel:
-    """A saveable ML pipeline from prepared inputs to the ``features`` vector, in name order."""
-    values = [scaled(c, p) for c in p.median] + indicators(p)
-    slots = [f"_x{i}" for i in range(len(values))]
-    columns = ", ".join(f"{e} AS {n}" for e, n in zip(values, slots))
-    return PipelineModel([SQLTransformer(statement=f"SELECT *, {columns} FROM __THIS__"),
-                          VectorAssembler(inputCols=slots, outputCol="features")])
+    """A saveable ML pipeline from prepared inputs to the ``features`` vector, in name order.
+
+    A column of very many levels is indexed by a table of them and encoded as one sparse vector; the result is the same.
+    """
+    exprs, slots, indexed = [scaled(c, p) for c in p.median], [f"_n{i}" for i in range(len(p.median))], []
+    order = list(slots)
+    for j, (c, vs) in enumerate(p.levels.items()):
+        if len(vs) > WIDE:
+            exprs.append(filled_category(c))
+            slots.append(f"_t{j}")
+            indexed.append((f"_t{j}", f"_i{j}", f"_v{j}", vs))
+            order.append(f"_v{j}")
+        else:
+            exprs += [f"double({filled_category(c)} = {text_literal(v)})" for v in vs]
+            slots += [f"_x{j}_{k}" for k in range(len(vs))]
+            order += [f"_x{j}_{k}" for k in range(len(vs))]
+    columns = ", ".join(f"{e} AS {n}" for e, n in zip(exprs, slots))
+    stages = [SQLTransformer(statement=f"SELECT *, {columns} FROM __THIS__")]
+    for text, index, vector, vs in indexed:
+        indexer = StringIndexerModel.from_labels(vs, inputCol=text, outputCol=index, handleInvalid="keep")
+        # the indexer's metadata tells the encoder all sizes; its last index, for unseen levels, gets no place
+        known = indexer.transform(SparkSession.active().createDataFrame([(vs[0],)], f"{text} string"))
+        stages += [indexer, OneHotEncoder(inputCol=index, outputCol=vector, dropLast=True).fit(known)]
+    return PipelineModel([*stages, VectorAssembler(inputCols=order, outputCol="features")])
 
 
 def transform_vector(df: DataFrame, p: FeatureParams, contract: Contract = CONTRACT,
@@ -185,8 +204,8 @@ class FeaturePreparer:
         return self.params.save(spark, path)
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str, contract: Contract = CONTRACT,
-             serial_rounding: str = "floor") -> FeaturePreparer:
-        made = cls(contract, serial_rounding)
-        made.params = FeatureParams.load(spark, path)
+    def load(cls, spark: SparkSession, path: str, contract: Contract = CONTRACT) -> FeaturePreparer:
+        params = FeatureParams.load(spark, path)
+        made = cls(contract, params.serial_rounding)
+        made.params = params
         return made

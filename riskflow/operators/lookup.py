@@ -1,9 +1,8 @@
 """Joining transactions to the customer dimension.
 
-The dimension is broadcast only after its bytes were measured. A larger one is
-shuffled, and then the few keys that hold a large share of the fact rows are
-taken out of the shuffle: their dimension rows are bounded in number by that
-share, so those are broadcast and the hot fact rows stay where they are.
+The dimension is broadcast only after its bytes were measured. With a larger one
+both sides are shuffled, and the few keys that hold a large share of the fact rows
+are salted: one counting pass of the key column finds them, and the fact is then read once.
 """
 
 from __future__ import annotations
@@ -16,6 +15,9 @@ from riskflow.operators.clean import clean_key
 
 BROADCAST_BYTES = 64 << 20
 HOT_SHARE = 1 / 1000  # a key at or above this share of all rows is hot; at most 1000 keys can be
+SALTS = 64  # pieces a hot key's rows are dealt into
+FIXED = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DateType, T.TimestampType,
+         T.TimestampNTZType, T.DayTimeIntervalType, T.YearMonthIntervalType, T.NullType)
 
 
 def row_bytes(df: DataFrame) -> str:
@@ -23,12 +25,18 @@ def row_bytes(df: DataFrame) -> str:
     parts = []
     for f in df.schema:
         c = quoted(f.name)
-        if isinstance(f.dataType, T.StringType):
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
             parts.append(f"coalesce(octet_length({c}), 0) + 16")
-        elif isinstance(f.dataType, T.AtomicType):
+        elif isinstance(f.dataType, T.VariantType):
+            parts.append(f"coalesce(octet_length(to_json({c})), 0) + 16")
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            parts.append(f"octet_length(to_json(struct({c}))) + 16")
+        elif isinstance(f.dataType, T.DecimalType):
+            parts.append("32")
+        elif isinstance(f.dataType, FIXED):
             parts.append("8")
         else:
-            parts.append(f"octet_length(to_json(struct({c}))) + 16")
+            raise TypeError(f"the size of {f.name} ({f.dataType.simpleString()}) can't be measured")
     return f"bigint({' + '.join(parts) or '0'})"
 
 
@@ -39,9 +47,11 @@ def measured_bytes(df: DataFrame) -> int:
 
 def hot_keys(fact: DataFrame, key: str, share: float = HOT_SHARE) -> list:
     """Keys holding at least ``share`` of the rows: at most ``1/share`` values."""
-    total = fact.count()
-    counts = fact.where(F.col(key).isNotNull()).groupBy(key).count()
-    return [r[0] for r in counts.where(F.col("count") >= F.lit(max(2.0, total * share))).collect()]
+    # the total is one more group of the same pass, and the largest; a key that is NULL may be among the others
+    counts = fact.select(key).rollup(key).agg(F.count(F.lit(1)).alias("n"), F.grouping(key).alias("whole"))
+    top = counts.orderBy(F.desc("n"), F.desc("whole")).limit(int(1 / share) + 2).collect()
+    total = next((r["n"] for r in top if r["whole"]), 0)
+    return [r[0] for r in top if not r["whole"] and r[0] is not None and r["n"] >= max(2, total * share)]
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, key: str, broadcast_bytes: int = BROADCAST_BYTES,
@@ -56,11 +66,12 @@ def lookup_join(fact: DataFrame, dim: DataFrame, key: str, broadcast_bytes: int
         return fact.join(dim, key, "left")
     hot = hot_keys(fact, key, share)
     is_hot = F.col(key).isin(hot) if hot else F.lit(False)
-    stays = F.col(key).isNull() | is_hot  # a NULL key matches nothing and need not travel
-    hot_dim = dim.where(is_hot)  # at most one row per hot key
-    resident = fact.where(stays).join(F.broadcast(hot_dim), key, "left")
-    shuffled = fact.where(~stays).join(dim, key, "left")
-    return resident.unionByName(shuffled)
+    # rows of hot keys, and those without a key, are dealt into pieces; a hot key has one dimension row, copied to each piece
+    piece = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+    left = fact.withColumn("_salt", F.when(F.col(key).isNull() | is_hot, piece).otherwise(0))
+    pieces = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    right = dim.withColumn("_salt", F.explode(pieces))
+    return left.join(right, [key, "_salt"], "left").drop("_salt")
 
 
 def duplicate_keys(dim: DataFrame, key: str) -> DataFrame:

@@ -11,10 +11,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window, functions as F
 
 from riskflow.contract import CONTRACT, Contract, Variant
+from riskflow.session import stored
 from riskflow.functions.numeric import FLOATS, double_literal, number, quoted, text_literal
 
 SAMPLES = 5
-MESSAGE_VALUES = 100  # values spelled out in one message; bad_categories() has them all
 
 # --- fixed values: rule names, severities, actions and message formats of the report ---
 ERROR, WARNING = "ERROR", "WARNING"
@@ -33,10 +33,12 @@ UNEXPECTED_COLUMNS_MESSAGE = "Dataset contains unexpected extra columns: %s. The
 BAD_TYPE_MESSAGE = "Column '%s' contains %%d non-numeric values."
 NULL_KEY_MESSAGE = "Column '%s' contains %%d null or blank values. Primary keys must be complete."
 MISSING_MESSAGE = "Column '%s' has %%d (%%.2f%%%%) missing values. Downstream imputation will be applied."
-BAD_CATEGORY_MESSAGE = "Column '%s' contains unexpected categories: "
+BAD_CATEGORY_MESSAGE = "Column '%s' contains unexpected categories in %%d rows."
+DISTINCT_MESSAGE = " Distinct values: %d (bad_categories lists them)."
 # --- end of fixed values ---
 
 
+OWN_COLUMNS = ("_issues", "_reasons", "_row", "_seq", "_entry")  # added by this library on the way
 ERROR_STRUCT = "struct<field: string, error_type: string, value: string>"
 
 
@@ -93,10 +95,10 @@ def rules_for(df: DataFrame, variant: Variant, contract: Contract = CONTRACT) ->
 
 
 def column_issues(df: DataFrame, variant: Variant, contract: Contract = CONTRACT) -> tuple[list[str], list[str]]:
-    """Missing and unexpected columns, from the schema alone. ``_`` names are internal."""
+    """Missing and unexpected columns, from the schema alone; the engine's own are neither."""
     missing = [c for c in variant.required if c not in df.columns]
     extra = [c for c in df.columns
-             if c not in variant.required and c != contract.target and not c.startswith("_")]
+             if c not in variant.required and c != contract.target and c not in OWN_COLUMNS]
     return missing, extra
 
 
@@ -125,7 +127,7 @@ def issue_row(df: DataFrame, contract: Contract = CONTRACT, dataset_type: str =
         text = text_literal(r.message)
         if r.error_type == MISSING:
             text = f"format_string({text}, r{i}, r{i} / total * 100)"
-        elif r.error_type != BAD_CATEGORY:
+        else:
             text = f"format_string({text}, r{i})"
         found.append(_issue(r.severity, r.field, r.error_type, f"r{i}", text, f"r{i} > 0"))
     hits = f"filter(array({', '.join(found)}), x -> x is not null) as issues"
@@ -177,14 +179,17 @@ def bad_categories(df: DataFrame, contract: Contract = CONTRACT, dataset_type: s
     """Every unexpected category value with its row count and first place."""
     rules = rules_for(df, contract.variant(df.columns, dataset_type), contract)
     found = violations(df, [r for r in rules if r.error_type == BAD_CATEGORY], row_order(df, contract, order))
-    return found.groupBy("field", "error_type", "value").agg(
-        F.count(F.lit(1)).alias("n"), F.min("_at").alias("_at"))
+    order = row_order(df, contract, order)
+    # the least of a single column is a plain number to a hash aggregate; of several a struct must be compared
+    at = F.struct(F.min(f"_at.{quoted(order[0])}").alias(order[0])) if len(order) == 1 else F.min("_at")
+    return found.groupBy("field", "error_type", "value").agg(F.count(F.lit(1)).alias("n"), at.alias("_at"))
 
 
 def samples(df: DataFrame, contract: Contract = CONTRACT, dataset_type: str = "auto",
-            order: list[str] | None = None, limit: int = SAMPLES) -> DataFrame:
+            order: list[str] | None = None, limit: int = SAMPLES, categories: DataFrame | None = None) -> DataFrame:
     """First ``limit`` offending values per issue; for categories the first distinct ones.
 
+    ``categories`` is the result of :func:`bad_categories` where it is at hand already.
     The filter on the row number turns into a group limit below the shuffle, so each
     task sends at most ``limit`` rows per issue however many rows offend.
     """
@@ -195,8 +200,8 @@ def samples(df: DataFrame, contract: Contract = CONTRACT, dataset_type: str = "a
     if plain:
         parts.append(violations(df, plain, order))
     if any(r.error_type == BAD_CATEGORY for r in rules):
-        parts.append(bad_categories(df, contract, dataset_type, order)
-                     .select("_at", "field", "error_type", "value"))
+        listed = bad_categories(df, contract, dataset_type, order) if categories is None else categories
+        parts.append(listed.select("_at", "field", "error_type", "value"))
     found = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     w = Window.partitionBy("field", "error_type").orderBy("_at", "value")
     return (
@@ -214,11 +219,16 @@ def report(df: DataFrame, contract: Contract = CONTRACT, dataset_type: str = "au
     """
     row = issue_row(df, contract, dataset_type, training) if row is None else row
     missing, extra = column_issues(df, contract.variant(df.columns, dataset_type, training), contract)
-    values = "cast(null as map<string, array<string>>)"
+    values, distinct = "cast(null as map<string, array<string>>)", "cast(null as map<string, bigint>)"
     if with_samples and not missing:
-        # at most MESSAGE_VALUES + 1 values per rule, so one small map
+        # the unexpected values are listed once, for the samples and for their number
+        listed = stored(bad_categories(df, contract, dataset_type, order), "bad_categories")
+        numbers = listed.groupBy("field").agg(F.count(F.lit(1)).alias("n"))  # one row per column
+        row = row.withColumn("_distinct", numbers.agg(F.expr("map_from_entries(collect_list(struct(field, n)))")).scalar())
+        distinct = "_distinct"
+        # at most SAMPLES values per rule, so one small map
         per_issue = (
-            samples(df, contract, dataset_type, order, MESSAGE_VALUES + 1)
+            samples(df, contract, dataset_type, order, categories=listed)
             .groupBy(F.expr("concat_ws(':', field, error_type) as issue"))
             .agg(F.expr("sort_array(collect_list(struct(position, value))).value as values"))
         )
@@ -228,12 +238,11 @@ def report(df: DataFrame, contract: Contract = CONTRACT, dataset_type: str = "au
     by_name = " ".join(
         f"when '{kind}' then cast(array({', '.join(map(text_literal, cols))}) as array<string>)" for kind, cols in names.items())
     complete = f"""named_struct('field', x.i.field, 'error_type', x.i.error_type,
-        'message', if(x.i.error_type = '{BAD_CATEGORY}' and size(x.v) > 0,
-            concat(x.i.message, {text_literal("['")}, array_join(slice(x.v, 1, {MESSAGE_VALUES}), {text_literal("', '")}),
-                   {text_literal("'")}, if(size(x.v) > {MESSAGE_VALUES}, ', ...', ''), ']'), x.i.message),
+        'message', if(x.i.error_type = '{BAD_CATEGORY}' and x.d is not null,
+            concat(x.i.message, format_string({text_literal(DISTINCT_MESSAGE)}, x.d)), x.i.message),
         'severity', x.i.severity, 'invalid_rows_count', x.i.invalid_rows_count,
         'sample_invalid_values', case x.i.error_type {by_name} else slice(x.v, 1, {SAMPLES}) end)"""
-    paired = f"""transform(issues, x -> named_struct('i', x, 'v',
+    paired = f"""transform(issues, x -> named_struct('i', x, 'd', {distinct}[x.field], 'v',
         coalesce({values}[concat_ws(':', x.field, x.error_type)], cast(array() as array<string>))))"""
     full = row.selectExpr("total", f"transform({paired}, x -> {complete}) as found").selectExpr(
         "total", f"filter(found, x -> x.severity = '{ERROR}') as errors",

@@ -7,6 +7,7 @@ so the wide rows are only filtered: no window, no shuffle, no sort of the table.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -33,6 +34,20 @@ class Cut:
     ties: int
 
 
+def test_rows(rows: dict, fraction: float) -> dict:
+    """Test rows of each class: the whole part has its size rounded up, shared out by largest remainder.
+
+    Ties go by the class as text, NULL first. A class of a single row can't be in both parts.
+    """
+    if 0 < fraction < 1 and any(n < 2 for n in rows.values()):
+        raise ValueError(f"a class has a single row: {sorted(str(y) for y, n in rows.items() if n < 2)}")
+    total = sum(rows.values())
+    wanted = min(total, math.ceil(round(total * fraction, 9)))
+    whole = {y: n * wanted // total for y, n in rows.items()}
+    rest = sorted(rows, key=lambda y: (-(rows[y] * wanted % total), y is not None, str(y)))
+    return {y: whole[y] + (y in rest[:wanted - sum(whole.values())]) for y in rows}
+
+
 def find_cuts(df: DataFrame, label: str, id_column: str, fraction: float = TEST_FRACTION,
               seed: int = SEED, ranked_rows: int = RANKED_ROWS) -> list[Cut]:
     """The cut of every class, from the label and id columns only."""
@@ -53,7 +68,11 @@ def find_cuts(df: DataFrame, label: str, id_column: str, fraction: float = TEST_
 
     cuts = []
     length = PREFIX_STEP
-    found = boundary(hashed, F.substring("h", 1, length), F.round(F.col("total") * fraction))
+    takes = test_rows({r["label"]: r["n"] for r in hashed.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}, fraction)
+    need = F.lit(0)
+    for y, take in takes.items():  # one entry per class
+        need = F.when(F.col("label").eqNullSafe(F.lit(y)), F.lit(take)).otherwise(need)
+    found = boundary(hashed, F.substring("h", 1, length), need)
     while found:
         cuts += [Cut(r["label"], r["p"], r["take"], r["n"]) for r in found if length == 32]
         # a prefix taken whole needs no further digits

@@ -11,6 +11,7 @@ from riskflow.operators.clean import clean_key, redact_pii, with_label
 from riskflow.operators.lookup import enrich_strict
 from riskflow.operators.split import stratified_split
 from riskflow.sinks import write_table
+from riskflow.sources.tables import read_any
 
 
 def enriched(txn: DataFrame, cust: DataFrame, contract: Contract = CONTRACT) -> DataFrame:
@@ -75,7 +76,7 @@ def _read(spark: SparkSession, path: str, fmt: str) -> DataFrame:
 
 def load_parts(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Train and test rows; only the partition asked for is read."""
-    df = spark.read.parquet(path)
+    df = read_any(spark, path)
     return tuple(df.where(F.col("split") == part).drop("split") for part in ("train", "test"))
 
 

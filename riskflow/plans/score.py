@@ -2,33 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from riskflow.contract import CONTRACT, Contract
-from riskflow.models.scorers import LinearScorer, MlScorer, Scorer, model_version
+from riskflow.models.scorers import LinearScorer, Scorer, load_scorer, model_version
 from riskflow.operators.decide import DECISION_COLUMNS, decide
 from riskflow.operators.features import FeatureParams, FeaturePreparer, prepared_inputs, scaled, transform_vector
 from riskflow.operators.lookup import enrich_lookup
 from riskflow.operators.quality import clean_rows, quarantined_rows, with_row_issues
 from riskflow.plans.validate import validate
 from riskflow.sinks import write_table
-from riskflow.sources.tables import from_records, read_table, typed_numbers
+from riskflow.sources.tables import from_records, read_any, read_table, typed_numbers
 
 SCORED, QUARANTINED = "scored", "quarantined"
-REFUSED = "REFUSED_REQUEST"
+REFUSED, UNSCORED = "REFUSED_REQUEST", "NO_PROBABILITY"
 
 
 def with_features(df: DataFrame, params: FeatureParams, scorer: Scorer, contract: Contract = CONTRACT) -> DataFrame:
     """What the scorer reads: scaled columns for a linear expression, else the vector."""
     if not isinstance(scorer, LinearScorer):
-        return transform_vector(df, params, contract)
-    return prepared_inputs(df, contract).selectExpr("*", *[f"{scaled(c, params)} as _num_{c}" for c in params.median])
+        return transform_vector(df, params, contract, params.serial_rounding)
+    return prepared_inputs(df, contract, params.serial_rounding).selectExpr("*", *[f"{scaled(c, params)} as _num_{c}" for c in params.median])
 
 
-def score_rows(df: DataFrame, params: FeatureParams, scorer: Scorer, contract: Contract = CONTRACT) -> DataFrame:
-    """Decision columns next to the input columns."""
+def score_rows(df: DataFrame, params: FeatureParams, scorer: Scorer, contract: Contract = CONTRACT,
+               only: Column | None = None) -> DataFrame:
+    """Decision columns next to the input columns; rows where ``only`` doesn't hold are not handed to the model."""
     given = df.columns
-    out = scorer.score(with_features(df, params, scorer, contract)).select(*given, "probability")
+    out = scorer.score(with_features(df, params, scorer, contract), only).select(*given, "probability")
     return decide(out, "probability", scorer.threshold, model_version(scorer))
 
 
@@ -50,8 +51,8 @@ class ScoringJob:
     def load(cls, spark: SparkSession, artifacts: str, customers: str | None = None, **options) -> ScoringJob:
         """Read what training saved; without customers nothing is looked up."""
         params = FeaturePreparer.load(spark, f"{artifacts}/features").params
-        dim = read_table(spark, customers) if customers else None
-        return cls(params, MlScorer.load(f"{artifacts}/classifier"), dim, **options)
+        dim = read_any(spark, customers) if customers else None
+        return cls(params, load_scorer(spark, f"{artifacts}/classifier"), dim, **options)
 
     def enrich(self, df: DataFrame) -> DataFrame:
         return enrich_lookup(df, self.customers, self.contract, self.customer_order)
@@ -86,10 +87,14 @@ class ScoringJob:
             flagged = flagged.withColumn(
                 "_issues", F.when(F.size("_reasons") > 0, refused).otherwise(F.col("_issues"))).drop("_reasons")
         good = F.size("_issues") == 0
-        scored = score_rows(typed_numbers(flagged, self.contract), self.params, self.scorer, self.contract)
+        scored = score_rows(typed_numbers(flagged, self.contract), self.params, self.scorer, self.contract, only=good)
+        # a row the model gave no probability is diverted as well, with that as its error
+        failed = F.array(F.struct(F.lit("probability").alias("field"), F.lit(UNSCORED).alias("error_type"), F.lit(None).cast("string").alias("value")))
+        done = good & F.col("Risk_Probability").isNotNull()
         return scored.withColumns({
-            **{c: F.when(good, F.col(c)) for c in DECISION_COLUMNS},
-            "row_status": F.when(good, SCORED).otherwise(QUARANTINED),
+            **{c: F.when(done, F.col(c)) for c in DECISION_COLUMNS},
+            "row_status": F.when(done, SCORED).otherwise(QUARANTINED),
+            "_issues": F.when(good & ~done, failed).otherwise(F.col("_issues")),
         })
 
     def run(self, path: str, out: str, fmt: str = "parquet", out_fmt: str = "parquet") -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from riskflow.contract import CONTRACT, REVIEW_THRESHOLD, Contract
@@ -15,7 +14,7 @@ from riskflow.operators.evaluate import metrics
 from riskflow.operators.features import FeaturePreparer
 from riskflow.operators.quality import REJECT
 from riskflow.plans.validate import validate
-from riskflow.session import scratch_path
+from riskflow.session import remove, scratch_path
 from riskflow.sinks import write_table
 
 
@@ -33,12 +32,8 @@ class Trained:
 
 
 def _record(scored: DataFrame, threshold: float) -> dict:
-    """Metrics of one model. The scored pairs are kept: they are read twice, by cut points and by sums."""
-    pairs = scored.select("label", "probability").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return metrics(pairs, threshold=threshold).first().asDict(True)
-    finally:
-        pairs.unpersist()
+    """Metrics of one model."""
+    return metrics(scored.select("label", "probability"), threshold=threshold).first().asDict(True)
 
 
 def run_training(train: DataFrame, test: DataFrame, out: str | None = None, contract: Contract = CONTRACT,
@@ -55,16 +50,19 @@ def run_training(train: DataFrame, test: DataFrame, out: str | None = None, cont
     # every pass of both solvers reads these vectors: a written table spares them the features
     # and does not go with a lost executor
     path = scratch_path(spark, "vectors")
-    for name, part in (("train", train), ("test", test)):
-        labelled = with_label(features.transform(part), "label", contract, unmapped="zero")
-        write_table(labelled.select("label", "features"), f"{path}/{name}")
-    train_x, test_x = (spark.read.parquet(f"{path}/{name}") for name in ("train", "test"))
-    baseline = train_logistic(train_x, threshold=threshold)
-    baseline_metrics = _record(baseline.score(test_x), threshold)
-    model = train_forest(train_x, trees=trees, depth=depth, threshold=threshold)
-    found = _record(model.score(test_x), threshold)
-    names = features.params.names()
-    card = model_card(found, baseline_metrics, train_x.count(), test_x.count(), len(names), threshold)
+    try:
+        for name, part in (("train", train), ("test", test)):
+            labelled = with_label(features.transform(part), "label", contract, unmapped="zero")
+            write_table(labelled.select("label", "features"), f"{path}/{name}")
+        train_x, test_x = (spark.read.parquet(f"{path}/{name}") for name in ("train", "test"))
+        baseline = train_logistic(train_x, threshold=threshold)
+        baseline_metrics = _record(baseline.score(test_x), threshold)
+        model = train_forest(train_x, trees=trees, depth=depth, threshold=threshold)
+        found = _record(model.score(test_x), threshold)
+        names = features.params.names()
+        card = model_card(found, baseline_metrics, train_x.count(), test_x.count(), len(names), threshold)
+    finally:
+        remove(spark, path)
     model.metadata = card
     if out:
         save_training(spark, out, model, features, found)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -56,6 +57,35 @@ def checkpointed(df):
     return df.checkpoint()
 
 
+_SCRATCH: dict[str, SparkSession] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for a written table in the shared folder."""
-    return f"{shared_dir(spark)}/riskflow/{name}-{uuid.uuid4().hex}"
+    """A fresh path for a written table in the shared folder; it is removed at the latest when the process ends."""
+    path = f"{shared_dir(spark)}/riskflow/{name}-{uuid.uuid4().hex}"
+    if not _SCRATCH:
+        atexit.register(_sweep)
+    _SCRATCH[path] = spark
+    return path
+
+
+def stored(df, name: str):
+    """A frame as a written table in the shared folder: what is read again comes from there."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system Spark uses for it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    _SCRATCH.pop(path, None)
+
+
+def _sweep() -> None:
+    for path, spark in list(_SCRATCH.items()):
+        try:
+            remove(spark, path)
+        except Exception:  # the session has ended before; its cluster cleans the folder up
+            return

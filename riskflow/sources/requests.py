@@ -10,7 +10,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from riskflow.functions.numeric import text_literal
+from riskflow.functions.numeric import NUMBER_TEXT, text_literal
+from riskflow.functions.time import END_SERIAL, FIRST_SERIAL
 
 REQUIRED = object()
 REASON = "struct<field: string, reason: string>"
@@ -25,13 +26,14 @@ class Field:
     default: object = REQUIRED
     nullable: bool = False
     positive: bool = False
+    serial: bool = False  # days that must name a date
 
 
 # --- fixed values: request fields and their defaults ---
 TRANSACTION_FIELDS = (
     Field("Transaction_ID", "string"),
     Field("Customer_ID", "string"),
-    Field("Transaction_DateTime", "double"),
+    Field("Transaction_DateTime", "double", serial=True),
     Field("Transaction_Type", "string"),
     Field("Amount_NGN", "double", positive=True),
     Field("Channel", "string"),
@@ -67,6 +69,7 @@ def _read(f: Field) -> tuple[str, str]:
     null = "null" if f.nullable else "'null'"
     reason = f"when {kind} is null then {absent} when {kind} = 'VOID' then {null} when {wrong} then 'not a {f.kind}'"
     reason += f" when {value} <= 0 then 'not positive'" if f.positive else ""
+    reason += f" when {value} < {FIRST_SERIAL} or {value} >= {END_SERIAL} then 'no date'" if f.serial else ""
     default = "null" if f.default is REQUIRED else text_literal(str(f.default))
     out = f"case when not _object then null when {kind} is null then cast({default} as {f.kind}) "
     out += f"when {kind} = 'VOID' or {wrong} then null else {value} end"
@@ -83,12 +86,20 @@ def parse_requests(df: DataFrame, payload: str = "payload", fields: tuple[Field,
     return _checked(parsed, [*keep, payload], fields)
 
 
+def _typed(f: Field) -> str:
+    """SQL of the raw value as the wanted type; text counts as a number by the same rule as in tables."""
+    value = f"try_variant_get(_raw_{f.name}, '$', '{f.kind}')"
+    if f.kind == "string":
+        return value
+    odd = f"schema_of_variant(_raw_{f.name}) = 'STRING' and not try_variant_get(_raw_{f.name}, '$', 'string') rlike r'{NUMBER_TEXT}'"
+    return f"if(coalesce({odd}, false), null, {value})"
+
+
 def _checked(parsed: DataFrame, keep: list[str], fields: tuple[Field, ...]) -> DataFrame:
     names = [f.name for f in fields]
     raw = [f"variant_get(_v, '$.{n}', 'variant') as _raw_{n}" for n in names]
     some = " or ".join(f"_raw_{n} is not null" for n in names)
-    typed = [e for f in fields for e in (f"schema_of_variant(_raw_{f.name}) as _kind_{f.name}",
-                                         f"try_variant_get(_raw_{f.name}, '$', '{f.kind}') as _as_{f.name}")]
+    typed = [e for f in fields for e in (f"schema_of_variant(_raw_{f.name}) as _kind_{f.name}", f"{_typed(f)} as _as_{f.name}")]
     checked = (
         parsed.selectExpr(*keep, "_v", *raw)
         .selectExpr(*keep, f"({some} or coalesce(startswith(schema_of_variant(_v), 'OBJECT'), false)) as _object", *typed)

@@ -13,17 +13,24 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.S
 
     CSV columns are found by name and read as text, without an inference pass. Numbers
     stay text, so that validation can report what is not a number; every later step
-    coerces them. Only the columns of ``schema`` that hold times are cast.
+    coerces them. Times stay text too (a serial or a date, row by row), unless ``schema``
+    asks for a timestamp.
     """
     if fmt != "csv":
         reader = spark.read.format(fmt)
         return nan_to_null((reader.schema(schema) if schema is not None else reader).load(path))
     df = spark.read.option("header", True).csv(path)
-    times = {f.name: f.dataType for f in schema or () if f.name == CONTRACT.time and f.name in df.columns}
-    return df.withColumns({
-        c: F.expr(number(c, T.StringType())) if isinstance(t, T.DoubleType) else F.col(c).try_cast(t)
-        for c, t in times.items()
-    }) if times else df
+    times = {f.name: f.dataType for f in schema or () if f.name == CONTRACT.time and f.name in df.columns
+             and isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))}
+    return df.withColumns({c: F.col(c).try_cast(t) for c, t in times.items()}) if times else df
+
+
+def read_any(spark: SparkSession, path: str) -> DataFrame:
+    """A table in whichever of the formats its files are named for: Parquet, ORC or CSV."""
+    names = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
+    kinds = ("csv", "orc")  # one file's name tells
+    found = [k for k in kinds if not names.where(F.col("path").rlike(rf"\.{k}(\.[a-z0-9]+)?$")).isEmpty()]
+    return read_table(spark, path, found[0] if found else "parquet")
 
 
 def typed_numbers(df: DataFrame, contract: Contract = CONTRACT) -> DataFrame:

@@ -150,9 +150,19 @@ def test_linear_scorer(spark):
 
 
 def test_spread(spark):
-    assert spread(spark.range(100).coalesce(1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(100).repartition(9)
-    assert spread(many) is many
+    df, _, _ = vectors(spark)
+
+    def layout(table):
+        return spread(table).select("i", F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("at")).orderBy("i").collect()
+
+    want = layout(df.coalesce(1))
+    assert len({r.p for r in want}) > 8 and layout(df.repartition(7)) == want
+
+
+def test_forest_depends_on_the_rows_alone(data):
+    df = data[0]
+    one, many = (probabilities(train_forest(df.repartition(n), trees=5, depth=4).score(df)) for n in (2, 9))
+    assert one == many
 
 
 def test_card():

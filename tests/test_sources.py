@@ -28,7 +28,7 @@ def test_csv_round_trip(spark, txn, profile, tmp_path):
     write_table(from_records(spark, rows), str(tmp_path / "t"), "csv")
     write_table(from_records(spark, profile), str(tmp_path / "c"), "csv")
     t, c = read_raw(spark, str(tmp_path / "t"), str(tmp_path / "c"), "csv")
-    assert t.schema["Transaction_DateTime"].dataType == T.DoubleType()
+    assert t.schema["Transaction_DateTime"].dataType == T.StringType()  # a serial or a date, row by row
     assert t.where("Device_Type is null").count() == 1
     # text that is no number is still there to be reported
     found = validate(t, strict=False)["errors"]
@@ -41,7 +41,7 @@ def test_csv_columns_by_name(spark, txn, tmp_path):
     df = from_records(spark, txn)
     write_table(df.select(*reversed(df.columns)), str(tmp_path / "t"), "csv")
     got = read_table(spark, str(tmp_path / "t"), "csv", CONTRACT.transaction_schema())
-    assert got.first().Channel == "Mobile App" and got.first().Transaction_DateTime == 46023.05
+    assert got.first().Channel == "Mobile App" and got.first().Transaction_DateTime == "46023.05"
 
 
 def test_nested_columns_in_csv(spark, tmp_path):

@@ -1,4 +1,5 @@
 import hashlib
+import math
 from collections import Counter, defaultdict
 
 import pytest
@@ -13,7 +14,21 @@ def by_hand(rows, fraction=0.2, seed=42):
     classes = defaultdict(list)
     for i, y in rows:
         classes[y].append((hashlib.md5(f"{i}|{seed}".encode()).hexdigest(), i))
-    return {i for y, hs in classes.items() for _, i in sorted(hs)[:int(len(hs) * fraction + 0.5)]}
+    n = len(rows)
+    wanted = math.ceil(round(n * fraction, 6))
+    exact = {y: len(hs) * wanted / n for y, hs in classes.items()}
+    take = {y: int(e + 1e-9) for y, e in exact.items()}
+    for y in sorted(exact, key=lambda y: (-round(exact[y] - take[y], 9), y is not None, str(y)))[:wanted - sum(take.values())]:
+        take[y] += 1
+    return {i for y, hs in classes.items() for _, i in sorted(hs)[:take[y]]}
+
+
+def test_size_of_the_test_part(spark):
+    df = spark.range(12).selectExpr("concat('T', id) as Transaction_ID", "if(id < 6, 'Yes', 'No') as Risk_Review_Flag")
+    assert stratified_split(df).where("split = 'test'").count() == 3
+    assert stratified_split(df.limit(0)).count() == 0
+    with pytest.raises(ValueError, match="single row"):
+        stratified_split(df.where("id <= 6"))
 
 
 @pytest.fixture
@@ -67,4 +82,4 @@ def test_counters_are_few(spark, sf):
     assert len(cuts) == 2 and all(c.take in (0, 1) for c in cuts)
     n = {r[0]: r[1] for r in txn.groupBy("Risk_Review_Flag").count().collect()}
     got = {r[0]: r[1] for r in stratified_split(txn).where("split = 'test'").groupBy("Risk_Review_Flag").count().collect()}
-    assert got == {y: round(c * 0.2) for y, c in n.items()}
+    assert sum(got.values()) == math.ceil(sum(n.values()) * 0.2) and all(abs(got[y] - c * 0.2) < 1 for y, c in n.items())
