@@ -430,3 +430,27 @@ _rows = f"""SELECT _row AS row_id, 'scored' AS row_status, {FLAG}, round_even(p,
     FROM rscored WHERE reasons <> '' OR len(bad) > 0"""
 ORACLES["score_requests"] = with_tables(_rows, "txn", "dfirst", **REQUESTS, rscored=_rscored)
 ORACLES["stream_score"] = ORACLES["score_requests"]
+
+# ---- inputs that used to break ------------------------------------------------------
+
+_times = """SELECT *, cast(CASE _row % 3 WHEN 0 THEN floor((s % 1.0::double) * 24) WHEN 1 THEN hour(t) ELSE 12 END AS double) AS Transaction_Hour,
+    cast(CASE _row % 3 WHEN 0 THEN isodow(date '1899-12-30' + floor(s)::int) - 1 WHEN 1 THEN isodow(t) - 1 ELSE 0 END AS double) AS Transaction_DayOfWeek
+    FROM (SELECT *, Transaction_DateTime AS t, epoch_us(Transaction_DateTime) / 86400000000.0::double + 25569.0::double AS s FROM enr)"""
+_weekend = "SELECT *, cast(Transaction_DayOfWeek >= 5 AS double) AS Is_Weekend FROM times"
+_error_free = " AND ".join(f"NOT coalesce({cond}, false)" for _, _, cond in error_rules())
+ORACLES["csv_times"] = with_tables(
+    """SELECT Transaction_ID, round(p, 4) AS Risk_Probability, 'scored' AS row_status FROM scored_times""",
+    "enr", times=_times, weekend=_weekend, scored_times=f"SELECT *, {linear()} AS p FROM weekend")
+ORACLES["time_bounds"] = with_tables(
+    """SELECT _row AS row_id, CASE WHEN _row % 6 = 5 THEN 12 END AS hour, CASE WHEN _row % 6 = 5 THEN 4 END AS weekday,
+    CASE WHEN _row % 6 = 5 THEN 12 END AS micros_hour, CASE WHEN _row % 6 = 5 THEN 4 END AS micros_weekday FROM txn""", "txn")
+ORACLES["no_probability"] = with_tables(
+    """SELECT _row AS row_id, CASE WHEN _row % 3 = 2 THEN 'Yes' END AS Predicted_Risk_Flag,
+    CASE WHEN _row % 3 = 2 THEN 0.5::double END AS Risk_Probability, CASE WHEN _row % 3 = 2 THEN 'Medium' END AS Risk_Tier,
+    CASE WHEN _row % 3 = 2 THEN 'Secondary Verification (SMS/OTP)' END AS Operational_Action FROM txn""", "txn")
+ORACLES["enrich_large"] = with_tables(
+    """SELECT k._row AS row_id, k.c AS Customer_ID, Age, Gender FROM (
+    SELECT _row, CASE WHEN _row % 3 = 0 THEN (SELECT min(Customer_ID) FROM cust) WHEN _row % 101 = 1 THEN NULL ELSE Customer_ID END AS c
+    FROM txn) k LEFT JOIN cust ON cust.Customer_ID = k.c""", "txn", "cust")
+ORACLES["prepared_csv"] = with_tables("SELECT Transaction_ID, split, Amount_NGN, Channel, Gender FROM split", "split")
+ORACLES["written_tables"] = with_tables("SELECT * EXCLUDE (Customer_Name) FROM cust", "cust")

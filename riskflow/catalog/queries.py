@@ -17,16 +17,17 @@ from riskflow.catalog import setup as s
 from riskflow.contract import CONTRACT
 from riskflow.functions import probability as prob
 from riskflow.functions.time import (
-    hour_and_weekday, night_flag, parse_time, serial_to_time, wall_micros, with_temporal_features,
+    hour_and_weekday, night_flag, parse_time, serial_to_time, time_to_serial, wall_micros, with_temporal_features,
 )
 from riskflow.models.scorers import ExternalScorer
 from riskflow.models.training import train_forest, train_logistic
 from riskflow.operators import clean, decide, evaluate as ev, features as fe, lookup, quality as dq, split as sp
 from riskflow.operators.median import exact_medians
 from riskflow.plans import prepare as prep
-from riskflow.plans.score import score_rows
+from riskflow.plans.score import ScoringJob, score_rows
 from riskflow.plans.train import Trained, run_training
 from riskflow.session import scratch_path
+from riskflow.sinks import write_table
 from riskflow.sources import requests as rq, testviews as views
 from riskflow.streaming.score import decisions, start_scoring
 
@@ -270,6 +271,70 @@ def hard_to_prob(spark, sf):
     return clean.with_label(views.transactions(spark, sf)).select(ID, (1 - p).alias("p0"), p.alias("p1"))
 
 
+@query
+def csv_times(spark, sf):
+    """Serial, date text and junk in one CSV file, scored by the job that reads it."""
+    r = F.col("_row")
+    txn = views.transactions(spark, sf, row=True)
+    text = F.when(r % 3 == 0, time_to_serial(CONTRACT.time).cast("string")).when(
+        r % 3 == 1, F.date_format(CONTRACT.time, "yyyy-MM-dd HH:mm:ss")).otherwise("soon")
+    path, out = scratch_path(spark, "csv_in"), scratch_path(spark, "csv_out")
+    write_table(txn.withColumn(CONTRACT.time, text).drop("_row"), path, "csv")
+    job = ScoringJob(s.FROZEN, s.linear(), views.customers(spark, sf), mode="quarantine")
+    return rounded(job.run(path, out, fmt="csv").select(ID, "Risk_Probability", "row_status"), 4)
+
+
+@query
+def time_bounds(spark, sf):
+    """Serials beyond every calendar have no time, in either rounding."""
+    r = F.col("_row")
+    serial = (F.when(r % 6 == 0, 1e12).when(r % 6 == 1, -1e12).when(r % 6 == 2, 1e300).when(r % 6 == 3, float("inf"))
+              .when(r % 6 == 4, 2958466.0).otherwise(2958465.5))
+    df = views.transactions(spark, sf, row=True).withColumn(CONTRACT.time, serial)
+    kind = df.schema[CONTRACT.time].dataType
+    (h, d), (mh, md) = (hour_and_weekday(CONTRACT.time, kind, rounding) for rounding in ("floor", "micros"))
+    return df.select(r.alias("row_id"), F.expr(h).alias("hour"), F.expr(d).alias("weekday"), F.expr(mh).alias("micros_hour"),
+                     F.expr(md).alias("micros_weekday"))
+
+
+@query
+def no_probability(spark, sf):
+    """Without a probability nothing is decided."""
+    r = F.col("_row")
+    p = F.when(r % 3 == 0, F.lit(None).cast("double")).when(r % 3 == 1, float("nan")).otherwise(0.5)
+    out = decide.decide(views.transactions(spark, sf, row=True).select(r.alias("row_id"), p.alias("probability")))
+    return out.select("row_id", *decide.DECISION_COLUMNS[:-2])
+
+
+@query
+def enrich_large(spark, sf):
+    """The join of a dimension too large to broadcast; one customer holds a third of all rows, some rows have none."""
+    r = F.col("_row")
+    dim = views.customers(spark, sf)
+    hot = dim.agg(F.min("Customer_ID")).scalar()
+    key = F.when(r % 3 == 0, hot).when(r % 101 == 1, F.lit(None)).otherwise(F.col("Customer_ID"))
+    txn = views.transactions(spark, sf, row=True).withColumn("Customer_ID", key)
+    return lookup.lookup_join(txn, dim, "Customer_ID", broadcast_bytes=0).select(r.alias("row_id"), "Customer_ID", "Age", "Gender")
+
+
+@query
+def prepared_csv(spark, sf):
+    """Preparation written as CSV and read back: both parts, from the one table."""
+    out = scratch_path(spark, "prepared")
+    done = prep.run_prepare(views.transactions(spark, sf), views.customers(spark, sf), out, fmt="csv")
+    train, test = prep.load_parts(spark, done.enriched_path)
+    both = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+    return both.select(ID, "split", F.col("Amount_NGN").cast("double").alias("Amount_NGN"), "Channel", "Gender")
+
+
+@query
+def written_tables(spark, sf):
+    """Preparation as Parquet: the customers without personal data, read back."""
+    out = scratch_path(spark, "prepared")
+    done = prep.run_prepare(views.transactions(spark, sf), views.customers(spark, sf), out)
+    return spark.read.parquet(done.customers_path)
+
+
 # ---- features -----------------------------------------------------------------------
 
 def _train_inputs(spark, sf):
