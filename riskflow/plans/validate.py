@@ -27,8 +27,8 @@ def validate(df: DataFrame | None, contract: Contract = CONTRACT, dataset_type:
              training: bool = False, strict: bool = True, order: list[str] | None = None) -> dict:
     """Check a table and give the report, whose size does not depend on the table's.
 
-    All counts come from one pass. Sample values are fetched by a second one, only
-    where there is an error to show. In strict mode an invalid table raises.
+    All counts come from one pass. Sample values take two more, one for values out of range and one for
+    unexpected categories, and only where there is an error to show. In strict mode an invalid table raises.
     """
     if df is None or not df.columns:
         found = empty_report()

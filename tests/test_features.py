@@ -55,14 +55,14 @@ def matrix(df, params):
 
 def test_fitted_statistics(train):
     p = fit_features(train)
-    assert p.median["Amount_NGN"] == (15000.5 + 50000.0) / 2
-    filled = [15000.5, 50000.0, p.median["Amount_NGN"]]
+    assert p.median["Amount_NGN"] == (8125.25 + 50000.0) / 2
+    filled = [8125.25, 50000.0, p.median["Amount_NGN"]]
     assert p.mean["Amount_NGN"] == pytest.approx(np.mean(filled))
     assert p.scale["Amount_NGN"] == pytest.approx(np.std(filled))  # population deviation
     assert p.scale["Tenure_Months"] == 1.0  # constant
-    assert p.levels["Device_Type"] == ["Android", "Missing"] and p.levels["Channel"] == ["Mobile App", "POS", "Web"]
+    assert p.levels["Device_Type"] == ["Missing", "iOS"] and p.levels["Channel"] == ["POS", "Web"]
     assert p.names()[:7] == list(CONTRACT.model_numeric)
-    assert p.names()[7:9] == ["Transaction_Type_Transfer", "Channel_Mobile App"]
+    assert p.names()[7:9] == ["Transaction_Type_Card Purchase", "Channel_POS"]
 
 
 def test_scaled_training_data_is_centred(train):
@@ -151,3 +151,24 @@ def test_moments_after_imputation(spark, values):
     filled = np.array([median if v is None else v for v in values])
     assert mean["x"] == pytest.approx(filled.mean(), abs=1e-9)
     assert scale["x"] == (1.0 if len(set(filled)) == 1 else pytest.approx(filled.std(), rel=1e-9))
+
+
+def test_wide_columns_are_looked_up(spark, enriched):
+    """Twelve thousand levels of one column: each has its place, unseen ones have none."""
+    base = from_records(spark, enriched).drop("Location")
+    df = base.crossJoin(spark.range(12_000).selectExpr("concat('place', id) as Location"))
+    p = fit_features(df)
+    assert len(p.levels["Location"]) == 12_000
+    few = df.where("Location in ('place7', 'place11999')").unionByName(base.withColumn("Location", F.lit("nowhere")))
+    rows = transform_vector(few, p).select("Location", "features").collect()
+    names = p.names()
+    for r in rows:
+        on = [names[i] for i in r.features.toArray().nonzero()[0] if names[i].startswith("Location_")]
+        assert len(r.features) == len(names) and on == ([] if r.Location == "nowhere" else [f"Location_{r.Location}"])
+
+
+def test_rounding_is_saved(spark, train, tmp_path):
+    made = FeaturePreparer(serial_rounding="micros").fit(train)
+    made.save(spark, str(tmp_path / "features"))
+    again = FeaturePreparer.load(spark, str(tmp_path / "features"))
+    assert again.serial_rounding == again.params.serial_rounding == "micros"

@@ -4,7 +4,7 @@ from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from riskflow.models.scorers import ExternalScorer, LinearScorer, MlScorer, default_metadata, path_exists
+from riskflow.models.scorers import ExternalScorer, LinearScorer, MlScorer, default_metadata, load_scorer, path_exists
 from riskflow.models.training import model_card, spread, train_forest, train_logistic, weighted
 from riskflow.operators.evaluate import evaluate
 
@@ -165,6 +165,36 @@ def test_forest_depends_on_the_rows_alone(data):
     assert one == many
 
 
+def test_failed_rows_are_not_shown_to_the_model(spark):
+    df, _, _ = vectors(spark, n=20)
+
+    class Picky:
+        def predict_proba(self, x):
+            assert np.isfinite(x).all() and (x != -99).all()
+            return np.column_stack([1 - x[:, 0], x[:, 0]])
+
+    bad = df.withColumn("good", F.col("i") % 3 > 0).withColumn("features", F.when(F.col("good"), F.col("features")).otherwise(array_to_vector(F.array_repeat(F.lit(-99.0), 6))))
+    out = ExternalScorer(Picky()).score(bad, F.col("good")).collect()
+    assert all((r.probability is None) == (not r.good) for r in out)
+
+
+def test_own_labels_without_probabilities(data):
+    df = data[0]
+    fitted = LinearSVC(maxIter=20).fit(df.withColumn("label", F.col("label").cast("double")))
+    own = {r.i: r.prediction for r in fitted.transform(df).collect()}
+    assert {r.i: r.prediction for r in MlScorer(fitted).predict(df).collect()} == own
+
+
+def test_any_saved_model_loads(spark, tmp_path):
+    ExternalScorer(_Constant()).save(str(tmp_path / "x"))
+    assert isinstance(load_scorer(spark, str(tmp_path / "x")), ExternalScorer)
+
+
+class _Constant:
+    def predict(self, x):
+        return np.zeros(len(x))
+
+
 def test_card():
     a = {"roc_auc": 0.6649, "f1_score": 0.3864}
     card = model_card(a, {"roc_auc": 0.6693, "f1_score": 0.373}, 9600, 2400, 60)
