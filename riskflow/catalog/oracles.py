@@ -304,7 +304,8 @@ ORACLES["no_leakage"] = with_tables(
 # ---- splitting ----------------------------------------------------------------------
 
 ORACLES["split_exact"] = with_tables("SELECT Transaction_ID, Risk_Review_Flag, split FROM split", "split")
-ORACLES["split_scalable"] = with_tables("SELECT Risk_Review_Flag, split, count(*) AS n FROM split GROUP BY ALL", "split")
+ORACLES["split_scalable"] = ORACLES["split_exact"]
+ORACLES["split_counts"] = with_tables("SELECT Risk_Review_Flag, split, count(*) AS n FROM split GROUP BY ALL", "split")
 ORACLES["prepare"] = with_tables(
     "SELECT * EXCLUDE (_row) REPLACE (epoch_us(Transaction_DateTime) AS Transaction_DateTime) FROM split", "split")
 ORACLES["prepare_summary"] = with_tables(
@@ -454,3 +455,10 @@ ORACLES["enrich_large"] = with_tables(
     FROM txn) k LEFT JOIN cust ON cust.Customer_ID = k.c""", "txn", "cust")
 ORACLES["prepared_csv"] = with_tables("SELECT Transaction_ID, split, Amount_NGN, Channel, Gender FROM split", "split")
 ORACLES["written_tables"] = with_tables("SELECT * EXCLUDE (Customer_Name) FROM cust", "cust")
+ORACLES["scan_orc"] = ORACLES["scan_txn"]
+ORACLES["enrich_none"] = with_tables("SELECT Transaction_ID, Customer_ID, Amount_NGN FROM txn", "txn")
+ORACLES["serial_micros"] = with_tables(
+    """SELECT Transaction_ID, hour(t)::int AS hour, (isodow(t) - 1)::int AS weekday FROM (
+    SELECT Transaction_ID, make_timestamp(round((epoch_us(Transaction_DateTime) / 86400000000.0::double + 25569.0::double - 25569.0::double)
+        * 86400000000.0::double)::bigint) AS t FROM txn)""", "txn")
+ORACLES["saved_features"] = ORACLES["scale_num"]

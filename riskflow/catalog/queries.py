@@ -29,6 +29,7 @@ from riskflow.plans.train import Trained, run_training
 from riskflow.session import scratch_path
 from riskflow.sinks import write_table
 from riskflow.sources import requests as rq, testviews as views
+from riskflow.sources.tables import read_table
 from riskflow.streaming.score import decisions, start_scoring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -335,6 +336,38 @@ def written_tables(spark, sf):
     return spark.read.parquet(done.customers_path)
 
 
+@query
+def scan_orc(spark, sf):
+    """A table written as ORC and read with its stored types."""
+    path = scratch_path(spark, "orc")
+    write_table(views.transactions(spark, sf), path, "orc")
+    return read_table(spark, path, "orc").withColumn(CONTRACT.time, micros())
+
+
+@query
+def enrich_none(spark, sf):
+    """Scoring without a dimension leaves the rows as they are."""
+    return lookup.enrich_lookup(views.transactions(spark, sf), None).select(ID, "Customer_ID", "Amount_NGN")
+
+
+@query
+def serial_micros(spark, sf):
+    """Hour and weekday of serials that are rounded to microseconds first."""
+    df = views.serial_transactions(spark, sf)
+    hour, day = hour_and_weekday(CONTRACT.time, df.schema[CONTRACT.time].dataType, "micros")
+    return df.select(ID, F.expr(hour).alias("hour"), F.expr(day).alias("weekday"))
+
+
+@query
+def saved_features(spark, sf):
+    """Statistics written, read back and applied."""
+    path = scratch_path(spark, "features")
+    s.FROZEN.save(spark, path)
+    p = fe.FeatureParams.load(spark, path)
+    src = fe.prepared_inputs(s.clean_enriched(spark, sf))
+    return rounded(src.select(ID, *[F.expr(fe.scaled(c, p)).alias(c) for c in p.median]))
+
+
 # ---- features -----------------------------------------------------------------------
 
 def _train_inputs(spark, sf):
@@ -412,8 +445,12 @@ def split_exact(spark, sf):
 @query
 def split_scalable(spark, sf):
     # the same cut, found by hash prefixes all the way down
-    table = sp.stratified_split(views.transactions(spark, sf), ranked_rows=0)
-    return sp.split_counts(table)
+    return sp.stratified_split(views.transactions(spark, sf), ranked_rows=0).select(ID, CONTRACT.target, "split")
+
+
+@query
+def split_counts(spark, sf):
+    return sp.split_counts(sp.stratified_split(views.transactions(spark, sf)))
 
 
 @query
