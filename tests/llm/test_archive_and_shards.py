@@ -3,6 +3,7 @@
 import gzip
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -89,7 +90,7 @@ def test_shards(spark):
     got = binpack.shard(cases.documents(spark)).collect()
     check(rows, got, 8)
     for r in got:
-        assert r.tokens == len([w for w in __import__("re").split("[\x20\x09-\x0d]+", dict(rows).get(r.doc_id) or "") if w]) or r.doc_id in (7, None)
+        assert r.tokens == len([w for w in re.split("[\x20\x09-\x0d]+", dict(rows).get(r.doc_id) or "") if w]) or r.doc_id in (7, None)
     assert binpack.shard(cases.documents(spark, [])).count() == 0
 
 
