@@ -36,7 +36,7 @@ from riskflow.llm.tables import fresh, slices, stored, texts_of
 from riskflow.llm.words import shingle_sets
 
 #: N-grams of a fragment, n-grams a task gathers before it hands its fragments on, parts an overlap is counted in.
-FRAGMENT, GATHER, PARTS = 1_000_000, 2_000_000, 8
+FRAGMENT, GATHER, PARTS = 1_000_000, 1_000_000, 8
 #: N-grams in more than this share of a task's documents (but 16 at least) are counted for the list of frequent ones.
 FREQUENT, LEAST = 1 / 500, 16
 BITS = 8  # words of 64 parities

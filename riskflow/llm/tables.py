@@ -9,7 +9,9 @@ import zipfile
 from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,10 +20,16 @@ from riskflow.session import scratch_path
 
 _SCRATCH: list[tuple[SparkSession, str]] = []
 _SHIPPED: set[str] = set()
+BATCH_ROWS = 1000
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors' Python this package, once a session; needed where it isn't installed there."""
+    """Give the executors' Python this package, once a session; needed where it isn't installed there.
+
+    Texts have no bound on their length, so batches on the way to Python are made smaller than Spark's 10,000 rows.
+    """
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     app = spark.sparkContext.applicationId
     if app not in _SHIPPED:
         top = Path(__file__).resolve().parents[1]
@@ -121,11 +129,20 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> list[str]:
     return [x or "" for x in column.to_pylist()]
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of at most ``rows``, so that working memory stays small."""
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows`` and ``size`` bytes of text (or one row), so that working memory stays small."""
+    kinds = (pa.types.is_string, pa.types.is_large_string, pa.types.is_binary, pa.types.is_large_binary)
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+        n, at, ends = batch.num_rows, 0, np.zeros(batch.num_rows, np.int64)
+        for column in batch.columns:
+            if any(kind(column.type) for kind in kinds):
+                ends += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(ends)
+        while at < n:
+            before = ends[at - 1] if at else 0
+            stop = min(n, at + rows, max(at + 1, int(np.searchsorted(ends, before + size, side="right"))))
+            yield batch.slice(at, stop - at)
+            at = stop
 
 
 def numbered(table: DataFrame, group: list[str], order: list[str], name: str, rows: int, bucket_rows: int = 100_000) -> DataFrame:
