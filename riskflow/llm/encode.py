@@ -128,3 +128,8 @@ def encoder(path: str, spaced: bool) -> Encoder:
     if (path, spaced) not in _ENCODERS:
         _ENCODERS[path, spaced] = Encoder(path, spaced)
     return _ENCODERS[path, spaced]
+
+
+def forget() -> None:
+    """Drop the caches of this Python worker: the tasks of another operator need the memory."""
+    _ENCODERS.clear()

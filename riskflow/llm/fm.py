@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskflow.llm.encode import forget
 from riskflow.llm.tables import fresh, slices, texts_of
 from riskflow.llm.words import SPACES, joined, mix, word_hashes
 
@@ -187,6 +188,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", text_col: st
     sample = labelled(named, labels, label, [text_col, chars_col], fit_rows)
 
     def vectors(batches):
+        forget()
         for batch in slices(batches):
             index, value, bounds = features(texts_of(batch.column(1)), batch.column(2).to_pylist())
             cut = list(zip(bounds[:-1].tolist(), bounds[1:].tolist()))
@@ -207,6 +209,7 @@ def score(docs: DataFrame, machine: Machine, text_col: str = "text", chars_col:
     wide = rest.withColumns({t: F.col(text_col), c: _with_chars(docs, text_col, chars_col)})
 
     def run(batches):
+        forget()
         for batch in slices(batches):
             found = held.value.score(texts_of(batch.column(batch.num_columns - 2)), batch.column(batch.num_columns - 1).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(found, pa.float64())], names=[*batch.schema.names[:-2], name])
