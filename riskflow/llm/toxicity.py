@@ -1,16 +1,19 @@
-"""Toxicity by the nearest labelled examples, found by exact TF-IDF cosine in a block-max inverted index.
+"""Toxicity by the nearest labelled examples, found by exact TF-IDF cosine over all words.
 
-Terms are words of letters. The examples are at most ``examples`` labelled documents (the lowest hashes of their ids, of the
-share that isn't held out). Terms that separate the two labels beyond ``least_chi`` (chi-squared on the examples' document
-counts) span the vector space; their document frequencies are counted over all documents. A document's weights are
-(1 + ln tf) * ln(1 + N / df), of length 1. The index has each term's postings over the examples, cut into
-blocks of ``BLOCK`` examples with each block's largest weight. For a query, the blocks' sums of query weight times largest
-weight bound every cosine inside; blocks are scored exactly from the highest bound on until no bound reaches the k-th best
-cosine, so the neighbours are the exact ones. Equal cosines go by the example's place.
+Terms are words of letters, all of them. The examples are at most ``examples`` labelled documents (the lowest hashes of their
+ids, of the share that isn't held out). Document frequencies are counted over all documents. A document's weights are
+(1 + ln tf) * ln(1 + N / df), of length 1 over all words of its text, also those that no example has. Frequencies are kept of
+the examples' words and of all others in at least ``RARE`` of the rows (two rows at least); what isn't kept counts as of one
+row, which is exact up to 2 / ``RARE`` rows and beyond that touches lengths only.
+
+Every query is compared with every example: frequent words by a matrix product over the examples, all others by their postings,
+both in 32 bits. All weights are positive, so this is off by less than ``MARGIN`` of the cosine; what may be among the k best is
+summed again in 64 bits, so the neighbours are the exact ones. Equal examples are held once. Equal cosines go by the
+example's place.
 
 The vote weighs each neighbour by 1 / (1.02 - cosine). Votes are turned into probabilities by isotonic regression on the examples'
-own votes, each found without itself. A document without any such term has no direction: its score is the
-smoothed share of toxic ones among the examples without one. Evidence are the neighbours and the terms found.
+own votes, each found without itself. A document without any word of the examples has no direction: its score is the
+smoothed share of toxic ones among the examples without one. Evidence are the neighbours and the number of terms found.
 
 Null texts count as empty and have no terms. Rows with null ids or null labels aren't examples; null ids are scored and count
 as not held out. Repeated rows get equal scores. Without examples the score is 0.5, with one kind of label the smoothed base
@@ -19,8 +22,9 @@ rate. An empty table gives no rows.
 
 from __future__ import annotations
 
-from collections import Counter
 from dataclasses import dataclass, field
+from hashlib import blake2b
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +37,12 @@ from riskflow.llm.tables import fresh, slices, texts_of
 from riskflow.llm.words import LETTERS, joined, word_hashes
 
 EXAMPLES, NEIGHBOURS, BLOCK, THRESHOLD = 20_000, 15, 64, 0.5
-#: Chi-squared from which a term counts as telling, and the fewest examples it must be in.
-LEAST_CHI, LEAST_EXAMPLES = 45.0, 4
+#: Share of the rows from which words of no example have their frequency kept.
+RARE = 1e-6
+#: Share of the examples from which a word is in the matrix (and the most such words), and the error of its 32-bit sums.
+FREQUENT, MATRIX_TERMS, MARGIN = 0.07, 1024, 2e-4
+#: Postings summed at once, and distinct words a task gathers before it hands them on.
+AT_ONCE, GATHERED = 1 << 19, 1 << 19
 #: Examples whose votes calibrate the scores, and answers a worker keeps at hand.
 CALIBRATED, REMEMBERED = 5_000, 20_000
 
@@ -55,25 +63,24 @@ def _counted(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndar
     return o[at], h[at], np.diff(np.concatenate([at, [len(h)]]))
 
 
+def spans(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of all spans, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(first - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
 class Terms:
-    """The chosen terms, looked up by hash."""
+    """Terms, looked up by hash."""
 
     def __init__(self, hashes: np.ndarray):
         self.hashes = np.sort(hashes.astype(np.uint64))
-        self.maybe = np.zeros(1 << 16, bool)
-        self.maybe[(self.hashes & np.uint64(0xFFFF)).astype(np.int64)] = True
-
-    def found(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text number, term number, count), by text and term."""
-        data, ends = joined(texts)
-        hashes, bounds, _ = word_hashes(data, ends, LETTERS)
-        likely = np.flatnonzero(self.maybe[(hashes & np.uint64(0xFFFF)).astype(np.int64)])
-        place = np.searchsorted(self.hashes, hashes[likely])
-        hit = place < len(self.hashes)
-        hit[hit] = self.hashes[place[hit]] == hashes[likely][hit]
-        owner = np.searchsorted(bounds, likely[hit], side="right") - 1
-        o, t, c = _counted(place[hit].astype(np.uint64), owner)
-        return o, t.astype(np.int64), c
+
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """Term numbers, -1 for others."""
+        place = np.searchsorted(self.hashes, hashes)
+        there = place < len(self.hashes)
+        there[there] = self.hashes[place[there]] == hashes[there]
+        return np.where(there, place, -1)
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -93,127 +100,202 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Index:
-    """Examples and their postings, term by term and block by block."""
+    """The examples' words, example by example and word by word."""
 
-    terms: Terms
+    terms: Terms  # words of the examples
     idf: np.ndarray
     ids: np.ndarray
     labels: np.ndarray
     k: int
-    post_example: np.ndarray = field(default=None)  # by term, then example
-    post_weight: np.ndarray = field(default=None)
-    starts: np.ndarray = field(default=None)  # of each term's postings
-    block_term: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default=None)  # per term: blocks, largest weights, postings' bounds
+    others: Terms = field(default_factory=lambda: Terms(np.empty(0)))  # further words, for the lengths of queries
+    others_idf: np.ndarray = field(default_factory=lambda: np.empty(0))
+    single_idf: float = 0.0  # of words in one row
+    bag_term: np.ndarray = field(default=None)  # of the distinct examples, by example, then term
+    bag_count: np.ndarray = field(default=None)
+    bag_starts: np.ndarray = field(default=None)
+    bag_norm: np.ndarray = field(default=None)
+    same: np.ndarray = field(default=None)  # examples by distinct example, then place
+    same_starts: np.ndarray = field(default=None)
     steps: tuple[np.ndarray, np.ndarray] = field(default=None)
-    known: dict[tuple[bytes, bytes], tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
     blank: float = 0.5
     constant: float | None = None
 
-    def weigh(self, owner: np.ndarray, term: np.ndarray, count: np.ndarray, n: int) -> np.ndarray:
-        weight = (1 + np.log(count)) * self.idf[term]
-        norm = np.sqrt(np.bincount(owner, weight * weight, minlength=n))
-        return weight / np.maximum(norm, 1e-12)[owner]
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}  # workers make postings and matrix themselves
 
     def build(self, owner: np.ndarray, term: np.ndarray, count: np.ndarray) -> None:
-        weight = self.weigh(owner, term, count, len(self.ids))
-        order = np.lexsort((owner, term))
-        self.post_example, self.post_weight = owner[order], weight[order]
-        self.starts = np.searchsorted(term[order], np.arange(len(self.idf) + 1))
-        self.block_term = []
-        for a, b in zip(self.starts[:-1].tolist(), self.starts[1:].tolist()):
-            blocks, first = np.unique(self.post_example[a:b] // BLOCK, return_index=True)
-            largest = np.maximum.reduceat(self.post_weight[a:b], first) if b > a else np.empty(0)
-            self.block_term.append((blocks, largest, np.concatenate([first + a, [b]])))
-        self.blocks = -(-len(self.ids) // BLOCK)
+        bounds = np.searchsorted(owner, np.arange(len(self.ids) + 1))
+        number: dict[bytes, int] = {}
+        term, count = term.astype(np.int32), count.astype(np.int32)
+        of = np.array([number.setdefault(blake2b(term[a:b].tobytes() + count[a:b].tobytes(), digest_size=16).digest(), len(number)) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())], np.int64)
+        self.same = np.argsort(of, kind="stable")
+        self.same_starts = np.searchsorted(of[self.same], np.arange(len(number) + 1))
+        first = self.same[self.same_starts[:-1]]
+        sizes = np.diff(bounds)[first]
+        at = spans(bounds[first], sizes)
+        self.bag_term, self.bag_count, self.bag_starts = term[at], count[at], np.concatenate([[0], np.cumsum(sizes)])
+        weight = (1 + np.log(self.bag_count)) * self.idf[self.bag_term]
+        self.bag_norm = np.maximum(np.sqrt(np.bincount(np.repeat(np.arange(len(first)), sizes), weight * weight, minlength=len(first))), 1e-12)
+
+    def _prepare(self) -> None:
+        """Postings of the words, and the matrix of the frequent ones."""
+        n, sizes = len(self.bag_norm), np.diff(self.bag_starts)
+        vector = np.repeat(np.arange(n, dtype=np.int32), sizes)
+        weight = ((1 + np.log(self.bag_count)) * self.idf[self.bag_term] / self.bag_norm[vector]).astype(np.float32)
+        df = np.bincount(self.bag_term, minlength=len(self.idf))
+        frequent = np.argsort(-df, kind="stable")[:MATRIX_TERMS]
+        frequent = frequent[df[frequent] >= max(2, FREQUENT * n)]
+        self._row = np.full(len(self.idf), -1, np.int32)
+        self._row[frequent] = np.arange(len(frequent))
+        row = self._row[self.bag_term]
+        dense = row >= 0
+        self._matrix = np.zeros((len(frequent), n), np.float32)
+        self._matrix[row[dense], vector[dense]] = weight[dense]
+        rare = np.flatnonzero(~dense)
+        rare = rare[np.argsort(self.bag_term[rare], kind="stable")]
+        self._post_vector, self._post_weight = vector[rare], weight[rare]
+        self._starts = np.searchsorted(self.bag_term[rare], np.arange(len(self.idf) + 1))
+        self._query = np.zeros(len(self.idf))
+
+    def _near(self, owner: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
+        """Cosines of n queries with all distinct examples, in 32 bits."""
+        row, width = self._row[term], self._matrix.shape[1]
+        dense = row >= 0
+        query = np.zeros((n, len(self._matrix)), np.float32)
+        query[owner[dense], row[dense]] = weight[dense]
+        near = query @ self._matrix
+        first = self._starts[term]
+        sizes = self._starts[term + 1] - first  # no postings of the matrix's words
+        visits = np.concatenate([[0], np.cumsum(np.bincount(owner, sizes, minlength=n).astype(np.int64))])
+        at, bounds = 0, np.searchsorted(owner, np.arange(n + 1))
+        while at < n:
+            stop = max(at + 1, int(np.searchsorted(visits, visits[at] + AT_ONCE, side="right")) - 1)
+            a, b = bounds[at], bounds[stop]
+            place = spans(first[a:b], sizes[a:b])
+            cell = np.repeat((owner[a:b] - at) * width, sizes[a:b]) + self._post_vector[place]
+            amount = np.repeat(weight[a:b], sizes[a:b]) * self._post_weight[place]
+            near[at:stop] += np.bincount(cell, amount, minlength=(stop - at) * width).reshape(stop - at, width)
+            at = stop
+        return near
+
+    def search(self, owner: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(examples, cosines) of the k nearest with any common term, by cosine, then place, for each of n queries."""
+        if not hasattr(self, "_row"):
+            self._prepare()
+        bounds, out, width = np.searchsorted(owner, np.arange(n + 1)), [], len(self.bag_norm)
+        for low in range(0, n, BLOCK):
+            high = min(n, low + BLOCK)
+            a, b = bounds[low], bounds[high]
+            near = self._near(owner[a:b] - low, term[a:b], weight[a:b], high - low)
+            rank = width - min(k, width)
+            least = np.partition(near, rank, axis=1)[:, rank]
+            query, vector = np.nonzero((near > 0) & (near >= (least * (1 - MARGIN))[:, None]))
+            cut = np.searchsorted(query, np.arange(high - low + 1))
+            for i in range(high - low):
+                c, d = bounds[low + i], bounds[low + i + 1]
+                out.append(self._exact(term[c:d], weight[c:d], vector[cut[i]:cut[i + 1]], k))
+        return out
+
+    def _exact(self, term: np.ndarray, weight: np.ndarray, vector: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        sizes = self.bag_starts[vector + 1] - self.bag_starts[vector]
+        at = spans(self.bag_starts[vector], sizes)
+        terms = self.bag_term[at]
+        self._query[term] = weight
+        shared = self._query[terms]
+        self._query[term] = 0
+        common = np.flatnonzero(shared)
+        place, terms = np.repeat(np.arange(len(vector)), sizes)[common], terms[common]
+        part = shared[common] * (1 + np.log(self.bag_count[at[common]])) * self.idf[terms]
+        cosine = np.round(np.minimum(np.bincount(place, part, minlength=len(vector)) / self.bag_norm[vector], 1.0), 12)
+        copies = np.minimum(self.same_starts[vector + 1] - self.same_starts[vector], k)
+        example, cosine = self.same[spans(self.same_starts[vector], copies)], np.repeat(cosine, copies)
+        rank = np.lexsort((example, -cosine))[:k]
+        return example[rank], cosine[rank]
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """(examples, cosines) of the k nearest with any common term, by cosine, then place.
-
-        Equal queries (short texts share their few telling terms) are answered from a bounded memory.
-        """
-        key = (terms.tobytes(), weights.tobytes())
-        found = self.known.get(key)
-        if found is None:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            found = self.known[key] = self._search(terms, weights, self.k + 1)
-        examples, cosines = found
+        """(examples, cosines) of one query's k nearest."""
+        return self._without(*self.search(np.zeros(len(terms), np.int64), terms, weights, 1, self.k + 1)[0], without)
+
+    def _without(self, examples: np.ndarray, cosines: np.ndarray, without: int) -> tuple[np.ndarray, np.ndarray]:
         keep = examples != without
         return examples[keep][:self.k], cosines[keep][:self.k]
 
-    def _search(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        bound = np.zeros(self.blocks)
-        for t, w in zip(terms, weights):
-            blocks, largest, _ = self.block_term[t]
-            bound[blocks] += w * largest
-        bound = np.round(bound + 1e-12, 12)
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 1e-11]
-        best, cosines, at, step = np.empty(0, np.int64), np.empty(0), 0, 4
-        while at < len(order):
-            if len(cosines) == k:
-                # Of equal cosines the earlier example counts, so a block of the k-th cosine matters only if it begins before it.
-                rest = order[at:]
-                rest = rest[(bound[rest] > cosines[-1] + 2e-12) | ((bound[rest] >= cosines[-1]) & (rest * BLOCK < best[-1]))]
-                if not len(rest):
-                    break
-                order, at = rest, 0
-            chosen = np.sort(order[at:at + step])
-            at, step = at + step, min(2 * step, 256)
-            found, amount = [], []
-            for t, w in zip(terms, weights):
-                blocks, _, bounds = self.block_term[t]
-                place = np.minimum(np.searchsorted(blocks, chosen), len(blocks) - 1)
-                place = place[blocks[place] == chosen]
-                for a, b in zip(bounds[place], bounds[place + 1]):
-                    found.append(self.post_example[a:b])
-                    amount.append(w * self.post_weight[a:b])
-            example, back = np.unique(np.concatenate(found), return_inverse=True)
-            best, cosines = np.concatenate([best, example]), np.concatenate([cosines, np.round(np.bincount(back, np.concatenate(amount)), 12)])
-            rank = np.lexsort((best, -cosines))[:k]
-            best, cosines = best[rank], cosines[rank]
-        return best, np.minimum(cosines, 1.0)
+    def weigh(self, owner: np.ndarray, hashes: np.ndarray, count: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text number, term number, weight) of the words that examples have, of length 1 over all words."""
+        distinct, back = np.unique(hashes, return_inverse=True)
+        number = self.terms.places(distinct)
+        idf = np.full(len(distinct), self.single_idf)
+        idf[number >= 0] = self.idf[number[number >= 0]]
+        out = np.flatnonzero(number < 0)
+        other = self.others.places(distinct[out])
+        idf[out[other >= 0]] = self.others_idf[other[other >= 0]]
+        weight = (1 + np.log(count)) * idf[back]
+        norm = np.maximum(np.sqrt(np.bincount(owner, weight * weight, minlength=n)), 1e-12)
+        known = np.flatnonzero(number[back] >= 0)
+        return owner[known], number[back[known]], weight[known] / norm[owner[known]]
 
     def vote(self, examples: np.ndarray, cosines: np.ndarray) -> float:
         weight = 1 / (1.02 - cosines)
         return float((weight * self.labels[examples]).sum() / weight.sum())
 
-    def calibrate(self, owner: np.ndarray, term: np.ndarray, count: np.ndarray) -> None:
+    def own_votes(self, examples: np.ndarray) -> list[tuple[int, float]]:
+        """Examples that have neighbours besides themselves, and their votes without themselves."""
+        of = np.empty(len(self.ids), np.int64)
+        of[self.same] = np.repeat(np.arange(len(self.bag_norm)), np.diff(self.same_starts))
+        out = []
+        for low in range(0, len(examples), BLOCK):
+            chosen = examples[low:low + BLOCK]
+            vector = of[chosen]
+            sizes = self.bag_starts[vector + 1] - self.bag_starts[vector]
+            at, owner = spans(self.bag_starts[vector], sizes), np.repeat(np.arange(len(chosen)), sizes)
+            term = self.bag_term[at].astype(np.int64)
+            weight = (1 + np.log(self.bag_count[at])) * self.idf[term] / self.bag_norm[vector][owner]
+            for i, near in zip(chosen.tolist(), self.search(owner, term, weight, len(chosen), self.k + 1)):
+                near = self._without(*near, i)
+                if len(near[0]):
+                    out.append((i, self.vote(*near)))
+        return out
+
+    def bare(self) -> np.ndarray:
+        """Examples without a direction."""
+        empty = np.flatnonzero(np.diff(self.bag_starts) == 0)
+        return self.same[spans(self.same_starts[empty], np.diff(self.same_starts)[empty])]
+
+    def calibrate(self) -> None:
         """Each example's own vote without itself, and the share of toxic ones without a direction."""
-        weight, bounds = self.weigh(owner, term, count, len(self.ids)), np.searchsorted(owner, np.arange(len(self.ids) + 1))
-        votes, known = [], []
-        for i in np.flatnonzero(np.diff(bounds))[:CALIBRATED].tolist():
-            a, b = bounds[i], bounds[i + 1]
-            near = self.nearest(term[a:b], weight[a:b], without=i)
-            if len(near[0]):
-                votes.append(self.vote(*near))
-                known.append(self.labels[i])
-        bare = self.labels[np.diff(bounds) == 0]
-        self.blank = float((bare.sum() + 0.5) / (len(bare) + 1 + (len(bare) == 0)))
-        self.known.clear()  # the index is sent without them
-        self.steps = isotonic(np.array(votes), np.array(known, float)) if votes else (np.zeros(1), np.array([self.blank]))
+        bare = self.bare()
+        votes = self.own_votes(np.setdiff1d(np.arange(len(self.ids)), bare)[:CALIBRATED])
+        self.settle(bare, votes)
+
+    def settle(self, bare: np.ndarray, votes: list[tuple[int, float]]) -> None:
+        self.blank = float((self.labels[bare].sum() + 0.5) / (len(bare) + 1 + (len(bare) == 0)))
+        self.steps = isotonic(np.array([v for _, v in votes]), self.labels[[i for i, _ in votes]].astype(float)) if votes else (np.zeros(1), np.array([self.blank]))
 
     def probability(self, vote: float) -> float:
         return float(self.steps[1][max(0, np.searchsorted(self.steps[0], vote, side="right") - 1)])
 
     def score(self, texts: list[str]) -> list[tuple[float, np.ndarray, np.ndarray, int]]:
-        """(score, neighbours' ids, cosines, telling terms found) of each text."""
+        """(score, neighbours' ids, cosines, terms found) of each text; equal texts are answered once, from a bounded memory."""
         if self.constant is not None:
             return [(self.constant, np.empty(0, np.int64), np.empty(0), 0)] * len(texts)
-        out = [(self.blank, np.empty(0, np.int64), np.empty(0), 0)] * len(texts)
-        owner, term, count = self.terms.found(texts)
-        if len(owner):
-            weight = self.weigh(owner, term, count, len(texts))
-            rows, first = np.unique(owner, return_index=True)
-            for i, a, b in zip(rows.tolist(), first, [*first[1:], len(owner)]):
-                examples, cosines = self.nearest(term[a:b], weight[a:b])
-                if len(examples):
-                    out[i] = (self.probability(self.vote(examples, cosines)), self.ids[examples], cosines, int(b - a))
-        return out
+        known = self.__dict__.setdefault("_known", {})
+        keys = [blake2b(t.encode("utf-8", "surrogatepass"), digest_size=16).digest() for t in texts]
+        new = {key: t for key, t in zip(keys, texts) if key not in known}
+        out = {key: known[key] for key in keys if key in known}
+        if new:
+            owner, term, weight = self.weigh(*distinct_terms(list(new.values())), len(new))
+            sizes = np.bincount(owner, minlength=len(new)).tolist()
+            for key, size, (examples, cosines) in zip(new, sizes, self.search(owner, term, weight, len(new), self.k)):
+                out[key] = (self.probability(self.vote(examples, cosines)), self.ids[examples], cosines, size) if len(examples) else (self.blank, np.empty(0, np.int64), np.empty(0), 0)
+                if len(known) >= REMEMBERED:
+                    known.clear()
+                known[key] = out[key]
+        return [out[key] for key in keys]
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text_col: str = "text", examples: int = EXAMPLES, k: int = NEIGHBOURS) -> Index:
     """The index of at most ``examples`` labelled documents; frequencies are counted over all of ``docs``."""
+    spark = docs.sparkSession
     sample = labelled(docs.select("doc_id", text_col), labels, label, [text_col], examples)
 
     def bags(batches):
@@ -224,77 +306,59 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text_col: str
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2).cast(pa.int32()), pa.array([term[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary()),
                                               pa.array([count[a:b].astype(np.int32).tobytes() for a, b in zip(cut, cut[1:])], pa.binary())], names=["d_id", "y", "terms", "counts"])
 
-    bagged = sample.mapInArrow(bags, "d_id long, y int, terms binary, counts binary")
-    # The telling terms first, from counts by label; so the driver gets postings of those alone.
-    n_by_label, rows = _label_counts(bagged)
-    if len(n_by_label) < 2:
-        n = sum(n_by_label.values())
-        return Index(Terms(np.empty(0)), np.empty(0), np.empty(0), np.empty(0), k, constant=(n_by_label.get(1, 0) + 1) / (n + 2))
-    terms = Terms(rows)
-    spread = docs.sparkSession.sparkContext.broadcast(terms)
+    # Arrow's buffers, not row objects: at most ``examples`` bags of words.
+    held = sample.mapInArrow(bags, "d_id long, y int, terms binary, counts binary").toArrow().to_pydict()
+    held = sorted(zip(held["d_id"], held["y"], held["terms"], held["counts"]))
+    toxic = np.array([int(y > 0) for _, y, _, _ in held])
+    if toxic.min(initial=1) == toxic.max(initial=0) or not len(held):
+        return Index(Terms(np.empty(0)), np.empty(0), np.empty(0), np.empty(0), k, constant=(toxic.sum() + 1) / (len(held) + 2))
+    ids, sizes = np.array([d for d, _, _, _ in held], np.int64), [len(c) // 4 for _, _, _, c in held]
+    hashes = np.frombuffer(b"".join(t for _, _, t, _ in held), np.uint64)
+    count = np.frombuffer(b"".join(c for _, _, _, c in held), np.int32)
+    del held
+    terms = Terms(np.unique(hashes))
+    total = docs.count()
+    own, others, df = _frequencies(docs.select(text_col), terms, max(2, ceil(RARE * total)))
+    index = Index(terms, np.log(1 + total / np.maximum(own, 1)), ids, toxic, k, others, np.log(1 + total / df), float(np.log(1 + total)))
+    index.build(np.repeat(np.arange(len(ids), dtype=np.int32), sizes), np.searchsorted(terms.hashes, hashes).astype(np.int32), count)
+    index.calibrate()
+    return index
 
-    def counts(batches):
-        n, seen = 0, Counter()
-        for batch in slices(batches):
-            _, term, _ = spread.value.found(texts_of(batch.column(0)))
-            seen.update(term.tolist())
-            n += batch.num_rows
-        yield pa.RecordBatch.from_arrays([pa.array([-1, *seen], pa.int64()), pa.array([n, *seen.values()], pa.int64())], names=["term", "n"])
 
-    found = docs.select(text_col).mapInArrow(counts, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()  # one row per telling term
-    df = np.zeros(len(terms.hashes))
-    for r in found:
-        if r.term >= 0:
-            df[r.term] = r.n
-    total = sum(r.n for r in found if r.term < 0)
+def _frequencies(texts: DataFrame, terms: Terms, least: int) -> tuple[np.ndarray, Terms, np.ndarray]:
+    """Rows with each of ``terms``, and other words in at least ``least`` rows with their numbers of rows."""
+    spread = texts.sparkSession.sparkContext.broadcast(terms)
 
-    def chosen(batches):
-        for batch in slices(batches):
-            owner, term, count = spread.value.found(texts_of(batch.column(1)))
-            cut = np.searchsorted(owner, np.arange(batch.num_rows + 1)).tolist()
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2).cast(pa.int32()), *(pa.array([x[a:b].astype(np.int32).tobytes() for a, b in zip(cut, cut[1:])], pa.binary()) for x in (term, count))], names=["d_id", "y", "terms", "counts"])
-
-    held = sorted(sample.mapInArrow(chosen, "d_id long, y int, terms binary, counts binary").collect(), key=lambda r: (r.d_id, r.y, bytes(r.terms), bytes(r.counts)))
-    index = Index(terms, np.log(1 + total / np.maximum(df, 1)), np.array([r.d_id for r in held], np.int64), np.array([int(r.y > 0) for r in held]), k)
-    sizes = [len(r.terms) // 4 for r in held]
-    owner = np.repeat(np.arange(len(held)), sizes)
-    term = np.frombuffer(b"".join(bytes(r.terms) for r in held), np.int32).astype(np.int64)
-    count = np.frombuffer(b"".join(bytes(r.counts) for r in held), np.int32).astype(np.int64)
-    index.build(owner, term, count)
-    index.calibrate(owner, term, count)
-    return index
+    def counts(batches):
+        held, size = [], 0
+
+        def merged():
+            term, back = np.unique(np.concatenate([t for t, _ in held]), return_inverse=True)
+            return term, np.bincount(back, np.concatenate([n for _, n in held])).astype(np.int64)
 
+        def made():
+            term, n = merged()
+            return pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(spread.value.places(term) >= 0), pa.array(n)], names=["term", "own", "n"])
 
-def _label_counts(bagged: DataFrame) -> tuple[dict[int, int], np.ndarray]:
-    """Examples by label, and the hashes of the telling terms, from document counts that executors sum up."""
-
-    def partial(batches):
-        n, seen = Counter(), Counter()
-        for batch in batches:
-            for y, raw in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                y = int(y > 0)
-                n[y] += 1
-                seen.update(zip(np.frombuffer(raw, np.int64).tolist(), [y] * (len(raw) // 8)))
-        rows = [(None, y, c) for y, c in n.items()] + [(t, y, c) for (t, y), c in seen.items()]
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int64())], names=["term", "y", "n"])
-
-    by = bagged.mapInArrow(partial, "term long, y int, n long").groupBy("term").agg(
-        F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("pos"), F.sum("n").alias("a"))
-    by = by.where(F.col("term").isNull() | (F.col("a") >= LEAST_EXAMPLES))
-    stats = by.persist()
-    try:
-        whole = stats.where(F.col("term").isNull()).first()
-        if whole is None or not whole.a:
-            return {}, np.empty(0)
-        n, pos = whole.a, whole.pos
-        if pos in (0, n):
-            return {int(pos > 0): n}, np.empty(0)
-        odds, a = F.col("a") * pos / n, F.col("a")
-        chi = F.lit(float(n)) * n * n * (F.col("pos") - odds) ** 2 / (a * (n - a) * F.lit(float(pos)) * (n - pos))
-        kept = stats.where(F.col("term").isNotNull() & (a < n) & (chi >= LEAST_CHI)).select("term").collect()  # some of the examples' terms
-        return {1: pos, 0: n - pos}, np.array([r.term for r in kept], np.int64).view(np.uint64)
-    finally:
-        stats.unpersist()
+        for batch in slices(batches):
+            held.append(np.unique(distinct_terms(texts_of(batch.column(0)))[1], return_counts=True))
+            size += len(held[-1][0])
+            if size > 2 * GATHERED:
+                held = [merged()]
+                size = len(held[0][0])
+                if size > GATHERED:
+                    yield made()
+                    held, size = [], 0
+        if held:
+            yield made()
+
+    found = texts.mapInArrow(counts, "term long, own boolean, n long").groupBy("term", "own").agg(F.sum("n").alias("n")).where(F.col("own") | (F.col("n") >= least)).toArrow()
+    term, n = found["term"].to_numpy().view(np.uint64), found["n"].to_numpy()
+    mine = found["own"].to_numpy().astype(bool)
+    df = np.zeros(len(terms.hashes))
+    df[terms.places(term[mine])] = n[mine]
+    order = np.argsort(term[~mine])
+    return df, Terms(term[~mine]), n[~mine][order]
 
 
 def score(docs: DataFrame, index: Index, text_col: str = "text", name: str = "score", evidence: bool = False) -> DataFrame:

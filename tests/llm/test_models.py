@@ -1,8 +1,11 @@
 """Piecewise hashes, nearest examples and the factorisation machine against plain versions and held-out labels."""
 
 import hashlib
+import math
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -128,6 +131,44 @@ def test_index_is_exact(monkeypatch):
         assert got.tolist() == want and near == pytest.approx(np.minimum(cosine[want], 1))
 
 
+def brute_force_neighbours(rows, labels):
+    """For each text all (cosine, id) of examples with a common word, over all words of both."""
+    bags = [Counter(re.findall(rb"[a-z\x80-\xff]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (t or "").encode()))) for _, t in rows]
+    df = Counter(w for b in bags for w in b)
+    vectors = []
+    for b in bags:
+        v = {w: (1 + math.log(c)) * math.log(1 + len(rows) / df[w]) for w, c in b.items()}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        vectors.append({w: x / norm for w, x in v.items()})
+    examples = sorted((d, i) for i, (d, _) in enumerate(rows) if d in labels and zlib.crc32(str(d).encode()) % 5)
+    out = []
+    for v in vectors:
+        near = [(sum(x * vectors[i].get(w, 0) for w, x in v.items()), d) for d, i in examples]
+        out.append(sorted(((c, d) for c, d in near if c > 0), key=lambda x: (-round(x[0], 10), x[1])))
+    return out
+
+
+def test_neighbours_over_all_words(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "BLOCK", 16)
+    monkeypatch.setattr(toxicity, "AT_ONCE", 100)
+    rows = [(d, t) for d, t in {d: (d, t) for d, t in cases.texts() if d is not None}.values()]
+    rows += [(1000 + i, cases.prose(i, 30 + i % 50) + (" clown" if i % 4 == 0 else "") + f" own{'abcdefghij'[i % 10] * (i % 7 + 1)}") for i in range(150)]
+    rows += [(2000 + i, "quite unlike words stand here alone zz" + "qwxv"[i % 4] * (i + 1)) for i in range(4)]  # words of no example
+    rows += [(3000 + i, rows[40][1]) for i in range(30)]  # equal examples
+    labels = {d: int("clown" in (t or "")) for d, t in rows if not 2000 <= d < 3000}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    cases.documents(spark, [])  # ships the package
+    made = spark.createDataFrame([(d, 1, y) for d, y in labels.items()], cases.LABELS)
+    got = {r.doc_id: r for r in toxicity.score(docs, toxicity.fit(docs, made), evidence=True).collect()}
+    searched = 0
+    for (d, _), want in zip(rows, brute_force_neighbours(rows, labels)):
+        top = want[:toxicity.NEIGHBOURS]
+        assert got[d].cosines == pytest.approx([c for c, _ in top], abs=1e-9), d
+        assert got[d].neighbours == [e for _, e in top], d
+        searched += bool(top)
+    assert searched > 0.9 * len(rows)
+
+
 def test_isotonic():
     x, y = np.array([0, 0.1, 0.2, 0.3, 0.4, 0.4]), np.array([0.0, 1, 0, 1, 1, 1])
     at, p = toxicity.isotonic(x, y)
