@@ -43,8 +43,8 @@ RARE = 1e-6
 FREQUENT, MATRIX_TERMS, MARGIN = 0.07, 1024, 2e-4
 #: Postings summed at once, and distinct words a task gathers before it hands them on.
 AT_ONCE, GATHERED = 1 << 19, 1 << 19
-#: Examples whose votes calibrate the scores, and answers a worker keeps at hand.
-CALIBRATED, REMEMBERED = 5_000, 20_000
+#: Examples whose own votes a task finds, and answers a worker keeps at hand.
+VOTES, REMEMBERED = 500, 20_000
 
 
 def distinct_terms(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -261,13 +261,9 @@ class Index:
         empty = np.flatnonzero(np.diff(self.bag_starts) == 0)
         return self.same[spans(self.same_starts[empty], np.diff(self.same_starts)[empty])]
 
-    def calibrate(self) -> None:
-        """Each example's own vote without itself, and the share of toxic ones without a direction."""
+    def settle(self, votes: list[tuple[int, float]]) -> None:
+        """Probabilities from each example's own vote, and the share of toxic ones without a direction."""
         bare = self.bare()
-        votes = self.own_votes(np.setdiff1d(np.arange(len(self.ids)), bare)[:CALIBRATED])
-        self.settle(bare, votes)
-
-    def settle(self, bare: np.ndarray, votes: list[tuple[int, float]]) -> None:
         self.blank = float((self.labels[bare].sum() + 0.5) / (len(bare) + 1 + (len(bare) == 0)))
         self.steps = isotonic(np.array([v for _, v in votes]), self.labels[[i for i, _ in votes]].astype(float)) if votes else (np.zeros(1), np.array([self.blank]))
 
@@ -321,7 +317,15 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text_col: str
     own, others, df = _frequencies(docs.select(text_col), terms, max(2, ceil(RARE * total)))
     index = Index(terms, np.log(1 + total / np.maximum(own, 1)), ids, toxic, k, others, np.log(1 + total / df), float(np.log(1 + total)))
     index.build(np.repeat(np.arange(len(ids), dtype=np.int32), sizes), np.searchsorted(terms.hashes, hashes).astype(np.int32), count)
-    index.calibrate()
+    held = index._sent = spark.sparkContext.broadcast(index)  # of at most ``examples`` rows
+
+    def votes(batches):
+        for batch in batches:
+            found = held.value.own_votes(batch.column(0).to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in found], pa.int64()), pa.array([v for _, v in found], pa.float64())], names=["example", "vote"])
+
+    voted = spark.range(0, len(ids), 1, -(-len(ids) // VOTES)).mapInArrow(votes, "example long, vote double").toArrow().to_pydict()  # one row per example
+    index.settle(sorted(zip(voted["example"], voted["vote"])))
     return index
 
 
@@ -369,10 +373,12 @@ def score(docs: DataFrame, index: Index, text_col: str = "text", name: str = "sc
 
         extra += [StructField("neighbours", ArrayType(LongType())), StructField("cosines", ArrayType(DoubleType())), StructField("terms_found", IntegerType())]
     rest = docs.drop(*(f.name for f in extra))
-    held = docs.sparkSession.sparkContext.broadcast(index)  # of at most ``examples`` rows
+    held = getattr(index, "_sent", None) or docs.sparkSession.sparkContext.broadcast(index)  # of at most ``examples`` rows
+    steps, blank = index.steps, index.blank  # found after the index was sent
     t, = fresh(rest, "scored_text")
 
     def run(batches):
+        held.value.steps, held.value.blank = steps, blank
         for batch in slices(batches):
             found = held.value.score(texts_of(batch.column(batch.num_columns - 1)))
             columns = [pa.array([f[0] for f in found], pa.float64())]

@@ -169,6 +169,17 @@ def test_neighbours_over_all_words(spark, monkeypatch):
     assert searched > 0.9 * len(rows)
 
 
+def test_all_examples_calibrate(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "CALIBRATED", 40, raising=False)  # there was such a bound
+    rows = [(i, cases.prose(i, 30) + (" clown" * (1 + i % 3) if i % 4 == 0 and i > 100 else "")) for i in range(300)]
+    labels = spark.createDataFrame([(d, 1, int("clown" in t or d % 9 == 0)) for d, t in rows], cases.LABELS)
+    index = toxicity.fit(cases.documents(spark, rows), labels)
+    votes = index.own_votes(np.arange(len(index.ids)))
+    assert len(votes) > 200
+    at, p = toxicity.isotonic(np.array([v for _, v in votes]), index.labels[[i for i, _ in votes]].astype(float))
+    assert index.steps[0].tolist() == at.tolist() and index.steps[1].tolist() == p.tolist()
+
+
 def test_isotonic():
     x, y = np.array([0, 0.1, 0.2, 0.3, 0.4, 0.4]), np.array([0.0, 1, 0, 1, 1, 1])
     at, p = toxicity.isotonic(x, y)
