@@ -166,16 +166,23 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, columns: list[str], limit: int) -> DataFrame:
-    """At most ``limit`` labelled documents that aren't held out: ``columns`` and ``y``, by the lowest hash of the id.
+    """At most ``limit`` rows of labelled documents that aren't held out: ``columns`` and ``y``, one for each id, text and label.
 
-    Only ids meet in the choice; its size bounds the broadcast.
+    Ids are taken by the lowest hash. Further texts of a repeated id come after all first texts, so no id crowds out others.
+    Only ids and hashes of texts meet in the choice; its size bounds the broadcasts. Repeated rows leave within tasks first.
     """
-    chosen = labels.select(F.col("doc_id").cast("long").alias("y_id"), F.col(label).cast("int").alias("y")).where(
-        F.col("y_id").isNotNull() & F.col("y").isNotNull() & ~held_out("y_id"))
-    there = docs.select(F.col("doc_id").cast("long").alias("y_id")).distinct()  # labels of other documents don't count
-    chosen = chosen.join(there, "y_id", "left_semi").orderBy(F.xxhash64("y_id"), "y_id", "y").limit(limit)
-    return docs.select(F.col("doc_id").cast("long").alias("d_id"), *(F.col(c).alias(a) for c, a in zip(columns, ["text", "n_chars"]))).join(
-        F.broadcast(chosen), F.col("d_id") == F.col("y_id")).drop("y_id")
+    chosen = labels.select(F.col("doc_id").cast("long").alias("d_id"), F.col(label).cast("int").alias("y")).where(
+        F.col("d_id").isNotNull() & F.col("y").isNotNull() & ~held_out("d_id")).distinct()
+    there = docs.select(F.col("doc_id").cast("long").alias("d_id")).distinct()  # labels of other documents don't count
+    chosen = chosen.join(there, "d_id", "left_semi").orderBy(F.xxhash64("d_id"), "d_id", "y").limit(limit)
+    names = ["text", "n_chars"][:len(columns)]
+    rows = docs.select(F.col("doc_id").cast("long").alias("d_id"), *(F.col(c).alias(a) for c, a in zip(columns, names))).join(
+        F.broadcast(chosen), "d_id").withColumn("text_key", F.xxhash64("text"))
+    keys = rows.groupBy("d_id", "y", "text_key").agg(F.count(F.lit(1)).alias("repeats"))
+    first = keys.groupBy("d_id", "y").agg(F.min("text_key").alias("first_key"))
+    kept = keys.join(F.broadcast(first), ["d_id", "y"]).orderBy(F.col("text_key") != F.col("first_key"), F.xxhash64("d_id"), "d_id", "y", "text_key").limit(limit)
+    return rows.join(F.broadcast(kept.select("d_id", "y", "text_key")), ["d_id", "y", "text_key"], "left_semi").groupBy("d_id", "text", "y").agg(
+        *(F.min(c).alias(c) for c in names[1:]), F.count(F.lit(1)).alias("repeats")).select("d_id", *names, "y")
 
 
 def _with_chars(docs: DataFrame, text_col: str, chars_col: str) -> Column:

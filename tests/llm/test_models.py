@@ -169,6 +169,19 @@ def test_neighbours_over_all_words(spark, monkeypatch):
     assert searched > 0.9 * len(rows)
 
 
+def test_repeated_rows_keep_the_bound(spark):
+    rows = [(7, "seven")] * 300 + [(8, f"text {i}") for i in range(100)] + [(100 + i, f"other {i % 5}") for i in range(40)]
+    labels = spark.createDataFrame([(d, 1, d % 2) for d in {d for d, _ in rows}] + [(7, 1, 1)] * 50, cases.LABELS)
+    docs = cases.documents(spark, rows)
+    free = {d for d, _ in rows if zlib.crc32(str(d).encode()) % 5}
+    assert {7, 8} <= free
+    for limit in (10, len(free), 60, 1000):
+        got = fm.labelled(docs, labels, "toxic", ["text", "n_chars"], limit).collect()
+        assert len(got) == len({(r.d_id, r.text, r.y) for r in got}) == min(limit, len(free) + 99)
+        assert len({r.d_id for r in got}) == min(limit, len(free)) and all((r.d_id, r.text) in set(rows) and r.y == r.d_id % 2 for r in got)
+    assert len(toxicity.fit(docs, labels, examples=20).ids) == 20
+
+
 def test_all_examples_calibrate(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "CALIBRATED", 40, raising=False)  # there was such a bound
     rows = [(i, cases.prose(i, 30) + (" clown" * (1 + i % 3) if i % 4 == 0 and i > 100 else "")) for i in range(300)]
