@@ -22,6 +22,7 @@ rate. An empty table gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 from hashlib import blake2b
 from math import ceil
@@ -124,18 +125,26 @@ class Index:
         return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}  # workers make postings and matrix themselves
 
     def build(self, owner: np.ndarray, term: np.ndarray, count: np.ndarray) -> None:
-        bounds = np.searchsorted(owner, np.arange(len(self.ids) + 1))
+        bounds = np.searchsorted(owner, np.arange(len(self.ids) + 1)).tolist()
+        self.gather((term[a:b], count[a:b]) for a, b in zip(bounds, bounds[1:]))
+
+    def gather(self, bags: Iterable[tuple[np.ndarray, np.ndarray]]) -> None:
+        """Take (terms, counts) of each example, one at a time: the driver has little memory."""
         number: dict[bytes, int] = {}
-        term, count = term.astype(np.int32), count.astype(np.int32)
-        of = np.array([number.setdefault(blake2b(term[a:b].tobytes() + count[a:b].tobytes(), digest_size=16).digest(), len(number)) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())], np.int64)
+        of, terms, counts, norms = [], [], [], []
+        for term, count in bags:
+            term, count = term.astype(np.int32), count.astype(np.int32)
+            of.append(number.setdefault(blake2b(term.tobytes() + count.tobytes(), digest_size=16).digest(), len(number)))
+            if of[-1] == len(terms):
+                terms.append(term)
+                counts.append(count)
+                norms.append(max(float(np.sqrt((((1 + np.log(count)) * self.idf[term]) ** 2).sum())), 1e-12))
         self.same = np.argsort(of, kind="stable")
-        self.same_starts = np.searchsorted(of[self.same], np.arange(len(number) + 1))
-        first = self.same[self.same_starts[:-1]]
-        sizes = np.diff(bounds)[first]
-        at = spans(bounds[first], sizes)
-        self.bag_term, self.bag_count, self.bag_starts = term[at], count[at], np.concatenate([[0], np.cumsum(sizes)])
-        weight = (1 + np.log(self.bag_count)) * self.idf[self.bag_term]
-        self.bag_norm = np.maximum(np.sqrt(np.bincount(np.repeat(np.arange(len(first)), sizes), weight * weight, minlength=len(first))), 1e-12)
+        self.same_starts = np.searchsorted(np.array(of)[self.same], np.arange(len(number) + 1))
+        self.bag_norm, self.bag_starts = np.array(norms), np.concatenate([[0], np.cumsum([len(t) for t in terms])])
+        self.bag_term = np.concatenate(terms)
+        del terms
+        self.bag_count = np.concatenate(counts)
 
     def _prepare(self) -> None:
         """Postings of the words, and the matrix of the frequent ones."""
@@ -303,20 +312,22 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text_col: str
                                               pa.array([count[a:b].astype(np.int32).tobytes() for a, b in zip(cut, cut[1:])], pa.binary())], names=["d_id", "y", "terms", "counts"])
 
     # Arrow's buffers, not row objects: at most ``examples`` bags of words.
-    held = sample.mapInArrow(bags, "d_id long, y int, terms binary, counts binary").toArrow().to_pydict()
-    held = sorted(zip(held["d_id"], held["y"], held["terms"], held["counts"]))
-    toxic = np.array([int(y > 0) for _, y, _, _ in held])
-    if toxic.min(initial=1) == toxic.max(initial=0) or not len(held):
+    table = sample.mapInArrow(bags, "d_id long, y int, terms binary, counts binary").toArrow()
+    words, numbers = ([v.as_buffer() for chunk in table[c].chunks for v in chunk] for c in ("terms", "counts"))
+    held = sorted((d, y, blake2b(words[i]).digest(), blake2b(numbers[i]).digest(), i) for i, (d, y) in enumerate(zip(table["d_id"].to_pylist(), table["y"].to_pylist())))
+    toxic = np.array([int(y > 0) for _, y, *_ in held])
+    if not held or toxic.min() == toxic.max():
         return Index(Terms(np.empty(0)), np.empty(0), np.empty(0), np.empty(0), k, constant=(toxic.sum() + 1) / (len(held) + 2))
-    ids, sizes = np.array([d for d, _, _, _ in held], np.int64), [len(c) // 4 for _, _, _, c in held]
-    hashes = np.frombuffer(b"".join(t for _, _, t, _ in held), np.uint64)
-    count = np.frombuffer(b"".join(c for _, _, _, c in held), np.int32)
-    del held
-    terms = Terms(np.unique(hashes))
+    ids, order = np.array([d for d, *_ in held], np.int64), [i for *_, i in held]
+    parts = [np.unique(np.frombuffer(b"".join(words[at:at + 2000]), np.uint64)) for at in range(0, len(words), 2000)]
+    terms = Terms(np.unique(np.concatenate(parts)))
+    del held, parts
     total = docs.count()
     own, others, df = _frequencies(docs.select(text_col), terms, max(2, ceil(RARE * total)))
     index = Index(terms, np.log(1 + total / np.maximum(own, 1)), ids, toxic, k, others, np.log(1 + total / df), float(np.log(1 + total)))
-    index.build(np.repeat(np.arange(len(ids), dtype=np.int32), sizes), np.searchsorted(terms.hashes, hashes).astype(np.int32), count)
+    index.gather((np.searchsorted(terms.hashes, np.frombuffer(words[i], np.uint64)), np.frombuffer(numbers[i], np.int32)) for i in order)
+    del table, words, numbers, own, df
+    pa.default_memory_pool().release_unused()
     held = index._sent = spark.sparkContext.broadcast(index)  # of at most ``examples`` rows
 
     def votes(batches):
