@@ -165,6 +165,7 @@ class Index:
         self._post_vector, self._post_weight = vector[rare], weight[rare]
         self._starts = np.searchsorted(self.bag_term[rare], np.arange(len(self.idf) + 1))
         self._query = np.zeros(len(self.idf))
+        self._logs = 1 + np.log(np.maximum(np.arange(self.bag_count.max(initial=0) + 1), 1))
 
     def _near(self, owner: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
         """Cosines of n queries with all distinct examples, in 32 bits."""
@@ -209,12 +210,12 @@ class Index:
         sizes = self.bag_starts[vector + 1] - self.bag_starts[vector]
         at = spans(self.bag_starts[vector], sizes)
         terms = self.bag_term[at]
-        self._query[term] = weight
+        self._query[term] = weight * self.idf[term]
         shared = self._query[terms]
         self._query[term] = 0
         common = np.flatnonzero(shared)
-        place, terms = np.repeat(np.arange(len(vector)), sizes)[common], terms[common]
-        part = shared[common] * (1 + np.log(self.bag_count[at[common]])) * self.idf[terms]
+        place = np.repeat(np.arange(len(vector)), sizes)[common]
+        part = shared[common] * self._logs[self.bag_count[at[common]]]
         cosine = np.round(np.minimum(np.bincount(place, part, minlength=len(vector)) / self.bag_norm[vector], 1.0), 12)
         copies = np.minimum(self.same_starts[vector + 1] - self.same_starts[vector], k)
         example, cosine = self.same[spans(self.same_starts[vector], copies)], np.repeat(cosine, copies)
