@@ -8,7 +8,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import bestfit, binpack, bitplanes, bpe, ctph, fm, fsjoin, grace, toxicity, warc
+from riskflow.llm import bestfit, binpack, bitplanes, bpe, ctph, fm, fsjoin, grace, merkle, spelling, tokencount, toxicity, warc
+from riskflow.llm.sql import MERKLE, SPELLING
 from riskflow.llm.tables import ship
 
 
@@ -71,6 +72,21 @@ def op10_factorisation_machine(spark: SparkSession, sf: str) -> DataFrame:
     return _judged(fm.score(docs, fm.fit(docs, _labels(spark, sf))), fm.THRESHOLD)
 
 
+def op11_merkle_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Where the checksum of the id is even, the line ends of the text are taken out; the proofs find those rows."""
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    tampered = F.when(even, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return merkle.audit(_documents(spark, sf), tampered, ["doc_id", "source", "lang", "n_chars", "text"])
+
+
+def op12_heap_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return tokencount.count_tokens(_documents(spark, sf))
+
+
+def op13_trie_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.variants(_documents(spark, sf), strike=31)
+
+
 def _shipped(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(f)
     def run(spark: SparkSession, sf: str) -> DataFrame:
@@ -83,7 +99,7 @@ def _shipped(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _shipped(f) for f in (
         op1_warc_index_merge, op2_bit_planes, op3_piecewise_hashes, op4_vector_bin_packing, op5_nearest_examples, op6_vertical_jaccard_join, op7_grace_hash_dedup, op8_best_fit_packing,
-        op9_forced_boundary_bpe, op10_factorisation_machine)}
+        op9_forced_boundary_bpe, op10_factorisation_machine, op11_merkle_windows, op12_heap_token_counts, op13_trie_variants)}
 
 ORACLES: dict[str, str] = {
     "op1_warc_index_merge": """
@@ -98,4 +114,6 @@ WITH texts AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D
      groups AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM texts GROUP BY t)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256
 FROM texts JOIN groups USING (t)""",
+    "op11_merkle_windows": MERKLE,
+    "op13_trie_variants": SPELLING,
 }

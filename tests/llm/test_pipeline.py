@@ -12,7 +12,7 @@ from . import cases
 
 def test_registered():
     names = set(entry.queries())
-    assert {n.split("_")[0] for n in catalog.QUERIES} == {f"op{i}" for i in range(1, 11)} and set(catalog.QUERIES) | {"pipeline"} <= names
+    assert {n.split("_")[0] for n in catalog.QUERIES} == {f"op{i}" for i in range(1, 14)} and set(catalog.QUERIES) | {"pipeline"} <= names
     assert set(catalog.ORACLES) <= set(entry.oracle_sql()) and len(corpus_pipeline.STAGES) == 5
 
 
