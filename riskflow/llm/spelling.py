@@ -10,8 +10,8 @@ with its word is a neighbour.
   node, so the number of levels depends on how often words part and not on their length.
 * A state without edits stands at a node of its own word and edits where an edge leaves it: the edge's first letter is
   inserted, or replaces a smaller one. The pair is found from the shorter word, or from the one with the smaller letter, and counts
-  for both. A state with an edit follows its word's own letters. An edge knows the first letters behind its end, so states that
-  would end there aren't made.
+  for both. A state with an edit follows its word's own letters. An edge knows the first letters behind its end, and a few hundred bits
+  of hashes of all that lies below it, so most states that would end further down aren't made.
 * A node that more than ``CROWD`` words share has its edges (one for each letter) copied to several parts, and the words that pass are dealt to them.
 
 Neighbours are confirmed by their edit distance, as hashes of prefixes might agree by chance; such a chance adds paths and hides none.
@@ -34,11 +34,13 @@ LETTER = "[A-Za-zÀ-ÿ]"
 LETTERS, OCCURRENCES, RATIO = 7, 2, 10
 #: Words that pass a node in one part of it.
 CROWD = 20_000
+#: Numbers of 64 bits each that sum up the ends of words below a node.
+SUMS = 4
 
 
 def lowered(text: Column) -> Column:
     """Lower case of A to Z only."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
 
 
 def struck(run: Column, number: Column, every: int) -> Column:
@@ -52,7 +54,8 @@ def vocabulary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     With ``strike`` every so many-th run, by the checksum of its document and itself, loses a letter: planted misspellings.
     """
-    runs = docs.select(F.col(id_col).cast("string").alias("id"), F.explode(F.regexp_extract_all(F.col(text_col), F.lit(f"{LETTER}{{{letters},}}+"), F.lit(0))).alias("run"))
+    # the outer form of explode spares a filter on the number of runs, for which the pattern would run twice
+    runs = docs.select(F.col(id_col).cast("string").alias("id"), F.explode_outer(F.regexp_extract_all(F.col(text_col), F.lit(f"(?<!{LETTER}){LETTER}{{{letters},}}+"), F.lit(0))).alias("run"))
     word = run = lowered(F.col("run"))
     if strike:
         runs = runs.select("id", run.alias("run")).select("run", F.crc32(F.concat("id", F.lit(":"), "run").cast("binary")).alias("number"))
@@ -70,59 +73,99 @@ def _bit(letter: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), letter % 64)
 
 
-def _paths(words: DataFrame) -> DataFrame:
-    """``way, text, n, path``: per word and reading direction the nodes where words part, from half of the word on."""
+def _sum_bit(number: Column) -> Column:
+    """The bit that a hash has in the number of its turn."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(number, F.lit(64)).cast("int"))
+
+
+def _turn(number: Column) -> Column:
+    """Which of the numbers that sum up a node has the bit of a hash."""
+    return F.pmod(F.shiftright(number, 6), F.lit(SUMS))
+
+
+def _tries(words: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Nodes and paths of both tries, for words read from the front (``way`` 0) and from the back (1).
+
+    ``node, letters, below0 ..., parts``: prefixes behind which words part, with the letters and the ends that follow.
+    ``way, text, n, path, skip``: each word's nodes (depth, node, parts) from half of it on, and how many come before the half.
+    """
     read = words.select(F.explode(F.array(F.struct(F.lit(0).alias("way"), F.col("word").alias("text")), F.struct(F.lit(1).alias("way"), F.reverse("word").alias("text")))).alias("r"), "n")
     text, depth = F.col("text"), F.col("depth")
-    steps = read.select("r.way", "r.text", "n").withColumn("depth", F.explode(F.expr("sequence((length(text) - 1) div 2, length(text))")))
+    steps = read.select("r.way", "r.text", "n").withColumn("depth", F.explode_outer(F.expr("sequence((length(text) - 1) div 2, length(text))")))
     steps = steps.withColumn("depth", depth.cast("int")).withColumn("node", F.xxhash64("way", text.substr(F.lit(1), depth)))
-    letter = _letter(text, depth)
-    nodes = steps.select("node", letter.alias("letter")).groupBy("node").agg(
-        F.min("letter").alias("least"), F.max("letter").alias("most"), F.bit_or(_bit(F.col("letter"))).alias("letters"), F.count(F.lit(1)).alias("words"))
-    nodes = nodes.where("least < most").select("node", "letters", F.ceil(F.col("words") / CROWD).cast("int").alias("parts"))
-    found = steps.join(nodes, "node").groupBy("way", "text", "n").agg(F.sort_array(F.collect_list(F.struct("depth", "node", "parts", "letters"))).alias("path"))
-    return stored(found, "spelling_paths")
-
-
-def _edges(paths: DataFrame) -> DataFrame:
-    """``node, part, label, child, child_parts, letters, target, target_n``: down to the next node, or to the end of a word."""
-    hop = F.explode(F.expr("transform(path, (p, i) -> struct(p as at, get(path, i + 1) as next))")).alias("hop")
+    behind = steps.select("node", text.substr(depth + 1, F.length(text)).alias("rest")).select("node", F.ascii("rest").alias("letter"), F.xxhash64("rest").alias("number"))
+    behind = behind.select("node", "letter", _turn(F.col("number")).alias("turn"), _sum_bit(F.col("number")).alias("bit"))
+    sums = [f"below{i}" for i in range(SUMS)]
+    nodes = behind.groupBy("node").agg(F.min("letter").alias("least"), F.max("letter").alias("most"), F.bit_or(_bit(F.col("letter"))).alias("letters"),
+                                       F.count(F.lit(1)).alias("words"), *(F.bit_or(F.when(F.col("turn") == i, F.col("bit")).otherwise(F.lit(0).cast("long"))).alias(name) for i, name in enumerate(sums)))
+    nodes = stored(nodes.where("least < most").select("node", "letters", F.ceil(F.col("words") / CROWD).cast("int").alias("parts"), *sums), "spelling_nodes")
+    found = steps.join(nodes.select("node", "parts"), "node").groupBy("way", "text", "n").agg(F.sort_array(F.collect_list(F.struct("depth", "node", "parts"))).alias("path"))
+    # the words as they are keep their first half, the reversed ones their last
+    half = F.expr("if(way = 0, length(text) div 2, length(text) - length(text) div 2)")
+    return nodes, stored(found.withColumn("skip", F.size(F.filter("path", lambda p: p["depth"] < half))), "spelling_paths")
+
+
+def _edges(nodes: DataFrame, paths: DataFrame) -> DataFrame:
+    """``node, part, first, tail, child, child_parts, letters, below0 ..., target, target_n``: down to the next node, or to the end of a word.
+
+    The label is its ``first`` letter and its ``tail``; bits of the letters that may come after the first (``second``) and after the last (``letters``).
+    """
+    hop = F.explode_outer(F.expr("transform(path, (p, i) -> struct(p as at, get(path, i + 1) as next))")).alias("hop")
     down = paths.select("text", "n", hop).select(
         F.col("hop.at.node").alias("node"), F.col("hop.at.parts").alias("parts"),
         F.col("text").substr(F.col("hop.at.depth") + 1, F.coalesce(F.col("hop.next.depth") - F.col("hop.at.depth"), F.length("text"))).alias("label"),
-        F.col("hop.next.node").alias("child"), F.col("hop.next.parts").alias("child_parts"), F.col("hop.next.letters").alias("letters"),
-        F.when(F.col("hop.next").isNull(), F.col("text")).alias("target"), F.when(F.col("hop.next").isNull(), F.col("n")).alias("target_n"))
-    return down.distinct().withColumn("part", F.explode(F.expr("sequence(0, parts - 1)"))).drop("parts")
+        F.col("hop.next.node").alias("child"), F.when(F.col("hop.next").isNull(), F.col("text")).alias("target"), F.when(F.col("hop.next").isNull(), F.col("n")).alias("target_n"))
+    ends = nodes.select(F.col("node").alias("below"), F.col("parts").alias("child_parts"), "letters", *(f"below{i}" for i in range(SUMS)))
+    whole = down.distinct().join(ends, F.col("child") == F.col("below"), "left").drop("below").withColumn("letters", F.coalesce("letters", F.lit(1)))
+    second = F.when(F.length("label") > 1, _bit(_letter(F.col("label"), F.lit(1)))).otherwise(F.col("letters"))
+    own = {"first": F.ascii("label"), "second": second, "tail": F.expr("substring(label, 2)")}
+    return whole.withColumns(own).withColumn("part", F.explode_outer(F.expr("sequence(0, parts - 1)"))).drop("parts", "label")
 
 
 def _step(states: DataFrame, edges: DataFrame) -> DataFrame:
-    """One level: states meet the edges of their nodes; the rows that have made an edit and go on, or have ended (``target``)."""
-    text, at, label = F.col("text"), F.col("at"), F.col("label")
-    size, first, own = F.length(label), F.ascii(label), _letter(text, at)
-    tail = F.substring(label, F.lit(2), size)
-    met = states.withColumn("part", F.pmod(F.xxhash64("text"), F.col("parts")).cast("int")).drop("parts").join(edges, ["node", "part"])
-    edits = F.col("edits") == 1
-    inserted = F.when(~edits & (first > 0) & (first != own) & (tail == text.substr(at + 1, size - 1)), at + size - 1)
-    replaced = F.when(~edits & (own > 0) & (first > own) & (tail == text.substr(at + 2, size - 1)), at + size)
-    followed = F.when(edits & (label == text.substr(at + 1, size)), at + size)
-    gone = met.withColumn("at", F.explode(F.filter(F.array(inserted, replaced, followed), lambda x: x.isNotNull())))
-    ends = F.when(F.col("target").isNotNull(), F.col("at") == F.length("text")).otherwise(F.col("letters").bitwiseAND(_bit(_letter(text, F.col("at")))) != 0)
-    return gone.where(ends).select("way", "text", "n", "at", F.col("child").alias("node"), F.col("child_parts").alias("parts"), "target", "target_n", F.col("target").isNotNull().alias("found"))
+    """One level: states meet the edges of their nodes; the rows that have made an edit and go on, or have ended (``target``).
+
+    A state offers two moves. It stays where it is in its word while the edge's first letter is inserted (``late`` 0), or passes a letter, which the
+    edge's first one replaces or, after an edit, equals (1). Single letters are compared first, as bits; tails and texts for what is left.
+    The generated code of a level must stay short, or the JVM won't compile it: what depends on the state alone is reckoned before the join.
+    """
+    text, at, own, edited = F.col("text"), F.col("at"), F.col("own"), F.col("edits") == 1
+    none, least, most = F.lit(0).cast("long"), F.lit(1), F.lit(0x110000)
+    dealt = states.withColumns({"own": _letter(text, at), "ahead": _letter(text, at + 1), "part": F.pmod(F.xxhash64("text"), F.col("parts")).cast("int")})
+    dealt = dealt.select("way", "text", "n", "at", "node", "part", "own",
+                         F.when(edited, own).when(own == 0, most).otherwise(own + least).alias("low"), F.when(edited, own).otherwise(most).alias("high"),
+                         F.when(edited, none).otherwise(_bit(own)).alias("inserts"), F.when(edited, F.lit(-1).cast("long")).otherwise(_bit(F.col("ahead"))).alias("passes"))
+    first, second = F.col("first"), F.col("second")
+    stays = (first > 0) & (first != own) & (second.bitwiseAND(F.col("inserts")) != 0)
+    moves = first.between(F.col("low"), F.col("high")) & (second.bitwiseAND(F.col("passes")) != 0)
+    met = dealt.join(edges, (dealt["node"] == edges["node"]) & (dealt["part"] == edges["part"]) & (stays | moves)).drop("node", "part")
+    late = F.col("late")
+    start, size = at + late, F.length("tail")
+    gone = met.withColumn("late", F.explode(F.array(F.lit(0), F.lit(1)))).where(F.when(late == 0, stays).otherwise(moves) & (text.substr(start + 1, size) == F.col("tail")))
+    gone = gone.select("way", "text", "n", F.when(first == 0, at).otherwise(start + size).alias("at"), "child", "child_parts", "letters", *(f"below{i}" for i in range(SUMS)), "target", "target_n")
+    gone = gone.withColumn("rest", text.substr(at + 1, F.length(text)))
+    ended = F.col("target").isNotNull() & (F.col("rest") == "")
+    on = gone.where(ended | (F.col("target").isNull() & (F.col("letters").bitwiseAND(_bit(F.ascii("rest"))) != 0))).withColumn("number", F.xxhash64("rest"))
+    turn = _turn(F.col("number"))
+    below = F.col("below0")
+    for i in range(1, SUMS):
+        below = F.when(turn == i, F.col(f"below{i}")).otherwise(below)
+    found = F.col("target").isNotNull()
+    on = on.where(found | (below.bitwiseAND(_sum_bit(F.col("number"))) != 0))
+    return on.select("way", "text", "n", "at", F.col("child").alias("node"), F.col("child_parts").alias("parts"), "target", "target_n", found.alias("found"))
 
 
 def near_words(words: DataFrame) -> DataFrame:
     """``word, n, other, other_n``: each pair of words at one edit once. ``words`` (``word, n``) must be a written table of distinct words."""
     spark = words.sparkSession
-    paths = _paths(words)
-    edges = stored(_edges(paths), "spelling_edges")
-    anchor = F.expr("if(way = 0, length(text) div 2, length(text) - length(text) div 2)")
-    below = paths.select("way", "text", "n", F.filter("path", lambda p: p["depth"] >= anchor).alias("path"))
-    deepest = below.agg(F.max(F.size("path"))).head()[0] or 0
+    nodes, paths = _tries(words)
+    edges = stored(_edges(nodes, paths), "spelling_edges")
+    deepest = paths.agg(F.max(F.size("path") - F.col("skip"))).head()[0] or 0
     kinds = "way int, text string, n long, at int, node long, parts int, target string, target_n long, found boolean"
     frontier, found, level, left = None, [], 0, None
     while level < deepest or left is not None:
-        own = F.expr(f"get(path, {level})")
-        states = below.where(F.size("path") > level).select("way", "text", "n", own["depth"].alias("at"), own["node"].alias("node"), own["parts"].alias("parts"), F.lit(0).alias("edits"))
+        own = F.expr(f"get(path, skip + {level})")
+        states = paths.where(F.size("path") > F.col("skip") + level).select("way", "text", "n", own["depth"].alias("at"), own["node"].alias("node"), own["parts"].alias("parts"), F.lit(0).alias("edits"))
         if frontier is not None:
             states = states.union(frontier)
         place = scratch(spark, "spelling_frontier")
