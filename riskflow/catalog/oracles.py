@@ -236,6 +236,7 @@ ORACLES["dq_report"] = with_tables(
     {_listed.format('ERROR')} AS errors, {_listed.format('WARNING')} AS warnings,
     (SELECT string_agg(value, ',' ORDER BY first_row) FROM vals) AS category_samples FROM issues""",
     "denr", **issues(), vals=_values)
+ORACLES["dq_merged"] = ORACLES["dq_report"]
 _no_error = " AND ".join(f"NOT coalesce({cond}, false)" for _, _, cond in error_rules())
 ORACLES["quarantine_clean"] = with_tables(
     f"SELECT _row AS row_id, Transaction_ID, Customer_ID, Channel, Age FROM denr WHERE {_no_error}", "denr")

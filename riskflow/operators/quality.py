@@ -1,14 +1,15 @@
 """Data-quality rules, their report, and the row-level quarantine.
 
-Every rule is one boolean expression. The report counts all of them in a single
-shuffle-free aggregate; the quarantine evaluates the same expressions per row.
+Every rule is one boolean expression. A report reads the table once: the counters of all rules are
+observed while the offending cells are written, and values are taken from those. The quarantine
+evaluates the same expressions per row.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Observation, Window, functions as F
 
 from riskflow.contract import CONTRACT, Contract, Variant
 from riskflow.session import stored
@@ -37,6 +38,7 @@ BAD_CATEGORY_MESSAGE = "Column '%s' contains unexpected categories in %%d rows."
 DISTINCT_MESSAGE = " Distinct values: %d (bad_categories lists them)."
 # --- end of fixed values ---
 
+SHOWN = (BAD_TYPE, OUT_OF_RANGE, BAD_CATEGORY)  # rules whose offending values a report shows
 
 OWN_COLUMNS = ("_issues", "_reasons", "_row", "_seq", "_entry")  # added by this library on the way
 ERROR_STRUCT = "struct<field: string, error_type: string, value: string>"
@@ -107,11 +109,41 @@ def issue_counts(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return df.agg(F.expr("count(1) as total"), *[F.expr(f"count_if({r.bad}) as r{i}") for i, r in enumerate(rules)])
 
 
+@dataclass(frozen=True)
+class Measured:
+    """What one pass over a table leaves: :func:`issue_counts` as it came out, and every cell that a report shows values of."""
+
+    counts: DataFrame
+    hits: DataFrame  # _at, field, error_type, value
+
+    @property
+    def any_error(self) -> bool:
+        return not self.hits.isEmpty()
+
+
+def measure(df: DataFrame, rules: list[Rule], order: list[str]) -> Measured:
+    """Read the table once: its counters are observed while the offending cells are written.
+
+    The written table holds the cells of rules that show values and nothing of good rows; samples, categories and their
+    counts are taken from it. Each task's counters reach the driver once, with the task whose output is committed.
+    """
+    seen = Observation()
+    fields = list(dict.fromkeys([*(r.field for r in rules), *order]))
+    total, *counters = [F.expr("count(1) as total"), *[F.expr(f"count_if({r.bad}) as r{i}") for i, r in enumerate(rules)]]
+    observed = df.select(*(F.col(quoted(c)) for c in fields)).observe(seen, total, *counters)
+    hits = stored(violations(observed, [r for r in rules if r.error_type in SHOWN], order), "dq_hits")
+    found = seen.get
+    names = ["total", *(f"r{i}" for i in range(len(rules)))]
+    counts = df.sparkSession.createDataFrame([tuple(found.get(n, 0) for n in names)], ", ".join(f"{n} long" for n in names))
+    return Measured(counts, hits)
+
+
 def issue_row(df: DataFrame, contract: Contract = CONTRACT, dataset_type: str = "auto",
-              training: bool = False) -> DataFrame:
+              training: bool = False, counts: DataFrame | None = None) -> DataFrame:
     """One row: ``total`` and the array of issues found, in report order.
 
-    An empty table yields only ``EMPTY_DATASET``. Missing columns end the checks.
+    An empty table yields only ``EMPTY_DATASET``. Missing columns end the checks. ``counts`` are the
+    :func:`issue_counts` where they are at hand already.
     """
     variant = contract.variant(df.columns, dataset_type, training)
     missing, extra = column_issues(df, variant, contract)
@@ -131,7 +163,7 @@ def issue_row(df: DataFrame, contract: Contract = CONTRACT, dataset_type: str =
             text = f"format_string({text}, r{i})"
         found.append(_issue(r.severity, r.field, r.error_type, f"r{i}", text, f"r{i} > 0"))
     hits = f"filter(array({', '.join(found)}), x -> x is not null) as issues"
-    return issue_counts(df, rules).selectExpr("total", hits)
+    return (issue_counts(df, rules) if counts is None else counts).selectExpr("total", hits)
 
 
 def issues(df: DataFrame, contract: Contract = CONTRACT, dataset_type: str = "auto",
@@ -174,62 +206,87 @@ def row_order(df: DataFrame, contract: Contract, order: list[str] | None) -> lis
     return order or [c for c in (contract.time, *contract.ids) if c in df.columns]
 
 
+def listed_values(hits: DataFrame, order: list[str]) -> DataFrame:
+    """Every unexpected category value among the offending cells, with its row count and first place.
+
+    The least of a single column is a plain number or time to a hash aggregate. With several order columns the first is
+    taken so, and only the cells that tie in it are compared as a whole.
+    """
+    found = hits.where(F.col("error_type") == BAD_CATEGORY)
+    key, lead = ["field", "error_type", "value"], F.col(f"_at.{quoted(order[0])}")
+    counts = found.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min(lead).alias("_lead"), F.max(lead.isNull()).alias("_none"))
+    if len(order) == 1:
+        least = F.when(~F.col("_none"), F.col("_lead"))  # null comes first
+        return counts.select(*key, "n", F.struct(least.alias(order[0])).alias("_at"))
+    own = counts.select(*(F.col(c).alias(f"_{c}") for c in key[::2]), "n", F.when(~F.col("_none"), F.col("_lead")).alias("_lead"))
+    tied = found.join(own, (F.col("field") == F.col("_field")) & (F.col("value") == F.col("_value")) & lead.eqNullSafe(F.col("_lead")))
+    return tied.groupBy(*key, "n").agg(F.min("_at").alias("_at"))
+
+
+def first_values(hits: DataFrame, listed: DataFrame, limit: int = SAMPLES) -> DataFrame:
+    """The first ``limit`` offending values per issue with their places; for categories the first distinct ones.
+
+    The filter on the row number turns into a group limit below the shuffle, so each
+    task sends at most ``limit`` rows per issue however many rows offend.
+    """
+    plain = hits.where(F.col("error_type") != BAD_CATEGORY).select("_at", "field", "error_type", "value")
+    found = plain.unionByName(listed.select("_at", "field", "error_type", "value"))
+    w = Window.partitionBy("field", "error_type").orderBy("_at", "value")
+    return found.withColumn("position", F.row_number().over(w)).where(F.col("position") <= limit)
+
+
+def _hits(df: DataFrame, contract: Contract, dataset_type: str, order: list[str], *kinds: str) -> DataFrame:
+    rules = rules_for(df, contract.variant(df.columns, dataset_type), contract)
+    return violations(df, [r for r in rules if r.error_type in kinds], order)
+
+
 def bad_categories(df: DataFrame, contract: Contract = CONTRACT, dataset_type: str = "auto",
                    order: list[str] | None = None) -> DataFrame:
     """Every unexpected category value with its row count and first place."""
-    rules = rules_for(df, contract.variant(df.columns, dataset_type), contract)
-    found = violations(df, [r for r in rules if r.error_type == BAD_CATEGORY], row_order(df, contract, order))
     order = row_order(df, contract, order)
-    # the least of a single column is a plain number to a hash aggregate; of several a struct must be compared
-    at = F.struct(F.min(f"_at.{quoted(order[0])}").alias(order[0])) if len(order) == 1 else F.min("_at")
-    return found.groupBy("field", "error_type", "value").agg(F.count(F.lit(1)).alias("n"), at.alias("_at"))
+    hits = _hits(df, contract, dataset_type, order, BAD_CATEGORY)
+    if len(order) > 1:  # they are read twice
+        hits = stored(hits, "dq_hits")
+    return listed_values(hits, order)
 
 
 def samples(df: DataFrame, contract: Contract = CONTRACT, dataset_type: str = "auto",
-            order: list[str] | None = None, limit: int = SAMPLES, categories: DataFrame | None = None) -> DataFrame:
-    """First ``limit`` offending values per issue; for categories the first distinct ones.
-
-    ``categories`` is the result of :func:`bad_categories` where it is at hand already.
-    The filter on the row number turns into a group limit below the shuffle, so each
-    task sends at most ``limit`` rows per issue however many rows offend.
-    """
+            order: list[str] | None = None, limit: int = SAMPLES) -> DataFrame:
+    """First ``limit`` offending values per issue; for categories the first distinct ones."""
     order = row_order(df, contract, order)
-    rules = rules_for(df, contract.variant(df.columns, dataset_type), contract)
-    plain = [r for r in rules if r.error_type in (BAD_TYPE, OUT_OF_RANGE)]
-    parts = []
-    if plain:
-        parts.append(violations(df, plain, order))
-    if any(r.error_type == BAD_CATEGORY for r in rules):
-        listed = bad_categories(df, contract, dataset_type, order) if categories is None else categories
-        parts.append(listed.select("_at", "field", "error_type", "value"))
-    found = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    w = Window.partitionBy("field", "error_type").orderBy("_at", "value")
-    return (
-        found.withColumn("position", F.row_number().over(w)).where(F.col("position") <= limit)
-        .select("field", "error_type", "position", "value")
-    )
+    hits = stored(_hits(df, contract, dataset_type, order, *SHOWN), "dq_hits")
+    return first_values(hits, listed_values(hits, order), limit).select("field", "error_type", "position", "value")
 
 
 def report(df: DataFrame, contract: Contract = CONTRACT, dataset_type: str = "auto",
            training: bool = False, strict: bool = True, order: list[str] | None = None,
-           with_samples: bool = True, row: DataFrame | None = None) -> DataFrame:
-    """The whole report as one row with nested errors and warnings.
-
-    ``row`` is the :func:`issue_row` of the table where it is at hand already.
-    """
-    row = issue_row(df, contract, dataset_type, training) if row is None else row
-    missing, extra = column_issues(df, contract.variant(df.columns, dataset_type, training), contract)
-    values, distinct = "cast(null as map<string, array<string>>)", "cast(null as map<string, bigint>)"
+           with_samples: bool = True) -> DataFrame:
+    """The whole report as one row with nested errors and warnings; with samples the table is read once, at the call."""
+    variant = contract.variant(df.columns, dataset_type, training)
+    missing, extra = column_issues(df, variant, contract)
+    counts = listed = first = None
     if with_samples and not missing:
-        # the unexpected values are listed once, for the samples and for their number
-        listed = stored(bad_categories(df, contract, dataset_type, order), "bad_categories")
+        order = row_order(df, contract, order)
+        measured = measure(df, rules_for(df, variant, contract), order)
+        counts = measured.counts
+        if measured.any_error:
+            listed = listed_values(measured.hits, order)
+            first = first_values(measured.hits, listed)
+    return report_of(issue_row(df, contract, dataset_type, training, counts), missing, extra, strict, listed, first)
+
+
+def report_of(row: DataFrame, missing: list[str], extra: list[str], strict: bool = True,
+              listed: DataFrame | None = None, first: DataFrame | None = None) -> DataFrame:
+    """The report of an :func:`issue_row`, with the :func:`listed_values` and :func:`first_values` of the same table."""
+    values, distinct = "cast(null as map<string, array<string>>)", "cast(null as map<string, bigint>)"
+    if listed is not None:
         numbers = listed.groupBy("field").agg(F.count(F.lit(1)).alias("n"))  # one row per column
         row = row.withColumn("_distinct", numbers.agg(F.expr("map_from_entries(collect_list(struct(field, n)))")).scalar())
         distinct = "_distinct"
+    if first is not None:
         # at most SAMPLES values per rule, so one small map
         per_issue = (
-            samples(df, contract, dataset_type, order, categories=listed)
-            .groupBy(F.expr("concat_ws(':', field, error_type) as issue"))
+            first.groupBy(F.expr("concat_ws(':', field, error_type) as issue"))
             .agg(F.expr("sort_array(collect_list(struct(position, value))).value as values"))
         )
         as_map = per_issue.agg(F.expr("map_from_entries(collect_list(struct(issue, values)))"))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from riskflow.contract import CONTRACT, Contract
-from riskflow.operators.quality import EMPTY, EMPTY_MESSAGE, ERROR, REJECT, issue_row, report
+from riskflow.operators.quality import EMPTY, EMPTY_MESSAGE, ERROR, REJECT, report
+from riskflow.operators.quality_state import Ledger
 
 
 class DataValidationError(Exception):
@@ -27,18 +28,29 @@ def validate(df: DataFrame | None, contract: Contract = CONTRACT, dataset_type:
              training: bool = False, strict: bool = True, order: list[str] | None = None) -> dict:
     """Check a table and give the report, whose size does not depend on the table's.
 
-    All counts come from one pass. Sample values take two more, one for values out of range and one for
-    unexpected categories, and only where there is an error to show. In strict mode an invalid table raises.
+    The table is read once: counters and offending cells come from the same pass. In strict mode an invalid table raises.
     """
     if df is None or not df.columns:
         found = empty_report()
     else:
-        counted = issue_row(df, contract, dataset_type, training)
-        row = counted.first()
-        sampled = any(i["severity"] == ERROR and i["invalid_rows_count"] for i in row["issues"])
-        row = df.sparkSession.createDataFrame([row], counted.schema)
-        found = report(df, contract, dataset_type, training, strict, order, sampled, row).first().asDict(True)
-    if strict and not found["is_valid"]:
+        found = report(df, contract, dataset_type, training, strict, order).first().asDict(True)
+    return _strictly(found) if strict else found
+
+
+def validate_growing(df: DataFrame, part: str, ledger: str, contract: Contract = CONTRACT, dataset_type: str = "auto",
+                     training: bool = False, strict: bool = True, order: list[str] | None = None) -> dict:
+    """The report of a table that grows by partitions: only those that ``ledger`` has no state of yet are read.
+
+    ``part`` is the table's partition column; a part that was changed since must be dropped from the ledger (``Ledger.forget``).
+    """
+    book = Ledger(df.sparkSession, ledger, contract, dataset_type, training)
+    book.update(df, part, order)
+    found = book.report(df.drop(part), strict).first().asDict(True)
+    return _strictly(found) if strict else found
+
+
+def _strictly(found: dict) -> dict:
+    if not found["is_valid"]:
         reasons = "; ".join(e["message"] for e in found["errors"])
         raise DataValidationError(f"validation failed with {found['error_count']} error(s): {reasons}", found)
     return found

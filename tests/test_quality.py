@@ -148,3 +148,84 @@ def test_counts_need_no_shuffle_of_rows(spark, sf):
     assert len(rules) == 38
     plan = dq.issue_counts(df, rules)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("SinglePartition") == 1  # the partial counters only
+
+
+def dirty(spark, txn, n=60):
+    """Rows with every kind of error, ties in time, and values that come first in one part and last in another."""
+    base = from_records(spark, txn).drop("Amount_NGN", "Channel", "Location", "Transaction_ID")
+    return base.join(spark.range(n).selectExpr(
+        "id as _row", "pmod(id * 37, 7) as lead", "id % 4 as part", "concat('t', id) as Transaction_ID",
+        "case when id % 5 = 0 then 'none' when id % 7 = 0 then cast(-id as string) when id % 11 = 0 then null else '12' end as Amount_NGN",
+        "case when id % 3 = 0 then concat('c', pmod(id * 13, 10)) else 'POS' end as Channel",
+        "case when id % 17 = 0 then 'Nowhere' else 'Lagos' end as Location"))
+
+
+def test_report_reads_the_table_once(spark, txn, tmp_path, monkeypatch):
+    place = str(tmp_path / "t")
+    dirty(spark, txn).write.parquet(place)
+    table, plans = spark.read.parquet(place), []
+
+    def plan_of(df):
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    monkeypatch.setattr(dq, "stored", lambda df, name, keep=dq.stored: (plans.append(plan_of(df)), keep(df, name))[1])
+    report = dq.report(table, strict=False, order=["_row"])
+    assert len(plans) == 1 and plans[0].count("Relation [") == 1 and "CollectMetrics" in plans[0]
+    assert "Device_Type#" in plans[0] and "Device_Type#" not in plan_of(report)  # the rest comes from the written cells
+    assert report.first().total_records == 60
+
+
+@pytest.mark.parametrize("order", [["_row"], ["lead", "_row"], ["lead", "Transaction_ID"]])
+def test_listed_values_by_any_order(spark, txn, order):
+    df = dirty(spark, txn).withColumn("lead", F.expr("nullif(lead, 3)"))
+    want = {}
+    for r in df.collect():
+        at = tuple((getattr(r, c) is not None, getattr(r, c)) for c in order)
+        for field, value in (("Channel", r.Channel), ("Location", r.Location)):
+            if value.startswith("c") or value == "Nowhere":
+                n, first = want.get((field, value), (0, at))
+                want[field, value] = (n + 1, min(first, at))
+    got = {(r.field, r.value): (r.n, tuple((v is not None, v) for v in r._at)) for r in dq.bad_categories(df, order=order).collect()}
+    assert got == want
+    rules = [r for r in dq.rules_for(df, dq.CONTRACT.variant(df.columns)) if r.error_type == dq.BAD_CATEGORY]
+    plan = dq.listed_values(dq.stored(dq.violations(df, rules, order), "hits"), order)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate(keys=[field" in plan  # the whole is counted without sorting it
+
+
+def flat(report):
+    return {**report, "errors": sorted(map(str, report["errors"])), "warnings": sorted(map(str, report["warnings"]))}
+
+
+@pytest.mark.parametrize("order", [["_row"], ["lead", "Transaction_ID"]])
+def test_growing_table(spark, txn, tmp_path, monkeypatch, order):
+    from riskflow.operators import quality_state
+    from riskflow.plans.validate import validate_growing
+    place, ledger = str(tmp_path / "t"), str(tmp_path / "ledger")
+    whole = dirty(spark, txn)
+    read = []
+    monkeypatch.setattr(quality_state, "state", lambda df, rules, order, keep=quality_state.state: (read.append({r[0] % 4 for r in df.select("_row").collect()}), keep(df, rules, order))[1])
+    whole.where("part < 2").write.partitionBy("part").parquet(place)
+    schema = whole.schema
+    first = validate_growing(spark.read.schema(schema).parquet(place), "part", ledger, strict=False, order=order)
+    assert flat(first) == flat(validate(whole.where("part < 2").drop("part"), strict=False, order=order))
+    whole.where("part >= 2").write.mode("append").partitionBy("part").parquet(place)
+    grown = validate_growing(spark.read.schema(schema).parquet(place), "part", ledger, strict=False, order=order)
+    assert flat(grown) == flat(validate(whole.drop("part"), strict=False, order=order))
+    assert grown["error_count"] >= 4 and read == [{0}, {1}, {2}, {3}]  # each part has been read once
+    again = validate_growing(spark.read.schema(schema).parquet(place), "part", ledger, strict=False, order=order)
+    assert again == grown and len(read) == 4
+    quality_state.Ledger(spark, ledger).forget("1")
+    assert flat(validate_growing(spark.read.schema(schema).parquet(place), "part", ledger, strict=False, order=order)) == flat(grown) and read[4:] == [{1}]
+    with pytest.raises(DataValidationError):
+        validate_growing(spark.read.schema(schema).parquet(place), "part", ledger, order=order)
+
+
+def test_growing_table_without_rows_or_columns(spark, txn, tmp_path):
+    from riskflow.plans.validate import validate_growing
+    none = dirty(spark, txn).limit(0)
+    assert validate_growing(none, "part", str(tmp_path / "a"), strict=False)["errors"][0]["error_type"] == "EMPTY_DATASET"
+    short = dirty(spark, txn).drop("Device_Type")
+    found = validate_growing(short, "part", str(tmp_path / "b"), strict=False)
+    assert [e["error_type"] for e in found["errors"]] == ["MISSING_COLUMNS"] and found["total_records"] == 60
+    good = from_records(spark, [txn, txn]).withColumn("part", F.lit(None).cast("string"))
+    assert validate_growing(good, "part", str(tmp_path / "c"))["is_valid"]
