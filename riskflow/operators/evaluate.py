@@ -1,8 +1,9 @@
 """Evaluation of scored rows; all are global aggregates.
 
-The ranking metric needs an order over scores. Rows are first summed per distinct
-score, the scores are cut into ranges of bounded weight, prefix sums run inside each
-range, and only the range totals meet in one place.
+The ranking metric needs an order over scores. Rows are first summed per distinct score. A score
+has a 64-bit key that sorts alike, and the pairs of a positive and a negative row are counted where their keys
+part: in the last 16 bits within a prefix of 48, in the 16 before that within one of 32, and so on. No window ever
+has more than 65,536 rows, whatever the distribution, and nothing has to be known of the scores beforehand.
 """
 
 from __future__ import annotations
@@ -12,9 +13,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from riskflow.contract import REVIEW_THRESHOLD
 from riskflow.functions.numeric import double_literal
-from riskflow.session import stored
+from riskflow.functions.order_key import with_keys
 
 SCORE_RANGES, RANGE_ROWS = 64, 1_000_000
+DIGITS, DIGIT_BITS = 4, 16
 
 
 def confusion_sql(label: str, probability: str, threshold: float) -> dict[str, str]:
@@ -58,14 +60,41 @@ def evaluate(scored: DataFrame, label: str = "label", probability: str = "probab
              threshold: float = REVIEW_THRESHOLD, bounds: list[float] | None = None) -> DataFrame:
     """One row with ROC-AUC (ties count half), Brier score and confusion counts.
 
-    ROC-AUC is NULL where one class is absent.
+    ROC-AUC is NULL where one class is absent. The rows are read once. With ``bounds`` scores are cut
+    there instead of by the digits of their keys; the result is the same.
     """
-    if bounds is None:  # bounds and sums both read the pairs: they are written once
-        scored = stored(scored.select(label, probability), "scored_pairs")
-        bounds = score_bounds(scored, probability)
-    bounds = bounds or [0.0]
     per_score = scored.groupBy(F.expr(f"{probability} as p")).agg(
         F.expr(f"count_if({label} = 1) as pos"), F.expr(f"count_if({label} = 0) as neg"))
+    totals = _by_digits(per_score, threshold) if bounds is None else _by_bounds(per_score, bounds or [0.0], threshold)
+    return totals.selectExpr(
+        "if(pos > 0 and neg > 0, try_divide(won, double(pos) * neg), null) as roc_auc",
+        "try_divide(loss, pos + neg) as brier_score", "neg - fp as tn", "fp", "pos - tp as fn", "tp")
+
+
+def _by_digits(per_score: DataFrame, threshold: float) -> DataFrame:
+    """One row of sums; ``won`` counts a positive row's wins over negative ones, ties half.
+
+    A level's groups are dealt by the digits before, their window and their sum over those digits need no further shuffle.
+    """
+    hit = f"p >= {double_literal(threshold)}"
+    checked = per_score.withColumn("p", F.expr("if(p is null or isnan(p), raise_error('a row has no score'), p)"))
+    level = with_keys(checked, {"key": "p"}).selectExpr(
+        "key", "pos", "neg", "double(pos) * neg / 2 as won", f"if({hit}, pos, 0L) as tp", f"if({hit}, neg, 0L) as fp",
+        "pos * (1 - p) * (1 - p) + neg * p * p as loss")
+    sums = ("pos", "neg", "won", "tp", "fp", "loss")
+    for digit in range(1, DIGITS):
+        below = "sum(neg) over (partition by before order by key) - neg"
+        level = (
+            level.withColumn("before", F.expr(f"shiftright(key, {DIGIT_BITS})"))
+            .withColumn("won", F.expr(f"won + double(pos) * ({below})"))
+            .groupBy("before").agg(*(F.sum(c).alias(c) for c in sums)).withColumnRenamed("before", "key")
+        )
+    # at most 65,536 rows are left
+    last = level.withColumn("won", F.expr("won + double(pos) * (sum(neg) over (order by key) - neg)"))
+    return last.agg(*(F.expr(f"coalesce(sum({c}), 0) as {c}") for c in sums))
+
+
+def _by_bounds(per_score: DataFrame, bounds: list[float], threshold: float) -> DataFrame:
     ranged = Bucketizer(splits=[float("-inf"), *bounds, float("inf")], inputCol="p", outputCol="r",
                         handleInvalid="error").transform(per_score)
     hit = f"p >= {double_literal(threshold)}"
@@ -80,11 +109,8 @@ def evaluate(scored: DataFrame, label: str = "label", probability: str = "probab
     )
     # one row per range from here on
     before = "coalesce(sum(neg) over (order by r rows between unbounded preceding and 1 preceding), 0)"
-    totals = per_range.selectExpr("pos", "neg", f"won + double(pos) * {before} as won", "tp", "fp", "loss").agg(
+    return per_range.selectExpr("pos", "neg", f"won + double(pos) * {before} as won", "tp", "fp", "loss").agg(
         *[F.expr(f"coalesce(sum({c}), 0) as {c}") for c in sums])
-    return totals.selectExpr(
-        "if(pos > 0 and neg > 0, try_divide(won, double(pos) * neg), null) as roc_auc",
-        "try_divide(loss, pos + neg) as brier_score", "neg - fp as tn", "fp", "pos - tp as fn", "tp")
 
 
 def roc_auc(scored: DataFrame, label: str = "label", probability: str = "probability") -> DataFrame:

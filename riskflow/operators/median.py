@@ -1,16 +1,18 @@
 """Exact medians in bounded memory.
 
 The built-in ``median`` keeps every distinct value of a column in one buffer. Here the
-middle ranks are found by counting: values fall into equal-width buckets, the bucket
-with the wanted rank is kept, and its own smallest and largest value span the next
-buckets. A bracket that holds few values is sorted, one of a single value is the answer.
+middle ranks are found by counting: values are turned into 64-bit keys that sort alike, keys fall
+into buckets of equal width, the bucket with the wanted rank is kept, and its own smallest and largest key
+span the next buckets. Each pass takes twelve bits of what is open, so six passes find any rank in any
+distribution. A bracket that holds few values is sorted, one of a single value is the answer.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Row, functions as F
 
-from riskflow.functions.numeric import double_literal, quoted
+from riskflow.functions.numeric import quoted
+from riskflow.functions.order_key import key_of, value_of, with_keys
 
 BUCKETS = 4096
 BUFFERED_VALUES = 250_000  # values of one bracket that may be sorted in one buffer
@@ -19,7 +21,7 @@ BUFFERED_VALUES = 250_000  # values of one bracket that may be sorted in one buf
 class _Rank:
     """Search state of one zero-based rank: a bracket, the rows below it and inside it."""
 
-    def __init__(self, column: int, rank: int, total: int, lo: float, hi: float):
+    def __init__(self, column: int, rank: int, total: int, lo: int, hi: int):
         self.column, self.rank, self.below = column, rank, 0
         self.inside, self.lo, self.hi = total, lo, hi
 
@@ -29,17 +31,16 @@ class _Rank:
 
     @property
     def within(self) -> str:
-        return f"{self.value} between {double_literal(self.lo)} and {double_literal(self.hi)}"
+        return f"{self.value} between {self.lo}L and {self.hi}L"
 
     @property
     def bracket(self) -> tuple:
         return self.column, self.lo, self.hi
 
     def bucket(self) -> str:
-        # the two ends get buckets of their own, so every pass narrows the bracket
-        lo, hi = double_literal(self.lo), double_literal(self.hi)
-        inner = f"least(floor(({self.value} - {lo}) / ({hi} - {lo}) * {BUCKETS}), {BUCKETS - 1}) + 1"
-        return f"int(case when {self.value} <= {lo} then 0 when {self.value} >= {hi} then {BUCKETS + 1} else {inner} end)"
+        # truncating division keeps the order; the two ends may be further apart than a number of 64 bits
+        width = -(-(self.hi - self.lo) // BUCKETS)
+        return f"{self.value} div {width}L"
 
 
 def column_profile(df: DataFrame, columns: list[str]) -> dict[str, Row]:
@@ -57,11 +58,12 @@ def exact_medians(df: DataFrame, columns: list[str], buffered: int = BUFFERED_VA
     """Median of each column over its non-null values; the mean of the two middle ones."""
     names = list(columns)
     seen = profile or column_profile(df, names)
-    src = df.select(*[F.col(n).cast("double").alias(f"c{i}") for i, n in enumerate(names)])
+    values = df.select(*[F.col(quoted(n)).cast("double").alias(f"d{i}") for i, n in enumerate(names)])
+    src = with_keys(values, {f"c{i}": f"d{i}" for i in range(len(names))}).select(*[f"c{i}" for i in range(len(names))])
     ranks: list[_Rank] = []
     for i in range(len(names)):
         p = seen[names[i]]
-        ranks += [_Rank(i, r, p.n, p.lo, p.hi) for r in ({(p.n - 1) // 2, p.n // 2} if p.n else ())]
+        ranks += [_Rank(i, r, p.n, key_of(p.lo), key_of(p.hi)) for r in ({(p.n - 1) // 2, p.n // 2} if p.n else ())]
 
     while True:
         open_ = [r for r in ranks if r.inside > buffered and r.lo < r.hi]
@@ -73,14 +75,14 @@ def exact_medians(df: DataFrame, columns: list[str], buffered: int = BUFFERED_VA
     unsorted = [r for r in ranks if r.lo < r.hi]
     for r in ranks:
         if r.lo == r.hi:
-            found.setdefault(r.column, []).append(r.lo)
+            found.setdefault(r.column, []).append(value_of(r.lo))
     if unsorted:
         place = {b: i for i, b in enumerate(dict.fromkeys(r.bracket for r in unsorted))}
         sort = {place[r.bracket]: f"sort_array(collect_list(if({r.within}, {r.value}, null)))" for r in unsorted}
         row = src.agg(*[F.expr(f"{e} as v{i}") for i, e in sort.items()]).selectExpr(
             *[f"v{place[r.bracket]}[{r.rank - r.below}]" for r in unsorted]).first()
         for r, value in zip(unsorted, row):
-            found.setdefault(r.column, []).append(value)
+            found.setdefault(r.column, []).append(value_of(value))
     return {n: sum(found[i]) / len(found[i]) if i in found else None for i, n in enumerate(names)}
 
 
