@@ -432,6 +432,7 @@ _rows = f"""SELECT _row AS row_id, 'scored' AS row_status, {FLAG}, round_even(p,
     FROM rscored WHERE reasons <> '' OR len(bad) > 0"""
 ORACLES["score_requests"] = with_tables(_rows, "txn", "dfirst", **REQUESTS, rscored=_rscored)
 ORACLES["stream_score"] = ORACLES["score_requests"]
+ORACLES["stream_refreshed"] = ORACLES["score_requests"]
 
 # ---- inputs that used to break ------------------------------------------------------
 
@@ -463,3 +464,4 @@ ORACLES["serial_micros"] = with_tables(
     SELECT Transaction_ID, make_timestamp(round((epoch_us(Transaction_DateTime) / 86400000000.0::double + 25569.0::double - 25569.0::double)
         * 86400000000.0::double)::bigint) AS t FROM txn)""", "txn")
 ORACLES["saved_features"] = ORACLES["scale_num"]
+ORACLES["published_features"] = ORACLES["scale_num"]

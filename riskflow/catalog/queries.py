@@ -7,12 +7,14 @@ bigint, so that results can be compared value by value.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import lru_cache
 
 import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from riskflow.artifacts import newest, publish
 from riskflow.catalog import setup as s
 from riskflow.contract import CONTRACT
 from riskflow.functions import probability as prob
@@ -30,7 +32,7 @@ from riskflow.session import scratch_path
 from riskflow.sinks import write_table
 from riskflow.sources import requests as rq, testviews as views
 from riskflow.sources.tables import read_table
-from riskflow.streaming.score import decisions, start_scoring
+from riskflow.streaming.score import decisions, read_batches, request_stream, start_refreshed, start_scoring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ID = CONTRACT.transaction_id
@@ -379,6 +381,26 @@ def saved_features(spark, sf):
     return rounded(src.select(ID, *[F.expr(fe.scaled(c, p)).alias(c) for c in p.median]))
 
 
+@query
+def published_features(spark, sf):
+    """Statistics of the newest whole version: one before it had others, one after it was left without a manifest."""
+    root = scratch_path(spark, "artifacts")
+    older = replace(s.FROZEN, median={c: v + 1 for c, v in s.FROZEN.median.items()})
+    for made in (older, s.FROZEN):
+        publish(spark, root, {"features": lambda path: made.save(spark, path)})
+
+    def fail(path):
+        raise InterruptedError(path)
+
+    try:
+        publish(spark, root, {"features": lambda path: older.save(spark, path), "classifier": fail})
+    except InterruptedError:
+        pass
+    p = fe.FeatureParams.load(spark, f"{newest(spark, root)}/features")
+    src = fe.prepared_inputs(s.clean_enriched(spark, sf))
+    return rounded(src.select(ID, *[F.expr(fe.scaled(c, p)).alias(c) for c in p.median]))
+
+
 # ---- features -----------------------------------------------------------------------
 
 def _train_inputs(spark, sf):
@@ -670,6 +692,20 @@ def stream_score(spark, sf):
     return _decision_rows(spark.read.parquet(out))
 
 
+@query
+def stream_refreshed(spark, sf):
+    """The same requests as two files and two micro-batches, each with the dimension as it is then."""
+    place, out, state = (scratch_path(spark, n) for n in ("requests", "scored", "progress"))
+    lines = s.payloads(spark, sf)
+    for i in range(2):
+        lines.where(F.col("_row") % 2 == i).select(F.to_json(F.struct("_row", "payload"))).coalesce(1).write.mode("append").text(place)
+    taken = F.from_json("payload", "_row long, payload string")
+    requests = request_stream(spark, place, files_per_batch=1).select(taken.alias("r")).select("r.*")
+    job = s.scoring_job(spark, sf)
+    start_refreshed(requests, job, lambda session: views.dirty_customers(session, sf), out, state).awaitTermination()
+    return _decision_rows(read_batches(spark, out))
+
+
 # ---- training: rows-only, no SQL twin -----------------------------------------------
 
 @lru_cache(maxsize=4)

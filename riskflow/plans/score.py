@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from riskflow.artifacts import newest
 from riskflow.contract import CONTRACT, Contract
 from riskflow.models.scorers import LinearScorer, Scorer, load_scorer, model_version
 from riskflow.operators.decide import DECISION_COLUMNS, decide
@@ -49,11 +50,16 @@ class ScoringJob:
 
     @classmethod
     def load(cls, spark: SparkSession, artifacts: str, customers: str | None = None, **options) -> ScoringJob:
-        """Read what training saved; without customers nothing is looked up."""
+        """Read what training saved, the newest whole version where there are versions; without customers nothing is looked up."""
+        artifacts = newest(spark, artifacts) or artifacts
         params = FeaturePreparer.load(spark, f"{artifacts}/features").params
         dim = read_any(spark, customers) if customers else None
         return cls(params, load_scorer(spark, f"{artifacts}/classifier"), dim, **options)
 
+    def with_customers(self, customers: DataFrame | None) -> ScoringJob:
+        """The same job with another dimension."""
+        return ScoringJob(self.params, self.scorer, customers, self.contract, self.mode, self.customer_order)
+
     def enrich(self, df: DataFrame) -> DataFrame:
         return enrich_lookup(df, self.customers, self.contract, self.customer_order)
 

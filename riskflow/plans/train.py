@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from riskflow.artifacts import publish
 from riskflow.contract import CONTRACT, REVIEW_THRESHOLD, Contract
 from riskflow.models.scorers import MlScorer, write_json
 from riskflow.models.training import RF_DEPTH, RF_TREES, model_card, train_forest, train_logistic
@@ -37,8 +38,11 @@ def _record(scored: DataFrame, threshold: float) -> dict:
 
 
 def run_training(train: DataFrame, test: DataFrame, out: str | None = None, contract: Contract = CONTRACT,
-                 trees: int = RF_TREES, depth: int = RF_DEPTH, threshold: float = REVIEW_THRESHOLD) -> Trained:
-    """Train and compare both models on prepared parts; save everything under ``out``."""
+                 trees: int = RF_TREES, depth: int = RF_DEPTH, threshold: float = REVIEW_THRESHOLD, versioned: bool = False) -> Trained:
+    """Train and compare both models on prepared parts; save everything under ``out``.
+
+    ``versioned``: as a new version there, which readers see when it is whole; else in place, over what there is.
+    """
     spark = train.sparkSession
     for name, part in (("train", train), ("test", test)):
         # lenient: bad values are reported, a table that cannot be used stops the job
@@ -65,11 +69,15 @@ def run_training(train: DataFrame, test: DataFrame, out: str | None = None, cont
         remove(spark, path)
     model.metadata = card
     if out:
-        save_training(spark, out, model, features, found)
+        save_training(spark, out, model, features, found, versioned)
     return Trained(model, baseline, features, found, baseline_metrics, card, model.importances(names))
 
 
-def save_training(spark: SparkSession, out: str, model: MlScorer, features: FeaturePreparer, found: dict) -> None:
-    features.save(spark, f"{out}/features")
-    model.save(f"{out}/classifier")
-    write_json(spark, f"{out}/metrics", found)
+def save_training(spark: SparkSession, out: str, model: MlScorer, features: FeaturePreparer, found: dict, versioned: bool = False) -> str:
+    """Features, model and metrics; gives the folder they are in."""
+    parts = {"features": lambda path: features.save(spark, path), "classifier": model.save, "metrics": lambda path: write_json(spark, path, found)}
+    if versioned:
+        return publish(spark, out, parts, {"model_version": model.metadata.get("version")})
+    for name, write in parts.items():
+        write(f"{out}/{name}")
+    return out
