@@ -16,6 +16,7 @@ from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from riskflow import session
 from riskflow.session import scratch_path
 
 _SCRATCH: list[tuple[SparkSession, str]] = []
@@ -65,6 +66,24 @@ def remove(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+class Scratch:
+    """The scratch folders made while it is entered; ``free`` deletes them when what was made from them has been written."""
+
+    def __enter__(self) -> Scratch:
+        self._before, self.paths = set(session._SCRATCH), []
+        return self
+
+    def __exit__(self, *failed) -> None:
+        self.paths = [p for p in session._SCRATCH if p not in self._before]
+
+    def free(self, spark: SparkSession) -> None:
+        gone = set(self.paths)
+        for path in self.paths:
+            session.remove(spark, path)
+        _SCRATCH[:] = [(s, p) for s, p in _SCRATCH if p not in gone]
+        self.paths = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cut lineage that outlives executors."""
     path = scratch(df.sparkSession, name)

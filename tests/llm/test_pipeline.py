@@ -40,3 +40,21 @@ def test_stages(spark, tmp_path):
     assert {r.doc_id for r in pieces.collect()} == {r.doc_id for r in docs.collect()}
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == pieces.count()
     assert toxicity.THRESHOLD == 0.5
+
+
+def test_scratch_goes_with_its_stage(spark, tmp_path):
+    """When a stage begins, nothing is left of the stages before it but the table that it is given."""
+    from riskflow import session
+
+    docs = stored(cases.documents(spark, cases.texts() + [(1000 + i, cases.prose(i, 80)) for i in range(100)]), "docs")
+    spark.createDataFrame([(1000 + i, int(i % 4 > 0), int(i % 5 == 0)) for i in range(100)], cases.LABELS).write.parquet(f"{tmp_path}/labels.parquet")
+    made, before = [], set(session._SCRATCH)
+    for name, stage in corpus_pipeline.STAGES:
+        found, kept = stage(spark, docs, str(tmp_path)), set(made)
+        made = [p for p in session._SCRATCH if p not in before]
+        assert not kept & set(made), name
+        docs = found
+        place = str(tmp_path / name)
+        docs.write.parquet(place)
+        docs = spark.read.parquet(place)
+    assert docs.count() > 0
