@@ -82,11 +82,60 @@ def _profile(docs: DataFrame, id_col: str, text_col: str, row_col: str | None, s
     return stored(own.mapInArrow(scan, "row long, doc_id long, n long, class long"), "ngram_profile")
 
 
-_CUT = "fragment int, flush long, tags binary, index binary, low binary, high binary, about binary"
+_CUT = "fragment int, flush long, owners binary, tags binary, index binary, low binary, high binary, about binary"
 _BACK = "flush long, index binary, low binary, high binary, fragment int, counts binary, about binary"
 _KEPT = "class long, n long, shared long, bits array<long>, prefix array<long>, parts array<array<long>>"
 
 
+def _dealt(values: np.ndarray, owner: np.ndarray, classes: np.ndarray, fragments: int) -> list[tuple]:
+    """(fragment, owners, tags, index, low, high) of a flush's n-grams: only the classes that have some in a fragment send their ids (tags) there.
+
+    ``owners`` are those classes' places in the flush, ``index`` each n-gram's place among them. ``owner`` must ascend.
+    """
+    part, key = _keys(values, fragments)
+    order = np.argsort(part, kind="stable")
+    part, key, index = part[order], key[order], owner[order]
+    starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.empty(0, np.int64)
+    out = []
+    for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(part)]):
+        new = np.concatenate([[True], index[a + 1:b] != index[a:b - 1]])  # a class's n-grams lie together
+        owners = index[a:b][new]
+        out.append((int(part[a]), owners.astype(np.uint16).tobytes(), classes[owners].tobytes(), (np.cumsum(new) - 1).astype(np.uint16).tobytes(),
+                    (key[a:b] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(), ((key[a:b] >> np.uint64(32)) & np.uint64(0xFF)).astype(np.uint8).tobytes()))
+    return out
+
+
+def _counted(part: pa.Table) -> pa.Table:
+    """In a fragment: the classes that hold each n-gram; n-grams of a single one aren't sent back."""
+    out, keys, tags, rows = [], [], [], []
+    for r in part.to_pylist():
+        if r["about"] is not None:
+            out.append((r["flush"], None, None, None, None, None, r["about"]))
+            continue
+        index = np.frombuffer(r["index"], np.uint16)
+        keys.append(np.frombuffer(r["low"], np.uint32).astype(np.uint64) | np.frombuffer(r["high"], np.uint8).astype(np.uint64) << np.uint64(32))
+        tags.append(np.frombuffer(r["tags"], np.int64)[index])
+        rows.append((r["flush"], np.frombuffer(r["owners"], np.uint16)[index], r["fragment"]))
+    if keys:
+        key, tag = np.concatenate(keys), np.concatenate(tags)
+        order = np.lexsort((tag, key))
+        k, t = key[order], tag[order]
+        new_key = np.concatenate([[True], k[1:] != k[:-1]])
+        new = new_key | np.concatenate([[True], t[1:] != t[:-1]])
+        group = np.cumsum(new_key) - 1
+        counts = np.empty(len(key), np.int64)
+        counts[order] = np.bincount(group, new)[group]
+        at = 0
+        for (flush, index, fragment), own in zip(rows, keys):
+            n = counts[at:at + len(own)]
+            more = n >= 2
+            at += len(own)
+            if more.any():
+                out.append((flush, index[more].tobytes(), (own[more] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(), (own[more] >> np.uint64(32)).astype(np.uint8).tobytes(),
+                            fragment, np.minimum(n[more], 65_535).astype(np.uint16).tobytes(), None))
+    return pa.Table.from_pylist([dict(zip(_names(_BACK), r)) for r in out], schema=_schema(_BACK))
+
+
 def _kept(docs: DataFrame, text_col: str, shingle: int, percent: int, fragments: int, common: np.ndarray) -> DataFrame:
     """Classes whose prefix holds an n-gram of another class: size, shared n-grams (all, by part, and of the prefix), parities."""
     spark = docs.sparkSession
@@ -115,17 +164,8 @@ def _kept(docs: DataFrame, text_col: str, shingle: int, percent: int, fragments:
             bits = np.packbits(parity, axis=1, bitorder="little")
             about = b"".join([np.int64(len(sets)).tobytes(), classes.tobytes(), n.astype(np.int64).tobytes(), bits.tobytes(),
                               owner[often].astype(np.uint32).tobytes(), values[often].tobytes()])
-            part, key = _keys(values[~often], fragments)
-            index = owner[~often].astype(np.uint32)
-            order = np.argsort(part, kind="stable")
-            part, key, index = part[order], key[order], index[order]
-            tags = classes.astype(np.uint64).astype(np.uint32).tobytes()
-            starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.empty(0, np.int64)
-            rows = []
-            for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(part)]):
-                rows.append((int(part[a]), base + flush, tags, index[a:b].astype(np.uint16).tobytes(), (key[a:b] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(),
-                             ((key[a:b] >> np.uint64(32)) & np.uint64(0xFF)).astype(np.uint8).tobytes(), None))
-            rows.append((flush % fragments, base + flush, None, None, None, None, about))
+            rows = [(fragment, base + flush, *held, None) for fragment, *held in _dealt(values[~often], owner[~often], classes, fragments)]
+            rows.append((flush % fragments, base + flush, None, None, None, None, None, about))
             for at in range(0, len(rows), 32):
                 yield pa.RecordBatch.from_pylist([dict(zip(_names(_CUT), r)) for r in rows[at:at + 32]], schema=_schema(_CUT))
 
@@ -143,36 +183,6 @@ def _kept(docs: DataFrame, text_col: str, shingle: int, percent: int, fragments:
         if sets:
             yield from hand_on()
 
-    def count(part: pa.Table) -> pa.Table:
-        """In a fragment: the classes that hold each n-gram; n-grams of a single one aren't sent back."""
-        out, keys, tags, rows = [], [], [], []
-        for i, r in enumerate(part.to_pylist()):
-            if r["about"] is not None:
-                out.append((r["flush"], None, None, None, None, None, r["about"]))
-                continue
-            index = np.frombuffer(r["index"], np.uint16)
-            keys.append(np.frombuffer(r["low"], np.uint32).astype(np.uint64) | np.frombuffer(r["high"], np.uint8).astype(np.uint64) << np.uint64(32))
-            tags.append(np.frombuffer(r["tags"], np.uint32)[index])
-            rows.append((r["flush"], index, r["fragment"]))
-        if keys:
-            key, tag = np.concatenate(keys), np.concatenate(tags)
-            order = np.lexsort((tag, key))
-            k, t = key[order], tag[order]
-            new_key = np.concatenate([[True], k[1:] != k[:-1]])
-            new = new_key | np.concatenate([[True], t[1:] != t[:-1]])
-            group = np.cumsum(new_key) - 1
-            counts = np.empty(len(key), np.int64)
-            counts[order] = np.bincount(group, new)[group]
-            at = 0
-            for (flush, index, fragment), own in zip(rows, keys):
-                n = counts[at:at + len(own)]
-                more = n >= 2
-                at += len(own)
-                if more.any():
-                    out.append((flush, index[more].tobytes(), (own[more] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(), (own[more] >> np.uint64(32)).astype(np.uint8).tobytes(),
-                                fragment, np.minimum(n[more], 65_535).astype(np.uint16).tobytes(), None))
-        return pa.Table.from_pylist([dict(zip(_names(_BACK), r)) for r in out], schema=_schema(_BACK))
-
     def keep(part: pa.Table) -> pa.Table:
         """Back at the classes of a flush: their prefixes in the global order."""
         rows = part.to_pylist()
@@ -209,7 +219,7 @@ def _kept(docs: DataFrame, text_col: str, shingle: int, percent: int, fragments:
         return pa.Table.from_pylist([dict(zip(_names(_KEPT), r)) for r in out], schema=_schema(_KEPT))
 
     cuts = docs.select(F.col(text_col)).mapInArrow(cut, _CUT)
-    back = cuts.groupBy("fragment").applyInArrow(count, _BACK)
+    back = cuts.groupBy("fragment").applyInArrow(_counted, _BACK)
     kept = back.groupBy("flush").applyInArrow(keep, _KEPT)
     # A class that several tasks hold has come back several times, with the same values.
     return stored(kept, "ngram_classes")

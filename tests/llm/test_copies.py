@@ -5,6 +5,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from riskflow.llm import fsjoin, grace
@@ -112,3 +114,43 @@ def test_reachable(spark):
         parent[y] = x
     got = fsjoin.reachable(stored(spark.createDataFrame(pairs, "a long, b long"), "pairs")).collect()
     assert {r.node: r.root for r in got} == {x: root(x) for x in parent}
+
+
+def _fragment_tables(flushes, fragments):
+    """What ``_counted`` is given for each fragment: (classes, values, owner) of some flushes."""
+    held = {}
+    for number, (classes, values, owner) in enumerate(flushes):
+        for fragment, *columns in fsjoin._dealt(values, owner, classes, fragments):
+            held.setdefault(fragment, []).append(dict(zip(fsjoin._names(fsjoin._CUT), (fragment, number, *columns, None))))
+    return [pa.Table.from_pylist(rows, schema=fsjoin._schema(fsjoin._CUT)) for rows in held.values()]
+
+
+@pytest.mark.parametrize("ids", [(7, 7 + (1 << 32)), (-1, 0xFFFFFFFF), (5, 5 - (1 << 63))])
+def test_classes_that_agree_in_their_low_bits_stay_apart(ids):
+    """N-grams that only two such classes share come back to both, whether they are in one flush or in two."""
+    rng = np.random.default_rng(2)
+    common, only = rng.integers(0, 2**63, 23).astype(np.uint64), rng.integers(0, 2**63, 5).astype(np.uint64)
+    classes = np.array(ids, np.int64)
+    both = (classes, np.concatenate([common, common, only]), np.repeat([0, 1], [23, 28]))
+    apart = [(classes[:1], common, np.zeros(23, np.int64)), (classes[1:], np.concatenate([common, only]), np.zeros(28, np.int64))]
+    for flushes in ([both], apart):
+        back = [r for t in _fragment_tables(flushes, 8) for r in fsjoin._counted(t).to_pylist()]
+        assert sum(len(r["index"]) // 2 for r in back) == 46
+        assert {c for r in back for c in np.frombuffer(r["counts"], np.uint16).tolist()} == {2}
+
+
+def test_a_fragment_is_sent_the_classes_that_it_holds_only():
+    """At most ten bytes for an n-gram, and for a class in a fragment, however many of both there are."""
+    rng = np.random.default_rng(3)
+
+    def sent(classes, fragments):
+        owner = np.repeat(np.arange(classes), 40)
+        rows = fsjoin._dealt(rng.integers(0, 2**63, len(owner)).astype(np.uint64), owner, rng.integers(0, 2**62, classes), fragments)
+        for _, owners, tags, index, low, _ in rows:
+            places = np.frombuffer(owners, np.uint16)[np.frombuffer(index, np.uint16)]
+            assert len(tags) == 4 * len(owners) and (np.diff(places.astype(int)) >= 0).all() and len(low) == 2 * len(index)
+        return sum(len(r[1]) + len(r[2]) for r in rows)
+
+    for classes, fragments in ((100, 64), (1000, 640), (5000, 3200)):
+        assert sent(classes, fragments) <= 10 * 40 * classes
+    assert sent(1000, 8) <= 10 * 8 * 1000
