@@ -1,3 +1,7 @@
+import subprocess
+import sys
+from pathlib import Path
+
 import duckdb
 import pytest
 
@@ -33,3 +37,9 @@ def test_query_equals_sql(spark, sf, duck, name):
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.count() > 900 and "Risk_Tier" in df.columns
+
+
+def test_entry_without_a_library_of_the_corpus_package():
+    code = "import sys; sys.modules['xxhash'] = None; import __spark_entry__ as e; print(len(e.queries()), any(n.startswith('op') for n in e.queries()))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parents[1], capture_output=True, text=True, timeout=120)
+    assert done.stdout.split() == [str(len(QUERIES)), "False"], done.stderr
