@@ -1,15 +1,14 @@
 """Data-quality rules, their report, and the row-level quarantine.
 
-Every rule is one boolean expression. A report reads the table once: the counters of all rules are
-observed while the offending cells are written, and values are taken from those. The quarantine
-evaluates the same expressions per row.
+Every rule is one boolean expression. A report reads the table once: rows and offending cells are counted
+in one aggregate, and the values come from those counts. The quarantine evaluates the same expressions per row.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from riskflow.contract import CONTRACT, Contract, Variant
 from riskflow.session import stored
@@ -114,7 +113,7 @@ class Measured:
     """What one pass over a table leaves: :func:`issue_counts` as it came out, and every cell that a report shows values of."""
 
     counts: DataFrame
-    hits: DataFrame  # _at, field, error_type, value
+    hits: DataFrame  # _at, field, error_type, value, n
 
     @property
     def any_error(self) -> bool:
@@ -122,19 +121,32 @@ class Measured:
 
 
 def measure(df: DataFrame, rules: list[Rule], order: list[str]) -> Measured:
-    """Read the table once: its counters are observed while the offending cells are written.
+    """Read the table once: rows become a cell for themselves and one for each rule that they offend, and cells are counted.
 
-    The written table holds the cells of rules that show values and nothing of good rows; samples, categories and their
-    counts are taken from it. Each task's counters reach the driver once, with the task whose output is committed.
+    Cells of a rule that shows no values are alike, so each task sends one number for them; those that show values keep value and
+    place. The counted cells are written; counters, samples and categories are taken from there.
     """
-    seen = Observation()
-    fields = list(dict.fromkeys([*(r.field for r in rules), *order]))
-    total, *counters = [F.expr("count(1) as total"), *[F.expr(f"count_if({r.bad}) as r{i}") for i, r in enumerate(rules)]]
-    observed = df.select(*(F.col(quoted(c)) for c in fields)).observe(seen, total, *counters)
-    hits = stored(violations(observed, [r for r in rules if r.error_type in SHOWN], order), "dq_hits")
-    found = seen.get
-    names = ["total", *(f"r{i}" for i in range(len(rules)))]
-    counts = df.sparkSession.createDataFrame([tuple(found.get(n, 0) for n in names)], ", ".join(f"{n} long" for n in names))
+    place = f"struct({', '.join(quoted(c) for c in order)})"
+    kind = df.selectExpr(f"{place} as _at").schema["_at"].dataType.simpleString()
+
+    def cell(rule: int, value: str | None = None) -> str:
+        at = f"cast(null as {kind})" if value is None else place
+        return f"named_struct('rule', {rule}, 'value', {value or 'cast(null as string)'}, '_at', {at})"
+
+    own = cell(-1)
+    hits = ", ".join(f"if({r.bad}, {cell(i, r.value if r.error_type in SHOWN else None)}, null)" for i, r in enumerate(rules))
+    nothing = f"cast(null as struct<rule: int, value: string, _at: {kind}>)"
+    cells = f"array_except(array({own}, {hits}), array({nothing}))" if rules else f"array({own})"
+    some = " or ".join(r.bad for r in rules) or "false"
+    # the outer form of explode spares a filter on the array, for which the rules would run twice
+    found = df.selectExpr(f"explode_outer(if({some}, {cells}, array({own}))) as c").selectExpr("c.*")
+    counted = stored(found.groupBy("rule", "value", "_at").agg(F.count(F.lit(1)).alias("n")), "dq_cells")
+    numbers = {"total": -1, **{f"r{i}": i for i in range(len(rules))}}
+    counts = counted.agg(*(F.expr(f"coalesce(sum(n) filter (where rule = {i}), 0) as {name}") for name, i in numbers.items()))
+    shown = [i for i, r in enumerate(rules) if r.error_type in SHOWN]
+    names = {c: f"element_at(array({', '.join(text_literal(getattr(r, c)) for r in rules)}), rule + 1) as {c}" for c in ("field", "error_type")}
+    hits = counted.where(F.col("rule").isin(shown)).selectExpr("_at", *names.values(), "value", "n") if shown else counted.where("false").selectExpr(
+        "_at", "'' as field", "'' as error_type", "value", "n")
     return Measured(counts, hits)
 
 
@@ -214,13 +226,13 @@ def listed_values(hits: DataFrame, order: list[str]) -> DataFrame:
     """
     found = hits.where(F.col("error_type") == BAD_CATEGORY)
     key, lead = ["field", "error_type", "value"], F.col(f"_at.{quoted(order[0])}")
-    counts = found.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min(lead).alias("_lead"), F.max(lead.isNull()).alias("_none"))
+    counts = found.groupBy(*key).agg(F.sum("n").alias("n"), F.min(lead).alias("_lead"), F.max(lead.isNull()).alias("_none"))
     if len(order) == 1:
         least = F.when(~F.col("_none"), F.col("_lead"))  # null comes first
         return counts.select(*key, "n", F.struct(least.alias(order[0])).alias("_at"))
-    own = counts.select(*(F.col(c).alias(f"_{c}") for c in key[::2]), "n", F.when(~F.col("_none"), F.col("_lead")).alias("_lead"))
+    own = counts.select(*(F.col(c).alias(f"_{c}") for c in key[::2]), F.col("n").alias("_n"), F.when(~F.col("_none"), F.col("_lead")).alias("_lead"))
     tied = found.join(own, (F.col("field") == F.col("_field")) & (F.col("value") == F.col("_value")) & lead.eqNullSafe(F.col("_lead")))
-    return tied.groupBy(*key, "n").agg(F.min("_at").alias("_at"))
+    return tied.groupBy(*key, F.col("_n").alias("n")).agg(F.min("_at").alias("_at"))
 
 
 def first_values(hits: DataFrame, listed: DataFrame, limit: int = SAMPLES) -> DataFrame:
@@ -229,7 +241,8 @@ def first_values(hits: DataFrame, listed: DataFrame, limit: int = SAMPLES) -> Da
     The filter on the row number turns into a group limit below the shuffle, so each
     task sends at most ``limit`` rows per issue however many rows offend.
     """
-    plain = hits.where(F.col("error_type") != BAD_CATEGORY).select("_at", "field", "error_type", "value")
+    plain = hits.where(F.col("error_type") != BAD_CATEGORY)
+    plain = plain.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.least(F.col("n"), F.lit(limit))))).select("_at", "field", "error_type", "value")
     found = plain.unionByName(listed.select("_at", "field", "error_type", "value"))
     w = Window.partitionBy("field", "error_type").orderBy("_at", "value")
     return found.withColumn("position", F.row_number().over(w)).where(F.col("position") <= limit)
@@ -237,7 +250,7 @@ def first_values(hits: DataFrame, listed: DataFrame, limit: int = SAMPLES) -> Da
 
 def _hits(df: DataFrame, contract: Contract, dataset_type: str, order: list[str], *kinds: str) -> DataFrame:
     rules = rules_for(df, contract.variant(df.columns, dataset_type), contract)
-    return violations(df, [r for r in rules if r.error_type in kinds], order)
+    return violations(df, [r for r in rules if r.error_type in kinds], order).withColumn("n", F.lit(1).cast("long"))
 
 
 def bad_categories(df: DataFrame, contract: Contract = CONTRACT, dataset_type: str = "auto",
