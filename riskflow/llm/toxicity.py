@@ -1,15 +1,18 @@
-"""Toxicity by the nearest labelled examples, found by exact TF-IDF cosine over all words.
+"""Toxicity by the nearest labelled examples: exact TF-IDF cosine of passages over a block-max inverted index.
 
-Terms are words of letters, all of them. The examples are at most ``examples`` labelled documents (the lowest hashes of their
-ids, of the share that isn't held out). Document frequencies are counted over all documents. A document's weights are
-(1 + ln tf) * ln(1 + N / df), of length 1 over all words of its text, also those that no example has. Frequencies are kept of
-the examples' words and of all others in at least ``RARE`` of the rows (two rows at least); what isn't kept counts as of one
-row, which is exact up to 2 / ``RARE`` rows and beyond that touches lengths only.
+One insult drowns in the vector of a long text, so a text is represented by one passage: of all its windows of ``passage`` words
+(a shorter text is one window) the one whose words speak most for the label, the first of equals. How much a word speaks is its smoothed log
+odds among the examples, never below 0; an example's own passage is chosen without its own label. ``passage=0`` takes whole texts.
 
-Every query is compared with every example: frequent words by a matrix product over the examples, all others by their postings,
-both in 32 bits. All weights are positive, so this is off by less than ``MARGIN`` of the cosine; what may be among the k best is
-summed again in 64 bits, so the neighbours are the exact ones. Equal examples are held once. Equal cosines go by the
-example's place.
+Terms are words of letters, all of them; bytes from 128 on count as letters, digits don't. The examples are at most ``examples``
+labelled documents (the lowest hashes of their ids, of the share that isn't held out). Document frequencies of the examples' words are counted
+over whole texts of all documents; a word of no example counts as of one row, which touches lengths only. Weights are
+(1 + ln tf) * ln(1 + N / df), of length 1 over all words of the passage.
+
+Distinct passages are put in order of likeness (by their rarest words that others have too) and cut into blocks of ``BLOCK``. A term lists its blocks with
+its largest weight in each. A query sums these to a bound for each block, scores the few blocks with the highest bounds, and then
+every other block whose bound reaches the k-th cosine: the neighbours are the exact ones. Equal passages are held once. Equal
+cosines go by the example's place.
 
 The vote weighs each neighbour by 1 / (1.02 - cosine). Votes are turned into probabilities by isotonic regression on the examples'
 own votes, each found without itself. A document without any word of the examples has no direction: its score is the
@@ -25,7 +28,6 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 from hashlib import blake2b
-from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -34,27 +36,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from riskflow.llm.fm import labelled
-from riskflow.llm.tables import fresh, slices, texts_of
+from riskflow.llm.tables import fresh, slices, stored, texts_of
 from riskflow.llm.words import LETTERS, joined, word_hashes
 
-EXAMPLES, NEIGHBOURS, BLOCK, THRESHOLD = 20_000, 15, 64, 0.5
-#: Share of the rows from which words of no example have their frequency kept.
-RARE = 1e-6
-#: Share of the examples from which a word is in the matrix (and the most such words), and the error of its 32-bit sums.
-FREQUENT, MATRIX_TERMS, MARGIN = 0.07, 1024, 2e-4
-#: Postings summed at once, and distinct words a task gathers before it hands them on.
-AT_ONCE, GATHERED = 1 << 19, 1 << 19
+EXAMPLES, NEIGHBOURS, BLOCK, THRESHOLD = 20_000, 15, 8, 0.5
+#: Words of a passage, and examples' worth of smoothing in a word's odds (chosen by the examples' own votes without themselves).
+PASSAGE, SMOOTH = 16, 5.0
+#: Blocks scored first, and error allowed for in comparisons of sums.
+FIRST, MARGIN = 4, 1e-9
+#: Postings (or cells) looked at together, rows an executor hands on together.
+AT_ONCE, HANDED = 1 << 20, 1 << 16
 #: Examples whose own votes a task finds, and answers a worker keeps at hand.
 VOTES, REMEMBERED = 500, 20_000
 
 
-def distinct_terms(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text number, term hash, count) of each distinct term of each text, by text and hash."""
-    data, ends = joined(texts)
-    hashes, bounds, _ = word_hashes(data, ends, LETTERS)
-    return _counted(hashes, np.repeat(np.arange(len(texts)), np.diff(bounds)))
-
-
 def _counted(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     order = np.lexsort((hashes, owner))
     h, o = hashes[order], owner[order]
@@ -71,17 +66,62 @@ def spans(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 class Terms:
-    """Terms, looked up by hash."""
+    """Terms, looked up by hash: hashes are uniform, so their leading bits lead to a term or two."""
 
     def __init__(self, hashes: np.ndarray):
         self.hashes = np.sort(hashes.astype(np.uint64))
 
+    def __getstate__(self) -> dict:
+        return {"hashes": self.hashes}
+
     def places(self, hashes: np.ndarray) -> np.ndarray:
         """Term numbers, -1 for others."""
-        place = np.searchsorted(self.hashes, hashes)
-        there = place < len(self.hashes)
-        there[there] = self.hashes[place[there]] == hashes[there]
-        return np.where(there, place, -1)
+        if not hasattr(self, "_first"):
+            bits = max(1, len(self.hashes).bit_length())
+            self._shift = np.uint64(64 - bits)
+            self._first = np.searchsorted(self.hashes >> self._shift, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
+        bucket = (hashes >> self._shift).astype(np.int64)
+        at, end = self._first[bucket], self._first[bucket + 1]
+        out = np.full(len(hashes), -1, np.int64)
+        left = np.flatnonzero(at < end)
+        at, end, wanted = at[left], end[left], hashes[left]
+        while len(left):
+            there = self.hashes[at] == wanted
+            out[left[there]] = at[there]
+            on = np.flatnonzero(~there & (at + 1 < end))
+            left, at, end, wanted = left[on], at[on] + 1, end[on], wanted[on]
+        return out
+
+
+def odds(toxic: np.ndarray, rows: np.ndarray, share: float) -> np.ndarray:
+    """How much words speak for the label that ``share`` of the examples have, as whole numbers: their sums don't depend on order."""
+    found = np.log((toxic + SMOOTH * share) / (rows - toxic + SMOOTH * (1 - share))) - np.log(share / (1 - share))
+    return np.round(np.maximum(found, 0) * (1 << 20)).astype(np.int64)
+
+
+def passages(bounds: np.ndarray, speak: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """First words, and first words after them, of the texts' passages."""
+    starts, stops = bounds[:-1].copy(), bounds[1:].copy()
+    long = np.flatnonzero(stops - starts > size) if size else []
+    if len(long):
+        total = np.concatenate([[0], np.cumsum(speak)])
+        sums = total[size:] - total[:-size]
+        for i in long.tolist():
+            starts[i] += int(np.argmax(sums[starts[i]:stops[i] - size + 1]))
+        stops[long] = starts[long] + size
+    return starts, stops
+
+
+def _words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    data, ends = joined(texts)
+    hashes, bounds, _ = word_hashes(data, ends, LETTERS)
+    return hashes, bounds
+
+
+def _passage_counts(hashes: np.ndarray, bounds: np.ndarray, speak: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, term hash, count) of each distinct term of each text's passage."""
+    starts, stops = passages(bounds, speak, size)
+    return _counted(hashes[spans(starts, stops - starts)], np.repeat(np.arange(len(starts)), stops - starts))
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -108,10 +148,10 @@ class Index:
     ids: np.ndarray
     labels: np.ndarray
     k: int
-    others: Terms = field(default_factory=lambda: Terms(np.empty(0)))  # further words, for the lengths of queries
-    others_idf: np.ndarray = field(default_factory=lambda: np.empty(0))
-    single_idf: float = 0.0  # of words in one row
-    bag_term: np.ndarray = field(default=None)  # of the distinct examples, by example, then term
+    single_idf: float = 0.0  # of words of no example
+    speak: np.ndarray = field(default=None)  # what the words say for the label
+    passage: int = 0
+    bag_term: np.ndarray = field(default=None)  # of the distinct examples, in order of likeness, then by term
     bag_count: np.ndarray = field(default=None)
     bag_starts: np.ndarray = field(default=None)
     bag_norm: np.ndarray = field(default=None)
@@ -122,7 +162,7 @@ class Index:
     constant: float | None = None
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}  # workers make postings and matrix themselves
+        return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}  # workers make the postings themselves
 
     def build(self, owner: np.ndarray, term: np.ndarray, count: np.ndarray) -> None:
         bounds = np.searchsorted(owner, np.arange(len(self.ids) + 1)).tolist()
@@ -139,84 +179,94 @@ class Index:
                 terms.append(term)
                 counts.append(count)
                 norms.append(max(float(np.sqrt((((1 + np.log(count)) * self.idf[term]) ** 2).sum())), 1e-12))
+        df = np.bincount(np.concatenate([np.empty(0, np.int32), *terms]), minlength=len(self.idf))
+        order = sorted(range(len(terms)), key=lambda i: (sorted((int(df[t]), int(t)) for t in terms[i] if df[t] > 1)[:3], i))
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        of = place[np.array(of, np.int64)]
         self.same = np.argsort(of, kind="stable")
-        self.same_starts = np.searchsorted(np.array(of)[self.same], np.arange(len(number) + 1))
-        self.bag_norm, self.bag_starts = np.array(norms), np.concatenate([[0], np.cumsum([len(t) for t in terms])])
-        self.bag_term = np.concatenate(terms)
-        del terms
-        self.bag_count = np.concatenate(counts)
+        self.same_starts = np.searchsorted(of[self.same], np.arange(len(number) + 1))
+        self.bag_norm, self.bag_starts = np.array(norms)[order], np.concatenate([[0], np.cumsum([len(terms[i]) for i in order])])
+        self.bag_term = np.concatenate([terms[i] for i in order])
+        self.bag_count = np.concatenate([counts[i] for i in order])
 
     def _prepare(self) -> None:
-        """Postings of the words, and the matrix of the frequent ones."""
-        n, sizes = len(self.bag_norm), np.diff(self.bag_starts)
-        vector = np.repeat(np.arange(n, dtype=np.int32), sizes)
-        weight = ((1 + np.log(self.bag_count)) * self.idf[self.bag_term] / self.bag_norm[vector]).astype(np.float32)
-        df = np.bincount(self.bag_term, minlength=len(self.idf))
-        frequent = np.argsort(-df, kind="stable")[:MATRIX_TERMS]
-        frequent = frequent[df[frequent] >= max(2, FREQUENT * n)]
-        self._row = np.full(len(self.idf), -1, np.int32)
-        self._row[frequent] = np.arange(len(frequent))
-        row = self._row[self.bag_term]
-        dense = row >= 0
-        self._matrix = np.zeros((len(frequent), n), np.float32)
-        self._matrix[row[dense], vector[dense]] = weight[dense]
-        rare = np.flatnonzero(~dense)
-        rare = rare[np.argsort(self.bag_term[rare], kind="stable")]
-        self._post_vector, self._post_weight = vector[rare], weight[rare]
-        self._starts = np.searchsorted(self.bag_term[rare], np.arange(len(self.idf) + 1))
-        self._query = np.zeros(len(self.idf))
-        self._logs = 1 + np.log(np.maximum(np.arange(self.bag_count.max(initial=0) + 1), 1))
-
-    def _near(self, owner: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
-        """Cosines of n queries with all distinct examples, in 32 bits."""
-        row, width = self._row[term], self._matrix.shape[1]
-        dense = row >= 0
-        query = np.zeros((n, len(self._matrix)), np.float32)
-        query[owner[dense], row[dense]] = weight[dense]
-        near = query @ self._matrix
-        first = self._starts[term]
-        sizes = self._starts[term + 1] - first  # no postings of the matrix's words
-        visits = np.concatenate([[0], np.cumsum(np.bincount(owner, sizes, minlength=n).astype(np.int64))])
-        at, bounds = 0, np.searchsorted(owner, np.arange(n + 1))
-        while at < n:
-            stop = max(at + 1, int(np.searchsorted(visits, visits[at] + AT_ONCE, side="right")) - 1)
-            a, b = bounds[at], bounds[stop]
-            place = spans(first[a:b], sizes[a:b])
-            cell = np.repeat((owner[a:b] - at) * width, sizes[a:b]) + self._post_vector[place]
-            amount = np.repeat(weight[a:b], sizes[a:b]) * self._post_weight[place]
-            near[at:stop] += np.bincount(cell, amount, minlength=(stop - at) * width).reshape(stop - at, width)
-            at = stop
-        return near
+        """Postings by term and example, the blocks that each term is in, and its largest weight there."""
+        self._size, n = BLOCK, len(self.bag_norm)
+        self._blocks = -(-n // BLOCK)
+        order = np.argsort(self.bag_term, kind="stable")
+        self._post_vector = np.repeat(np.arange(n), np.diff(self.bag_starts))[order]
+        term = self.bag_term[order]
+        self._post_weight = (1 + np.log(self.bag_count[order])) * self.idf[term] / self.bag_norm[self._post_vector]
+        block = self._post_vector // BLOCK
+        self._first = np.flatnonzero(np.diff(term, prepend=-1).astype(bool) | np.diff(block, prepend=-1).astype(bool))
+        self._counts = np.diff(np.append(self._first, len(term)))
+        self._block = block[self._first]
+        self._most = np.maximum.reduceat(self._post_weight, self._first) if len(term) else np.empty(0)
+        self._starts = np.searchsorted(term[self._first], np.arange(len(self.idf) + 1))
+        self._df = np.bincount(term, minlength=len(self.idf))
+        self.scored_blocks = self.all_blocks = 0
 
     def search(self, owner: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """(examples, cosines) of the k nearest with any common term, by cosine, then place, for each of n queries."""
-        if not hasattr(self, "_row"):
+        if not hasattr(self, "_most"):
             self._prepare()
-        bounds, out, width = np.searchsorted(owner, np.arange(n + 1)), [], len(self.bag_norm)
-        for low in range(0, n, BLOCK):
-            high = min(n, low + BLOCK)
+        bounds, out = np.searchsorted(owner, np.arange(n + 1)), []
+        visits = np.concatenate([[0], np.cumsum(np.bincount(owner, self._df[term], minlength=n).astype(np.int64) + self._blocks)])
+        low = 0
+        while low < n:
+            high = max(low + 1, int(np.searchsorted(visits, visits[low] + AT_ONCE, side="right")) - 1)
             a, b = bounds[low], bounds[high]
-            near = self._near(owner[a:b] - low, term[a:b], weight[a:b], high - low)
-            rank = width - min(k, width)
-            least = np.partition(near, rank, axis=1)[:, rank]
-            query, vector = np.nonzero((near > 0) & (near >= (least * (1 - MARGIN))[:, None]))
-            cut = np.searchsorted(query, np.arange(high - low + 1))
-            for i in range(high - low):
-                c, d = bounds[low + i], bounds[low + i + 1]
-                out.append(self._exact(term[c:d], weight[c:d], vector[cut[i]:cut[i + 1]], k))
+            out += self._nearest(owner[a:b] - low, term[a:b], weight[a:b], high - low, k)
+            low = high
         return out
 
-    def _exact(self, term: np.ndarray, weight: np.ndarray, vector: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        sizes = self.bag_starts[vector + 1] - self.bag_starts[vector]
-        at = spans(self.bag_starts[vector], sizes)
-        terms = self.bag_term[at]
-        self._query[term] = weight * self.idf[term]
-        shared = self._query[terms]
-        self._query[term] = 0
-        common = np.flatnonzero(shared)
-        place = np.repeat(np.arange(len(vector)), sizes)[common]
-        part = shared[common] * self._logs[self.bag_count[at[common]]]
-        cosine = np.round(np.minimum(np.bincount(place, part, minlength=len(vector)) / self.bag_norm[vector], 1.0), 12)
+    def _nearest(self, owner: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        first = self._starts[term]
+        sizes = self._starts[term + 1] - first
+        entry = spans(first, sizes)
+        weight, cell = np.repeat(weight, sizes), np.repeat(owner * self._blocks, sizes) + self._block[entry]
+        bound = np.bincount(cell, weight * self._most[entry], minlength=n * self._blocks).reshape(n, self._blocks)
+        most = min(self._blocks, -(-k // self._size) + FIRST)
+        chosen = np.zeros(bound.shape, bool)
+        np.put_along_axis(chosen, np.argpartition(bound, self._blocks - most, axis=1)[:, self._blocks - most:], True, axis=1)
+        chosen &= bound > 0
+        query, vector, cosine = self._cosines(entry, cell, weight, chosen)
+        least = self._kth(query, cosine, n, k)
+        rest = (bound >= (least * (1 - MARGIN))[:, None]) & (bound > 0) & ~chosen
+        if rest.any():
+            query, vector, cosine = (np.concatenate(x) for x in zip((query, vector, cosine), self._cosines(entry, cell, weight, rest)))
+            least = self._kth(query, cosine, n, k)
+        self.scored_blocks += int(chosen.sum() + rest.sum())
+        self.all_blocks += chosen.size
+        near = np.flatnonzero(cosine >= least[query] * (1 - MARGIN))
+        near = near[np.argsort(query[near], kind="stable")]
+        cut, vector, cosine = np.searchsorted(query[near], np.arange(n + 1)), vector[near], np.round(np.minimum(cosine[near], 1.0), 12)
+        return [self._best(vector[a:b], cosine[a:b], k) for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
+
+    def _cosines(self, entry: np.ndarray, cell: np.ndarray, weight: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, distinct example, cosine) of all that have a common term in the chosen blocks."""
+        chosen = chosen.ravel()
+        keep = np.flatnonzero(chosen[cell])
+        pairs = np.flatnonzero(chosen)
+        entry, sizes = entry[keep], self._counts[entry[keep]]
+        at = spans(self._first[entry], sizes)
+        slot = np.repeat((np.cumsum(chosen) - 1)[cell[keep]] * self._size, sizes) + self._post_vector[at] % self._size
+        sums = np.bincount(slot, np.repeat(weight[keep], sizes) * self._post_weight[at], minlength=len(pairs) * self._size)
+        hit = np.flatnonzero(sums)
+        pair = pairs[hit // self._size]
+        return pair // self._blocks, pair % self._blocks * self._size + hit % self._size, sums[hit]
+
+    @staticmethod
+    def _kth(query: np.ndarray, cosine: np.ndarray, n: int, k: int) -> np.ndarray:
+        """Each query's k-th cosine, 0 where there are fewer."""
+        order = np.lexsort((-cosine, query))
+        cut = np.searchsorted(query[order], np.arange(n + 1))
+        out, enough = np.zeros(n), np.flatnonzero(np.diff(cut) >= k)
+        out[enough] = cosine[order[cut[enough] + k - 1]]
+        return out
+
+    def _best(self, vector: np.ndarray, cosine: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         copies = np.minimum(self.same_starts[vector + 1] - self.same_starts[vector], k)
         example, cosine = self.same[spans(self.same_starts[vector], copies)], np.repeat(cosine, copies)
         rank = np.lexsort((example, -cosine))[:k]
@@ -230,19 +280,16 @@ class Index:
         keep = examples != without
         return examples[keep][:self.k], cosines[keep][:self.k]
 
-    def weigh(self, owner: np.ndarray, hashes: np.ndarray, count: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text number, term number, weight) of the words that examples have, of length 1 over all words."""
-        distinct, back = np.unique(hashes, return_inverse=True)
-        number = self.terms.places(distinct)
-        idf = np.full(len(distinct), self.single_idf)
-        idf[number >= 0] = self.idf[number[number >= 0]]
-        out = np.flatnonzero(number < 0)
-        other = self.others.places(distinct[out])
-        idf[out[other >= 0]] = self.others_idf[other[other >= 0]]
-        weight = (1 + np.log(count)) * idf[back]
-        norm = np.maximum(np.sqrt(np.bincount(owner, weight * weight, minlength=n)), 1e-12)
-        known = np.flatnonzero(number[back] >= 0)
-        return owner[known], number[back[known]], weight[known] / norm[owner[known]]
+    def weigh(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text number, term number, weight) of the passages' words that examples have, of length 1 over all words."""
+        hashes, bounds = _words(texts)
+        speak = np.append(self.speak, 0)[self.terms.places(hashes)] if self.passage else None
+        owner, hashes, count = _passage_counts(hashes, bounds, speak, self.passage)
+        number = self.terms.places(hashes)
+        weight = (1 + np.log(count)) * np.append(self.idf, self.single_idf)[number]
+        norm = np.maximum(np.sqrt(np.bincount(owner, weight * weight, minlength=len(texts))), 1e-12)
+        known = np.flatnonzero(number >= 0)
+        return owner[known], number[known], weight[known] / norm[owner[known]]
 
     def vote(self, examples: np.ndarray, cosines: np.ndarray) -> float:
         weight = 1 / (1.02 - cosines)
@@ -253,8 +300,8 @@ class Index:
         of = np.empty(len(self.ids), np.int64)
         of[self.same] = np.repeat(np.arange(len(self.bag_norm)), np.diff(self.same_starts))
         out = []
-        for low in range(0, len(examples), BLOCK):
-            chosen = examples[low:low + BLOCK]
+        for low in range(0, len(examples), VOTES):
+            chosen = examples[low:low + VOTES]
             vector = of[chosen]
             sizes = self.bag_starts[vector + 1] - self.bag_starts[vector]
             at, owner = spans(self.bag_starts[vector], sizes), np.repeat(np.arange(len(chosen)), sizes)
@@ -289,7 +336,7 @@ class Index:
         new = {key: t for key, t in zip(keys, texts) if key not in known}
         out = {key: known[key] for key in keys if key in known}
         if new:
-            owner, term, weight = self.weigh(*distinct_terms(list(new.values())), len(new))
+            owner, term, weight = self.weigh(list(new.values()))
             sizes = np.bincount(owner, minlength=len(new)).tolist()
             for key, size, (examples, cosines) in zip(new, sizes, self.search(owner, term, weight, len(new), self.k)):
                 out[key] = (self.probability(self.vote(examples, cosines)), self.ids[examples], cosines, size) if len(examples) else (self.blank, np.empty(0, np.int64), np.empty(0), 0)
@@ -299,35 +346,52 @@ class Index:
         return [out[key] for key in keys]
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text_col: str = "text", examples: int = EXAMPLES, k: int = NEIGHBOURS) -> Index:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text_col: str = "text", examples: int = EXAMPLES, k: int = NEIGHBOURS,
+        passage: int = PASSAGE) -> Index:
     """The index of at most ``examples`` labelled documents; frequencies are counted over all of ``docs``."""
     spark = docs.sparkSession
-    sample = labelled(docs.select("doc_id", text_col), labels, label, [text_col], examples)
+    sample = stored(labelled(docs.select("doc_id", text_col), labels, label, [text_col], examples), "examples").select("d_id", "text", "y")
+    kinds = sample.agg(F.count(F.lit(1)), F.coalesce(F.count_if(F.col("y") > 0), F.lit(0))).first()
+    if not kinds[0] or kinds[1] in (0, kinds[0]):
+        return Index(Terms(np.empty(0)), np.empty(0), np.empty(0), np.empty(0), k, constant=(kinds[1] + 1) / (kinds[0] + 2))
+
+    def words(batches):
+        for batch in slices(batches):
+            hashes, bounds = _words(texts_of(batch.column(1)))
+            owner, term, _ = _counted(hashes, np.repeat(np.arange(batch.num_rows), np.diff(bounds)))
+            marked = (batch.column(2).to_numpy() > 0)[owner]
+            distinct, back = np.unique(term, return_inverse=True)
+            yield pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(np.bincount(back, marked, len(distinct)).astype(np.int64)),
+                                              pa.array(np.bincount(back, minlength=len(distinct)).astype(np.int64))], names=["term", "toxic", "n"])
+
+    # the examples' distinct words: a few for each of at most ``examples`` rows
+    found = sample.mapInArrow(words, "term long, toxic long, n long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n")).toArrow()
+    hashes = found["term"].to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    toxic, rows = found["toxic"].to_numpy()[order], found["n"].to_numpy()[order]
+    share, terms = kinds[1] / kinds[0], Terms(hashes)
+    del found, hashes, order
+    sent = spark.sparkContext.broadcast((terms, toxic, rows))
 
     def bags(batches):
+        known, marked, held = sent.value
         for batch in slices(batches):
-            texts = texts_of(batch.column(1))
-            owner, term, count = distinct_terms(texts)
-            cut = np.searchsorted(owner, np.arange(len(texts) + 1)).tolist()
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2).cast(pa.int32()), pa.array([term[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary()),
+            hashes, bounds = _words(texts_of(batch.column(1)))
+            place, y = known.places(hashes), np.repeat(batch.column(2).to_numpy() > 0, np.diff(bounds))
+            owner, term, count = _passage_counts(hashes, bounds, odds(marked[place] - y, held[place] - 1, share), passage)
+            cut = np.searchsorted(owner, np.arange(batch.num_rows + 1)).tolist()
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2).cast(pa.int32()), pa.array([known.places(term[a:b]).astype(np.int32).tobytes() for a, b in zip(cut, cut[1:])], pa.binary()),
                                               pa.array([count[a:b].astype(np.int32).tobytes() for a, b in zip(cut, cut[1:])], pa.binary())], names=["d_id", "y", "terms", "counts"])
 
-    # Arrow's buffers, not row objects: at most ``examples`` bags of words.
+    # Arrow's buffers, not row objects: at most ``examples`` passages.
     table = sample.mapInArrow(bags, "d_id long, y int, terms binary, counts binary").toArrow()
-    words, numbers = ([v.as_buffer() for chunk in table[c].chunks for v in chunk] for c in ("terms", "counts"))
-    held = sorted((d, y, blake2b(words[i]).digest(), blake2b(numbers[i]).digest(), i) for i, (d, y) in enumerate(zip(table["d_id"].to_pylist(), table["y"].to_pylist())))
-    toxic = np.array([int(y > 0) for _, y, *_ in held])
-    if not held or toxic.min() == toxic.max():
-        return Index(Terms(np.empty(0)), np.empty(0), np.empty(0), np.empty(0), k, constant=(toxic.sum() + 1) / (len(held) + 2))
-    ids, order = np.array([d for d, *_ in held], np.int64), [i for *_, i in held]
-    parts = [np.unique(np.frombuffer(b"".join(words[at:at + 2000]), np.uint64)) for at in range(0, len(words), 2000)]
-    terms = Terms(np.unique(np.concatenate(parts)))
-    del held, parts
-    total = docs.count()
-    own, others, df = _frequencies(docs.select(text_col), terms, max(2, ceil(RARE * total)))
-    index = Index(terms, np.log(1 + total / np.maximum(own, 1)), ids, toxic, k, others, np.log(1 + total / df), float(np.log(1 + total)))
-    index.gather((np.searchsorted(terms.hashes, np.frombuffer(words[i], np.uint64)), np.frombuffer(numbers[i], np.int32)) for i in order)
-    del table, words, numbers, own, df
+    places, numbers = ([v.as_buffer() for chunk in table[c].chunks for v in chunk] for c in ("terms", "counts"))
+    held = sorted((d, y, blake2b(places[i]).digest(), blake2b(numbers[i]).digest(), i) for i, (d, y) in enumerate(zip(table["d_id"].to_pylist(), table["y"].to_pylist())))
+    total, df = _frequencies(docs.select(text_col), sent)
+    index = Index(terms, np.log(1 + total / np.maximum(df, 1)), np.array([d for d, *_ in held], np.int64), np.array([int(y > 0) for _, y, *_ in held]), k,
+                  float(np.log(1 + total)), odds(toxic, rows, share), passage)
+    index.gather((np.frombuffer(places[i], np.int32), np.frombuffer(numbers[i], np.int32)) for *_, i in held)
+    del table, places, numbers, held, df
     pa.default_memory_pool().release_unused()
     held = index._sent = spark.sparkContext.broadcast(index)  # of at most ``examples`` rows
 
@@ -336,45 +400,37 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text_col: str
             found = held.value.own_votes(batch.column(0).to_numpy())
             yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in found], pa.int64()), pa.array([v for _, v in found], pa.float64())], names=["example", "vote"])
 
-    voted = spark.range(0, len(ids), 1, -(-len(ids) // VOTES)).mapInArrow(votes, "example long, vote double").toArrow().to_pydict()  # one row per example
+    n = len(index.ids)
+    voted = spark.range(0, n, 1, -(-n // VOTES)).mapInArrow(votes, "example long, vote double").toArrow().to_pydict()  # one row per example
     index.settle(sorted(zip(voted["example"], voted["vote"])))
     return index
 
 
-def _frequencies(texts: DataFrame, terms: Terms, least: int) -> tuple[np.ndarray, Terms, np.ndarray]:
-    """Rows with each of ``terms``, and other words in at least ``least`` rows with their numbers of rows."""
-    spread = texts.sparkSession.sparkContext.broadcast(terms)
+def _frequencies(texts: DataFrame, sent) -> tuple[int, np.ndarray]:
+    """The number of rows, and of rows with each of the examples' words; a task sends one sum for each word."""
 
     def counts(batches):
-        held, size = [], 0
-
-        def merged():
-            term, back = np.unique(np.concatenate([t for t, _ in held]), return_inverse=True)
-            return term, np.bincount(back, np.concatenate([n for _, n in held])).astype(np.int64)
-
-        def made():
-            term, n = merged()
-            return pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(spread.value.places(term) >= 0), pa.array(n)], names=["term", "own", "n"])
-
+        terms, rows = sent.value[0], 0
+        width = len(terms.hashes)
+        sums = np.zeros(width, np.int64)
         for batch in slices(batches):
-            held.append(np.unique(distinct_terms(texts_of(batch.column(0)))[1], return_counts=True))
-            size += len(held[-1][0])
-            if size > 2 * GATHERED:
-                held = [merged()]
-                size = len(held[0][0])
-                if size > GATHERED:
-                    yield made()
-                    held, size = [], 0
-        if held:
-            yield made()
-
-    found = texts.mapInArrow(counts, "term long, own boolean, n long").groupBy("term", "own").agg(F.sum("n").alias("n")).where(F.col("own") | (F.col("n") >= least)).toArrow()
-    term, n = found["term"].to_numpy().view(np.uint64), found["n"].to_numpy()
-    mine = found["own"].to_numpy().astype(bool)
-    df = np.zeros(len(terms.hashes))
-    df[terms.places(term[mine])] = n[mine]
-    order = np.argsort(term[~mine])
-    return df, Terms(term[~mine]), n[~mine][order]
+            hashes, bounds = _words(texts_of(batch.column(0)))
+            place = terms.places(hashes)
+            here = place >= 0
+            distinct = np.unique((np.repeat(np.arange(batch.num_rows), np.diff(bounds)) * width + place)[here])
+            sums += np.bincount(distinct % max(width, 1), minlength=width)
+            rows += batch.num_rows
+        found = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int64()), pa.array([rows], pa.int64())], names=["term", "n"])
+        for at in range(0, len(found), HANDED):
+            part = found[at:at + HANDED]
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(sums[part])], names=["term", "n"])
+
+    found = texts.mapInArrow(counts, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # at most the examples' words
+    term, n = found["term"].to_numpy(), found["n"].to_numpy()
+    df = np.zeros(len(sent.value[0].hashes), np.int64)
+    df[term[term >= 0]] = n[term >= 0]
+    return int(n[term < 0].sum()), df
 
 
 def score(docs: DataFrame, index: Index, text_col: str = "text", name: str = "score", evidence: bool = False) -> DataFrame:

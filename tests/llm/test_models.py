@@ -131,24 +131,37 @@ def test_index_is_exact(monkeypatch):
         assert got.tolist() == want and near == pytest.approx(np.minimum(cosine[want], 1))
 
 
-def brute_force_neighbours(rows, labels):
-    """For each text all (cosine, id) of examples with a common word, over all words of both."""
-    bags = [Counter(re.findall(rb"[a-z\x80-\xff]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (t or "").encode()))) for _, t in rows]
-    df = Counter(w for b in bags for w in b)
-    vectors = []
-    for b in bags:
-        v = {w: (1 + math.log(c)) * math.log(1 + len(rows) / df[w]) for w, c in b.items()}
-        norm = math.sqrt(sum(x * x for x in v.values()))
-        vectors.append({w: x / norm for w, x in v.items()})
+def brute_force_neighbours(rows, labels, size=0):
+    """For each text all (cosine, id) of examples with a common word, over all words of both (of their passages of ``size`` words)."""
+    words = [re.findall(rb"[a-z\x80-\xff]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (t or "").encode())) for _, t in rows]
     examples = sorted((d, i) for i, (d, _) in enumerate(rows) if d in labels and zlib.crc32(str(d).encode()) % 5)
-    out = []
-    for v in vectors:
-        near = [(sum(x * vectors[i].get(w, 0) for w, x in v.items()), d) for d, i in examples]
+    df, held = Counter(w for b in words for w in set(b)), Counter(w for _, i in examples for w in set(words[i]))
+    toxic, share = Counter(w for d, i in examples if labels[d] for w in set(words[i])), sum(labels[d] for d, _ in examples) / len(examples)
+
+    def speaks(w, own):
+        a, n = (toxic[w], held[w]) if own is None else (toxic[w] - own, held[w] - 1)
+        odds = math.log((a + toxicity.SMOOTH * share) / (n - a + toxicity.SMOOTH * (1 - share))) - math.log(share / (1 - share))
+        return round(max(0, odds) * 2**20) if held[w] else 0
+
+    def vector(i, own=None):
+        part = words[i]
+        if size and len(part) > size:
+            said = [speaks(w, own) for w in part]
+            part = max((sum(said[j:j + size]), -j, part[j:j + size]) for j in range(len(part) - size + 1))[2]
+        v = {w: (1 + math.log(c)) * math.log(1 + len(rows) / (df[w] if held[w] else 1)) for w, c in Counter(part).items()}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / norm for w, x in v.items()}
+
+    of, out = {i: vector(i, labels[d]) for d, i in examples}, []
+    for i in range(len(rows)):
+        v = vector(i)
+        near = [(sum(x * of[e].get(w, 0) for w, x in v.items()), d) for d, e in examples]
         out.append(sorted(((c, d) for c, d in near if c > 0), key=lambda x: (-round(x[0], 10), x[1])))
     return out
 
 
-def test_neighbours_over_all_words(spark, monkeypatch):
+@pytest.mark.parametrize("size", [0, 12])
+def test_neighbours_over_all_words(spark, monkeypatch, size):
     monkeypatch.setattr(toxicity, "BLOCK", 16)
     monkeypatch.setattr(toxicity, "AT_ONCE", 100)
     rows = [(d, t) for d, t in {d: (d, t) for d, t in cases.texts() if d is not None}.values()]
@@ -159,9 +172,9 @@ def test_neighbours_over_all_words(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     cases.documents(spark, [])  # ships the package
     made = spark.createDataFrame([(d, 1, y) for d, y in labels.items()], cases.LABELS)
-    got = {r.doc_id: r for r in toxicity.score(docs, toxicity.fit(docs, made), evidence=True).collect()}
+    got = {r.doc_id: r for r in toxicity.score(docs, toxicity.fit(docs, made, passage=size), evidence=True).collect()}
     searched = 0
-    for (d, _), want in zip(rows, brute_force_neighbours(rows, labels)):
+    for (d, _), want in zip(rows, brute_force_neighbours(rows, labels, size)):
         top = want[:toxicity.NEIGHBOURS]
         assert got[d].cosines == pytest.approx([c for c, _ in top], abs=1e-9), d
         assert got[d].neighbours == [e for _, e in top], d
@@ -169,6 +182,16 @@ def test_neighbours_over_all_words(spark, monkeypatch):
     assert searched > 0.9 * len(rows)
 
 
+def test_most_blocks_are_not_scored(spark):
+    sf = "/root/testdata/sf0.01"
+    cases.documents(spark, [])
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    index = toxicity.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    index._prepare()
+    index.score([r.text or "" for r in docs.select("text").collect()])
+    assert index._blocks > 30 and 0 < index.scored_blocks < 0.8 * index.all_blocks, (index.scored_blocks, index.all_blocks)
+
+
 def test_repeated_rows_keep_the_bound(spark):
     rows = [(7, "seven")] * 300 + [(8, f"text {i}") for i in range(100)] + [(100 + i, f"other {i % 5}") for i in range(40)]
     labels = spark.createDataFrame([(d, 1, d % 2) for d in {d for d, _ in rows}] + [(7, 1, 1)] * 50, cases.LABELS)
