@@ -9,9 +9,9 @@ labelled documents (the lowest hashes of their ids, of the share that isn't held
 over whole texts of all documents; a word of no example counts as of one row, which touches lengths only. Weights are
 (1 + ln tf) * ln(1 + N / df), of length 1 over all words of the passage.
 
-Distinct passages are put in order of likeness (by their rarest words that others have too) and cut into blocks of ``BLOCK``. A term lists its blocks with
-its largest weight in each. A query sums these to a bound for each block, scores the few blocks with the highest bounds, and then
-every other block whose bound reaches the k-th cosine: the neighbours are the exact ones. Equal passages are held once. Equal
+Distinct passages are put in order of likeness (by the rarest of their words that at least ``SHARED`` of them have) and cut into blocks of ``BLOCK``. A term lists
+its blocks with its largest weight in each; terms in at least ``HEAVY`` of the blocks have these as rows of a matrix. A query sums them to a bound for each block,
+scores the few blocks with the highest bounds, and then every other block whose bound reaches the k-th cosine: the neighbours are the exact ones. Equal passages are held once. Equal
 cosines go by the example's place.
 
 The vote weighs each neighbour by 1 / (1.02 - cosine). Votes are turned into probabilities by isotonic regression on the examples'
@@ -44,8 +44,10 @@ EXAMPLES, NEIGHBOURS, BLOCK, THRESHOLD = 20_000, 15, 8, 0.5
 PASSAGE, SMOOTH = 16, 5.0
 #: Blocks scored first, and error allowed for in comparisons of sums.
 FIRST, MARGIN = 4, 1e-9
+#: Share of the passages from which a word puts them in order, and of the blocks from which its blocks are a row of a matrix.
+SHARED, HEAVY = 0.002, 0.1
 #: Postings (or cells) looked at together, rows an executor hands on together.
-AT_ONCE, HANDED = 1 << 20, 1 << 16
+AT_ONCE, HANDED = 1 << 17, 1 << 16
 #: Examples whose own votes a task finds, and answers a worker keeps at hand.
 VOTES, REMEMBERED = 500, 20_000
 
@@ -180,7 +182,7 @@ class Index:
                 counts.append(count)
                 norms.append(max(float(np.sqrt((((1 + np.log(count)) * self.idf[term]) ** 2).sum())), 1e-12))
         df = np.bincount(np.concatenate([np.empty(0, np.int32), *terms]), minlength=len(self.idf))
-        order = sorted(range(len(terms)), key=lambda i: (sorted((int(df[t]), int(t)) for t in terms[i] if df[t] > 1)[:3], i))
+        order = sorted(range(len(terms)), key=lambda i: (sorted((int(df[t]), int(t)) for t in terms[i] if df[t] > max(1, SHARED * len(terms))), i))
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
         of = place[np.array(of, np.int64)]
@@ -205,6 +207,14 @@ class Index:
         self._most = np.maximum.reduceat(self._post_weight, self._first) if len(term) else np.empty(0)
         self._starts = np.searchsorted(term[self._first], np.arange(len(self.idf) + 1))
         self._df = np.bincount(term, minlength=len(self.idf))
+        lists = np.diff(self._starts)
+        heavy = np.flatnonzero(lists > HEAVY * self._blocks)
+        self._row = np.full(len(self.idf), -1)
+        self._row[heavy] = np.arange(len(heavy))
+        self._heavy_entry = np.full((len(heavy), self._blocks), -1)  # few words are in that many blocks
+        entry = spans(self._starts[heavy], lists[heavy])
+        self._heavy_entry[np.repeat(np.arange(len(heavy)), lists[heavy]), self._block[entry]] = entry
+        self._heavy_most = np.where(self._heavy_entry >= 0, np.append(self._most, 0)[self._heavy_entry], 0)
         self.scored_blocks = self.all_blocks = 0
 
     def search(self, owner: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -222,20 +232,27 @@ class Index:
         return out
 
     def _nearest(self, owner: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        first = self._starts[term]
-        sizes = self._starts[term + 1] - first
+        row = self._row[term]
+        light, heavy = np.flatnonzero(row < 0), np.flatnonzero(row >= 0)
+        first = self._starts[term[light]]
+        sizes = self._starts[term[light] + 1] - first
         entry = spans(first, sizes)
-        weight, cell = np.repeat(weight, sizes), np.repeat(owner * self._blocks, sizes) + self._block[entry]
-        bound = np.bincount(cell, weight * self._most[entry], minlength=n * self._blocks).reshape(n, self._blocks)
+        lists = entry, np.repeat(owner[light] * self._blocks, sizes) + self._block[entry], np.repeat(weight[light], sizes)
+        rows = np.searchsorted(owner[heavy], np.arange(n + 1)), row[heavy], weight[heavy]
+        query = np.zeros((n, len(self._heavy_entry)))
+        query[owner[heavy], rows[1]] = rows[2]
+        bound = np.bincount(lists[1], lists[2] * self._most[entry], minlength=n * self._blocks).reshape(n, self._blocks) + query @ self._heavy_most
         most = min(self._blocks, -(-k // self._size) + FIRST)
         chosen = np.zeros(bound.shape, bool)
         np.put_along_axis(chosen, np.argpartition(bound, self._blocks - most, axis=1)[:, self._blocks - most:], True, axis=1)
         chosen &= bound > 0
-        query, vector, cosine = self._cosines(entry, cell, weight, chosen)
+        query, vector, cosine = self._cosines(lists, rows, chosen)
         least = self._kth(query, cosine, n, k)
         rest = (bound >= (least * (1 - MARGIN))[:, None]) & (bound > 0) & ~chosen
         if rest.any():
-            query, vector, cosine = (np.concatenate(x) for x in zip((query, vector, cosine), self._cosines(entry, cell, weight, rest)))
+            more = self._cosines(lists, rows, rest)
+            near = more[2] >= least[more[0]] * (1 - MARGIN)
+            query, vector, cosine = (np.concatenate([x, y[near]]) for x, y in zip((query, vector, cosine), more))
             least = self._kth(query, cosine, n, k)
         self.scored_blocks += int(chosen.sum() + rest.sum())
         self.all_blocks += chosen.size
@@ -244,18 +261,26 @@ class Index:
         cut, vector, cosine = np.searchsorted(query[near], np.arange(n + 1)), vector[near], np.round(np.minimum(cosine[near], 1.0), 12)
         return [self._best(vector[a:b], cosine[a:b], k) for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
 
-    def _cosines(self, entry: np.ndarray, cell: np.ndarray, weight: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _cosines(self, lists: tuple, rows: tuple, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query, distinct example, cosine) of all that have a common term in the chosen blocks."""
         chosen = chosen.ravel()
+        (entry, cell, weight), (cut, row, said) = lists, rows
+        pairs, number = np.flatnonzero(chosen), np.cumsum(chosen) - 1
         keep = np.flatnonzero(chosen[cell])
-        pairs = np.flatnonzero(chosen)
-        entry, sizes = entry[keep], self._counts[entry[keep]]
+        query, block = pairs // self._blocks, pairs % self._blocks
+        count = cut[query + 1] - cut[query]
+        word = spans(cut[query], count)
+        found = self._heavy_entry[row[word], np.repeat(block, count)]
+        there = np.flatnonzero(found >= 0)
+        entry = np.concatenate([entry[keep], found[there]])
+        pair = np.concatenate([number[cell[keep]], np.repeat(np.arange(len(pairs)), count)[there]])
+        weight, sizes = np.concatenate([weight[keep], said[word[there]]]), self._counts[entry]
         at = spans(self._first[entry], sizes)
-        slot = np.repeat((np.cumsum(chosen) - 1)[cell[keep]] * self._size, sizes) + self._post_vector[at] % self._size
-        sums = np.bincount(slot, np.repeat(weight[keep], sizes) * self._post_weight[at], minlength=len(pairs) * self._size)
+        slot = np.repeat(pair * self._size, sizes) + self._post_vector[at] % self._size
+        sums = np.bincount(slot, np.repeat(weight, sizes) * self._post_weight[at], minlength=len(pairs) * self._size)
         hit = np.flatnonzero(sums)
-        pair = pairs[hit // self._size]
-        return pair // self._blocks, pair % self._blocks * self._size + hit % self._size, sums[hit]
+        pair = hit // self._size
+        return query[pair], block[pair] * self._size + hit % self._size, sums[hit]
 
     @staticmethod
     def _kth(query: np.ndarray, cosine: np.ndarray, n: int, k: int) -> np.ndarray:
