@@ -306,6 +306,14 @@ ORACLES["no_leakage"] = with_tables(
 
 ORACLES["split_exact"] = with_tables("SELECT Transaction_ID, Risk_Review_Flag, split FROM split", "split")
 ORACLES["split_scalable"] = ORACLES["split_exact"]
+ORACLES["split_append"] = with_tables(
+    """SELECT Transaction_ID, flag AS Risk_Review_Flag, load, CASE WHEN h <= cut THEN 'test' ELSE 'train' END AS split
+    FROM hashed LEFT JOIN cuts USING (flag)""", "txn",
+    hashed="SELECT Transaction_ID, Risk_Review_Flag AS flag, (_row % 2)::bigint AS load, md5(concat(Transaction_ID, '|42')) AS h FROM txn",
+    shares=CTES["quota"].replace("Risk_Review_Flag", "flag").replace("FROM enr", "FROM hashed WHERE load = 0"),
+    cuts="""SELECT flag, max(h) AS cut FROM (
+        SELECT flag, h, row_number() OVER (PARTITION BY flag ORDER BY h) AS place FROM hashed WHERE load = 0) JOIN shares USING (flag)
+        WHERE place <= take GROUP BY flag""")
 ORACLES["split_counts"] = with_tables("SELECT Risk_Review_Flag, split, count(*) AS n FROM split GROUP BY ALL", "split")
 ORACLES["prepare"] = with_tables(
     "SELECT * EXCLUDE (_row) REPLACE (epoch_us(Transaction_DateTime) AS Transaction_DateTime) FROM split", "split")
@@ -455,6 +463,8 @@ ORACLES["enrich_large"] = with_tables(
     """SELECT k._row AS row_id, k.c AS Customer_ID, Age, Gender FROM (
     SELECT _row, CASE WHEN _row % 3 = 0 THEN (SELECT min(Customer_ID) FROM cust) WHEN _row % 101 = 1 THEN NULL ELSE Customer_ID END AS c
     FROM txn) k LEFT JOIN cust ON cust.Customer_ID = k.c""", "txn", "cust")
+ORACLES["enrich_colocated"] = ORACLES["enrich_large"]
+ORACLES["orphans_colocated"] = ORACLES["orphan_txn"]
 ORACLES["prepared_csv"] = with_tables("SELECT Transaction_ID, split, Amount_NGN, Channel, Gender FROM split", "split")
 ORACLES["written_tables"] = with_tables("SELECT * EXCLUDE (Customer_Name) FROM cust", "cust")
 ORACLES["scan_orc"] = ORACLES["scan_txn"]

@@ -23,7 +23,7 @@ from riskflow.functions.time import (
 )
 from riskflow.models.scorers import ExternalScorer
 from riskflow.models.training import train_forest, train_logistic
-from riskflow.operators import clean, decide, evaluate as ev, features as fe, lookup, quality as dq, quality_state as dq_state, split as sp
+from riskflow.operators import clean, decide, evaluate as ev, features as fe, layout, lookup, quality as dq, quality_state as dq_state, split as sp
 from riskflow.operators.median import exact_medians
 from riskflow.plans import prepare as prep
 from riskflow.plans.score import ScoringJob, score_rows
@@ -323,12 +323,36 @@ def no_probability(spark, sf):
 @query
 def enrich_large(spark, sf):
     """The join of a dimension too large to broadcast; one customer holds a third of all rows, some rows have none."""
+    txn, dim = _hot_customer(spark, sf)
+    return lookup.lookup_join(txn, dim, "Customer_ID", broadcast_bytes=0).select(F.col("_row").alias("row_id"), "Customer_ID", "Age", "Gender")
+
+
+def _hot_customer(spark, sf):
     r = F.col("_row")
     dim = views.customers(spark, sf)
     hot = dim.agg(F.min("Customer_ID")).scalar()
     key = F.when(r % 3 == 0, hot).when(r % 101 == 1, F.lit(None)).otherwise(F.col("Customer_ID"))
-    txn = views.transactions(spark, sf, row=True).withColumn("Customer_ID", key)
-    return lookup.lookup_join(txn, dim, "Customer_ID", broadcast_bytes=0).select(r.alias("row_id"), "Customer_ID", "Age", "Gender")
+    return views.transactions(spark, sf, row=True).withColumn("Customer_ID", key), dim
+
+
+def _colocated(spark, fact, dim, how):
+    out = scratch_path(spark, "colocated")
+    name = out.rsplit("/", 1)[1].replace("-", "_")
+    layout.write_colocated(fact, dim, "Customer_ID", name, out)
+    return layout.join_colocated(spark, "Customer_ID", name, how)
+
+
+@query
+def enrich_colocated(spark, sf):
+    """The same join over tables written in buckets of the key."""
+    return _colocated(spark, *_hot_customer(spark, sf), "left").select(F.col("_row").alias("row_id"), "Customer_ID", "Age", "Gender")
+
+
+@query
+def orphans_colocated(spark, sf):
+    """Transactions without a customer, from the same layout."""
+    dim = lookup.first_per_key(views.dirty_customers(spark, sf), "Customer_ID", ["_seq"])
+    return _colocated(spark, views.dirty_transactions(spark, sf), dim, "left_anti").select(F.col("_row").alias("row_id"), "Customer_ID")
 
 
 @query
@@ -481,6 +505,16 @@ def split_scalable(spark, sf):
     return sp.stratified_split(views.transactions(spark, sf), ranked_rows=0).select(ID, CONTRACT.target, "split")
 
 
+@query
+def split_append(spark, sf):
+    """One half of the rows is split, its cuts are written and read back, and the other half joins by them."""
+    txn = views.transactions(spark, sf, row=True).withColumn("load", F.col("_row") % 2)
+    old, new = txn.where("load = 0"), txn.where("load = 1")
+    cuts = spark.read.parquet(write_table(sp.freeze_cuts(old), scratch_path(spark, "cuts")))
+    both = sp.stratified_split(old).unionByName(sp.append_split(new, cuts))
+    return both.select(ID, CONTRACT.target, F.col("load").cast("bigint").alias("load"), "split")
+
+
 @query
 def split_counts(spark, sf):
     return sp.split_counts(sp.stratified_split(views.transactions(spark, sf)))

@@ -64,14 +64,18 @@ def lookup_join(fact: DataFrame, dim: DataFrame, key: str, broadcast_bytes: int
         return fact.join(F.broadcast(dim), key, "left")
     if fact.isStreaming:  # a micro-batch cannot be counted ahead; AQE splits its skewed partitions
         return fact.join(dim, key, "left")
-    hot = hot_keys(fact, key, share)
+    left, right = salted(fact, dim, key, hot_keys(fact, key, share))
+    return left.join(right, [key, "_salt"], "left").drop("_salt")
+
+
+def salted(fact: DataFrame, dim: DataFrame, key: str, hot: list) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``_salt``, for a join over it and the key that spreads the rows of hot keys."""
     is_hot = F.col(key).isin(hot) if hot else F.lit(False)
     # rows of hot keys, and those without a key, are dealt into pieces; a hot key has one dimension row, copied to each piece
     piece = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
     left = fact.withColumn("_salt", F.when(F.col(key).isNull() | is_hot, piece).otherwise(0))
     pieces = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    right = dim.withColumn("_salt", F.explode(pieces))
-    return left.join(right, [key, "_salt"], "left").drop("_salt")
+    return left, dim.withColumn("_salt", F.explode(pieces))
 
 
 def duplicate_keys(dim: DataFrame, key: str) -> DataFrame:

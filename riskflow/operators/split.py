@@ -149,6 +149,57 @@ def _take_some(rows: DataFrame, take: int) -> DataFrame:
     )
 
 
+def freeze_cuts(df: DataFrame, label: str = CONTRACT.target, id_column: str = CONTRACT.transaction_id,
+                fraction: float = TEST_FRACTION, seed: int = SEED, ranked_rows: int = RANKED_ROWS) -> DataFrame:
+    """The cuts of ``stratified_split`` as a table to be kept beside it: for each class the largest hash of its test rows.
+
+    ``whole`` is false where rows with that hash (of one id) are in both parts. A class without test rows has no hash.
+    """
+    cuts = find_cuts(df, label, id_column, fraction, seed, ranked_rows)
+    whole = F.lit(True)
+    at_most = F.lit(False)
+    for c in cuts:  # one entry per class
+        same = F.col("label").eqNullSafe(F.lit(c.label))
+        whole = F.when(same, F.lit(c.take == c.ties)).otherwise(whole)
+        at_most = F.when(same, F.col("h") <= c.hash).otherwise(at_most)
+    hashed = df.select(F.col(label).alias("label"), split_hash(id_column, seed).alias("h"))
+    found = hashed.groupBy("label").agg(F.max(F.when(at_most, F.col("h"))).alias("hash"), F.count(F.lit(1)).alias("rows"))
+    return found.withColumns({"whole": whole, "fraction": F.lit(float(fraction)), "seed": F.lit(int(seed))})
+
+
+def append_split(df: DataFrame, cuts: DataFrame, label: str = CONTRACT.target, id_column: str = CONTRACT.transaction_id) -> DataFrame:
+    """Add ``split`` to later rows by the frozen cuts: a filter, whatever came before, so no row ever changes side.
+
+    Rows of an id that the cut divides are train rows. A class that the cuts don't have is cut at the fraction itself.
+    """
+    held = cuts.collect()  # one row per class
+    if not held:
+        raise ValueError("the cuts of an empty table don't say how to split")
+    h = split_hash(id_column, held[0]["seed"])
+    test = h < f"{min(int(held[0]['fraction'] * 2**128), 2**128 - 1):032x}"
+    for c in held:
+        inside = F.lit(False) if c["hash"] is None else (h <= c["hash"]) if c["whole"] else (h < c["hash"])
+        test = F.when(F.col(label).eqNullSafe(F.lit(c["label"])), inside).otherwise(test)
+    return df.withColumn("split", F.when(test, "test").otherwise("train"))
+
+
+def split_drift(df: DataFrame, cuts: DataFrame, label: str = CONTRACT.target) -> DataFrame:
+    """For each class of a split table its rows, test rows, and how many more or fewer test rows than a new cut would give.
+
+    A class's share of a new cut is taken for itself, so it is within one row of what ``stratified_split`` deals out.
+    """
+    fraction = cuts.agg(F.first("fraction")).scalar()
+    n, test = F.count(F.lit(1)), F.count_if(F.col("split") == "test")
+    return df.groupBy(label).agg(n.alias("n"), test.alias("test")).withColumn(
+        "off", F.col("test") - F.round(F.col("n") * fraction).cast("bigint"))
+
+
+def needs_cut(drift: DataFrame, tolerance: float = 0.02) -> bool:
+    """Whether the test part is off by more than ``tolerance`` of its rows, summed over the classes."""
+    off, test = drift.agg(F.coalesce(F.sum(F.abs("off")), F.lit(0)), F.coalesce(F.sum("test"), F.lit(0))).first()
+    return off > tolerance * max(test, 1)
+
+
 def split_counts(df: DataFrame, contract: Contract = CONTRACT) -> DataFrame:
     """Rows per class and part."""
     return df.groupBy(contract.target, "split").agg(F.count(F.lit(1)).alias("n"))

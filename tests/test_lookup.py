@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from riskflow.operators import lookup as lk
+from riskflow.operators import layout, lookup as lk
 from riskflow.operators.clean import clean_key, redact_pii
 from riskflow.plans.prepare import enriched
 from riskflow.sources.tables import from_records
@@ -110,3 +110,16 @@ def test_rates_and_orphans(spark, fact, dim):
         assert r.match_rate == pytest.approx(100 * r.matched / 400)
         assert r.proxy_rate == pytest.approx(100 * sum(k in known - {"C1"} for k in keys) / 400)
         assert lk.orphans(fact, c, broadcast_bytes=limit).count() == sum(k not in known for k in keys)
+
+
+def test_colocated_tables_are_not_shuffled(fact, dim, tmp_path):
+    spark = fact.sparkSession
+    ages = {f"C{i}": float(20 + i) for i in range(15)}
+    for share in (0.001, 0.3, 0.9):
+        layout.write_colocated(fact, dim.unionByName(dim.limit(1).withColumn("Customer_ID", F.lit(None))), "Customer_ID", "together", str(tmp_path / str(share)), buckets=6, share=share)
+        found = layout.join_colocated(spark, "Customer_ID", "together")
+        assert "Exchange" not in plan(found) and "SortMergeJoin" in plan(found)
+        assert rows(found) == sorted((t, str(c), str(ages.get(c))) for t, c in fact.collect())
+        alone = layout.join_colocated(spark, "Customer_ID", "together", "left_anti")
+        assert "Exchange" not in plan(alone)
+        assert sorted(r.Transaction_ID for r in alone.collect()) == sorted(t for t, c in fact.collect() if c not in ages)

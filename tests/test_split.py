@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from riskflow.operators.split import find_cuts, stratified_split
+from riskflow.operators.split import append_split, find_cuts, freeze_cuts, needs_cut, split_drift, stratified_split
 from riskflow.sources import testviews as views
 
 
@@ -83,3 +83,32 @@ def test_counters_are_few(spark, sf):
     n = {r[0]: r[1] for r in txn.groupBy("Risk_Review_Flag").count().collect()}
     got = {r[0]: r[1] for r in stratified_split(txn).where("split = 'test'").groupBy("Risk_Review_Flag").count().collect()}
     assert sum(got.values()) == math.ceil(sum(n.values()) * 0.2) and all(abs(got[y] - c * 0.2) < 1 for y, c in n.items())
+
+
+def sides(df):
+    return {r.Transaction_ID: r.split for r in df.collect()}
+
+
+def test_later_rows_join_a_split(spark, table):
+    for ranked in (0, 100_000):
+        cuts = freeze_cuts(table, ranked_rows=ranked)
+        assert sides(append_split(table, cuts)) == sides(stratified_split(table))  # old rows stay where they are
+    kinds = {r.label: r for r in cuts.collect()}
+    assert sum(r.rows for r in kinds.values()) == 3000 and set(kinds) == {"Yes", "No", "Rare", None}
+    later = spark.range(3000, 9000).selectExpr("concat('T', id) as Transaction_ID", "case id % 3 when 0 then 'Yes' when 1 then 'No' else 'New' end as Risk_Review_Flag")
+    found = append_split(later, cuts)
+    for r in found.collect():
+        h, c = hashlib.md5(f"{r.Transaction_ID}|42".encode()).hexdigest(), kinds.get(r.Risk_Review_Flag)
+        assert r.split == ("test" if (h <= c.hash if c else h < f"{int(0.2 * 2**128):032x}") else "train")
+    drift = split_drift(append_split(table, cuts), cuts)
+    assert all(abs(r.off) <= 1 for r in drift.collect()) and not needs_cut(drift)
+    assert needs_cut(split_drift(found.withColumn("split", F.lit("test")), cuts))
+    with pytest.raises(ValueError, match="empty"):
+        append_split(later, freeze_cuts(table.limit(0)))
+
+
+def test_a_divided_id_joins_the_train_part(spark):
+    rows = spark.range(100).selectExpr("'same' as Transaction_ID", "'Yes' as Risk_Review_Flag")
+    cuts = freeze_cuts(rows)
+    assert [c.whole for c in cuts.collect()] == [False]
+    assert append_split(rows, cuts).where("split = 'test'").count() == 0
