@@ -288,6 +288,9 @@ _numbered = " UNION ALL ".join(f"SELECT -1 AS a, '' AS b, {i} AS c, '{n}' AS fea
 ORACLES["feature_names"] = with_tables(
     f"""SELECT row_number() OVER (ORDER BY a, b, c) - 1 AS position, feature FROM ({_numbered}
     UNION ALL SELECT position, level, 0, field || '_' || level FROM ({_levels}))""", "feat", train=TRAIN)
+_names = ORACLES["feature_names"]
+ORACLES["lr_certificate"] = f"SELECT position, feature, true AS at_optimum FROM ({_names}) UNION ALL SELECT -1, 'intercept', true"
+ORACLES["forest_importances"] = f"SELECT position, feature, true AS same_importance FROM ({_names})"
 ORACLES["scale_num"] = with_tables(
     "SELECT Transaction_ID, " + ", ".join(f"round({z(c)}, 6) AS {c}" for c in NUM) + " FROM efeat", "efeat")
 HOT = [(c, v, f"(coalesce({c}, 'Missing') = '{v}')::int::double") for c, vs in FROZEN.levels.items() for v in vs]
@@ -306,6 +309,8 @@ ORACLES["no_leakage"] = with_tables(
 
 ORACLES["split_exact"] = with_tables("SELECT Transaction_ID, Risk_Review_Flag, split FROM split", "split")
 ORACLES["split_scalable"] = ORACLES["split_exact"]
+ORACLES["forest_walk"] = with_tables(
+    "SELECT Transaction_ID, (Risk_Review_Flag = 'Yes')::bigint AS label, true AS same_score FROM split WHERE split = 'test'", "split")
 ORACLES["split_append"] = with_tables(
     """SELECT Transaction_ID, flag AS Risk_Review_Flag, load, CASE WHEN h <= cut THEN 'test' ELSE 'train' END AS split
     FROM hashed LEFT JOIN cuts USING (flag)""", "txn",

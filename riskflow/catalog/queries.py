@@ -21,6 +21,7 @@ from riskflow.functions import probability as prob
 from riskflow.functions.time import (
     hour_and_weekday, night_flag, parse_time, serial_to_time, time_to_serial, wall_micros, with_temporal_features,
 )
+from riskflow.models import certify
 from riskflow.models.scorers import ExternalScorer
 from riskflow.models.training import train_forest, train_logistic
 from riskflow.operators import clean, decide, evaluate as ev, features as fe, layout, lookup, quality as dq, quality_state as dq_state, split as sp
@@ -787,3 +788,40 @@ def model_card(spark, sf):
 def importances(spark, sf):
     found = _trained(spark, sf)
     return spark.createDataFrame(list(found.importances.items()), "feature string, importance double")
+
+
+# ---- certificates: what trained models must satisfy, computed without the library that fitted them ----
+
+#: The steepest mean slope at which a logistic solution counts as one (at zero coefficients slopes are about 0.05).
+FLAT = 1e-4
+
+
+@lru_cache(maxsize=2)
+def _forest(spark: SparkSession, sf: str):
+    return train_forest(_vectors(spark, sf)[0])
+
+
+@query
+def lr_certificate(spark, sf):
+    train, _ = _vectors(spark, sf)
+    names = ["intercept", *fe.fit_features(s.part(spark, sf, "train")).names()]
+    named = spark.createDataFrame([(i - 1, n) for i, n in enumerate(names)], "position int, feature string")
+    slopes = certify.logistic_gradient(train_logistic(train), train)
+    return named.join(slopes, "position", "full").select(F.col("position").cast("long"), "feature", (F.abs("gradient") < FLAT).alias("at_optimum"))
+
+
+@query
+def forest_walk(spark, sf):
+    model, (_, test) = _forest(spark, sf), _vectors(spark, sf)
+    walked = certify.walk(model, certify.forest_nodes(model), test, ID).withColumnRenamed("probability", "walked")
+    both = model.score(test).select(ID, "label", "probability").join(walked, ID, "full")
+    return both.select(ID, F.col("label").cast("long").alias("label"), (F.abs(F.col("probability") - F.col("walked")) < 1e-9).alias("same_score"))
+
+
+@query
+def forest_importances(spark, sf):
+    model, names = _forest(spark, sf), fe.fit_features(s.part(spark, sf, "train")).names()
+    own = [(i, n, float(w)) for i, (n, w) in enumerate(zip(names, model.classifier.featureImportances.toArray()))]
+    found = certify.forest_importances(certify.forest_nodes(model)).withColumnRenamed("feature", "position")
+    both = spark.createDataFrame(own, "position int, feature string, own double").join(found, "position", "full")
+    return both.select(F.col("position").cast("long"), "feature", (F.abs(F.coalesce("importance", F.lit(0.0)) - F.col("own")) < 1e-9).alias("same_importance"))
