@@ -1,8 +1,10 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine of passages over a block-max inverted index.
 
-One insult drowns in the vector of a long text, so a text is represented by one passage: of all its windows of ``passage`` words
-(a shorter text is one window) the one whose words speak most for the label, the first of equals. How much a word speaks is its smoothed log
-odds among the examples, never below 0; an example's own passage is chosen without its own label. ``passage=0`` takes whole texts.
+One insult drowns in the vector of a long text, so a text has two views, and the greater of their probabilities is its score. One is a
+passage: of all its windows of ``passage`` words (a shorter text is one window) the one whose words speak most for the label, the first of equals. The other
+is of all windows: every word of the whole text, weighed by what the best window over it speaks as a share of what the passage does, so that a second
+passage counts as much as it speaks. How much a word speaks is its smoothed log odds among the examples, never below 0; for an example's own views
+without its own label. Examples are held by their passages. ``passage=0`` takes whole texts, which are one view.
 
 Terms are words of letters, all of them; bytes from 128 on count as letters, digits don't. The examples are at most ``examples``
 labelled documents (the lowest hashes of their ids, of the share that isn't held out). Document frequencies of the examples' words are counted
@@ -11,12 +13,12 @@ over whole texts of all documents; a word of no example counts as of one row, wh
 
 Distinct passages are put in order of likeness (by the rarest of their words that at least ``SHARED`` of them have) and cut into blocks of ``BLOCK``. A term lists
 its blocks with its largest weight in each; terms in at least ``HEAVY`` of the blocks have these as rows of a matrix. A query sums them to a bound for each block,
-scores the few blocks with the highest bounds, and then every other block whose bound reaches the k-th cosine: the neighbours are the exact ones. Equal passages are held once. Equal
-cosines go by the example's place.
+scores the few blocks with the highest bounds, and then every other block whose bound reaches the k-th cosine: the neighbours are the exact ones. Whole texts have so
+many words that bounds spare little; for them all cosines are summed. Equal passages are held once. Equal cosines go by the example's place.
 
 The vote weighs each neighbour by 1 / (1.02 - cosine). Votes are turned into probabilities by isotonic regression on the examples'
-own votes, each found without itself. A document without any word of the examples has no direction: its score is the
-smoothed share of toxic ones among the examples without one. Evidence are the neighbours and the number of terms found.
+own votes, each found without itself, for each view on its own. A document without any word of the examples has no direction: its score is the
+smoothed share of toxic ones among the examples without one. Evidence are the passage's neighbours and the number of its terms found.
 
 Null texts count as empty and have no terms. Rows with null ids or null labels aren't examples; null ids are scored and count
 as not held out. Repeated rows get equal scores. Without examples the score is 0.5, with one kind of label the smoothed base
@@ -31,7 +33,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
@@ -46,6 +48,8 @@ PASSAGE, SMOOTH = 16, 5.0
 FIRST, MARGIN = 4, 1e-9
 #: Share of the passages from which a word puts them in order, and of the blocks from which its blocks are a row of a matrix.
 SHARED, HEAVY = 0.002, 0.1
+#: Share of the distinct passages from which a word's weights are a row of a matrix, where all cosines are summed.
+FREQUENT = 0.03
 #: Postings (or cells) looked at together, rows an executor hands on together.
 AT_ONCE, HANDED = 1 << 17, 1 << 16
 #: Examples whose own votes a task finds, and answers a worker keeps at hand.
@@ -126,6 +130,38 @@ def _passage_counts(hashes: np.ndarray, bounds: np.ndarray, speak: np.ndarray, s
     return _counted(hashes[spans(starts, stops - starts)], np.repeat(np.arange(len(starts)), stops - starts))
 
 
+def attention(bounds: np.ndarray, speak: np.ndarray, size: int) -> np.ndarray:
+    """For each word, what the best window over it speaks as a share of what its text's best window does."""
+    starts, stops = bounds[:-1], bounds[1:]
+    total, n = np.concatenate([[0], np.cumsum(speak)]), len(speak)
+    best, first = np.full(n, -1), np.arange(n)
+    whole = np.flatnonzero(first + size <= np.repeat(stops, stops - starts))  # where windows begin
+    best[whole] = total[whole + size] - total[whole]
+    width = 1
+    while width < size:  # the most of the last ``width`` windows that began
+        step = min(width, size - width)
+        best[step:] = np.maximum(best[step:], best[:-step])
+        width += step
+    out, long = np.ones(n), np.flatnonzero(stops - starts > size)
+    at = spans(starts[long], (stops - starts)[long])
+    if len(at):
+        sizes = (stops - starts)[long]
+        most = np.maximum.reduceat(best[at], np.cumsum(sizes) - sizes)
+        out[at] = (best[at] + 1) / np.repeat(most + 1, sizes)  # the added one: all may say nothing
+    return out
+
+
+def _all_windows(hashes: np.ndarray, bounds: np.ndarray, speak: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, term hash, weight before its idf) of each distinct term of each whole text."""
+    heed, owner = attention(bounds, speak, size), np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    order = np.lexsort((hashes, owner))
+    h, o = hashes[order], owner[order]
+    if not len(h):
+        return o, h, np.empty(0)
+    at = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (o[1:] != o[:-1])]))
+    return o[at], h[at], (1 + np.log(np.diff(np.append(at, len(h))))) * np.maximum.reduceat(heed[order], at)
+
+
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Steps (lowest vote, probability) of the best non-decreasing fit, each share smoothed by one of either label."""
     values, back = np.unique(x, return_inverse=True)
@@ -160,6 +196,7 @@ class Index:
     same: np.ndarray = field(default=None)  # examples by distinct example, then place
     same_starts: np.ndarray = field(default=None)
     steps: tuple[np.ndarray, np.ndarray] = field(default=None)
+    wide_steps: tuple[np.ndarray, np.ndarray] = field(default=None)  # of the votes of all windows
     blank: float = 0.5
     constant: float | None = None
 
@@ -253,9 +290,49 @@ class Index:
             more = self._cosines(lists, rows, rest)
             near = more[2] >= least[more[0]] * (1 - MARGIN)
             query, vector, cosine = (np.concatenate([x, y[near]]) for x, y in zip((query, vector, cosine), more))
-            least = self._kth(query, cosine, n, k)
         self.scored_blocks += int(chosen.sum() + rest.sum())
         self.all_blocks += chosen.size
+        return self._ranked(query, vector, cosine, n, k)
+
+    def search_all(self, owner: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """What ``search`` finds, for queries of so many words that bounds leave few blocks out: by the cosines of all distinct examples."""
+        if not hasattr(self, "_most"):
+            self._prepare()
+        if not hasattr(self, "_dense"):
+            frequent = np.flatnonzero(self._df > FREQUENT * len(self.bag_norm))
+            self._dense_row, self._post_starts = np.full(len(self.idf), -1), np.concatenate([[0], np.cumsum(self._df)])
+            self._dense_row[frequent] = np.arange(len(frequent))
+            self._dense = np.zeros((len(frequent), self._blocks * self._size))
+            at = spans(self._post_starts[frequent], self._df[frequent])
+            self._dense[np.repeat(np.arange(len(frequent)), self._df[frequent]), self._post_vector[at]] = self._post_weight[at]
+        bounds, out, width = np.searchsorted(owner, np.arange(n + 1)), [], self._dense.shape[1]
+        visits = np.concatenate([[0], np.cumsum(np.bincount(owner, np.where(self._dense_row[term] < 0, self._df[term], 0), minlength=n).astype(np.int64) + width)])
+        low = 0
+        while low < n:
+            high = max(low + 1, int(np.searchsorted(visits, visits[low] + 4 * AT_ONCE, side="right")) - 1)
+            part = slice(bounds[low], bounds[high])
+            out += self._nearest_of_all(owner[part] - low, term[part], weight[part], high - low, k)
+            low = high
+        return out
+
+    def _nearest_of_all(self, owner: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        row, width = self._dense_row[term], self._dense.shape[1]
+        rare, frequent = np.flatnonzero(row < 0), np.flatnonzero(row >= 0)
+        query = np.zeros((n, len(self._dense)))
+        query[owner[frequent], row[frequent]] = weight[frequent]
+        sizes = self._df[term[rare]]
+        sums = query @ self._dense
+        at = spans(self._post_starts[term[rare]], sizes)
+        sums += np.bincount(np.repeat(owner[rare] * width, sizes) + self._post_vector[at], np.repeat(weight[rare], sizes) * self._post_weight[at], minlength=n * width).reshape(n, width)
+        least = np.zeros(n)
+        if self._blocks >= k:  # k blocks have an example that reaches it
+            least = np.partition(sums.reshape(n, self._blocks, self._size).max(axis=2), self._blocks - k, axis=1)[:, self._blocks - k]
+        query, vector = np.nonzero((sums >= (least * (1 - MARGIN))[:, None]) & (sums > 0))
+        return self._ranked(query, vector, sums[query, vector], n, k)
+
+    def _ranked(self, query: np.ndarray, vector: np.ndarray, cosine: np.ndarray, n: int, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The k best of each query's candidates."""
+        least = self._kth(query, cosine, n, k)
         near = np.flatnonzero(cosine >= least[query] * (1 - MARGIN))
         near = near[np.argsort(query[near], kind="stable")]
         cut, vector, cosine = np.searchsorted(query[near], np.arange(n + 1)), vector[near], np.round(np.minimum(cosine[near], 1.0), 12)
@@ -307,15 +384,41 @@ class Index:
 
     def weigh(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text number, term number, weight) of the passages' words that examples have, of length 1 over all words."""
+        return self._weigh(*self._spoken(texts))
+
+    def _spoken(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+        """The texts' words, where each text begins, and how much the words speak."""
         hashes, bounds = _words(texts)
-        speak = np.append(self.speak, 0)[self.terms.places(hashes)] if self.passage else None
+        return hashes, bounds, np.append(self.speak, 0)[self.terms.places(hashes)] if self.passage else None
+
+    def _weigh(self, hashes: np.ndarray, bounds: np.ndarray, speak: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         owner, hashes, count = _passage_counts(hashes, bounds, speak, self.passage)
+        return self._directed(owner, hashes, 1 + np.log(count), len(bounds) - 1)
+
+    def widely(self, hashes: np.ndarray, bounds: np.ndarray, speak: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text number, term number, weight) of the whole texts' words that examples have: every window counts, by what it speaks."""
+        return self._directed(*_all_windows(hashes, bounds, speak, self.passage), len(bounds) - 1)
+
+    def _directed(self, owner: np.ndarray, hashes: np.ndarray, weight: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         number = self.terms.places(hashes)
-        weight = (1 + np.log(count)) * np.append(self.idf, self.single_idf)[number]
-        norm = np.maximum(np.sqrt(np.bincount(owner, weight * weight, minlength=len(texts))), 1e-12)
+        weight = weight * np.append(self.idf, self.single_idf)[number]
+        norm = np.maximum(np.sqrt(np.bincount(owner, weight * weight, minlength=n)), 1e-12)
         known = np.flatnonzero(number >= 0)
         return owner[known], number[known], weight[known] / norm[owner[known]]
 
+    def wide_votes(self, hashes: np.ndarray, bounds: np.ndarray, speak: np.ndarray | None, examples: np.ndarray | None = None) -> list[float | None]:
+        """The votes of all windows of texts longer than a passage (of ``examples`` without themselves); None for others, and without neighbours."""
+        long = np.flatnonzero(np.diff(bounds) > self.passage) if self.passage else np.empty(0, np.int64)
+        out: list[float | None] = [None] * (len(bounds) - 1)
+        if len(long):
+            sizes = np.diff(bounds)[long]
+            at = spans(bounds[:-1][long], sizes)
+            owner, term, weight = self.widely(hashes[at], np.concatenate([[0], np.cumsum(sizes)]), speak[at])
+            for i, near in zip(long.tolist(), self.search_all(owner, term, weight, len(long), self.k + (examples is not None))):
+                near = self._without(*near, -1 if examples is None else examples[i])
+                out[i] = self.vote(*near) if len(near[0]) else None
+        return out
+
     def vote(self, examples: np.ndarray, cosines: np.ndarray) -> float:
         weight = 1 / (1.02 - cosines)
         return float((weight * self.labels[examples]).sum() / weight.sum())
@@ -349,8 +452,9 @@ class Index:
         self.blank = float((self.labels[bare].sum() + 0.5) / (len(bare) + 1 + (len(bare) == 0)))
         self.steps = isotonic(np.array([v for _, v in votes]), self.labels[[i for i, _ in votes]].astype(float)) if votes else (np.zeros(1), np.array([self.blank]))
 
-    def probability(self, vote: float) -> float:
-        return float(self.steps[1][max(0, np.searchsorted(self.steps[0], vote, side="right") - 1)])
+    def probability(self, vote: float, steps: tuple[np.ndarray, np.ndarray] | None = None) -> float:
+        at, share = steps or self.steps
+        return float(share[max(0, np.searchsorted(at, vote, side="right") - 1)])
 
     def score(self, texts: list[str]) -> list[tuple[float, np.ndarray, np.ndarray, int]]:
         """(score, neighbours' ids, cosines, terms found) of each text; equal texts are answered once, from a bounded memory."""
@@ -361,10 +465,15 @@ class Index:
         new = {key: t for key, t in zip(keys, texts) if key not in known}
         out = {key: known[key] for key in keys if key in known}
         if new:
-            owner, term, weight = self.weigh(list(new.values()))
+            spoken = self._spoken(list(new.values()))
+            owner, term, weight = self._weigh(*spoken)
             sizes = np.bincount(owner, minlength=len(new)).tolist()
-            for key, size, (examples, cosines) in zip(new, sizes, self.search(owner, term, weight, len(new), self.k)):
-                out[key] = (self.probability(self.vote(examples, cosines)), self.ids[examples], cosines, size) if len(examples) else (self.blank, np.empty(0, np.int64), np.empty(0), 0)
+            wide = self.wide_votes(*spoken) if self.wide_steps else [None] * len(new)
+            for key, size, vote, (examples, cosines) in zip(new, sizes, wide, self.search(owner, term, weight, len(new), self.k)):
+                found = self.probability(self.vote(examples, cosines)) if len(examples) else self.blank
+                if vote is not None:
+                    found = max(found, self.probability(vote, self.wide_steps))
+                out[key] = (found, self.ids[examples], cosines, size) if len(examples) else (found, np.empty(0, np.int64), np.empty(0), 0)
                 if len(known) >= REMEMBERED:
                     known.clear()
                 known[key] = out[key]
@@ -375,7 +484,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text_col: str
         passage: int = PASSAGE) -> Index:
     """The index of at most ``examples`` labelled documents; frequencies are counted over all of ``docs``."""
     spark = docs.sparkSession
-    sample = stored(labelled(docs.select("doc_id", text_col), labels, label, [text_col], examples), "examples").select("d_id", "text", "y")
+    chosen = labelled(docs.select("doc_id", text_col), labels, label, [text_col], examples).select("d_id", "text", "y")
+    # At most ``examples`` rows: their places are small work for one task.
+    sample = stored(chosen.withColumn("place", F.row_number().over(Window.orderBy("d_id", "y", "text")) - 1), "examples")
+    sample = sample.repartition(spark.sparkContext.defaultParallelism, "place")
     kinds = sample.agg(F.count(F.lit(1)), F.coalesce(F.count_if(F.col("y") > 0), F.lit(0))).first()
     if not kinds[0] or kinds[1] in (0, kinds[0]):
         return Index(Terms(np.empty(0)), np.empty(0), np.empty(0), np.empty(0), k, constant=(kinds[1] + 1) / (kinds[0] + 2))
@@ -405,15 +517,15 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text_col: str
             place, y = known.places(hashes), np.repeat(batch.column(2).to_numpy() > 0, np.diff(bounds))
             owner, term, count = _passage_counts(hashes, bounds, odds(marked[place] - y, held[place] - 1, share), passage)
             cut = np.searchsorted(owner, np.arange(batch.num_rows + 1)).tolist()
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2).cast(pa.int32()), pa.array([known.places(term[a:b]).astype(np.int32).tobytes() for a, b in zip(cut, cut[1:])], pa.binary()),
-                                              pa.array([count[a:b].astype(np.int32).tobytes() for a, b in zip(cut, cut[1:])], pa.binary())], names=["d_id", "y", "terms", "counts"])
+            yield pa.RecordBatch.from_arrays([batch.column(3).cast(pa.int64()), batch.column(0), batch.column(2).cast(pa.int32()), pa.array([known.places(term[a:b]).astype(np.int32).tobytes() for a, b in zip(cut, cut[1:])], pa.binary()),
+                                              pa.array([count[a:b].astype(np.int32).tobytes() for a, b in zip(cut, cut[1:])], pa.binary())], names=["place", "d_id", "y", "terms", "counts"])
 
     # Arrow's buffers, not row objects: at most ``examples`` passages.
-    table = sample.mapInArrow(bags, "d_id long, y int, terms binary, counts binary").toArrow()
+    table = sample.mapInArrow(bags, "place long, d_id long, y int, terms binary, counts binary").toArrow()
     places, numbers = ([v.as_buffer() for chunk in table[c].chunks for v in chunk] for c in ("terms", "counts"))
-    held = sorted((d, y, blake2b(places[i]).digest(), blake2b(numbers[i]).digest(), i) for i, (d, y) in enumerate(zip(table["d_id"].to_pylist(), table["y"].to_pylist())))
+    held = sorted((place, d, y, i) for i, (place, d, y) in enumerate(zip(*(table[c].to_pylist() for c in ("place", "d_id", "y")))))
     total, df = _frequencies(docs.select(text_col), sent)
-    index = Index(terms, np.log(1 + total / np.maximum(df, 1)), np.array([d for d, *_ in held], np.int64), np.array([int(y > 0) for _, y, *_ in held]), k,
+    index = Index(terms, np.log(1 + total / np.maximum(df, 1)), np.array([d for _, d, *_ in held], np.int64), np.array([int(y > 0) for _, _, y, _ in held]), k,
                   float(np.log(1 + total)), odds(toxic, rows, share), passage)
     index.gather((np.frombuffer(places[i], np.int32), np.frombuffer(numbers[i], np.int32)) for *_, i in held)
     del table, places, numbers, held, df
@@ -428,6 +540,20 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text_col: str
     n = len(index.ids)
     voted = spark.range(0, n, 1, -(-n // VOTES)).mapInArrow(votes, "example long, vote double").toArrow().to_pydict()  # one row per example
     index.settle(sorted(zip(voted["example"], voted["vote"])))
+
+    def wide(batches):
+        known, marked, rows = sent.value
+        for batch in slices(batches):
+            hashes, bounds = _words(texts_of(batch.column(1)))
+            place, y = known.places(hashes), np.repeat(batch.column(2).to_numpy() > 0, np.diff(bounds))
+            examples = batch.column(3).to_numpy()
+            found = held.value.wide_votes(hashes, bounds, odds(marked[place] - y, rows[place] - 1, share), examples)
+            yield pa.RecordBatch.from_arrays([pa.array(examples, pa.int64()), pa.array(found, pa.float64())], names=["example", "vote"])
+
+    if passage:
+        voted = sample.mapInArrow(wide, "example long, vote double").where("vote is not null").toArrow().to_pydict()  # one row per example
+        at, votes_of = np.array(voted["example"], np.int64), np.array(voted["vote"])
+        index.wide_steps = isotonic(votes_of, index.labels[at].astype(float)) if len(at) else None
     return index
 
 
@@ -467,11 +593,11 @@ def score(docs: DataFrame, index: Index, text_col: str = "text", name: str = "sc
         extra += [StructField("neighbours", ArrayType(LongType())), StructField("cosines", ArrayType(DoubleType())), StructField("terms_found", IntegerType())]
     rest = docs.drop(*(f.name for f in extra))
     held = getattr(index, "_sent", None) or docs.sparkSession.sparkContext.broadcast(index)  # of at most ``examples`` rows
-    steps, blank = index.steps, index.blank  # found after the index was sent
+    steps, wide_steps, blank = index.steps, index.wide_steps, index.blank  # found after the index was sent
     t, = fresh(rest, "scored_text")
 
     def run(batches):
-        held.value.steps, held.value.blank = steps, blank
+        held.value.steps, held.value.wide_steps, held.value.blank = steps, wide_steps, blank
         for batch in slices(batches):
             found = held.value.score(texts_of(batch.column(batch.num_columns - 1)))
             columns = [pa.array([f[0] for f in found], pa.float64())]

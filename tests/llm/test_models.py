@@ -192,6 +192,68 @@ def test_most_blocks_are_not_scored(spark):
     assert index._blocks > 30 and 0 < index.scored_blocks < 0.8 * index.all_blocks, (index.scored_blocks, index.all_blocks)
 
 
+def brute_force_heed(said, size):
+    """For each word the most that a window over it says, as a share of the most that any window says."""
+    sums = [sum(said[j:j + size]) for j in range(len(said) - size + 1)]
+    return [(max(sums[max(0, i - size + 1):i + 1]) + 1) / (max(sums) + 1) for i in range(len(said))] if len(said) > size else [1.0] * len(said)
+
+
+@pytest.mark.parametrize("size", [1, 3, 16])
+def test_every_word_is_heeded(size):
+    rng = np.random.default_rng(5)
+    sizes = [0, 1, size, size + 1, 40, 0, 100, 7]
+    said = [rng.integers(0, 50, n) * (rng.random(n) < 0.3) for n in sizes] + [np.zeros(30, np.int64)]
+    bounds = np.concatenate([[0], np.cumsum([len(s) for s in said])])
+    got = toxicity.attention(bounds, np.concatenate(said), size)
+    assert got.tolist() == pytest.approx([x for s in said for x in brute_force_heed(s.tolist(), size)])
+    assert len(got) == bounds[-1] and got.min() > 0
+
+
+def test_searches_agree():
+    rng = np.random.default_rng(6)
+    n, terms = 400, 60
+    dense = np.where(rng.random((n, terms)) < np.linspace(0.005, 0.3, terms), rng.integers(1, 4, (n, terms)), 0)
+    dense[50:80] = dense[10]  # ties
+    index = toxicity.Index(toxicity.Terms(np.arange(terms, dtype=np.uint64)), rng.random(terms) + 0.1, np.arange(n), rng.integers(0, 2, n), 7)
+    owner, term = np.nonzero(dense)
+    index.build(owner, term, dense[owner, term])
+    query = np.where(rng.random((50, terms)) < 0.5, rng.random((50, terms)), 0)
+    query[3] = 0
+    query /= np.maximum(np.linalg.norm(query, axis=1), 1e-12)[:, None]
+    owner, term = np.nonzero(query)
+    for k in (1, 7, 390):
+        pairs = list(zip(index.search(owner, term, query[owner, term], 50, k), index.search_all(owner, term, query[owner, term], 50, k)))
+        assert len(pairs) == 50 and all(a[0].tolist() == b[0].tolist() and a[1] == pytest.approx(b[1]) for a, b in pairs)
+        assert len(pairs[3][0][0]) == 0 and len(pairs[0][0][0]) > 0
+
+
+def test_other_windows_than_the_best_count(spark):
+    """Two texts whose most telling passage is the same and says little: what else one of them has in its other windows counts."""
+    rng = random.Random(8)
+    mixed, plain = ["m" + a + b for a in "abcd" for b in "efgh"], ["p" + a + b for a in "abcdefgh" for b in "abcdefgh"]
+    insult = "you utter clown nobody wants to read another line of what somebody like that writes".split()
+    rows, labels = [], []
+    for i in range(400):
+        kind = i % 4
+        own = insult[:] if kind == 0 else [rng.choice(mixed) for _ in range(8)] + [rng.choice(plain) for _ in range(8)] if kind == 1 else [rng.choice(plain) for _ in range(16)]
+        rows.append((i, " ".join(own)))
+        labels.append((i, 1, int(kind == 0 or kind == 1 and rng.random() < 0.45)))
+    for i in range(400, 600):  # long ones, so that the view of all windows has votes to learn from
+        said = [rng.choice(plain) for _ in range(60)]
+        rows.append((i, " ".join(said[:20] + mixed[:16] + said[20:] + (insult if i % 2 else []))))
+        labels.append((i, 1, i % 2))
+    filler = " ".join(rng.choice(plain) for _ in range(60))
+    best = " ".join(mixed)
+    rows += [(1000, f"{best} {filler} {filler}"), (1001, f"{best} {filler} {' '.join(insult)} {filler}")]
+    docs = cases.documents(spark, rows)
+    index = toxicity.fit(docs, spark.createDataFrame(labels, cases.LABELS))
+    one, two = (index.score([t])[0] for _, t in rows[-2:])
+    without, index.wide_steps = index.wide_steps, None
+    index._known.clear()
+    assert index.score([rows[-2][1]])[0][0] <= one[0] and without is not None
+    assert one[0] < 0.5 < two[0]
+
+
 def test_repeated_rows_keep_the_bound(spark):
     rows = [(7, "seven")] * 300 + [(8, f"text {i}") for i in range(100)] + [(100 + i, f"other {i % 5}") for i in range(40)]
     labels = spark.createDataFrame([(d, 1, d % 2) for d in {d for d, _ in rows}] + [(7, 1, 1)] * 50, cases.LABELS)
