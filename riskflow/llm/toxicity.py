@@ -309,7 +309,7 @@ class Index:
         visits = np.concatenate([[0], np.cumsum(np.bincount(owner, np.where(self._dense_row[term] < 0, self._df[term], 0), minlength=n).astype(np.int64) + width)])
         low = 0
         while low < n:
-            high = max(low + 1, int(np.searchsorted(visits, visits[low] + 4 * AT_ONCE, side="right")) - 1)
+            high = max(low + 1, int(np.searchsorted(visits, visits[low] + 8 * AT_ONCE, side="right")) - 1)
             part = slice(bounds[low], bounds[high])
             out += self._nearest_of_all(owner[part] - low, term[part], weight[part], high - low, k)
             low = high
@@ -325,9 +325,9 @@ class Index:
         at = spans(self._post_starts[term[rare]], sizes)
         sums += np.bincount(np.repeat(owner[rare] * width, sizes) + self._post_vector[at], np.repeat(weight[rare], sizes) * self._post_weight[at], minlength=n * width).reshape(n, width)
         least = np.zeros(n)
-        if self._blocks >= k:  # k blocks have an example that reaches it
-            least = np.partition(sums.reshape(n, self._blocks, self._size).max(axis=2), self._blocks - k, axis=1)[:, self._blocks - k]
-        query, vector = np.nonzero((sums >= (least * (1 - MARGIN))[:, None]) & (sums > 0))
+        if self._blocks >= k:  # k groups, of one example from each stretch, have one that reaches it
+            least = np.partition(sums.reshape(n, self._size, self._blocks).max(axis=1), self._blocks - k, axis=1)[:, self._blocks - k]
+        query, vector = np.divmod(np.flatnonzero(sums >= np.maximum(least * (1 - MARGIN), np.nextafter(0, 1))[:, None]), max(width, 1))
         return self._ranked(query, vector, sums[query, vector], n, k)
 
     def _ranked(self, query: np.ndarray, vector: np.ndarray, cosine: np.ndarray, n: int, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
