@@ -228,30 +228,45 @@ def test_searches_agree():
 
 
 def test_other_windows_than_the_best_count(spark):
-    """Two texts whose most telling passage is the same and says little: what else one of them has in its other windows counts."""
+    """Two texts whose most telling passage is the same: what one of them has in its other windows has a vote as well."""
     rng = random.Random(8)
     mixed, plain = ["m" + a + b for a in "abcd" for b in "efgh"], ["p" + a + b for a in "abcdefgh" for b in "abcdefgh"]
-    insult = "you utter clown nobody wants to read another line of what somebody like that writes".split()
+    insult = ["utter", "clown", *plain[::5], "pzz"]
     rows, labels = [], []
-    for i in range(400):
-        kind = i % 4
-        own = insult[:] if kind == 0 else [rng.choice(mixed) for _ in range(8)] + [rng.choice(plain) for _ in range(8)] if kind == 1 else [rng.choice(plain) for _ in range(16)]
-        rows.append((i, " ".join(own)))
-        labels.append((i, 1, int(kind == 0 or kind == 1 and rng.random() < 0.45)))
-    for i in range(400, 600):  # long ones, so that the view of all windows has votes to learn from
-        said = [rng.choice(plain) for _ in range(60)]
-        rows.append((i, " ".join(said[:20] + mixed[:16] + said[20:] + (insult if i % 2 else []))))
-        labels.append((i, 1, i % 2))
-    filler = " ".join(rng.choice(plain) for _ in range(60))
-    best = " ".join(mixed)
-    rows += [(1000, f"{best} {filler} {filler}"), (1001, f"{best} {filler} {' '.join(insult)} {filler}")]
+
+    def add(words, toxic):
+        labels.append((len(rows), 1, int(toxic)))
+        rows.append((len(rows), " ".join(words)))
+
+    for i in range(1100):
+        if i % 11 == 0:
+            add(insult, True)
+        elif i % 11 < 4:
+            add(rng.sample(mixed, 12) + rng.choices(plain, k=4), rng.random() < 0.4)
+        else:
+            add(rng.choices(plain, k=16), False)
+    for i in range(200):  # long ones, so that the view of all windows has votes to learn from
+        add(rng.sample(mixed, 12) + rng.choices(plain, k=40) + (insult if i % 2 else []), i % 2)
+    filler = " ".join(rng.choices(plain, k=60))
+    rows += [(5000, f"{' '.join(mixed)} {filler} {filler}"), (5001, f"{' '.join(mixed)} {filler} clown {filler}")]
     docs = cases.documents(spark, rows)
     index = toxicity.fit(docs, spark.createDataFrame(labels, cases.LABELS))
-    one, two = (index.score([t])[0] for _, t in rows[-2:])
-    without, index.wide_steps = index.wide_steps, None
-    index._known.clear()
-    assert index.score([rows[-2][1]])[0][0] <= one[0] and without is not None
-    assert one[0] < 0.5 < two[0]
+    texts = [t for _, t in rows[-2:]]
+    one, two = index.score(texts)
+    assert one[1].tolist() == two[1].tolist() and one[2] == pytest.approx(two[2])  # the passage's neighbours
+    spoken = index._spoken(texts)
+    owner, term, weight = index.widely(*spoken)
+    for i, t in enumerate(texts):  # every word that examples have
+        assert sorted(term[owner == i].tolist()) == np.flatnonzero(np.isin(index.terms.hashes, toxicity._words([t])[0])).tolist()
+    near = index.search_all(owner, term, weight, 2, index.k)
+    assert near[0][1] != pytest.approx(near[1][1])
+    votes = index.wide_votes(*spoken)
+    assert votes == [index.vote(*n) for n in near]
+    label = dict(zip(index.ids.tolist(), index.labels.tolist()))
+    for (score, near, cosines, _), vote in zip((one, two), votes):
+        weight = 1 / (1.02 - cosines)
+        passage = (weight * [label[d] for d in near.tolist()]).sum() / weight.sum()
+        assert score == pytest.approx(max(index.probability(passage), index.probability(vote, index.wide_steps)))
 
 
 def test_repeated_rows_keep_the_bound(spark):
