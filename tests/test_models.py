@@ -4,6 +4,7 @@ from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from riskflow.contract import SEED
 from riskflow.models.scorers import ExternalScorer, LinearScorer, MlScorer, default_metadata, load_scorer, path_exists
 from riskflow.models.training import model_card, spread, train_forest, train_logistic, weighted
 from riskflow.operators.evaluate import evaluate
@@ -61,6 +62,17 @@ def test_forest_learns(data, forest):
     assert forest.score(df).columns == df.columns + ["probability"]
 
 
+def test_a_level_costs_the_forest_one_step(data, forest):
+    from pyspark.ml.classification import RandomForestClassifier
+
+    assert forest.classifier.getCacheNodeIds() and forest.classifier.getCheckpointInterval() == -1
+    rows, _ = weighted(spread(data[0]))
+    walked = RandomForestClassifier(labelCol="label", weightCol="weight", numTrees=10, maxDepth=5, featureSubsetStrategy="sqrt",
+                                    seed=SEED, maxMemoryInMB=1024).fit(rows)  # each level from the root
+    splits = [[t.toDebugString.split("\n", 1)[1] for t in model.trees] for model in (walked, forest.classifier)]  # without the trees' ids
+    assert splits[0] == splits[1]
+
+
 def test_scores_do_not_depend_on_layout(data, forest):
     df = data[0]
     assert probabilities(forest.score(df)) == probabilities(forest.score(df.repartition(7).orderBy(F.desc("i"))))
