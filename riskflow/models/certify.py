@@ -54,17 +54,24 @@ def walk(scorer: MlScorer, nodes: DataFrame, df: DataFrame, key: str) -> DataFra
     """``key`` (unique) and ``probability`` of every row, found by joins with the node table only.
 
     A row becomes one state for each tree, which moves down a level a join; all joins share one stage where the table
-    is small enough to send. States of a row lie in one task, so one row a task and key leaves before the shuffle.
+    is small enough to send. Rows are dealt by key before they become states, so that all cores walk, however few files
+    there are, and the scores need no other shuffle. A step reads plain columns, and a leaf leads to itself: lists
+    and further cases in each step make a stage of many joins longer than the JVM compiles.
     """
-    forest = scorer.classifier
+    spark, forest = df.sparkSession, scorer.classifier
     sent = F.broadcast if forest.totalNumNodes <= SENT_NODES else lambda t: t
-    state = df.select(F.col(key).alias("key"), vector_to_array("features").alias("x"), F.explode(F.sequence(F.lit(0), F.lit(forest.getNumTrees - 1))).alias("tree"), F.lit(0).alias("node"))
-    x = F.get("x", F.col("feature"))
-    leftward = F.when(F.col("categories") >= 0, F.array_contains("bounds", x)).otherwise(x <= F.get("bounds", F.lit(0)))
-    below = F.when(F.col("left") < 0, F.col("node")).otherwise(F.when(leftward, F.col("left")).otherwise(F.col("right")))
-    steps = nodes.select("tree", "node", "left", "right", "feature", "bounds", "categories")
+    leaf, x = F.col("left") < 0, F.get("x", F.col("feature"))
+    fields = {"left": F.when(leaf, F.col("node")).otherwise(F.col("left")), "right": F.when(leaf, F.col("node")).otherwise(F.col("right")),
+              "feature": F.when(leaf, F.lit(0)).otherwise(F.col("feature")), "bound": F.coalesce(F.get("bounds", F.lit(0)), F.lit(0.0))}
+    leftward = x <= F.col("bound")
+    if not nodes.where((F.col("categories") >= 0) & ~leaf).isEmpty():
+        fields["chosen"] = F.when(F.col("categories") >= 0, F.col("bounds"))
+        leftward = F.when(F.col("chosen").isNull(), leftward).otherwise(F.array_contains("chosen", x))
+    steps = nodes.select("tree", "node", *(f.alias(c) for c, f in fields.items()))
+    rows = df.select(F.col(key).alias("key"), vector_to_array("features").alias("x")).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key")
+    state = rows.select("key", "x", F.explode(F.sequence(F.lit(0), F.lit(forest.getNumTrees - 1))).alias("tree"), F.lit(0).alias("node"))
     for _ in range(max(t.depth for t in forest.trees)):
-        state = state.join(sent(steps), ["tree", "node"]).select("key", "x", "tree", below.alias("node"))
+        state = state.join(sent(steps), ["tree", "node"]).select("key", "x", "tree", F.when(leftward, F.col("left")).otherwise(F.col("right")).alias("node"))
     leaves = state.join(sent(nodes.select("tree", "node", "share")), ["tree", "node"])
     return leaves.groupBy("key").agg(F.avg("share").alias("probability")).withColumnRenamed("key", key)
 

@@ -42,6 +42,14 @@ def test_walk_by_joins_gives_the_forests_scores_and_weights(data, monkeypatch):
     assert certify.walk(model, nodes, data.limit(0), "i").collect() == []
 
 
+def test_walk_deals_few_files_to_all_cores_and_keeps_steps_short(data):
+    model = train_forest(data, trees=3, depth=3)
+    walked = certify.walk(model, certify.forest_nodes(model), data.coalesce(1), "i")
+    plan = walked._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression [key") == 1 and "array_contains" not in plan
+    assert plan.index("Generate explode") < plan.index("RepartitionByExpression")  # rows are dealt, not their states
+
+
 def test_walk_takes_categories(spark):
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import VectorIndexer
