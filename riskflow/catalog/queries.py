@@ -29,7 +29,7 @@ from riskflow.operators.median import exact_medians
 from riskflow.plans import prepare as prep
 from riskflow.plans.score import ScoringJob, score_rows
 from riskflow.plans.train import Trained, run_training
-from riskflow.session import scratch_path
+from riskflow.session import scratch_path, split_methods
 from riskflow.sinks import write_table
 from riskflow.sources import requests as rq, testviews as views
 from riskflow.sources.tables import read_table
@@ -754,9 +754,10 @@ def _trained(spark: SparkSession, sf: str) -> Trained:
 def _vectors(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Label and features of both parts, as a table in the shared folder that both models read."""
     table = clean.with_label(s.split_table(spark, sf))
-    fitted = fe.FeaturePreparer().fit(table.where("split = 'train'"))
     path = scratch_path(spark, "vectors")
-    fitted.transform(table).select(ID, "label", "features", "split").write.partitionBy("split").parquet(path)
+    with split_methods(spark):
+        fitted = fe.FeaturePreparer().fit(table.where("split = 'train'"))
+        fitted.transform(table).select(ID, "label", "features", "split").write.partitionBy("split").parquet(path)
     stored = spark.read.parquet(path)
     return tuple(stored.where(F.col("split") == part) for part in ("train", "test"))
 

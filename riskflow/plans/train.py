@@ -15,7 +15,7 @@ from riskflow.operators.evaluate import metrics
 from riskflow.operators.features import FeaturePreparer
 from riskflow.operators.quality import REJECT
 from riskflow.plans.validate import validate
-from riskflow.session import remove, scratch_path
+from riskflow.session import remove, scratch_path, split_methods
 from riskflow.sinks import write_table
 
 
@@ -49,15 +49,17 @@ def run_training(train: DataFrame, test: DataFrame, out: str | None = None, cont
         found = validate(part, contract, "enriched", training=True, strict=False)
         if found["action_taken"] == REJECT:
             raise RuntimeError(f"validation rejected the {name} table: {found['errors'][0]['message']}")
-    features = FeaturePreparer(contract).fit(train)
+    with split_methods(spark):
+        features = FeaturePreparer(contract).fit(train)
 
     # every pass of both solvers reads these vectors: a written table spares them the features
     # and does not go with a lost executor
     path = scratch_path(spark, "vectors")
     try:
-        for name, part in (("train", train), ("test", test)):
-            labelled = with_label(features.transform(part), "label", contract, unmapped="zero")
-            write_table(labelled.select("label", "features"), f"{path}/{name}")
+        with split_methods(spark):
+            for name, part in (("train", train), ("test", test)):
+                labelled = with_label(features.transform(part), "label", contract, unmapped="zero")
+                write_table(labelled.select("label", "features"), f"{path}/{name}")
         train_x, test_x = (spark.read.parquet(f"{path}/{name}") for name in ("train", "test"))
         baseline = train_logistic(train_x, threshold=threshold)
         baseline_metrics = _record(baseline.score(test_x), threshold)

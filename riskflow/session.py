@@ -6,6 +6,8 @@ import atexit
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -33,6 +35,19 @@ def local_session(name: str = "riskflow", cpus: int | str = "*", shuffle_partiti
     return spark
 
 
+@contextmanager
+def split_methods(spark: SparkSession) -> Iterator[None]:
+    """What runs inside has its wide projections split, also in a session whose limit would leave them interpreted."""
+    old = {k: spark.conf.get(k, None) for k in CODEGEN}
+    for k, v in CODEGEN.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it in ``spark.checkpoint.dir``.
 

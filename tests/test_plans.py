@@ -10,6 +10,7 @@ from riskflow.plans.prepare import load_or_prepare, load_parts, run_prepare
 from riskflow.plans.score import ScoringJob
 from riskflow.plans.train import run_training
 from riskflow.plans.validate import DataValidationError
+from riskflow.session import split_methods
 from riskflow.sinks import write_table
 from riskflow.sources import testviews as views
 from riskflow.sources.tables import from_records
@@ -213,3 +214,16 @@ def test_target_outside_the_mapping_fails(spark, raw, tmp_path):
 def test_without_target_all_rows_train(spark, raw, tmp_path):
     p = run_prepare(raw[0].drop("Risk_Review_Flag"), raw[1], str(tmp_path / "plain"))
     assert (p.train_records, p.test_records) == (1000, 0)
+
+
+def test_wide_projections_are_split_whatever_the_session_says(spark):
+    key = "spark.sql.codegen.hugeMethodLimit"
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "65535")
+        with pytest.raises(KeyError), split_methods(spark):
+            assert spark.conf.get(key) == "8000"
+            raise KeyError
+        assert spark.conf.get(key) == "65535"
+    finally:
+        spark.conf.set(key, old)
