@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.llm.encode import encoder, tokenizer_path
-from riskflow.llm.tables import numbered, slices, stored, texts_of
+from riskflow.llm.tables import numbered, slices, stored
 
 SIZE, END_ID = 1024, 2
 PIECE = "doc_id long, row long, piece int, start long, length long, ids_crc32 long"
@@ -78,7 +78,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, t
         enc, row, end = encoder(tokenizer_path(tokenizer), spaced), TaskContext.get().partitionId() << 40, struct.pack("<I", end_id)
         for batch in slices(batches):
             out = []
-            for doc_id, ids in zip(batch.column(0).to_pylist(), enc.ids(texts_of(batch.column(1)))):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), enc.ids(batch.column(1))):
                 ids += end
                 for k, (at, n) in enumerate(cuts(len(ids) // 4, size)):
                     out.append((doc_id, row, k, at, n, zlib.crc32(ids[4 * at:4 * (at + n)])))

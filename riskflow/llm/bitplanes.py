@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskflow.llm.encode import encoder, tokenizer_path
-from riskflow.llm.tables import Output, fresh, open_input, scratch, slices, stored, texts_of
+from riskflow.llm.tables import Output, fresh, open_input, scratch, slices, stored
 
 MAGIC = b"IDPLANE1"
 FOOTER = struct.Struct("<QQQQBBH")  # place of documents, place of chunk index, documents, ids, plane bits, zstd level, -
@@ -156,8 +156,8 @@ def write_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
 
         enc, part, seq, to, end = encoder(tokenizer_path(tokenizer), spaced), TaskContext.get().partitionId(), 0, None, struct.pack("<I", end_id)
         done = []
-        for batch in slices(batches):
-            for doc_id, ids in zip(batch.column(0).to_pylist(), enc.ids(texts_of(batch.column(1)))):
+        for batch in slices(batches, 1000, 4 << 20):  # the more texts at once, the fewer distinct pieces
+            for doc_id, ids in zip(batch.column(0).to_pylist(), enc.ids(batch.column(1))):
                 to = to or Writer(folder, block, plane_bits)
                 to.add(doc_id, ids + end)
                 if to.n_ids >= file_ids:

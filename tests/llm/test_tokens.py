@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -35,6 +36,53 @@ def test_cached_encoding_is_the_librarys(name, spaced):
             assert np.frombuffer(ids, "<u4").tolist() == want(text), repr(text)
 
 
+class Counted(dict):
+    """A cache that counts the questions put to it."""
+
+    asked = 0
+
+    def get(self, *key):
+        self.asked += 1
+        return super().get(*key)
+
+    def __contains__(self, key):
+        self.asked += 1
+        return super().__contains__(key)
+
+    def __getitem__(self, key):
+        self.asked += 1
+        return super().__getitem__(key)
+
+
+@pytest.mark.parametrize("name, spaced", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
+def test_a_batch_asks_for_each_distinct_piece_once(name, spaced):
+    own, want = Encoder(tokenizer_path(name), spaced), library(name)
+    own.young = Counted()
+    found = ["one two, three été", "two one, Three. one"] * 500
+    for text, ids in zip(found, own.ids(found), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == want(text)
+    assert own.young.asked <= 20
+
+
+def test_line_ends_and_marks_make_no_new_words():
+    own, want, seen = Encoder(tokenizer_path("word_bpe_49k.json"), False), library("word_bpe_49k.json"), []
+    whole = own.whole
+    own.whole = lambda pieces: seen.extend(pieces) or whole(pieces)
+    text = "one two.\nÉté one,\ttwo\r\nthree! 中 One"
+    assert np.frombuffer(own.ids([text])[0], "<u4").tolist() == want(text)
+    assert set(seen) == {"", ".", ",", "!", "中"}
+    assert set(own.young) == {"one", "two", "three", "Été", "", ".", ",", "!", "中"}
+
+
+@pytest.mark.parametrize("name, spaced", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
+def test_encoding_of_columns(name, spaced):
+    own, want = Encoder(tokenizer_path(name), spaced), library(name)
+    column = pa.array(["left out", None, "", " ", "İ. a İ.", "a <|endoftext|>b", "J\u030c. \u212a, Ⱥ.", "x\n\n\u0301y", "left out"]).slice(1, 7)
+    for kind in (pa.string(), pa.large_string()):
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in own.ids(column.cast(kind))] == [want(t) for t in column.to_pylist()]
+    assert own.ids([]) == [] and own.ids([None, ""]) == [b"", b""] and own.ids(pa.array([], pa.string())) == []
+
+
 def test_forced_boundaries_give_the_librarys_ids():
     vocab, tok = bpe.vocabulary(tokenizer_path("word_bpe_49k.json")), Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
     assert any(len(vocab.fragments(w)) > 1 for w in ("xq", "qx", "jqz"))
