@@ -29,7 +29,7 @@ from riskflow.operators.median import exact_medians
 from riskflow.plans import prepare as prep
 from riskflow.plans.score import ScoringJob, score_rows
 from riskflow.plans.train import Trained, run_training
-from riskflow.session import scratch_path, split_methods
+from riskflow.session import scratch_path, split_methods, stored
 from riskflow.sinks import write_table
 from riskflow.sources import requests as rq, testviews as views
 from riskflow.sources.tables import read_table
@@ -743,23 +743,33 @@ def stream_refreshed(spark, sf):
 
 # ---- training: rows-only, no SQL twin -----------------------------------------------
 
+@lru_cache(maxsize=4)
+def _prepared(spark: SparkSession, sf: str) -> DataFrame:
+    """The split table, written once: checks, fits and vectors read it many times, and each time would join it anew."""
+    return stored(s.split_table(spark, sf), "prepared", "split")
+
+
 @lru_cache(maxsize=4)
 def _trained(spark: SparkSession, sf: str) -> Trained:
     """One training run serves the queries that report on it."""
-    train, test = (s.part(spark, sf, name) for name in ("train", "test"))
-    return run_training(train, test)
+    table = _prepared(spark, sf)
+    return run_training(*(table.where(F.col("split") == part).drop("split") for part in ("train", "test")))
+
+
+@lru_cache(maxsize=4)
+def _features(spark: SparkSession, sf: str) -> fe.FeaturePreparer:
+    """The features fitted on the train part, for the vectors and for those who ask for their names."""
+    with split_methods(spark):
+        return fe.FeaturePreparer().fit(_prepared(spark, sf).where("split = 'train'"))
 
 
 @lru_cache(maxsize=4)
 def _vectors(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Label and features of both parts, as a table in the shared folder that both models read."""
-    table = clean.with_label(s.split_table(spark, sf))
-    path = scratch_path(spark, "vectors")
+    rows = _features(spark, sf).transform(clean.with_label(_prepared(spark, sf)))
     with split_methods(spark):
-        fitted = fe.FeaturePreparer().fit(table.where("split = 'train'"))
-        fitted.transform(table).select(ID, "label", "features", "split").write.partitionBy("split").parquet(path)
-    stored = spark.read.parquet(path)
-    return tuple(stored.where(F.col("split") == part) for part in ("train", "test"))
+        table = stored(rows.select(ID, "label", "features", "split"), "vectors", "split")
+    return tuple(table.where(F.col("split") == part) for part in ("train", "test"))
 
 
 def _held_out(fit, spark, sf):
@@ -805,7 +815,7 @@ def _forest(spark: SparkSession, sf: str):
 @query
 def lr_certificate(spark, sf):
     train, _ = _vectors(spark, sf)
-    names = ["intercept", *fe.fit_features(s.part(spark, sf, "train")).names()]
+    names = ["intercept", *_features(spark, sf).params.names()]
     named = spark.createDataFrame([(i - 1, n) for i, n in enumerate(names)], "position int, feature string")
     slopes = certify.logistic_gradient(train_logistic(train), train)
     return named.join(slopes, "position", "full").select(F.col("position").cast("long"), "feature", (F.abs("gradient") < FLAT).alias("at_optimum"))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from riskflow.contract import REVIEW_THRESHOLD, SEED
 from riskflow.models.scorers import MlScorer
 from riskflow.operators.evaluate import class_weights
+from riskflow.session import kept
 
 # --- fixed values: hyperparameters and model descriptions ---
 LR_ITERATIONS = 1000
@@ -35,7 +36,8 @@ def weighted(train: DataFrame, label: str = "label") -> tuple[DataFrame, int]:
 def spread(train: DataFrame, label: str = "label", partitions: int | None = None) -> DataFrame:
     """Deal rows by a hash of their features, in its order, into as many partitions as the rows call for.
 
-    Bagging draws by partition and place, so a model must depend on the data alone, not on cores or files.
+    Bagging draws by partition and place, so a model must depend on the data alone, not on cores or files. A solver reads
+    the dealt rows several times before its own passes, so they are kept while it runs (``kept``).
     """
     n = partitions or max(PARTITIONS, -(-train.count() // PARTITION_ROWS))
     keyed = train.withColumn("_hash", F.xxhash64(vector_to_array("features"), F.col(label)))
@@ -49,9 +51,10 @@ def train_logistic(train: DataFrame, label: str = "label", iterations: int = LR_
     The balanced weights add up to the number of rows and Spark averages the loss,
     so a unit penalty on the summed loss is ``1/n`` here.
     """
-    data, n = weighted(spread(train, label), label)
-    fitted = LogisticRegression(labelCol=label, weightCol="weight", maxIter=iterations, regParam=1 / max(n, 1),
-                                elasticNetParam=0.0, standardization=False).fit(data)
+    with kept(spread(train, label)) as dealt:
+        data, n = weighted(dealt, label)
+        fitted = LogisticRegression(labelCol=label, weightCol="weight", maxIter=iterations, regParam=1 / max(n, 1),
+                                    elasticNetParam=0.0, standardization=False).fit(data)
     return MlScorer(fitted, threshold=threshold)
 
 
@@ -62,10 +65,11 @@ def train_forest(train: DataFrame, label: str = "label", trees: int = RF_TREES,
     A row keeps its node in each tree from level to level, so a level costs one step and not the walk from the root;
     this changes no split. These ids are not checkpointed: a lost block is made again from the vectors.
     """
-    data, _ = weighted(spread(train, label), label)
-    fitted = RandomForestClassifier(labelCol=label, weightCol="weight", numTrees=trees, maxDepth=depth,
-                                    featureSubsetStrategy="sqrt", seed=seed, maxMemoryInMB=1024,
-                                    cacheNodeIds=True, checkpointInterval=-1).fit(data)
+    with kept(spread(train, label)) as dealt:
+        data, _ = weighted(dealt, label)
+        fitted = RandomForestClassifier(labelCol=label, weightCol="weight", numTrees=trees, maxDepth=depth,
+                                        featureSubsetStrategy="sqrt", seed=seed, maxMemoryInMB=1024,
+                                        cacheNodeIds=True, checkpointInterval=-1).fit(data)
     return MlScorer(fitted, threshold=threshold)
 
 

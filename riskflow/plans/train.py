@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from riskflow.artifacts import publish
 from riskflow.contract import CONTRACT, REVIEW_THRESHOLD, Contract
 from riskflow.models.scorers import MlScorer, write_json
-from riskflow.models.training import RF_DEPTH, RF_TREES, model_card, train_forest, train_logistic
+from riskflow.models.training import RF_DEPTH, RF_TREES, model_card, spread, train_forest, train_logistic
 from riskflow.operators.clean import with_label
 from riskflow.operators.evaluate import metrics
 from riskflow.operators.features import FeaturePreparer
 from riskflow.operators.quality import REJECT
 from riskflow.plans.validate import validate
-from riskflow.session import remove, scratch_path, split_methods
+from riskflow.session import kept, remove, scratch_path, split_methods
 from riskflow.sinks import write_table
 
 
@@ -61,10 +61,10 @@ def run_training(train: DataFrame, test: DataFrame, out: str | None = None, cont
                 labelled = with_label(features.transform(part), "label", contract, unmapped="zero")
                 write_table(labelled.select("label", "features"), f"{path}/{name}")
         train_x, test_x = (spark.read.parquet(f"{path}/{name}") for name in ("train", "test"))
-        baseline = train_logistic(train_x, threshold=threshold)
-        baseline_metrics = _record(baseline.score(test_x), threshold)
-        model = train_forest(train_x, trees=trees, depth=depth, threshold=threshold)
-        found = _record(model.score(test_x), threshold)
+        with kept(spread(train_x)):  # both solvers find the same dealt rows
+            baseline = train_logistic(train_x, threshold=threshold)
+            model = train_forest(train_x, trees=trees, depth=depth, threshold=threshold)
+        baseline_metrics, found = (_record(m.score(test_x), threshold) for m in (baseline, model))
         names = features.params.names()
         card = model_card(found, baseline_metrics, train_x.count(), test_x.count(), len(names), threshold)
     finally:

@@ -9,7 +9,8 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 
 # Wide projections make generated methods that the JVM would only interpret; beyond this
@@ -84,13 +85,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def stored(df, name: str):
-    """A frame as a written table in the shared folder: what is read again comes from there."""
+def stored(df, name: str, *by: str):
+    """A frame as a written table in the shared folder, in partitions of ``by``, its last columns: what is read again comes from there."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """A frame that executors keep on their disks while it is read again and again, unless somebody keeps it already.
+
+    What goes with a lost executor is made again.
+    """
+    own = df.storageLevel == StorageLevel.NONE
+    if own:
+        df.persist(StorageLevel.DISK_ONLY)
+    try:
+        yield df
+    finally:
+        if own:
+            df.unpersist()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder through the file system Spark uses for it."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark import StorageLevel
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from riskflow.contract import SEED
 from riskflow.models.scorers import ExternalScorer, LinearScorer, MlScorer, default_metadata, load_scorer, path_exists
 from riskflow.models.training import model_card, spread, train_forest, train_logistic, weighted
 from riskflow.operators.evaluate import evaluate
+from riskflow.session import kept
 
 
 def vectors(spark, n=400, width=6, seed=1):
@@ -171,6 +173,23 @@ def test_spread(spark):
     assert len({r.p for r in want}) > 8 and layout(df.repartition(7)) == want
 
 
+def test_rows_are_dealt_once(data, spark):
+    df, _, _ = data
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def seen(label):
+        read.add(1)
+        return label
+
+    once = df.withColumn("label", seen("label"))
+    with kept(spread(once)) as dealt:
+        for train in (lambda t: train_logistic(t, iterations=3), lambda t: train_forest(t, trees=3, depth=3)):
+            train(once)
+            assert read.value == 400  # neither a solver's own passes nor the next solver deal again
+    assert dealt.storageLevel == StorageLevel.NONE
+
+
 def test_forest_depends_on_the_rows_alone(data):
     df = data[0]
     one, many = (probabilities(train_forest(df.repartition(n), trees=5, depth=4).score(df)) for n in (2, 9))
