@@ -831,7 +831,7 @@ def forest_walk(spark, sf):
 
 @query
 def forest_importances(spark, sf):
-    model, names = _forest(spark, sf), fe.fit_features(s.part(spark, sf, "train")).names()
+    model, names = _forest(spark, sf), _features(spark, sf).params.names()
     own = [(i, n, float(w)) for i, (n, w) in enumerate(zip(names, model.classifier.featureImportances.toArray()))]
     found = certify.forest_importances(certify.forest_nodes(model)).withColumnRenamed("feature", "position")
     both = spark.createDataFrame(own, "position int, feature string, own double").join(found, "position", "full")

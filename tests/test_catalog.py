@@ -4,10 +4,13 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.ml.classification import RandomForestClassifier
 
 import __spark_entry__ as entry
+from riskflow.catalog import queries
 from riskflow.catalog.oracles import ORACLES
 from riskflow.catalog.queries import QUERIES
+from riskflow.models.scorers import MlScorer
 from tools.compare import TABLES, normal, same
 
 SLOW = {"train_lr", "train_rf", "model_card", "importances"}
@@ -34,6 +37,24 @@ def test_query_equals_sql(spark, sf, duck, name):
     assert same(normal(got), normal(want))
 
 
+def test_training_queries_join_and_fit_features_once(spark, sf, monkeypatch):
+    made, fitted = [], []
+    for log, of, name in ((made, queries.s, "split_table"), (fitted, queries.fe, "fit_features")):
+        monkeypatch.setattr(of, name, lambda *a, f=getattr(of, name), log=log: (log.append(a), f(*a))[1])
+    monkeypatch.setattr(queries, "train_forest", lambda train: MlScorer(RandomForestClassifier(numTrees=2, maxDepth=2, seed=1).fit(train)))
+    shared = (queries._prepared, queries._features, queries._vectors, queries._forest)
+    try:
+        for c in shared:
+            c.cache_clear()
+        for name in ("forest_importances", "forest_walk"):
+            QUERIES[name](spark, sf).collect()
+        assert len(made) == len(fitted) == 1
+        assert "Join" not in queries._prepared(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        for c in shared:
+            c.cache_clear()
+
+
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.count() > 900 and "Risk_Tier" in df.columns
