@@ -825,7 +825,7 @@ def lr_certificate(spark, sf):
 def forest_walk(spark, sf):
     model, (_, test) = _forest(spark, sf), _vectors(spark, sf)
     walked = certify.walk(model, certify.forest_nodes(model), test, ID).withColumnRenamed("probability", "walked")
-    both = model.score(test).select(ID, "label", "probability").join(walked, ID, "full")
+    both = model.score(certify.dealt(test, ID)).select(ID, "label", "probability").join(walked, ID, "full")
     return both.select(ID, F.col("label").cast("long").alias("label"), (F.abs(F.col("probability") - F.col("walked")) < 1e-9).alias("same_score"))
 
 

@@ -1,18 +1,18 @@
 """Trained models as tables, and what can be proved from them with plain aggregates and joins.
 
 A logistic model is right if the gradient of its objective vanishes on the rows it was fitted on. A forest is a table of
-nodes: rows walk it by joins, one level a join, and its importances are sums over its splits. Neither needs the
+nodes: rows walk it by joins, two levels a join, and its importances are sums over its splits. Neither needs the
 library that fitted the model, so scores and weights can be recomputed wherever the tables can be read.
 """
 
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from riskflow.models.scorers import MlScorer
 from riskflow.models.training import weighted
-from riskflow.session import scratch_path
+from riskflow.session import scratch_path, stored
 
 #: Nodes of a forest that is sent to all executors (some 100 bytes each); a larger one is joined by a shuffle.
 SENT_NODES = 500_000
@@ -50,28 +50,44 @@ def forest_nodes(scorer: MlScorer) -> DataFrame:
         n["gain"].alias("gain"), total.alias("weight"), (F.get(n["impurityStats"], F.lit(1)) / total).alias("share"))
 
 
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt by their key, so that all cores have a share of what follows, however few files there are."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def walk(scorer: MlScorer, nodes: DataFrame, df: DataFrame, key: str) -> DataFrame:
     """``key`` (unique) and ``probability`` of every row, found by joins with the node table only.
 
-    A row becomes one state for each tree, which moves down a level a join; all joins share one stage where the table
-    is small enough to send. Rows are dealt by key before they become states, so that all cores walk, however few files
-    there are, and the scores need no other shuffle. A step reads plain columns, and a leaf leads to itself: lists
+    A row becomes one state for each tree, which moves down two levels a join, as a node's row has its children's splits
+    beside its own; all joins share one stage where the table is small enough to send. Rows are dealt by key before they
+    become states, so that the scores need no other shuffle. A step reads plain columns, and a leaf leads to itself: lists
     and further cases in each step make a stage of many joins longer than the JVM compiles.
     """
-    spark, forest = df.sparkSession, scorer.classifier
+    forest = scorer.classifier
     sent = F.broadcast if forest.totalNumNodes <= SENT_NODES else lambda t: t
-    leaf, x = F.col("left") < 0, F.get("x", F.col("feature"))
+    leaf = F.col("left") < 0
     fields = {"left": F.when(leaf, F.col("node")).otherwise(F.col("left")), "right": F.when(leaf, F.col("node")).otherwise(F.col("right")),
               "feature": F.when(leaf, F.lit(0)).otherwise(F.col("feature")), "bound": F.coalesce(F.get("bounds", F.lit(0)), F.lit(0.0))}
-    leftward = x <= F.col("bound")
-    if not nodes.where((F.col("categories") >= 0) & ~leaf).isEmpty():
+    if categories := not nodes.where((F.col("categories") >= 0) & ~leaf).isEmpty():
         fields["chosen"] = F.when(F.col("categories") >= 0, F.col("bounds"))
-        leftward = F.when(F.col("chosen").isNull(), leftward).otherwise(F.array_contains("chosen", x))
+
+    def down(at: str, left: Column, right: Column) -> Column:
+        x = F.get("x", F.col(f"{at}feature"))
+        leftward = x <= F.col(f"{at}bound")
+        if categories:
+            leftward = F.when(F.col(f"{at}chosen").isNull(), leftward).otherwise(F.array_contains(f"{at}chosen", x))
+        return F.when(leftward, left).otherwise(right)
+
     steps = nodes.select("tree", "node", *(f.alias(c) for c, f in fields.items()))
-    rows = df.select(F.col(key).alias("key"), vector_to_array("features").alias("x")).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key")
+    for child in ("left", "right"):
+        below = nodes.select("tree", F.col("node").alias(child), *(f.alias(f"{child}_{c}") for c, f in fields.items()))
+        steps = steps.join(below, ["tree", child])
+    steps = stored(steps.drop("left", "right"), "forest_steps")  # all joins read it
+    rows = dealt(df.select(F.col(key).alias("key"), vector_to_array("features").alias("x")), "key")
     state = rows.select("key", "x", F.explode(F.sequence(F.lit(0), F.lit(forest.getNumTrees - 1))).alias("tree"), F.lit(0).alias("node"))
-    for _ in range(max(t.depth for t in forest.trees)):
-        state = state.join(sent(steps), ["tree", "node"]).select("key", "x", "tree", F.when(leftward, F.col("left")).otherwise(F.col("right")).alias("node"))
+    below = down("", *(down(f"{c}_", F.col(f"{c}_left"), F.col(f"{c}_right")) for c in ("left", "right")))
+    for _ in range(-(-max(t.depth for t in forest.trees) // 2)):
+        state = state.join(sent(steps), ["tree", "node"]).select("key", "x", "tree", below.alias("node"))
     leaves = state.join(sent(nodes.select("tree", "node", "share")), ["tree", "node"])
     return leaves.groupBy("key").agg(F.avg("share").alias("probability")).withColumnRenamed("key", key)
 

@@ -50,6 +50,16 @@ def test_walk_deals_few_files_to_all_cores_and_keeps_steps_short(data):
     assert plan.index("Generate explode") < plan.index("RepartitionByExpression")  # rows are dealt, not their states
 
 
+def test_walk_goes_down_two_levels_a_join(data, monkeypatch):
+    monkeypatch.setattr(certify, "SENT_NODES", 0)
+    for depth, joins in ((2, 1), (3, 2), (4, 2)):  # and one that finds the leaves
+        model = train_forest(data, trees=3, depth=depth)
+        walked = certify.walk(model, certify.forest_nodes(model), data, "i")
+        assert walked._jdf.queryExecution().optimizedPlan().toString().count("Join Inner") == joins + 1
+        want = {r.i: r.probability for r in model.score(data).collect()}
+        assert {r.i: r.probability for r in walked.collect()} == pytest.approx(want, abs=1e-12)
+
+
 def test_walk_takes_categories(spark):
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import VectorIndexer
